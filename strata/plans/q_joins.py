@@ -1 +1,150 @@
-"""Catalog entries (filled in as operators land)."""
+"""Catalog entries: joins (JN2-JN7)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from strata.operators import joins
+from strata.plans.catalog import register
+from strata.sources.tables import table
+
+
+def _events(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+
+
+def _range_sql(anchor_where, event_where, lo, hi, extra_cols="", extra_on="", name="match_count", having=""):
+    return f"""
+        SELECT a.event_id, a.ts{extra_cols}, count(e.event_id) AS {name}
+        FROM (SELECT * FROM events WHERE {anchor_where}) a
+        LEFT JOIN (SELECT * FROM events WHERE {event_where}) e
+          ON e.ts >= a.ts - INTERVAL {lo} SECOND AND e.ts <= a.ts + INTERVAL {hi} SECOND {extra_on}
+        GROUP BY ALL {having}"""
+
+
+@register(
+    "near_events_1h",
+    sql=_range_sql("event_type = 'error'", "event_type = 'click'", 3600, 3600, name="near_count"),
+)
+def near_events_1h(spark, sf_dir):
+    """JN3: per spike-like anchor (errors), events of another stream (clicks) within +-1 h; 0 kept."""
+    ev = _events(spark, sf_dir)
+    anchors = ev.filter(F.col("event_type") == "error").select("event_id", "ts")
+    news = ev.filter(F.col("event_type") == "click").select("event_id", "ts")
+    return joins.range_count(anchors, news, "event_id", "ts", "event_id", "ts", 3600, 3600, name="near_count")
+
+
+@register(
+    "extreme_news_1h",
+    sql=_range_sql("value > 150", "event_type = 'view'", 3600, 3600, extra_cols=", a.value", name="news_count"),
+)
+def extreme_news_1h(spark, sf_dir):
+    """JN6: extreme-condition rows with the count of 'news' rows within +-1 h."""
+    ev = _events(spark, sf_dir)
+    anchors = ev.filter(F.col("value") > 150).select("event_id", "ts", "value")
+    news = ev.filter(F.col("event_type") == "view").select("event_id", "ts")
+    return joins.range_count(anchors, news, "event_id", "ts", "event_id", "ts", 3600, 3600, name="news_count")
+
+
+@register(
+    "following_2h",
+    sql=_range_sql("value > 200", "event_type = 'view'", 0, 7200, extra_cols=", a.value", name="following_count"),
+)
+def following_2h(spark, sf_dir):
+    """JN4: significant rows (measure above a threshold) and the count in the following 2 h."""
+    ev = _events(spark, sf_dir)
+    anchors = ev.filter(F.col("value") > 200).select("event_id", "ts", "value")
+    news = ev.filter(F.col("event_type") == "view").select("event_id", "ts")
+    return joins.range_count(anchors, news, "event_id", "ts", "event_id", "ts", 0, 7200, name="following_count")
+
+
+@register(
+    "shared_terms_near_in_time",
+    sql=_range_sql(
+        "event_type = 'click'", "event_type = 'view'", 1800, 1800, extra_cols=", a.user_id",
+        extra_on="AND e.user_id = a.user_id", name="near_count", having="HAVING count(e.event_id) > 0",
+    ),
+)
+def shared_terms_near_in_time(spark, sf_dir):
+    """JN7: the same entity in both streams within +-30 min (equi key + time range)."""
+    ev = _events(spark, sf_dir)
+    a = ev.filter(F.col("event_type") == "click").select("event_id", "ts", "user_id")
+    b = ev.filter(F.col("event_type") == "view").select("event_id", "ts", "user_id")
+    out = joins.range_count(a, b, "event_id", "ts", "event_id", "ts", 1800, 1800, keys=["user_id"], name="near_count")
+    return out.filter(F.col("near_count") > 0)
+
+
+_SIDES_SQL = """
+    WITH l AS (SELECT user_id, count(*) AS left_count FROM events WHERE event_type = 'click' AND value > 200 GROUP BY user_id),
+         r AS (SELECT user_id, count(*) AS right_count FROM events WHERE event_type = 'error' AND value > 200 GROUP BY user_id)
+"""
+
+
+def _sides(spark, sf_dir):
+    ev = _events(spark, sf_dir).filter(F.col("value") > 200)
+    left = joins.entity_counts(ev.filter(F.col("event_type") == "click"), "user_id", "left_count")
+    right = joins.entity_counts(ev.filter(F.col("event_type") == "error"), "user_id", "right_count")
+    return left, right
+
+
+@register("cross_source_inner", sql=_SIDES_SQL + "SELECT user_id, left_count, right_count FROM l JOIN r USING (user_id)")
+def cross_source_inner(spark, sf_dir):
+    """JN2 inner: entities in both sources, with their per-source counts."""
+    left, right = _sides(spark, sf_dir)
+    return joins.cross_source(left, right, "user_id", "inner")
+
+
+@register(
+    "cross_source_only_left",
+    sql=_SIDES_SQL + "SELECT user_id, left_count FROM l WHERE user_id NOT IN (SELECT user_id FROM r)",
+)
+def cross_source_only_left(spark, sf_dir):
+    """JN2 anti: entities only the left source has seen."""
+    left, right = _sides(spark, sf_dir)
+    return joins.cross_source(left, right, "user_id", "left_anti")
+
+
+_MENTION_SQL = """
+    WITH v AS (SELECT DISTINCT t AS word FROM (
+                 SELECT unnest(regexp_extract_all(lower(text), '([\\p{L}\\p{N}]+)', 1)) AS t FROM benchmark) WHERE length(t) >= 4),
+         w AS (SELECT source, t AS word FROM (
+                 SELECT source, unnest(regexp_extract_all(lower(text), '([\\p{L}\\p{N}]+)', 1)) AS t FROM documents) WHERE length(t) >= 4),
+         m AS (SELECT source, count(*) AS mentions, count(DISTINCT w.word) AS distinct_terms FROM w JOIN v ON w.word = v.word GROUP BY source),
+         s AS (SELECT source, avg(n_chars) AS avg_n_chars FROM documents GROUP BY source)
+"""
+
+
+@register(
+    "mentions_vs_measure",
+    sql=_MENTION_SQL + "SELECT s.source, m.mentions, m.distinct_terms, round(s.avg_n_chars, 6) AS avg_n_chars FROM s JOIN m ON s.source = m.source",
+)
+def mentions_vs_measure(spark, sf_dir):
+    """JN5: benchmark-vocabulary mentions per source next to the source's mean measure."""
+    return _mentions(spark, sf_dir)
+
+
+def _mentions(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("source", "text", "n_chars")
+    vocab = joins.vocabulary(table(spark, sf_dir, "benchmark").select("text"), "text")
+    m = joins.term_mentions(docs, "text", "source", vocab, "term")
+    s = docs.groupBy("source").agg(F.avg("n_chars").alias("avg_n_chars"))
+    return s.join(m, "source").select(
+        "source", "mentions", "distinct_terms", F.round("avg_n_chars", 6).alias("avg_n_chars")
+    )
+
+
+@register(
+    "mention_correlation",
+    sql=_MENTION_SQL + "SELECT round(corr(m.mentions, s.avg_n_chars), 6) AS correlation, count(*) AS groups FROM s JOIN m ON s.source = m.source",
+)
+def mention_correlation(spark, sf_dir):
+    """JN5: correlation of mentions and the mean measure over groups lacking neither."""
+    docs = table(spark, sf_dir, "documents").select("source", "text", "n_chars")
+    vocab = joins.vocabulary(table(spark, sf_dir, "benchmark").select("text"), "text")
+    m = joins.term_mentions(docs, "text", "source", vocab, "term")
+    s = docs.groupBy("source").agg(F.avg("n_chars").alias("avg_n_chars"))
+    j = s.join(m, "source")
+    return j.agg(
+        F.round(F.corr(F.col("mentions").cast("double"), F.col("avg_n_chars")), 6).alias("correlation"),
+        F.count(F.lit(1)).alias("groups"),
+    )
