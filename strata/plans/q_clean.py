@@ -1 +1,303 @@
-"""Catalog entries (filled in as operators land)."""
+"""Catalog entries: Silver cleaning, sources, sinks, serving and the layer run
+(ST1/ST2, WN9, PRJ1-PRJ14, SRC1/2/6/7/8, SNK1/4/8, PL1-PL3, AG7/AG10)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from strata.functions.text import TOPIC_STOPWORDS
+from strata.operators import clean, serving, stats
+from strata.plans import medallion
+from strata.plans.catalog import register
+from strata.session import scratch_path
+from strata.sinks import writers
+from strata.sources import html, landing
+from strata.sources.tables import table
+
+ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+ISO_SQL = "%Y-%m-%dT%H:%M:%S.%f"
+
+
+@register(
+    "current_state",
+    sql="""SELECT user_id, ts, event_id, event_type, value FROM (
+             SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+           WHERE rn = 1""",
+)
+def current_state(spark, sf_dir):
+    """WN9 / ST2: latest observation per entity, total order (ts, id)."""
+    ev = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")
+    return clean.latest_per_key(ev, ["user_id"], ["ts", "event_id"]).select(
+        "user_id", "ts", "event_id", "event_type", "value"
+    )
+
+
+@register(
+    "union_sources",
+    sql="""SELECT doc_id, text, lang, source, NULL::BIGINT AS conv_id, NULL::BIGINT AS turn, NULL AS role, 'documents' AS _source FROM documents
+           UNION ALL
+           SELECT NULL, text, NULL, NULL, conv_id, turn, role, 'conversations' FROM conversations""",
+)
+def union_sources(spark, sf_dir):
+    """ST1 + PRJ1 (source tag): union by name with null fill."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source").withColumn(
+        "_source", F.lit("documents"))
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").withColumn(
+        "_source", F.lit("conversations"))
+    return clean.union_sources([d, c]).select("doc_id", "text", "lang", "source", "conv_id", "turn", "role", "_source")
+
+
+def _bronze_like_events(spark, sf_dir):
+    """Stand-in Bronze rows from ``events``: measure and times as strings, some
+    categories null, ``updated_at`` missing for one source type."""
+    ev = table(spark, sf_dir, "events").select("user_id", "ts", "event_type", "props")
+    iso = F.date_format("ts", ISO)
+    k = F.get_json_object("props", "$.k").try_cast("bigint")
+    return ev.select(
+        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("full_name"),
+        F.col("props").alias("description"),
+        F.nullif(F.col("event_type"), F.lit("signup")).alias("language"),
+        (k - 10).cast("string").alias("stargazers_count"),
+        F.when(F.col("event_type") != "view", iso).alias("updated_at"),
+        iso.alias("timestamp"),
+        F.when(F.col("event_type").isin("click", "view"), "api").otherwise("rss").alias("_source"),
+    )
+
+
+@register(
+    "silver_clean",
+    sql=f"""WITH b AS (
+              SELECT 'u' || CAST(user_id AS VARCHAR) AS full_name, props AS description,
+                     nullif(event_type, 'signup') AS language,
+                     CAST(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) - 10 AS VARCHAR) AS stargazers_count,
+                     CASE WHEN event_type <> 'view' THEN strftime(ts, '{ISO_SQL}') END AS updated_at,
+                     strftime(ts, '{ISO_SQL}') AS timestamp,
+                     CASE WHEN event_type IN ('click', 'view') THEN 'api' ELSE 'rss' END AS _source
+              FROM events),
+            t AS (SELECT *, TRY_CAST(stargazers_count AS BIGINT) AS m,
+                     coalesce(TRY_CAST(updated_at AS TIMESTAMP), TRY_CAST(timestamp AS TIMESTAMP)) AS event_time,
+                     CASE WHEN TRY_CAST(updated_at AS TIMESTAMP) IS NOT NULL THEN 'updated_at'
+                          WHEN TRY_CAST(timestamp AS TIMESTAMP) IS NOT NULL THEN 'timestamp' ELSE 'ingest' END AS _time_source,
+                     CASE WHEN language IS NOT NULL THEN 'OK' ELSE 'PARTIAL_DATA' END AS _quality_flag
+                  FROM b WHERE full_name IS NOT NULL)
+            SELECT full_name, description, _source, coalesce(m, 0) AS stargazers_count,
+                   coalesce(language, 'Unknown') AS language, lower(coalesce(language, 'Unknown')) AS language_lower,
+                   event_time, CAST(hour(event_time) AS INTEGER) AS event_hour, strftime(event_time, '%Y-%m-%d') AS event_date,
+                   _time_source, _quality_flag
+            FROM t WHERE coalesce(m, 0) >= 0""",
+)
+def silver_clean(spark, sf_dir):
+    """PRJ2-PRJ9, PRJ11: Silver cleaning (flag before imputation, try-casts, time fallback)."""
+    obs = clean.silver_observations(_bronze_like_events(spark, sf_dir))
+    return obs.drop("_ingested_at", "_processed_at", "html_url", "topics")
+
+
+@register(
+    "recent_top30",
+    sql="""SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice FROM orders
+           WHERE o_orderdate > (SELECT max(o_orderdate) FROM orders) - INTERVAL 7 DAY AND o_totalprice > 0
+           ORDER BY o_totalprice DESC, o_orderkey LIMIT 30""",
+)
+def recent_top30(spark, sf_dir):
+    """SRC7: recency search (last 7 days before the newest row), top 30 by measure."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    return landing.recent_top(o, "o_orderdate", "o_totalprice", "o_orderkey", days=7, n=30)
+
+
+_UNESC = "replace(replace(replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&')"
+
+
+@register(
+    "html_links",
+    sql="""WITH p AS (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)">', 1) AS h,
+                             regexp_extract_all(html, '<a href="[^"]*">([^<]*)</a>', 1) AS t FROM pages)
+           SELECT page_id, i AS position, h[i] AS href, t[i] AS anchor_text
+           FROM (SELECT *, unnest(range(1, len(h) + 1)) AS i FROM p)""",
+)
+def html_links(spark, sf_dir):
+    """SRC8 (links): every anchor of every page with position and text."""
+    return html.page_links(table(spark, sf_dir, "pages").select("page_id", "html"))
+
+
+@register(
+    "html_articles",
+    sql=f"""WITH a AS (SELECT page_id, regexp_extract(html, '<title>(.*?)</title>', 1) AS title,
+                             unnest(regexp_extract_all(html, '(?s)<article>(.*?)</article>', 1)) AS item FROM pages)
+            SELECT page_id, {_UNESC.format(x='title')} AS title,
+                   {_UNESC.format(x="trim(regexp_replace(regexp_extract(item, '(?s)<h[1-6][^>]*>(.*?)</h[1-6]>', 1), '<[^>]*>', '', 'g'))")} AS heading,
+                   {_UNESC.format(x="trim(regexp_replace(regexp_extract(item, '(?s)<p>(.*?)</p>', 1), '<[^>]*>', '', 'g'))")} AS description,
+                   CAST(len(regexp_extract_all(item, '<p>')) AS INTEGER) AS paragraphs
+            FROM a""",
+)
+def html_articles(spark, sf_dir):
+    """SRC8 (items): one row per article with title, heading, first paragraph, paragraph count."""
+    return html.page_articles(table(spark, sf_dir, "pages").select("page_id", "html"))
+
+
+@register(
+    "search_page_records",
+    sql="""SELECT source || '/' || CAST(doc_id AS VARCHAR) AS full_name, text AS description, lang AS language,
+                  CAST(n_chars AS VARCHAR) AS stargazers_count,
+                  CASE WHEN lang = 'en' THEN []::VARCHAR[] ELSE [lang] END AS topics,
+                  '/' || source || '/' || CAST(doc_id AS VARCHAR) AS html_url
+           FROM documents""",
+)
+def search_page_records(spark, sf_dir):
+    """SRC6: raw search responses (one JSON page per document, built by Spark) parsed
+    back into 7-field observations; missing topics default to ``[]``."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    name = F.concat(F.col("source"), F.lit("/"), F.col("doc_id").cast("string"))
+    item = F.struct(
+        name.alias("full_name"), F.col("text").alias("description"), F.col("lang").alias("language"),
+        F.col("n_chars").alias("stargazers_count"),
+        F.when(F.col("lang") != "en", F.array(F.col("lang"))).alias("topics"),
+        F.concat(F.lit("/"), name).alias("html_url"),
+    )
+    pages = d.select(F.to_json(F.struct(F.array(item).alias("items"))).alias("raw"))
+    recs = landing.search_page_records(pages, "raw")
+    return recs.drop("timestamp")
+
+
+@register(
+    "message_key_value",
+    sql="""SELECT md5(source || '/' || CAST(doc_id AS VARCHAR)) AS key,
+                  to_json({'doc_id': doc_id, 'lang': lang, 'source': source, 'n_chars': n_chars}) AS value
+           FROM documents""",
+)
+def message_key_value(spark, sf_dir):
+    """SNK1: keyed JSON messages, key = md5 of the entity name."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    named = d.withColumn("_name", F.concat(F.col("source"), F.lit("/"), F.col("doc_id").cast("string")))
+    msgs = writers.keyed_messages(named.select("_name", "doc_id", "lang", "source", "n_chars"), "_name", hash_key=True)
+    # The value must not carry the helper name column.
+    return msgs.withColumn("value", F.to_json(F.struct(
+        F.get_json_object("value", "$.doc_id").cast("long").alias("doc_id"),
+        F.get_json_object("value", "$.lang").alias("lang"),
+        F.get_json_object("value", "$.source").alias("source"),
+        F.get_json_object("value", "$.n_chars").cast("long").alias("n_chars"),
+    )))
+
+
+@register(
+    "json_landing_scan",
+    sql="SELECT doc_id, lang, source, n_chars FROM documents",
+)
+def json_landing_scan(spark, sf_dir):
+    """SNK4 + SRC1/SRC2: results written as JSON, read back with a declared schema."""
+    from pyspark.sql import types as T
+
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    path = scratch_path(spark, "landing")
+    writers.overwrite_json(d, path)
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("lang", T.StringType()),
+                           T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType())])
+    return landing.read_landing(spark, path, schema, multiline=False).drop(landing.CORRUPT)
+
+
+@register(
+    "serving_languages",
+    sql="""SELECT array_to_string(list_transform(regexp_extract_all(lower(lang), '(\\p{L}+|\\P{L}+)', 1),
+                                  lambda x: upper(x[1]) || lower(x[2:])), '') AS language,
+                  count(*) AS count, round(avg(n_chars), 1) AS avg_value, max(n_chars) AS max_value
+           FROM documents GROUP BY lang""",
+)
+def serving_languages(spark, sf_dir):
+    """PRJ14: served category table (title case, int count, 1-decimal average)."""
+    d = table(spark, sf_dir, "documents").select("lang", "n_chars").withColumn("language_lower", F.lower("lang"))
+    dist = stats.category_stats(d, "language_lower", "n_chars")
+    return serving.serve_languages(dist)
+
+
+@register(
+    "serving_summary",
+    sql="""WITH c AS (SELECT lang, count(*) AS n FROM documents GROUP BY lang)
+           SELECT CAST(sum(n) AS BIGINT) AS total_entities,
+                  (SELECT max(n_chars) FROM documents) AS highest_measure,
+                  (SELECT lang FROM c ORDER BY n DESC, lang LIMIT 1) AS top_category,
+                  count(*) AS total_categories, CAST(0 AS BIGINT) AS total_articles FROM c""",
+)
+def serving_summary(spark, sf_dir):
+    """AG7 (Gold variant) over a category table and a top-10 list."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+    dist = stats.distribution(d, "lang", drop_null=False)
+    top = d.orderBy(F.desc("n_chars"), F.asc("doc_id")).limit(10)
+    return serving.serve_summary(dist, top, "lang", "count", "n_chars")
+
+
+def _observation_records(spark, sf_dir):
+    """Stand-in observations: events (entity, time, type) joined with documents
+    (description, category, measure) on id."""
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars")
+    j = ev.join(d, ev.event_id == d.doc_id)
+    iso = F.date_format("ts", ISO)
+    return j.select(
+        F.concat(F.lit("user/"), F.col("user_id").cast("string")).alias("full_name"),
+        F.col("text").alias("description"),
+        F.col("lang").alias("language"),
+        F.col("n_chars").cast("string").alias("stargazers_count"),
+        F.array(F.col("event_type")).alias("topics"),
+        F.concat(F.lit("/user/"), F.col("user_id").cast("string")).alias("html_url"),
+        iso.alias("timestamp"),
+        iso.alias("updated_at"),
+        F.when(F.col("event_type").isin("click", "view"), "api").otherwise("rss").alias("_src"),
+    )
+
+
+_OBS_SQL = """
+    j AS (SELECT e.event_id, e.ts, e.user_id, e.event_type, d.text, d.lang, d.n_chars,
+                 CASE WHEN e.event_type IN ('click', 'view') THEN 'api' ELSE 'rss' END AS src
+          FROM events e JOIN documents d ON e.event_id = d.doc_id),
+    cur AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, src DESC) AS rn FROM j)
+            WHERE rn = 1)"""
+
+_STOP_SQL = ", ".join(f"'{w}'" for w in TOPIC_STOPWORDS)
+
+
+@register(
+    "medallion_run",
+    sql=f"""WITH {_OBS_SQL},
+            w AS (SELECT DISTINCT word, src FROM (
+                    SELECT src, unnest(string_split(lower(regexp_replace(text, '[^a-zA-Z0-9 ]', '', 'g')), ' ')) AS word FROM cur)
+                  WHERE regexp_matches(word, '^[a-z]{{4,}}') AND word NOT IN ({_STOP_SQL}))
+            SELECT 'bronze_api' AS "table", count(*) FILTER (WHERE src = 'api') AS rows FROM j
+            UNION ALL SELECT 'bronze_rss', count(*) FILTER (WHERE src = 'rss') FROM j
+            UNION ALL SELECT 'silver_observations', count(*) FROM j
+            UNION ALL SELECT 'silver_current', count(*) FROM cur
+            UNION ALL SELECT 'gold_language_dist', count(DISTINCT lower(lang)) FROM cur
+            UNION ALL SELECT 'gold_top_repos', least(count(*), 10) FROM cur
+            UNION ALL SELECT 'gold_star_velocity', count(*) FROM (SELECT user_id FROM j GROUP BY user_id HAVING count(*) > 1)
+            UNION ALL SELECT 'gold_emerging_topics', count(*) FROM w""",
+)
+def medallion_run(spark, sf_dir):
+    """PL1 + SNK8: land two sources as JSON, run Bronze -> Silver -> Gold, count every layer."""
+    rec = _observation_records(spark, sf_dir)
+    root = scratch_path(spark, "medallion")
+    api = rec.filter(F.col("_src") == "api").drop("_src", "updated_at")
+    rss = rec.filter(F.col("_src") == "rss").drop("_src", "topics").withColumn("source", F.lit("trending"))
+    writers.overwrite_json(api, f"{root}/landing/api")
+    writers.overwrite_json(rss, f"{root}/landing/rss")
+    status = medallion.run(spark, {"api": f"{root}/landing/api", "rss": f"{root}/landing/rss"}, root, multiline=False)
+    failed = status.filter(F.col("status") != "OK").collect()
+    if failed:
+        raise RuntimeError(f"medallion run failed: {failed}")
+    return writers.layer_counts(medallion.tables(spark, root))
+
+
+@register(
+    "analysis_cycle_summary",
+    sql=f"""WITH {_OBS_SQL},
+            a AS (SELECT * FROM cur)
+            SELECT count(*) AS total_entities, max(n_chars) AS highest_measure,
+                   (SELECT lang FROM (SELECT lang, count(*) AS n FROM a WHERE lang IS NOT NULL GROUP BY lang) ORDER BY n DESC, lang LIMIT 1) AS top_category,
+                   count(DISTINCT lang) AS total_categories,
+                   least((SELECT count(*) FROM j WHERE src = 'rss'), 10) AS total_articles
+            FROM a""",
+)
+def analysis_cycle_summary(spark, sf_dir):
+    """PL3: the one-row summary of a generation-1 analysis cycle (api = all sources
+    de-duplicated per entity; articles = newest-10 list of the rss rows)."""
+    rec = _observation_records(spark, sf_dir)
+    rss = rec.filter(F.col("_src") == "rss")
+    out = medallion.clean_cycle(rec.drop("_src"), rss)
+    return out["summary"]
