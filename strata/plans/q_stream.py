@@ -1 +1,124 @@
-"""Catalog entries (filled in as operators land)."""
+"""Catalog entries: Structured Streaming jobs run to completion (SM1-SM7).
+
+Each query streams the ``events`` table through a file source
+(``trigger(availableNow=True)``) into sinks and state under a fresh folder of
+the shared checkpoint dir, then returns a batch read of the final state, which
+is compared with the batch SQL of the same result.
+"""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import functions as F
+
+from strata.operators import clean, snapshots
+from strata.plans.catalog import register
+from strata.plans.q_joins import _range_sql
+from strata.session import scratch_path
+from strata.streaming import jobs
+from strata.sources.tables import table
+
+
+def _events_stream(spark, sf_dir, max_files=None, path=None):
+    schema = table(spark, sf_dir, "events").schema
+    # A glob keeps the source a directory scan over exactly this table's files.
+    src = path or os.path.join(sf_dir.rstrip("/"), "event[s].parquet")
+    return jobs.file_stream(spark, src, schema, max_files=max_files)
+
+
+@register(
+    "stream_ingest",
+    sql="SELECT event_id, ts, user_id, event_type, value, props, 'events' AS _source FROM events",
+)
+def stream_ingest(spark, sf_dir):
+    """SM1 / SNK2: checkpointed append of every record with ingest metadata."""
+    root = scratch_path(spark, "stream-ingest")
+    jobs.ingest(_events_stream(spark, sf_dir), "events", f"{root}/sink", f"{root}/_checkpoint")
+    return spark.read.parquet(f"{root}/sink").drop("_ingested_at")
+
+
+@register(
+    "stream_live30",
+    sql="SELECT event_id, ts, user_id, event_type, value FROM events ORDER BY ts DESC, event_id DESC LIMIT 30",
+)
+def stream_live30(spark, sf_dir):
+    """SM2 / SNK3: the newest 30 records, maintained batch by batch."""
+    root = scratch_path(spark, "stream-live")
+    st = _events_stream(spark, sf_dir).select("event_id", "ts", "user_id", "event_type", "value")
+    jobs.live_latest(st, f"{root}/live", f"{root}/_checkpoint", [F.desc("ts"), F.desc("event_id")], n=30)
+    return snapshots.read_latest(spark, f"{root}/live")
+
+
+@register(
+    "stream_dedup",
+    sql="SELECT event_id, ts, user_id, event_type, value FROM events",
+)
+def stream_dedup(spark, sf_dir):
+    """SM4: the same records polled twice (two landed copies), de-duplicated on
+    the record id within a 1-hour watermark."""
+    root = scratch_path(spark, "stream-dedup")
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    for poll in ("poll1", "poll2"):
+        ev.write.parquet(f"{root}/landing/{poll}")
+    st = jobs.file_stream(spark, f"{root}/landing/*", ev.schema)
+    st = st.withColumn("event_ts", F.col("ts").cast("timestamp"))
+    jobs.dedup(st, ["event_id"], "event_ts", "1 hour", f"{root}/sink", f"{root}/_checkpoint")
+    return spark.read.parquet(f"{root}/sink").drop("event_ts")
+
+
+@register(
+    "stream_hourly",
+    sql="""SELECT date_trunc('hour', ts) AS period, event_type AS term, count(*) AS count
+           FROM events GROUP BY ALL""",
+)
+def stream_hourly(spark, sf_dir):
+    """SM5 / SM3: hourly counts per type on the stream (watermark, complete mode)."""
+    root = scratch_path(spark, "stream-hourly")
+    st = _events_stream(spark, sf_dir).select(F.col("ts").cast("timestamp").alias("event_ts"), "event_type")
+    jobs.windowed_counts(st, "event_ts", ["event_type"], "1 hour", "2 hours", f"{root}/counts", f"{root}/_checkpoint")
+    out = snapshots.read_latest(spark, f"{root}/counts")
+    return out.select(
+        F.col("window.start").cast("timestamp_ntz").alias("period"), F.col("event_type").alias("term"), "count"
+    )
+
+
+@register(
+    "stream_velocity",
+    sql="""WITH p AS (SELECT user_id, value, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev_value FROM events)
+           SELECT user_id, max(value) AS current_value, round(sum(value - prev_value), 6) AS total_gain,
+                  round(avg(value - prev_value), 6) AS avg_gain, count(*) AS observation_count
+           FROM p WHERE prev_value IS NOT NULL GROUP BY user_id""",
+)
+def stream_velocity(spark, sf_dir):
+    """SM6: velocity over four micro-batches (``foreachBatch`` + carried last rows)."""
+    root = scratch_path(spark, "stream-velocity")
+    ev = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "value")
+    ev.repartitionByRange(4, "ts").write.parquet(f"{root}/landing")
+    st = jobs.file_stream(spark, f"{root}/landing", ev.schema, max_files=1)
+    jobs.velocity_stream(st, "user_id", "ts", "event_id", "value", f"{root}/state", f"{root}/_checkpoint")
+    g = jobs.read_gains(spark, f"{root}/state", "user_id", "ts", "event_id").filter(F.col("prev_value").isNotNull())
+    return g.groupBy("user_id").agg(
+        F.max("value").alias("current_value"),
+        F.round(F.sum("gain"), 6).alias("total_gain"),
+        F.round(F.avg("gain"), 6).alias("avg_gain"),
+        F.count(F.lit(1)).alias("observation_count"),
+    )
+
+
+@register(
+    "stream_near",
+    sql=_range_sql("event_type = 'error'", "event_type = 'click'", 3600, 3600, name="near_count"),
+)
+def stream_near(spark, sf_dir):
+    """SM7: stream-stream proximity join (bucket key + exact range), counted per anchor."""
+    root = scratch_path(spark, "stream-near")
+    base = _events_stream(spark, sf_dir).withColumn("event_ts", F.col("ts").cast("timestamp"))
+    anchors = base.filter(F.col("event_type") == "error").select(F.col("event_id").alias("a_id"), F.col("event_ts").alias("a_ts"))
+    events = base.filter(F.col("event_type") == "click").select(F.col("event_id").alias("e_id"), F.col("event_ts").alias("e_ts"))
+    jobs.near_join(anchors, events, "a_ts", "e_ts", 3600, "2 hours", f"{root}/pairs", f"{root}/_checkpoint")
+    pairs = spark.read.parquet(f"{root}/pairs")
+    counts = pairs.groupBy("a_id").agg(F.count(F.lit(1)).alias("near_count"))
+    a = table(spark, sf_dir, "events").filter(F.col("event_type") == "error").select("event_id", "ts")
+    out = a.join(counts, a.event_id == counts.a_id, "left")
+    return out.select("event_id", "ts", F.coalesce(F.col("near_count"), F.lit(0)).cast("long").alias("near_count"))
