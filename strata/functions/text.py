@@ -23,6 +23,11 @@ SHORT_TEXT_CHARS = 80
 EMPTY_TEXT_MARK = "—"
 # -------------------------------------------------------------------------------
 
+# Same character set as COMPAT_CLEAN_PATTERN in Java regex (``\p{Alnum}`` is the
+# US-ASCII class [a-zA-Z0-9] unless UNICODE_CHARACTER_CLASS is set), deleting a
+# whole run per match; several times faster than the range form on long texts.
+_COMPAT_CLEAN_RUNS = r"[^\p{Alnum} ]+"
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -35,7 +40,7 @@ def tokens_space(text) -> Column:
 
 def tokens_compat(text) -> Column:
     """Delete every char outside ``[a-zA-Z0-9 ]``, lower-case, split on spaces."""
-    return F.split(F.lower(F.regexp_replace(_c(text), COMPAT_CLEAN_PATTERN, "")), " ")
+    return F.split(F.lower(F.regexp_replace(_c(text), _COMPAT_CLEAN_RUNS, "")), " ")
 
 
 def tokens_safe(text) -> Column:

@@ -55,9 +55,24 @@ def history(spark: SparkSession, path: str) -> DataFrame:
         raise
 
 
+# Commit lists already read or written by this session (single-writer tables):
+# saves one metadata job per call. Other sessions always read the history.
+_KNOWN: dict[tuple[str, str], list] = {}
+
+
+def _key(spark: SparkSession, path: str) -> tuple[str, str]:
+    return spark.sparkContext.applicationId, path.rstrip("/")
+
+
 def _commits(spark: SparkSession, path: str) -> list:
-    # Bounded metadata: one small row per commit.
-    return sorted(history(spark, path).collect(), key=lambda r: r["version"])
+    k = _key(spark, path)
+    if k not in _KNOWN:
+        # Bounded metadata: one small row per commit.
+        rows = sorted(history(spark, path).collect(), key=lambda r: r["version"])
+        if not rows:
+            return []
+        _KNOWN[k] = [r.asDict() for r in rows]
+    return _KNOWN[k]
 
 
 def latest_version(spark: SparkSession, path: str) -> int | None:
@@ -85,12 +100,14 @@ def read_latest(spark: SparkSession, path: str) -> DataFrame:
 def _write_history(spark: SparkSession, path: str, version: int, operation: str, parts: list[int],
                    batch_id: str | None) -> None:
     row = {"version": version, "operation": operation, "parts": parts, "batch_id": batch_id}
+    known = list(_commits(spark, path))  # before the new row exists on storage
     df = spark.createDataFrame([json.dumps(row)], "string").select(
         F.from_json("value", HISTORY_SCHEMA).alias("h")
     ).select("h.*").withColumn("timestamp", F.current_timestamp())
     df.select(*HISTORY_SCHEMA.fieldNames()).coalesce(1).write.mode("errorifexists").json(
         os.path.join(_hist_dir(path), f"v{version:010d}")
     )
+    _KNOWN[_key(spark, path)] = known + [row]
 
 
 def commit(df: DataFrame, path: str, mode: str = "overwrite", operation: str | None = None,

@@ -45,8 +45,12 @@ def topic_frequency(
     words = (
         df.filter(F.col(text).isNotNull())
         .select(*by, F.explode(tokenizer(text)).alias("word"))
-        .filter(F.col("word").rlike(pattern))
     )
+    if pattern == TOPIC_WORD_PATTERN:
+        # Same rows: the pattern needs four characters; the cheap test runs first.
+        words = words.filter((F.length("word") >= 4) & F.col("word").rlike(pattern))
+    else:
+        words = words.filter(F.col("word").rlike(pattern))
     if stopwords:
         words = words.filter(~F.col("word").isin(list(stopwords)))
     return words.groupBy("word", *by).agg(F.count(F.lit(1)).alias(alias))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import joins
 from strata.plans.catalog import register
-from strata.sources.tables import table
+from strata.sources.tables import spread, table
 
 
 def _events(spark, sf_dir):
@@ -124,7 +124,7 @@ def mentions_vs_measure(spark, sf_dir):
 
 
 def _mentions(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("source", "text", "n_chars")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text", "n_chars"), "doc_id")
     vocab = joins.vocabulary(table(spark, sf_dir, "benchmark").select("text"), "text")
     m = joins.term_mentions(docs, "text", "source", vocab, "term")
     s = docs.groupBy("source").agg(F.avg("n_chars").alias("avg_n_chars"))
@@ -139,7 +139,7 @@ def _mentions(spark, sf_dir):
 )
 def mention_correlation(spark, sf_dir):
     """JN5: correlation of mentions and the mean measure over groups lacking neither."""
-    docs = table(spark, sf_dir, "documents").select("source", "text", "n_chars")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text", "n_chars"), "doc_id")
     vocab = joins.vocabulary(table(spark, sf_dir, "benchmark").select("text"), "text")
     m = joins.term_mentions(docs, "text", "source", vocab, "term")
     s = docs.groupBy("source").agg(F.avg("n_chars").alias("avg_n_chars"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from strata.functions.text import TOPIC_STOPWORDS
 from strata.operators import terms
 from strata.plans.catalog import register
-from strata.sources.tables import table
+from strata.sources.tables import spread, table
 
 _STOP_SQL = ", ".join(f"'{w}'" for w in TOPIC_STOPWORDS)
 
@@ -20,7 +20,7 @@ _TOPIC_WORDS_SQL = f"""
 
 
 def _topic_frequency(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("text", "source")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), "doc_id")
     return terms.topic_frequency(docs, "text", by=["source"])
 
 
@@ -53,7 +53,7 @@ def topics_top15(spark, sf_dir):
     """,
 )
 def word_frequency_top15(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     freq = terms.word_frequency(docs, "text")
     return terms.top_n(freq, 15, [F.desc("count"), F.asc("word")])
 

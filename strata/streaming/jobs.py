@@ -141,10 +141,11 @@ def velocity_stream(stream: DataFrame, key: str, ts: str, tie: str, measure: str
             on_time = rows.join(late, key, "left_anti")
             carried = last.join(on_time.select(key).distinct(), key, "left_semi").withColumn("_carried", F.lit(True))
             u = on_time.withColumn("_carried", F.lit(False)).unionByName(carried)
-            g1 = ordered_scan(u, [key], [ts, tie], lags={"prev_value": (measure, 1)}).filter(~F.col("_carried"))
-            full = snapshots.read_latest(spark, hist).join(late, key, "left_semi")
-            g2 = ordered_scan(full, [key], [ts, tie], lags={"prev_value": (measure, 1)})
-            g = g1.drop("_carried").unionByName(g2)
+            g = ordered_scan(u, [key], [ts, tie], lags={"prev_value": (measure, 1)}).filter(~F.col("_carried"))
+            g = g.drop("_carried")
+            if not late.isEmpty():
+                full = snapshots.read_latest(spark, hist).join(late, key, "left_semi")
+                g = g.unionByName(ordered_scan(full, [key], [ts, tie], lags={"prev_value": (measure, 1)}))
             merged = last.unionByName(rows)
         else:
             g = ordered_scan(rows, [key], [ts, tie], lags={"prev_value": (measure, 1)})

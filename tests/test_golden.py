@@ -190,3 +190,17 @@ def test_html_repo_items(spark):
     assert [r["full_name"] for r in rows] == ["o/r1", "o/r2"]
     assert rows[0]["stargazers_count"] == 1234 and rows[0]["language"] == "Rust"
     assert rows[1]["description"] == "" and rows[1]["language"] == "Unknown" and rows[1]["stargazers_count"] == 0
+
+
+def test_first_available_falls_back(spark):
+    """PRJ16: Gold when any table has rows, else the Clean result."""
+    from strata.operators.serving import first_available
+
+    empty = spark.createDataFrame([], "word string")
+    clean_ = spark.createDataFrame([("x",)], "word string")
+
+    def broken():
+        raise FileNotFoundError("no gold yet")
+
+    assert first_available([broken, lambda: empty, lambda: clean_]).collect()[0]["word"] == "x"
+    assert first_available([lambda: empty]) is None
