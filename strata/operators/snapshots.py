@@ -124,7 +124,9 @@ def commit(df: DataFrame, path: str, mode: str = "overwrite", operation: str | N
             if r["batch_id"] == batch_id:
                 return r["version"]
     n = commits[-1]["version"] + 1 if commits else 0
-    df.write.mode("errorifexists").parquet(_part_dir(path, n))
+    # A folder for version n without a history row is an orphan of a failed
+    # commit (single writer): it is invisible and safe to replace.
+    df.write.mode("overwrite").parquet(_part_dir(path, n))
     if mode == "append" and commits:
         parts = list(commits[-1]["parts"]) + [n]
     elif mode in ("append", "overwrite"):

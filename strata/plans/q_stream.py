@@ -73,11 +73,11 @@ def stream_dedup(spark, sf_dir):
            FROM events GROUP BY ALL""",
 )
 def stream_hourly(spark, sf_dir):
-    """SM5 / SM3: hourly counts per type on the stream (watermark, complete mode)."""
+    """SM5 / SM3: hourly counts per type on the stream (watermark, update mode + upsert)."""
     root = scratch_path(spark, "stream-hourly")
     st = _events_stream(spark, sf_dir).select(F.col("ts").cast("timestamp").alias("event_ts"), "event_type")
     jobs.windowed_counts(st, "event_ts", ["event_type"], "1 hour", "2 hours", f"{root}/counts", f"{root}/_checkpoint")
-    out = snapshots.read_latest(spark, f"{root}/counts")
+    out = jobs.read_windowed_counts(spark, f"{root}/counts", ["event_type"])
     return out.select(
         F.col("window.start").cast("timestamp_ntz").alias("period"), F.col("event_type").alias("term"), "count"
     )

@@ -21,8 +21,9 @@ _DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Streaming state must survive executor loss: keep it in the checkpoint dir.
     "spark.sql.streaming.stateStore.stateSchemaCheck": "true",
+    # Remove RDD checkpoint files (ordered-scan slices) once nothing references them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

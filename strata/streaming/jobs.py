@@ -99,18 +99,27 @@ def windowed_counts(stream: DataFrame, ts: str, by: Sequence[str], width: str, d
                     checkpoint: str, available_now: bool = True):
     """SM5 / SM3: counts per event-time window and key.
 
-    Complete mode (the open last window is included); each batch's full result
-    is committed as the table's next version.
+    Update mode: each batch emits the windows it changed (including the still
+    open last window) and the watermark evicts finished windows from the state,
+    so state stays bounded however long the stream runs (complete mode would
+    keep every window forever). Emitted rows are appended with their batch id;
+    ``read_windowed_counts`` keeps the newest count per window and key.
     """
     agg = stream.withWatermark(ts, delay).groupBy(F.window(ts, width), *by).agg(F.count(F.lit(1)).alias("count"))
 
     def step(batch: DataFrame, epoch: int) -> None:
-        snapshots.commit(batch, table, "overwrite", batch_id=f"epoch-{epoch}")
+        snapshots.commit(batch.withColumn("_batch", F.lit(epoch)), table, "append", batch_id=f"epoch-{epoch}")
 
-    w = agg.writeStream.outputMode("complete").foreachBatch(step).option("checkpointLocation", checkpoint)
+    w = agg.writeStream.outputMode("update").foreachBatch(step).option("checkpointLocation", checkpoint)
     return _run(w, available_now)
 
 
+def read_windowed_counts(spark: SparkSession, table: str, by: Sequence[str]) -> DataFrame:
+    """The newest count of every (window, key) emitted so far."""
+    rows = snapshots.read_latest(spark, table)
+    return clean.latest_per_key(rows, ["window", *by], ["_batch"]).drop("_batch")
+
+
 def velocity_stream(stream: DataFrame, key: str, ts: str, tie: str, measure: str, root: str, checkpoint: str,
                     available_now: bool = True):
     """SM6: per-observation gains on a stream (``lag`` is refused by the streaming planner).
