@@ -50,9 +50,19 @@ def ordered_scan(
     lags: Mapping[str, tuple[Column | str, int]] | None = None,
     running: Mapping[str, Column | str] | None = None,
     num_partitions: int | None = None,
+    strategy: str = "auto",
 ) -> DataFrame:
     """Add ``lags`` and ``running`` columns computed per key in ``order``.
 
+    ``strategy="auto"`` splits hot groups: rows per key are counted first (a
+    partial aggregation); keys holding more than ``1/P`` of all rows (fewer
+    than ``P`` keys by construction, so the list has a proven bound and is
+    broadcast) go through the range-sliced scan, every other key through a
+    plain ``Window.partitionBy(key)``, where no key can exceed one task's fair
+    share. Without hot keys no slicing, checkpoint or boundary repair runs.
+    ``"slices"`` always slices; ``"window"`` never does (only for inputs known
+    to be free of hot keys).
+
     ``order`` must make rows unique within a key (add an id as last column).
     ``lags``: name -> (column, k); the result is that column's value ``k`` rows
     earlier in the key, null when there is no such row.
@@ -62,6 +72,25 @@ def ordered_scan(
     """
     lags = dict(lags or {})
     running = dict(running or {})
+    if strategy not in ("auto", "slices", "window"):
+        raise ValueError(strategy)
+    if strategy == "window" and keys:
+        return _window_scan(df, list(keys), list(order), lags, running)
+    if strategy == "auto" and keys:
+        n = _num_partitions(df, num_partitions)
+        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_sq_n"))
+        total = counts.select(F.sum("_sq_n")).scalar()
+        hot = counts.filter(F.col("_sq_n") * n > total).select(*keys).collect()  # < n rows
+        if not hot:
+            return _window_scan(df, list(keys), list(order), lags, running)
+        spark = df.sparkSession
+        hot_df = spark.createDataFrame(hot, df.select(*keys).schema).toDF(*[f"_sq_h{i}" for i in range(len(keys))])
+        cond = reduce(lambda a, c: a & c, [F.col(k).eqNullSafe(F.col(f"_sq_h{i}")) for i, k in enumerate(keys)])
+        cold = df.join(F.broadcast(hot_df), cond, "left_anti")
+        warm = df.join(F.broadcast(hot_df), cond, "left_semi")
+        return _window_scan(cold, list(keys), list(order), lags, running).unionByName(
+            ordered_scan(warm, keys, order, lags, running, num_partitions, strategy="slices")
+        )
     if not keys:
         df = df.withColumn(KEY, F.lit(0))
         keys = [KEY]
@@ -165,6 +194,18 @@ def ordered_scan(
     return out.drop(*helper)
 
 
+def _window_scan(df: DataFrame, keys: list[str], order: list[str], lags: dict, running: dict) -> DataFrame:
+    """Plain per-key windows (for inputs without hot keys); same output contract."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    cum = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = df
+    for name, (c, k) in lags.items():
+        out = out.withColumn(name, F.lag(F.col(c) if isinstance(c, str) else c, k).over(w))
+    for name, c in running.items():
+        out = out.withColumn(name, F.coalesce(F.sum(F.col(c) if isinstance(c, str) else c).over(cum), F.lit(0)))
+    return out
+
+
 def lag_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, offsets=(1,),
              prefix: str = "prev", num_partitions: int | None = None) -> DataFrame:
     """Convenience: ``{prefix}{k}`` = ``value`` k rows earlier within the key."""

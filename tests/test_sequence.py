@@ -25,16 +25,19 @@ def _expected(df, keys, measure):
 
 
 @pytest.mark.parametrize("parts", [1, 3, 8, 37])
-@pytest.mark.parametrize("skewed", [False, True])
-def test_scan_equals_window(spark, parts, skewed):
+@pytest.mark.parametrize("skew", ["none", "all", "half"])
+@pytest.mark.parametrize("strategy", ["auto", "slices"])
+def test_scan_equals_window(spark, parts, skew, strategy):
     df = _events(spark)
-    if skewed:  # one key holds every row: the window would be a single task
+    if skew == "all":  # one key holds every row: the window would be a single task
         df = df.withColumn("user_id", F.lit(7).cast("long"))
+    elif skew == "half":  # one hot key next to many ordinary ones
+        df = df.withColumn("user_id", F.when(F.col("event_id") % 2 == 0, F.lit(7).cast("long")).otherwise(F.col("user_id")))
     got = ordered_scan(
         df, ["user_id"], ["ts", "event_id"],
         lags={"p1": ("value", 1), "p3": ("value", 3)},
         running={"c": (F.col("value") > 100).cast("int")},
-        num_partitions=parts,
+        num_partitions=parts, strategy=strategy,
     ).select("event_id", "p1", "p3", "c")
     exp = _expected(df, ["user_id"], "value")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exp.collect()))
