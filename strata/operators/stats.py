@@ -165,6 +165,6 @@ def return_volatility(df: DataFrame, key: str, ts: str, tie: str, measure: str)
 
 def mean_per_period(df: DataFrame, ts: str, measure: str, period: str = "month") -> DataFrame:
     """AG19: mean measure per truncated period."""
-    return df.groupBy(F.date_trunc(period, F.col(ts)).alias("period")).agg(
+    return df.groupBy(F.date_trunc(period, F.col(ts)).cast("timestamp_ntz").alias("period")).agg(
         F.avg(measure).alias("mean_value"), F.count(F.lit(1)).alias("observations")
     )

@@ -69,8 +69,9 @@ def top_terms_over_groups(freq: DataFrame, n: int = 15, value: str = "frequency"
 
 def terms_per_period(df: DataFrame, ts: str, term: str, period: str = "hour") -> DataFrame:
     """AG21: term counts per truncated period."""
+    # date_trunc returns a session-zone timestamp; back to wall-clock ntz.
     return df.groupBy(
-        F.date_trunc(period, F.col(ts)).alias("period"), F.col(term).alias("term")
+        F.date_trunc(period, F.col(ts)).cast("timestamp_ntz").alias("period"), F.col(term).alias("term")
     ).agg(F.count(F.lit(1)).alias("count"))
 
 

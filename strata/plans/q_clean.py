@@ -111,7 +111,7 @@ _UNESC = "replace(replace(replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'
     "html_links",
     sql="""WITH p AS (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)">', 1) AS h,
                              regexp_extract_all(html, '<a href="[^"]*">([^<]*)</a>', 1) AS t FROM pages)
-           SELECT page_id, i AS position, h[i] AS href, t[i] AS anchor_text
+           SELECT page_id, CAST(i AS INTEGER) AS position, h[i] AS href, t[i] AS anchor_text
            FROM (SELECT *, unnest(range(1, len(h) + 1)) AS i FROM p)""",
 )
 def html_links(spark, sf_dir):
@@ -161,7 +161,7 @@ def search_page_records(spark, sf_dir):
 @register(
     "message_key_value",
     sql="""SELECT md5(source || '/' || CAST(doc_id AS VARCHAR)) AS key,
-                  to_json({'doc_id': doc_id, 'lang': lang, 'source': source, 'n_chars': n_chars}) AS value
+                  CAST(to_json({'doc_id': doc_id, 'lang': lang, 'source': source, 'n_chars': n_chars}) AS VARCHAR) AS value
            FROM documents""",
 )
 def message_key_value(spark, sf_dir):

@@ -247,7 +247,7 @@ def dedup_effect(spark, sf_dir):
 @register(
     "summary_row",
     sql="""WITH c AS (SELECT lang, count(*) AS n, max(n_chars) AS mx FROM documents GROUP BY lang)
-           SELECT sum(n) AS total_entities, max(mx) AS highest_measure,
+           SELECT CAST(sum(n) AS BIGINT) AS total_entities, max(mx) AS highest_measure,
                   (SELECT lang FROM c WHERE lang IS NOT NULL ORDER BY n DESC, lang LIMIT 1) AS top_category,
                   count(lang) AS total_categories,
                   least((SELECT count(*) FROM conversations), 10) AS total_articles
