@@ -61,7 +61,7 @@ _KNOWN: dict[tuple[str, str], list] = {}
 
 
 def _key(spark: SparkSession, path: str) -> tuple[str, str]:
-    return spark.sparkContext.applicationId, path.rstrip("/")
+    return spark.conf.get("spark.app.id", "app"), path.rstrip("/")
 
 
 def _commits(spark: SparkSession, path: str) -> list:

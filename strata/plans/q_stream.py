@@ -12,7 +12,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from strata.operators import clean, snapshots
+from strata.operators import snapshots
 from strata.plans.catalog import register
 from strata.plans.q_joins import _range_sql
 from strata.session import scratch_path

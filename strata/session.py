@@ -50,7 +50,11 @@ def get_spark(
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint dir, setting a local one only if unset."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext; the server owns the setting
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        return configured or tempfile.mkdtemp(prefix="strata-ckpt-")
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -2,9 +2,7 @@
 
 import json
 import os
-import tempfile
 
-import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
