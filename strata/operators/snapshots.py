@@ -89,6 +89,16 @@ def read_as_of(spark: SparkSession, path: str, version: int) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(*dirs)
 
 
+def commits(spark: SparkSession, path: str) -> list[dict]:
+    """Commit metadata (version, operation, parts, batch_id), oldest first."""
+    return [dict(r) for r in _commits(spark, path)]
+
+
+def read_parts(spark: SparkSession, path: str, parts: list[int]) -> DataFrame:
+    """Only the given data parts of a table (e.g. the parts appended since a run)."""
+    return spark.read.option("mergeSchema", True).parquet(*[_part_dir(path, p) for p in parts])
+
+
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
     """SRC4: the newest committed version."""
     v = latest_version(spark, path)

@@ -3,8 +3,9 @@
 * Bronze: each landing directory that exists is scanned (declared schema), tagged
   with ``_ingested_at`` / ``_source`` and appended as a snapshot version,
   idempotently per ``batch_id``. A missing source is skipped, not fatal.
-* Silver: the newest Bronze of every source present, unioned by name, cleaned
-  into ``observations`` (history) and ``current`` (latest per entity).
+* Silver: the Bronze parts not yet consumed, of every source present, unioned by
+  name, cleaned and appended to ``observations`` (history); ``current`` (latest
+  per entity) is refreshed from its previous version plus the new rows.
 * Gold: category stats and top-10 on ``current``; velocity on the
   *observations* (it needs several observations per entity); topic frequency
   on ``current`` descriptions per source; recently emerged topics.
@@ -16,6 +17,7 @@ unless ``continue_on_failure``. The run log is itself a snapshot table.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,18 +44,50 @@ def bronze(spark: SparkSession, landing: dict[str, str], root: str, batch_id: st
     return done
 
 
-def silver(spark: SparkSession, root: str, sources=("api", "rss")) -> None:
-    frames = []
+def silver(spark: SparkSession, root: str, sources=("api", "rss"), incremental: bool = True) -> None:
+    """Clean new Bronze rows into Silver.
+
+    Each Silver commit records, in its ``batch_id``, the Bronze parts it has
+    consumed. With ``incremental`` only parts appended since then are cleaned;
+    rows already in the history (same entity, event time and source) are
+    anti-joined away and the rest appended, and ``current`` is refreshed from the
+    previous ``current`` plus the new rows (entity-sized, not history-sized). A
+    Bronze that was overwritten (consumed parts no longer listed) triggers a full
+    rebuild.
+    """
+    obs_path, cur_path = _p(root, "silver_observations"), _p(root, "silver_current")
+    latest_parts = {}
     for s in sources:
-        if snapshots.latest_version(spark, _p(root, f"bronze_{s}")) is not None:
-            frames.append(snapshots.read_latest(spark, _p(root, f"bronze_{s}")).drop("_corrupt_record"))
-    unioned = clean.union_sources(frames)
-    if unioned is None:
+        c = snapshots.commits(spark, _p(root, f"bronze_{s}"))
+        if c:
+            latest_parts[f"bronze_{s}"] = list(c[-1]["parts"])
+    if not latest_parts:
         raise RuntimeError("no Bronze source available")
-    obs = clean.dedup_observations(clean.silver_observations(unioned))
-    snapshots.commit(obs, _p(root, "silver_observations"))
-    obs = snapshots.read_latest(spark, _p(root, "silver_observations"))
-    snapshots.commit(clean.current_state(obs), _p(root, "silver_current"))
+    prev = snapshots.commits(spark, obs_path)
+    consumed = json.loads(prev[-1]["batch_id"]) if prev and prev[-1].get("batch_id") else None
+    full = (
+        not incremental
+        or consumed is None
+        or any(not set(consumed.get(t, [])) <= set(p) for t, p in latest_parts.items())
+    )
+    new_parts = {t: (p if full else [x for x in p if x not in set(consumed.get(t, []))]) for t, p in latest_parts.items()}
+    frames = [snapshots.read_parts(spark, _p(root, t), p).drop("_corrupt_record") for t, p in new_parts.items() if p]
+    if not frames and not full:
+        return  # nothing new since the last run
+    batch = json.dumps(latest_parts, sort_keys=True)
+    fresh = clean.dedup_observations(clean.silver_observations(clean.union_sources(frames)))
+    if full:
+        snapshots.commit(fresh, obs_path, "overwrite", batch_id=batch)
+        obs = snapshots.read_latest(spark, obs_path)
+        snapshots.commit(clean.current_state(obs), cur_path)
+        return
+    keys = ["full_name", "event_time", "_source"]
+    known = snapshots.read_latest(spark, obs_path).select(*keys)
+    added = fresh.join(known, keys, "left_anti")
+    snapshots.commit(added, obs_path, "append", batch_id=batch)
+    new_rows = snapshots.read_parts(spark, obs_path, [snapshots.latest_version(spark, obs_path)])
+    cur = snapshots.read_latest(spark, cur_path).unionByName(new_rows.select(*snapshots.read_latest(spark, cur_path).columns))
+    snapshots.commit(clean.current_state(cur), cur_path)
 
 
 def gold_tables(obs: DataFrame, cur: DataFrame) -> dict[str, DataFrame]:

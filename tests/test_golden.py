@@ -202,3 +202,37 @@ def test_first_available_falls_back(spark):
 
     assert first_available([broken, lambda: empty, lambda: clean_]).collect()[0]["word"] == "x"
     assert first_available([lambda: empty]) is None
+
+
+def test_failed_stage_stops_dependents(spark, tmp_path):
+    """stage results are values; a failed stage skips the stages after it."""
+    root = str(tmp_path / "lake")
+    res = {r["stage"]: (r["status"], r["error"]) for r in medallion.run(spark, {}, root).collect()}
+    assert res["bronze"][0] == "OK" and res["silver"][0] == "FAILED" and res["gold"] == ("SKIPPED", None)
+    assert "no Bronze source" in res["silver"][1]
+    res2 = {r["stage"]: r["status"] for r in medallion.run(spark, {}, root, continue_on_failure=True).collect()}
+    assert res2["gold"] == "FAILED"
+    assert len(snapshots.history(spark, f"{root}/run_log").collect()) == 2
+
+
+def test_incremental_silver_equals_full(spark, tmp_path):
+    """Two landing rounds (the second repeats a file): incremental Silver equals a full rebuild."""
+    d = str(tmp_path / "landing" / "api")
+    _write(d, "p1.json", [_api("o/a", "5", "2024-01-01T10:00:00"), _api("o/b", "2", "2024-01-01T10:00:00")])
+    root = str(tmp_path / "lake")
+    medallion.run(spark, {"api": d}, root, batch_id="r1")
+    _write(d, "p2.json", [_api("o/a", "9", "2024-01-01T11:00:00"), _api("o/c", "1", "2024-01-01T12:00:00")])
+    medallion.run(spark, {"api": d}, root, batch_id="r2")  # re-reads p1 too: duplicates must vanish
+    t = medallion.tables(spark, root)
+    obs = sorted((r["full_name"], r["stargazers_count"]) for r in t["silver_observations"].collect())
+    assert obs == [("o/a", 5), ("o/a", 9), ("o/b", 2), ("o/c", 1)]
+    cur = sorted((r["full_name"], r["stargazers_count"]) for r in t["silver_current"].collect())
+    assert cur == [("o/a", 9), ("o/b", 2), ("o/c", 1)]
+    medallion.silver(spark, root, ("api",))  # nothing new: no new Silver version
+    assert len(snapshots.commits(spark, f"{root}/silver_observations")) == 2
+    medallion.silver(spark, root, ("api",), incremental=False)
+    full = sorted((r["full_name"], r["stargazers_count"]) for r in
+                  snapshots.read_latest(spark, f"{root}/silver_observations").collect())
+    assert full == obs
+    vel = {r["full_name"]: r["total_gain"] for r in t["gold_star_velocity"].collect()}
+    assert vel == {"o/a": 4}
