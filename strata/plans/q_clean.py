@@ -95,7 +95,7 @@ def silver_clean(spark, sf_dir):
 @register(
     "recent_top30",
     sql="""SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice FROM orders
-           WHERE o_orderdate > (SELECT max(o_orderdate) FROM orders) - INTERVAL 7 DAY AND o_totalprice > 0
+           WHERE o_orderdate > CAST((SELECT max(o_orderdate) FROM orders) AS DATE) - INTERVAL 7 DAY AND o_totalprice > 0
            ORDER BY o_totalprice DESC, o_orderkey LIMIT 30""",
 )
 def recent_top30(spark, sf_dir):
