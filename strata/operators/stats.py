@@ -64,11 +64,17 @@ def histograms(df: DataFrame, dims: Sequence[str]) -> DataFrame:
     )
 
 
-def dedup_effect(df: DataFrame, key: str) -> DataFrame:
-    """AG8: rows before and after de-duplication on ``key`` (null counts once)."""
+def dedup_effect(df: DataFrame, key: str, digest: bool = True) -> DataFrame:
+    """AG8: rows before and after de-duplication on ``key`` (null counts once).
+
+    With ``digest`` the distinct count runs over SHA-256 digests of the key: the
+    shuffle then moves 32 bytes per distinct value instead of whole texts (up to
+    hundreds of KB each); a collision is cryptographically negligible.
+    """
+    k = F.sha2(F.col(key).cast("string"), 256) if digest else F.col(key)
     return df.agg(
         F.count(F.lit(1)).alias("rows_before"),
-        (F.count_distinct(F.col(key)) + F.max(F.when(F.col(key).isNull(), 1).otherwise(0))).alias("rows_after"),
+        (F.count_distinct(k) + F.max(F.when(F.col(key).isNull(), 1).otherwise(0))).alias("rows_after"),
     ).withColumn("duplicates_removed", F.col("rows_before") - F.col("rows_after"))
 
 
