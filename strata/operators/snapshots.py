@@ -85,8 +85,7 @@ def read_as_of(spark: SparkSession, path: str, version: int) -> DataFrame:
     rows = [r for r in _commits(spark, path) if r["version"] == version]
     if not rows:
         raise ValueError(f"{path}: no version {version}")
-    dirs = [_part_dir(path, p) for p in rows[0]["parts"]]
-    return spark.read.option("mergeSchema", True).parquet(*dirs)
+    return read_parts(spark, path, list(rows[0]["parts"]))
 
 
 def commits(spark: SparkSession, path: str) -> list[dict]:
@@ -95,8 +94,14 @@ def commits(spark: SparkSession, path: str) -> list[dict]:
 
 
 def read_parts(spark: SparkSession, path: str, parts: list[int]) -> DataFrame:
-    """Only the given data parts of a table (e.g. the parts appended since a run)."""
-    return spark.read.option("mergeSchema", True).parquet(*[_part_dir(path, p) for p in parts])
+    """Only the given data parts of a table (e.g. the parts appended since a run).
+
+    Schemas are merged only across several parts (schema evolution); a single
+    part needs no footer-merging job.
+    """
+    dirs = [_part_dir(path, p) for p in parts]
+    reader = spark.read.option("mergeSchema", True) if len(dirs) > 1 else spark.read
+    return reader.parquet(*dirs)
 
 
 def read_latest(spark: SparkSession, path: str) -> DataFrame:

@@ -301,3 +301,38 @@ def analysis_cycle_summary(spark, sf_dir):
     rss = rec.filter(F.col("_src") == "rss")
     out = medallion.clean_cycle(rec.drop("_src"), rss)
     return out["summary"]
+
+
+@register(
+    "serving_top",
+    sql="""SELECT coalesce(source || '/' || CAST(doc_id AS VARCHAR), '') AS full_name, coalesce(n_chars, 0) AS stargazers_count,
+                  coalesce(lang, '') AS language, coalesce('/' || source, '#') AS html_url,
+                  CASE WHEN coalesce(substring(text, 1, 80), '') = '' THEN '—' ELSE substring(text, 1, 80) END AS short_description
+           FROM documents ORDER BY n_chars DESC, doc_id LIMIT 10""",
+)
+def serving_top(spark, sf_dir):
+    """PRJ14: the served top-10 list (defaults, int measure, 80-character description)."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars", "lang", "text")
+    top = d.orderBy(F.desc("n_chars"), F.asc("doc_id")).limit(10).select(
+        F.concat(F.col("source"), F.lit("/"), F.col("doc_id").cast("string")).alias("full_name"),
+        F.col("n_chars").alias("stargazers_count"), F.col("lang").alias("language"),
+        F.concat(F.lit("/"), F.col("source")).alias("html_url"), F.col("text").alias("description"),
+    )
+    return serving.serve_top(top)
+
+
+@register(
+    "serving_velocity",
+    sql="""WITH p AS (SELECT user_id, value, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev_value FROM events),
+                v AS (SELECT user_id, max(value) AS current_value, round(sum(value - prev_value), 6) AS total_gain
+                      FROM p WHERE prev_value IS NOT NULL GROUP BY user_id)
+           SELECT user_id, current_value, total_gain FROM v ORDER BY total_gain DESC, user_id LIMIT 10""",
+)
+def serving_velocity(spark, sf_dir):
+    """Served velocity list: the 10 entities with the largest total gain (ties by key)."""
+    from strata.operators import series
+
+    ev = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "value")
+    vel = series.velocity(ev, "user_id", "ts", "event_id", "value").select(
+        "user_id", "current_value", F.round("total_gain", 6).alias("total_gain"))
+    return serving.serve_velocity(vel, "user_id", 10)
