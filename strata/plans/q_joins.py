@@ -123,11 +123,19 @@ def mentions_vs_measure(spark, sf_dir):
     return _mentions(spark, sf_dir)
 
 
-def _mentions(spark, sf_dir):
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text", "n_chars"), "doc_id")
+def _mention_parts(spark, sf_dir):
+    """(mentions per source, mean measure per source). Only the tokenising branch
+    is spread over more tasks; the cheap average reads the scan as it is."""
+    raw = table(spark, sf_dir, "documents")
+    texts = spread(raw.select("doc_id", "source", "text"), "doc_id")
     vocab = joins.vocabulary(table(spark, sf_dir, "benchmark").select("text"), "text")
-    m = joins.term_mentions(docs, "text", "source", vocab, "term")
-    s = docs.groupBy("source").agg(F.avg("n_chars").alias("avg_n_chars"))
+    m = joins.term_mentions(texts, "text", "source", vocab, "term")
+    s = raw.select("source", "n_chars").groupBy("source").agg(F.avg("n_chars").alias("avg_n_chars"))
+    return m, s
+
+
+def _mentions(spark, sf_dir):
+    m, s = _mention_parts(spark, sf_dir)
     return s.join(m, "source").select(
         "source", "mentions", "distinct_terms", F.round("avg_n_chars", 6).alias("avg_n_chars")
     )
@@ -139,10 +147,7 @@ def _mentions(spark, sf_dir):
 )
 def mention_correlation(spark, sf_dir):
     """JN5: correlation of mentions and the mean measure over groups lacking neither."""
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text", "n_chars"), "doc_id")
-    vocab = joins.vocabulary(table(spark, sf_dir, "benchmark").select("text"), "text")
-    m = joins.term_mentions(docs, "text", "source", vocab, "term")
-    s = docs.groupBy("source").agg(F.avg("n_chars").alias("avg_n_chars"))
+    m, s = _mention_parts(spark, sf_dir)
     j = s.join(m, "source")
     return j.agg(
         F.round(F.corr(F.col("mentions").cast("double"), F.col("avg_n_chars")), 6).alias("correlation"),
