@@ -98,6 +98,7 @@ def range_join(
     before_s: int,
     after_s: int,
     keys: Sequence[str] = (),
+    salt: int = 1,
 ) -> DataFrame:
     """Matching pairs with ``right.ts`` in ``[left.ts - before, left.ts + after]``.
 
@@ -105,20 +106,25 @@ def range_join(
     buckets its range touches (at most 2) and equi-joined with the right rows of
     that bucket (plus ``keys``), with the exact range as residual. Every pair meets
     in exactly one bucket (the right row's own), so there are no duplicates.
-    Skewed buckets are split by AQE's skew-join handling.
+    Skewed buckets are split by AQE's skew-join handling; with ``salt > 1`` the
+    right rows also go to sub-bucket ``hash(row) mod salt`` and left rows are
+    copied to every sub-bucket, which spreads a hot bucket explicitly.
     """
     w = max(before_s + after_s, 1)
     lsec = F.unix_micros(F.col(left_ts).cast("timestamp")) / 1_000_000
     lo = F.floor((lsec - before_s) / w)
     hi = F.floor((lsec + after_s) / w)
-    lb = left.withColumn("_rj_b", F.explode(F.sequence(lo, hi)))
-    rb = right.withColumn("_rj_b", F.floor(F.unix_micros(F.col(right_ts).cast("timestamp")) / 1_000_000 / w))
+    lb = left.withColumn("_rj_b", F.explode(F.sequence(lo, hi))).withColumn(
+        "_rj_s", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+    rb = right.withColumn("_rj_b", F.floor(F.unix_micros(F.col(right_ts).cast("timestamp")) / 1_000_000 / w)).withColumn(
+        "_rj_s", F.pmod(F.xxhash64(*[F.col(c) for c in right.columns]), F.lit(salt)).cast("int"))
     l_alias, r_alias = lb.alias("l"), rb.alias("r")
-    cond = [F.col("l._rj_b") == F.col("r._rj_b")] + [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]
+    cond = [F.col("l._rj_b") == F.col("r._rj_b"), F.col("l._rj_s") == F.col("r._rj_s")]
+    cond += [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]
     cond.append(F.col(f"r.{right_ts}") >= F.col(f"l.{left_ts}") - _interval(before_s))
     cond.append(F.col(f"r.{right_ts}") <= F.col(f"l.{left_ts}") + _interval(after_s))
     joined = l_alias.join(r_alias, cond)
-    return joined.drop("_rj_b")
+    return joined.drop("_rj_b", "_rj_s")
 
 
 def entity_counts(df: DataFrame, key: str, name: str) -> DataFrame:

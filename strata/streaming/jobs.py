@@ -174,24 +174,35 @@ def read_gains(spark: SparkSession, root: str, key: str, ts: str, tie: str) -> D
 
 
 def near_join(anchors: DataFrame, events: DataFrame, a_ts: str, e_ts: str, seconds: int, delay: str,
-              sink: str, checkpoint: str, a_id: str = "a_id", e_id: str = "e_id", available_now: bool = True):
+              sink: str, checkpoint: str, a_id: str = "a_id", e_id: str = "e_id", salt: int = 8,
+              available_now: bool = True):
     """SM7: stream-stream join of anchors and events within +-``seconds``.
 
     A stream-stream join needs an equality key: time buckets of width
     ``seconds``; each anchor is replicated to the (at most 3) buckets its range
     touches, each event sits in its own bucket, and the exact range is the
-    residual, which also lets the watermarks evict state. Matching pairs only
-    are written (append).
+    residual, which also lets the watermarks evict state. Buckets are salted:
+    an event goes to sub-bucket ``hash(id) mod salt`` and anchors are copied to
+    every sub-bucket, so a burst that puts a third of all events into one hour
+    is spread over ``salt`` tasks; each pair still meets exactly once. Matching
+    pairs only are written (append).
     """
     a_sec = F.unix_seconds(F.col(a_ts))
-    a = anchors.withWatermark(a_ts, delay).withColumn(
-        "_b", F.explode(F.sequence(F.floor((a_sec - seconds) / seconds), F.floor((a_sec + seconds) / seconds)))
+    a = (
+        anchors.withWatermark(a_ts, delay)
+        .withColumn("_b", F.explode(F.sequence(F.floor((a_sec - seconds) / seconds), F.floor((a_sec + seconds) / seconds))))
+        .withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+    )
+    e = (
+        events.withWatermark(e_ts, delay)
+        .withColumn("_eb", F.floor(F.unix_seconds(F.col(e_ts)) / seconds))
+        .withColumn("_es", F.pmod(F.xxhash64(F.col(e_id)), F.lit(salt)).cast("int"))
     )
-    e = events.withWatermark(e_ts, delay).withColumn("_eb", F.floor(F.unix_seconds(F.col(e_ts)) / seconds))
     iv = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(seconds))
     joined = a.join(
         e,
         (F.col("_b") == F.col("_eb"))
+        & (F.col("_s") == F.col("_es"))
         & (F.col(e_ts) >= F.col(a_ts) - iv)
         & (F.col(e_ts) <= F.col(a_ts) + iv),
     ).select(a_id, e_id)

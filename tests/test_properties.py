@@ -49,10 +49,11 @@ def test_range_join_pairs_match_brute_force(spark, seed):
     e_rows = [(100 + i, T0 + dt.timedelta(minutes=rnd.randrange(300))) for i in range(80)]
     a = spark.createDataFrame(a_rows, "id long, ts timestamp_ntz")
     e = spark.createDataFrame(e_rows, "eid long, ets timestamp_ntz")
-    got = sorted((r["id"], r["eid"]) for r in joins.range_join(a, e, "ts", "ets", 1800, 3600).collect())
     exp = sorted((ai, ei) for ai, at in a_rows for ei, et in e_rows
                  if at - dt.timedelta(seconds=1800) <= et <= at + dt.timedelta(seconds=3600))
-    assert got == exp
+    for salt in (1, 4):
+        got = sorted((r["id"], r["eid"]) for r in joins.range_join(a, e, "ts", "ets", 1800, 3600, salt=salt).collect())
+        assert got == exp
 
 
 @pytest.mark.parametrize("seed,hot", [(0, None), (1, 3), (2, 0)])
