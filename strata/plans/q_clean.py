@@ -167,15 +167,8 @@ def search_page_records(spark, sf_dir):
 def message_key_value(spark, sf_dir):
     """SNK1: keyed JSON messages, key = md5 of the entity name."""
     d = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
-    named = d.withColumn("_name", F.concat(F.col("source"), F.lit("/"), F.col("doc_id").cast("string")))
-    msgs = writers.keyed_messages(named.select("_name", "doc_id", "lang", "source", "n_chars"), "_name", hash_key=True)
-    # The value must not carry the helper name column.
-    return msgs.withColumn("value", F.to_json(F.struct(
-        F.get_json_object("value", "$.doc_id").cast("long").alias("doc_id"),
-        F.get_json_object("value", "$.lang").alias("lang"),
-        F.get_json_object("value", "$.source").alias("source"),
-        F.get_json_object("value", "$.n_chars").cast("long").alias("n_chars"),
-    )))
+    name = F.concat(F.col("source"), F.lit("/"), F.col("doc_id").cast("string"))
+    return writers.keyed_messages(d, name, hash_key=True)
 
 
 @register(

@@ -12,12 +12,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def keyed_messages(df: DataFrame, key: str, hash_key: bool = False) -> DataFrame:
-    """SNK1: (key, value) message rows: key = the entity name or its md5 hex,
-    value = the whole row as JSON. Write with ``format("kafka")`` where the
-    connector is on the classpath; the shape is the same for any sink."""
-    k = F.md5(F.col(key).cast("string")) if hash_key else F.col(key).cast("string")
-    return df.select(k.alias("key"), F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("value"))
+def keyed_messages(df: DataFrame, key, hash_key: bool = False, value_cols=None) -> DataFrame:
+    """SNK1: (key, value) message rows: key = the entity name (a column or an
+    expression) or its md5 hex, value = the row (or ``value_cols``) as JSON.
+    Write with ``format("kafka")`` where the connector is on the classpath; the
+    shape is the same for any sink."""
+    name = F.col(key) if isinstance(key, str) else key
+    k = F.md5(name.cast("string")) if hash_key else name.cast("string")
+    cols = list(value_cols) if value_cols is not None else df.columns
+    return df.select(k.alias("key"), F.to_json(F.struct(*[F.col(c) for c in cols])).alias("value"))
 
 
 def write_kafka(messages: DataFrame, servers: str, topic: str) -> None:
