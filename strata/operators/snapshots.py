@@ -20,7 +20,6 @@ version number.
 
 from __future__ import annotations
 
-import json
 import os
 from collections.abc import Mapping
 
@@ -67,10 +66,9 @@ def _key(spark: SparkSession, path: str) -> tuple[str, str]:
 def _commits(spark: SparkSession, path: str) -> list:
     k = _key(spark, path)
     if k not in _KNOWN:
-        # Bounded metadata: one small row per commit.
+        # Bounded metadata: one small row per commit (an empty list is cached too:
+        # this session is the table's single writer and records its own commits).
         rows = sorted(history(spark, path).collect(), key=lambda r: r["version"])
-        if not rows:
-            return []
         _KNOWN[k] = [r.asDict() for r in rows]
     return _KNOWN[k]
 
@@ -116,12 +114,14 @@ def _write_history(spark: SparkSession, path: str, version: int, operation: str,
                    batch_id: str | None) -> None:
     row = {"version": version, "operation": operation, "parts": parts, "batch_id": batch_id}
     known = list(_commits(spark, path))  # before the new row exists on storage
-    df = spark.createDataFrame([json.dumps(row)], "string").select(
-        F.from_json("value", HISTORY_SCHEMA).alias("h")
-    ).select("h.*").withColumn("timestamp", F.current_timestamp())
-    df.select(*HISTORY_SCHEMA.fieldNames()).coalesce(1).write.mode("errorifexists").json(
-        os.path.join(_hist_dir(path), f"v{version:010d}")
+    hist = spark.range(1).select(
+        F.lit(version).cast("long").alias("version"),
+        F.current_timestamp().alias("timestamp"),
+        F.lit(operation).alias("operation"),
+        F.array(*[F.lit(p).cast("long") for p in parts]).alias("parts"),
+        F.lit(batch_id).cast("string").alias("batch_id"),
     )
+    hist.coalesce(1).write.mode("errorifexists").json(os.path.join(_hist_dir(path), f"v{version:010d}"))
     _KNOWN[_key(spark, path)] = known + [row]
 
 
