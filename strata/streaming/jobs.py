@@ -139,7 +139,15 @@ def velocity_stream(stream: DataFrame, key: str, ts: str, tie: str, measure: str
     def step(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         bid = f"epoch-{epoch}"
-        rows = batch.select(*cols)
+        # Several actions below reuse the micro-batch: persist it once (bounded by
+        # maxFilesPerTrigger / maxOffsetsPerTrigger) instead of re-reading the source.
+        rows = batch.select(*cols).persist()
+        try:
+            _velocity_step(spark, rows, epoch, bid)
+        finally:
+            rows.unpersist()
+
+    def _velocity_step(spark, rows: DataFrame, epoch: int, bid: str) -> None:
         snapshots.commit(rows, hist, "append", batch_id=bid)
         has_last = snapshots.latest_version(spark, last_t) is not None
         if has_last:
