@@ -67,9 +67,13 @@ def silver_observations(
     category: str = "language",
     time_cols: Sequence[str] = ("updated_at", "timestamp"),
     ingest_time: str = "_ingested_at",
-    keep: Sequence[str] = ("description", "html_url", "topics", "_source"),
+    keep: Sequence[str] = ("description", "html_url", "topics", "_source", "timestamp", "source"),
 ) -> DataFrame:
-    """PRJ2-PRJ11: clean, type and enrich; one row per (entity, event time, source)."""
+    """PRJ2-PRJ11: clean, type and enrich; one row per (entity, event time, source).
+
+    ``topics``, the record's own ``timestamp`` and ``source`` are kept when present
+    (they were lost at this step before, F17).
+    """
     present = set(bronze.columns)
     keep = [c for c in keep if c in present]
     times = [parse_time(F.col(c).cast("string")) for c in time_cols if c in present]

@@ -89,7 +89,7 @@ def _bronze_like_events(spark, sf_dir):
 def silver_clean(spark, sf_dir):
     """PRJ2-PRJ9, PRJ11: Silver cleaning (flag before imputation, try-casts, time fallback)."""
     obs = clean.silver_observations(_bronze_like_events(spark, sf_dir))
-    return obs.drop("_ingested_at", "_processed_at", "html_url", "topics")
+    return obs.drop("_ingested_at", "_processed_at", "html_url", "topics", "timestamp")
 
 
 @register(
