@@ -1,9 +1,10 @@
 """Change, velocity, trend and anomaly operators over ``(entity, time, measure)`` series.
 
 WN1-WN6 and AG5/AG13. Every "previous observation" comes from
-``sequence.ordered_scan`` (skew-proof range-partitioned scan), never from a
-``Window.partitionBy(entity)`` that would put a hot entity in one task. The
-order is ``(ts, tie)``: ``tie`` is a unique id, so results are deterministic.
+``sequence.ordered_scan``: entities holding more than ``1/P`` of the rows are
+range-sliced, all others use a plain per-entity window, so no entity ever lands
+in one task with a third of the data. The order is ``(ts, tie)``: ``tie`` is a
+unique id, so results are deterministic.
 """
 
 from __future__ import annotations
@@ -15,24 +16,25 @@ from strata.operators.sequence import ordered_scan
 
 
 def with_previous(df: DataFrame, key: str, ts: str, tie: str, measure: str, k: int = 1,
-                  name: str = "prev_value") -> DataFrame:
-    """WN1 building block: ``name`` = measure ``k`` observations earlier."""
-    return ordered_scan(df, [key], [ts, tie], lags={name: (measure, k)})
+                  name: str = "prev_value", by=()) -> DataFrame:
+    """WN1 building block: ``name`` = measure ``k`` observations earlier (per key and ``by``)."""
+    return ordered_scan(df, [key, *by], [ts, tie], lags={name: (measure, k)})
 
 
-def velocity(df: DataFrame, key: str, ts: str, tie: str, measure: str, carry=()) -> DataFrame:
+def velocity(df: DataFrame, key: str, ts: str, tie: str, measure: str, carry=(), by=()) -> DataFrame:
     """WN1 + AG5: gain between consecutive observations per entity.
 
     Rows without a previous observation are dropped (as the Gold table does),
     then per entity: max measure, total gain, mean gain, observations.
     Runs on the observation *history*: on a one-row-per-entity current table it
-    is empty by construction.
+    is empty by construction. ``by`` splits the series further (e.g. per source,
+    whose measures must not be mixed).
     """
-    prev = with_previous(df, key, ts, tie, measure)
+    prev = with_previous(df, key, ts, tie, measure, by=by)
     gains = prev.filter(F.col("prev_value").isNotNull()).withColumn(
         "gain", F.col(measure) - F.col("prev_value")
     )
-    return gains.groupBy(key, *carry).agg(
+    return gains.groupBy(key, *by, *carry).agg(
         F.max(measure).alias("current_value"),
         F.sum("gain").alias("total_gain"),
         F.avg("gain").alias("avg_gain"),

@@ -96,8 +96,10 @@ def gold_tables(obs: DataFrame, cur: DataFrame) -> dict[str, DataFrame]:
         cur.select("full_name", "stargazers_count", "language", "html_url", "description", "_source"),
         10, [F.desc("stargazers_count"), F.asc("full_name")],
     )
-    # (entity, event_time, _source) is unique after dedup: a total order.
-    vel = series.velocity(obs, "full_name", "event_time", "_source", "stargazers_count")
+    # Per entity *and source*: sources measure different things (a total vs a
+    # daily count), so their values are never differenced against each other.
+    # (entity, _source, event_time) is unique after dedup: a total order.
+    vel = series.velocity(obs, "full_name", "event_time", "_source", "stargazers_count", by=("_source",))
     vel = vel.join(cur.select("full_name", "language_lower"), "full_name", "left")
     topics = terms.topic_frequency(cur, "description", by=["_source"])
     return {"language_dist": lang, "top_repos": top, "star_velocity": vel, "emerging_topics": topics}

@@ -259,7 +259,7 @@ _STOP_SQL = ", ".join(f"'{w}'" for w in TOPIC_STOPWORDS)
             UNION ALL SELECT 'silver_current', count(*) FROM cur
             UNION ALL SELECT 'gold_language_dist', count(DISTINCT lower(lang)) FROM cur
             UNION ALL SELECT 'gold_top_repos', least(count(*), 10) FROM cur
-            UNION ALL SELECT 'gold_star_velocity', count(*) FROM (SELECT user_id FROM j GROUP BY user_id HAVING count(*) > 1)
+            UNION ALL SELECT 'gold_star_velocity', count(*) FROM (SELECT user_id, src FROM j GROUP BY user_id, src HAVING count(*) > 1)
             UNION ALL SELECT 'gold_emerging_topics', count(*) FROM w""",
 )
 def medallion_run(spark, sf_dir):
