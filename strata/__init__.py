@@ -5,8 +5,9 @@ history table and a current-state table, and expose DataFrame operators on top:
 distributions, top-N, term frequencies, change/velocity and trend detection,
 anomaly and risk scores, time-proximity joins and versioned snapshot tables.
 
-Every operator is ``DataFrame -> DataFrame`` with no action inside; actions only
-happen in sinks, audits and tests.
+Every operator is ``DataFrame -> DataFrame``. Actions happen in sinks, layer
+runs and tests, plus two bounded steps of the skew-proof ordered scan (a hot-key
+list of fewer than ``P`` keys, and the checkpoint that pins its range slices).
 """
 
 from strata.session import get_spark, scratch_path
