@@ -6,11 +6,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import line_dedup, packing, pii, quality_rules
+from strata.llm import line_dedup, near_dup, packing, pii, quality_rules
 from strata.llm.common import read
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +36,13 @@ def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
+@register("op5_superminhash")
+def op5_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = near_dup.find_components(docs, width=3, threshold=Fraction(85, 100))
+    return found.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), "kept")
+
+
 @register("op7_packing")
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(read(spark, sf_dir, "documents").select("doc_id", "text"))
