@@ -8,10 +8,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from fractions import Fraction
 
+import corpus_pipeline
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import line_dedup, near_dup, packing, pii, quality_rules
+from strata.llm import decontaminate, line_dedup, near_dup, packing, pii, quality_rules
 from strata.llm.common import read
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +37,11 @@ def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
+@register("op1_pigeonhole")
+def op1_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 @register("op5_superminhash")
 def op5_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -91,3 +97,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged, name = quality_rules.judge(docs, quality_rules.learn(docs, read(spark, sf_dir, "labels")))
     numbers = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return judged.select("doc_id", *[f"{name}.{c}" for c in (*numbers, "base_failed", "kept", "rule")])
+
+
+register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
