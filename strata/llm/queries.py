@@ -12,7 +12,7 @@ import corpus_pipeline
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, line_dedup, near_dup, packing, pii, quality_rules
+from strata.llm import decontaminate, lattice_lm, line_dedup, near_dup, packing, pii, quality_rules
 from strata.llm.common import read
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,11 @@ def op1_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+@register("op4_lattice_lm")
+def op4_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_lm.score(read(spark, sf_dir, "documents").select("doc_id", "text")).withColumnRenamed("doc", "doc_id")
+
+
 @register("op5_superminhash")
 def op5_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
