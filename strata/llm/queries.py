@@ -12,7 +12,7 @@ import corpus_pipeline
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, lattice_lm, line_dedup, near_dup, packing, pii, quality_rules
+from strata.llm import chat, decontaminate, lattice_lm, line_dedup, near_dup, packing, pii, quality_rules
 from strata.llm.common import read
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,38 @@ def op1_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+_OP2_SQL = r"""
+WITH r AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (SELECT *, length(regexp_replace(text, '([<\[])(\\*)(\||/?s>|/?INST\]|</?SYS>>)', '\1\\\2\3', 'g')) AS chars FROM r)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(17 + length(role) + chars)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
+@register("op2_reply_trees", _OP2_SQL)
+def op2_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    own = spark.sql(f"SELECT * FROM VALUES (-7L, 0L, 'user', '{control}'), (-7L, 1L, 'assistant', '{control}') AS t(conv_id, turn, role, text)")
+    done = chat.format_paths(chat.conversation_trees(rows.union(own)))
+    # Read back from the formatted text.
+    back = done.select("tree", "formatted", chat.read_turns(F.col("formatted")).alias("turns"))
+    loss = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == chat.LOSS_ROLE), lambda t: t["text"]), "")
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select(
+        chat.conv_id(F.col("tree")).alias("conv_id"),
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(said, 256).alias("turns_sha256"),
+        F.char_length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 @register("op4_lattice_lm")
 def op4_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_lm.score(read(spark, sf_dir, "documents").select("doc_id", "text")).withColumnRenamed("doc", "doc_id")
