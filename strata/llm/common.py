@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -44,6 +46,17 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def kept(key: tuple, make: Callable[[], object]) -> object:
+    """What ``make`` returns, made once a Python worker: tasks that run in it later find it again.
+
+    Functions travel by value, so that their modules' globals do not outlive a task; a module of its own name does.
+    """
+    place = vars(sys.modules.setdefault("strata_llm_kept", types.ModuleType("strata_llm_kept")))
+    if key not in place:
+        place[key] = make()
+    return place[key]
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, rows):

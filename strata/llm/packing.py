@@ -16,7 +16,7 @@ result depends only on the rows of the partition in their order, which a file sc
 when a lost task is run again; sequence numbers are unique through the partition's number.
 
 Ids are those of the ``tokenizers`` library. That library encodes about 1.3 MB/s here, so words are
-encoded once per task and kept in a bounded cache, and plain Latin-1 words take the same merge table
+encoded once per Python worker and kept in a bounded cache, and plain Latin-1 words take the same merge table
 through ``tiktoken``. The two agree: a run of byte-pair merges inside a stretch of symbols, as long as no
 merge crosses its ends, is the run on the stretch alone; so if each vocabulary entry is rebuilt from its own
 bytes through its own last merge, two neighbours whose bytes make up an entry are always the pair that its
@@ -30,11 +30,14 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from strata.llm.common import kept
+
 CAPACITY = 2048
 END_ID = 1
 VOCABULARY = "word_bpe_49k.json"
@@ -42,7 +45,7 @@ VOCABULARY = "word_bpe_49k.json"
 CLASSES = 16
 #: Part of the capacity that a bin of whole documents may lack before small pieces fill it.
 SLACK = 128
-CACHED_WORDS = 300_000
+CACHED_WORDS = 400_000
 
 SCHEMA = "doc_id long, start long, length long, token_ids binary, doc_tokens long, sequence_id long, offset long"
 _WORD_END = b"\xff"  # no byte of UTF-8
@@ -75,10 +78,11 @@ class Encoder:
 
         self.full = Tokenizer.from_file(path)
         ranks = byte_tokens(path)  # ids rise in the order of the merges
-        self.merge = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._encode_single_piece
+        self.merge = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
         # Fixed value: the pattern of the vocabulary's pre-tokenizer.
         self.parts = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
-        self.odd = re.compile("[\x1c-\x1f]|" + "|".join(re.escape(t.content) for t in self.full.get_added_tokens_decoder().values())).search
+        # Special tokens, and what str.split takes for white space but the vocabulary does not.
+        self.odd = [*"\x1c\x1d\x1e\x1f", *(t.content for t in self.full.get_added_tokens_decoder().values())]
         self.cache: dict[str, bytes] = {}
         self.cached_words = cached_words
 
@@ -87,12 +91,10 @@ class Encoder:
 
     @staticmethod
     def _bytes(ids: list[int]) -> bytes:
-        import numpy as np
-
-        return np.asarray(ids, dtype="<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def word(self, word: str) -> bytes:
-        if not _PLAIN.fullmatch(word):
+        if not (word.isascii() and word.isprintable() or _PLAIN.fullmatch(word)):
             return self.by_library(word)
         word = word.lower()
         if word.isalpha():
@@ -100,7 +102,7 @@ class Encoder:
         return self._bytes([i for part in self.parts(word) for i in self.merge(part.encode() + _WORD_END)])
 
     def __call__(self, text: str) -> bytes:
-        if self.odd(text):
+        if any(x in text for x in self.odd):
             return self.by_library(text)
         words, cache = text.split(), self.cache
         new = set(words).difference(cache)
@@ -186,7 +188,8 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end
 
         context = TaskContext.get()
         number = (context.partitionId() if context else 0) << 33
-        encode, bins = Encoder(path or vocabulary_path()), HarmonicBins(capacity, classes, slack)
+        place_of = path or vocabulary_path()
+        encode, bins = kept(("encoder", place_of), lambda: Encoder(place_of)), HarmonicBins(capacity, classes, slack)
         end = int(end_id).to_bytes(4, "little")
         rows: list = []
 
