@@ -96,6 +96,10 @@ def _spans(c: Column) -> Column:
     return F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def _count(c: Column, kind: str) -> Column:
+    return F.size(F.filter(c, lambda s: s["kind"] == kind)).cast("long")
+
+
 @register("op8_pii")
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, name = pii.add_spans(read(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -104,7 +108,7 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = F.transform(F.array_sort(F.transform(F.concat(base, added), place)), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
     return found.select(
         "doc_id",
-        *[F.size(F.filter(base, lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS],
+        *[_count(base, kind).alias(f"n_{kind}") for kind in pii.KINDS],
         F.sha2(_spans(base), 256).alias("base_sha256"),
         _spans(both).alias("spans"),
     )
