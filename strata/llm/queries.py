@@ -12,7 +12,7 @@ import corpus_pipeline
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, decontaminate, lattice_lm, line_dedup, near_dup, packing, pii, quality_rules
+from strata.llm import chat, decontaminate, lattice_lm, line_dedup, near_dup, packing, pii, quality_rules, site_bayes, url_filter
 from strata.llm.common import read
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,6 +74,49 @@ def op2_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_OP3_SQL = r"""
+WITH c AS (SELECT page_id, url, DATE '2024-01-01' + (page_id * 7919 % 365)::INT AS fetched_on,
+  nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)', 1)), '') AS host,
+  regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '^/+|/+$', '', 'g') AS path FROM pages),
+v AS (SELECT DISTINCT 'block' AS action, 'host' AS kind, host AS value FROM c WHERE host IS NOT NULL
+  UNION SELECT 'block', 'domain', regexp_replace(host, '^[^.]*[.]', '') FROM c WHERE host IS NOT NULL
+  UNION SELECT 'allow', 'path', host || '/' || split_part(path, '/', 1) FROM c WHERE host IS NOT NULL AND path <> ''),
+h AS (SELECT *, ('0x' || substr(md5(kind || ':' || value), 1, 6))::INT AS n FROM v),
+i AS (SELECT action, kind, value, DATE '2024-01-01' + (n % 200) AS since, DATE '2024-01-01' + (n % 200 + 60) AS until FROM h WHERE n % 3 = 0
+  UNION ALL SELECT action, kind, value, DATE '2024-01-01' + (n % 200 + 100), NULL FROM h WHERE n % 3 = 0),
+m AS (SELECT page_id, i.* FROM c JOIN i ON fetched_on >= since AND (until IS NULL OR fetched_on < until) AND (
+  kind = 'host' AND host = value OR kind = 'domain' AND (host = value OR ends_with(host, '.' || value))
+  OR kind = 'path' AND (host || '/' || path = value OR starts_with(host || '/' || path, value || '/')))),
+b AS (SELECT page_id, count(*) AS n_entries, arg_max(value, (length(value), action = 'allow', value)) AS entry,
+  arg_max(action, (length(value), action = 'allow', value)) AS action FROM m GROUP BY page_id)
+SELECT c.page_id, c.fetched_on, c.host, coalesce(b.n_entries, 0) AS n_entries, b.entry, coalesce(b.action = 'block', false) AS blocked
+FROM c LEFT JOIN b ON c.page_id = b.page_id
+"""
+
+
+def list_events(captures: DataFrame) -> DataFrame:
+    """The tables hold no dated list, so its events are derived from the captures' own hosts, the domains above them and their first path segments:
+    every third by a digest is added on a day of the digest's, removed after 60 days and added again after 100."""
+    host, path = url_filter.host(F.col("url")), url_filter.path(F.col("url"))
+    seen = captures.select(host.alias("host"), F.split_part(path, F.lit("/"), F.lit(1)).alias("first")).where("host IS NOT NULL").distinct()
+    entry = lambda action, kind, value: F.struct(F.lit(action).alias("action"), F.lit(kind).alias("kind"), value.alias("value"))
+    start = F.when(F.col("first") != "", F.concat("host", F.lit("/"), "first"))
+    named = seen.select(F.inline(F.array(entry("block", "host", F.col("host")), entry("block", "domain", F.regexp_replace("host", r"^[^.]*[.]", "")), entry("allow", "path", start))))
+    named = named.where("value IS NOT NULL").distinct().withColumn("n", F.conv(F.substring(F.md5(F.concat_ws(":", "kind", "value")), 1, 6), 16, 10).cast("int"))
+    days = F.explode(F.array(*[F.struct(F.lit(d).alias("after"), F.lit(a).alias("added")) for d, a in ((0, True), (60, False), (100, True))])).alias("event")
+    events = named.where("n % 3 = 0").select("action", "kind", "value", "n", days)
+    return events.select("action", "kind", "value", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("n") % 200 + F.col("event.after")).cast("int")).alias("on"), "event.added")
+
+
+@register("op3_temporal_lists", _OP3_SQL)
+def op3_temporal_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A capture's day is derived from its page_id, as the table has none."""
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") * 7919 % 365).cast("int"))
+    captures = read(spark, sf_dir, "pages").select("page_id", "url", day.alias("fetched_on"))
+    judged, name = url_filter.judge(captures, url_filter.intervals(list_events(captures)))
+    return judged.select("page_id", "fetched_on", f"{name}.*")
+
+
 @register("op4_lattice_lm")
 def op4_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_lm.score(read(spark, sf_dir, "documents").select("doc_id", "text")).withColumnRenamed("doc", "doc_id")
@@ -86,6 +129,15 @@ def op5_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), "kept")
 
 
+@register("op6_site_bayes")
+def op6_site_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``source`` is the host and ``lang`` the path below it. A document is kept if it is probably good and not toxic."""
+    found = site_bayes.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    toxic, good = F.col("toxic_posterior") > 0.5, F.col("quality_posterior") >= 0.5
+    rates = [F.round(f"{t}_{k}", 6).alias(f"{t}_{k}") for t in site_bayes.TARGETS for k in ("own", "site", "posterior")]
+    return found.select(F.col("id").alias("doc_id"), "host", "path", *rates, toxic.alias("toxic"), (good & ~toxic).alias("kept"))
+
+
 @register("op7_packing")
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(read(spark, sf_dir, "documents").select("doc_id", "text"))
