@@ -13,9 +13,6 @@ TOPIC_STOPWORDS = (
     "most", "over", "such", "used", "using", "based", "make", "open", "data", "code",
     "tool", "fast", "easy", "simple", "build", "support",
 )
-# Characters kept by the compatible cleaning rule (everything else is deleted,
-# newlines included, so words on both sides of a newline are glued together).
-COMPAT_CLEAN_PATTERN = "[^a-zA-Z0-9 ]"
 # A topic word: at least four lower-case letters at the start (no end anchor).
 TOPIC_WORD_PATTERN = "^[a-z]{4,}"
 # Short description length and the placeholder for an empty one.
@@ -23,9 +20,10 @@ SHORT_TEXT_CHARS = 80
 EMPTY_TEXT_MARK = "—"
 # -------------------------------------------------------------------------------
 
-# Same character set as COMPAT_CLEAN_PATTERN in Java regex (``\p{Alnum}`` is the
-# US-ASCII class [a-zA-Z0-9] unless UNICODE_CHARACTER_CLASS is set), deleting a
-# whole run per match; several times faster than the range form on long texts.
+# Characters deleted by the compatible cleaning rule: all but [a-zA-Z0-9 ], newlines
+# included, so words on both sides of a newline are glued together. ``\p{Alnum}`` is the
+# US-ASCII class in Java unless UNICODE_CHARACTER_CLASS is set; deleting a whole run
+# per match is several times faster than the range form on long texts.
 _COMPAT_CLEAN_RUNS = r"[^\p{Alnum} ]+"
 
 

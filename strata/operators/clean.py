@@ -12,7 +12,7 @@ results:
 * the quality flag is computed from the values *before* imputation;
 * event time = ``updated_at``, else the record's own ``timestamp``, else ingest
   time, and ``_time_source`` records which one was used;
-* "latest" is a total order (time, source, id): ``max_by`` over a struct, which
+* "latest" is a total order (time, source, id): the ``max`` of a struct, which
   is a partial aggregation, so an entity holding a third of the rows is reduced
   per task before the shuffle.
 """
@@ -51,13 +51,13 @@ def parse_time(c: Column) -> Column:
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """WN9 / ST2: the row with the greatest ``order`` per key (deterministic dedup).
 
-    Ties on ``order`` are broken by the whole row, so the pick never depends on
-    arrival order or partitioning.
+    Ties on ``order`` are broken by the rest of the row, so the pick never depends
+    on arrival order or partitioning. The row travels once, as one ordered struct.
     """
-    rest = [c for c in df.columns if c not in keys]
-    row = F.struct(*[F.col(c) for c in rest])
-    best = F.max_by(row, F.struct(*[F.col(c) for c in order], row.alias("_tie")))
-    return df.groupBy(*keys).agg(best.alias("_row")).select(*keys, "_row.*")
+    first = [c for c in order if c not in keys]
+    rest = [c for c in df.columns if c not in keys and c not in first]
+    best = F.max(F.struct(*first, *rest))
+    return df.groupBy(*keys).agg(best.alias("_row")).select(*keys, "_row.*").select(*df.columns)
 
 
 def silver_observations(

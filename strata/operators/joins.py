@@ -8,11 +8,11 @@ without ever forming (anchor, event) pairs:
     count(anchor) = #events(ts <= t + after) - #events(ts < t - before)
 
 Anchors become two probe rows (``t - before`` sorted *before* equal event times,
-``t + after`` sorted *after* them) in one union with the events, and a single
-running count per key over ``(time, kind, id)`` gives both terms. The running
+``t + after`` sorted *after* them) in one union with the events per distinct time,
+and a single running count per key over ``(time, kind)`` gives both terms. The running
 count is the skew-proof ``ordered_scan``, so neither a burst of events in one
 hour nor one key holding a third of the rows lands in one task, and the cost is
-a sort of ``|events| + 2 |anchors|`` rows instead of a join whose candidate set
+a sort of the distinct event times and twice the distinct anchor times instead of a join whose candidate set
 grows with the square of the density. Nested-loop and cartesian plans never
 appear.
 
@@ -23,12 +23,14 @@ need the matching pairs themselves; only matches are returned.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.text import tokens_words
 from strata.operators.sequence import ordered_scan
+from strata.session import pinned
 
 
 def _interval(seconds: int) -> Column:
@@ -38,9 +40,7 @@ def _interval(seconds: int) -> Column:
 def range_count(
     anchors: DataFrame,
     events: DataFrame,
-    anchor_id: str,
     anchor_ts: str,
-    event_id: str,
     event_ts: str,
     before_s: int,
     after_s: int,
@@ -49,45 +49,35 @@ def range_count(
 ) -> DataFrame:
     """Anchors (all columns kept) with the count of events in ``[ts-before, ts+after]``.
 
-    Bounds are inclusive; anchors without events get 0 (left-join semantics).
-    With ``keys`` the events must also share the key (equi + range condition).
+    Bounds are inclusive; anchors without events get 0 (left-join semantics), as do
+    anchors without a time or, with ``keys`` (equi + range condition), without a key.
+    Rows without time or key count nowhere. Anchors may repeat: the counts are
+    computed per distinct (key, time) and joined back, so no id is needed.
     """
     keys = list(keys)
-    payload = F.struct(*[F.col(c) for c in anchors.columns]).alias("_rc_a")
-    a_id = F.col(anchor_id).cast("long")
-    lower = anchors.select(
-        *keys,
-        (F.col(anchor_ts) - _interval(before_s)).alias("_rc_t"),
-        F.lit(0).alias("_rc_kind"),
-        a_id.alias("_rc_id"),
-        F.lit(0).alias("_rc_w"),
-        a_id.alias("_rc_aid"),
-        F.lit(None).cast(anchors.select(payload).schema[0].dataType).alias("_rc_a"),
-    )
-    upper = anchors.select(
-        *keys,
-        (F.col(anchor_ts) + _interval(after_s)).alias("_rc_t"),
-        F.lit(2).alias("_rc_kind"),
-        a_id.alias("_rc_id"),
-        F.lit(0).alias("_rc_w"),
-        a_id.alias("_rc_aid"),
-        payload,
-    )
-    ev = events.select(
-        *keys,
-        F.col(event_ts).alias("_rc_t"),
-        F.lit(1).alias("_rc_kind"),
-        F.col(event_id).cast("long").alias("_rc_id"),
-        F.lit(1).alias("_rc_w"),
-        F.lit(None).cast("long").alias("_rc_aid"),
-        F.lit(None).cast(anchors.select(payload).schema[0].dataType).alias("_rc_a"),
-    )
-    u = lower.unionByName(upper).unionByName(ev)
-    scanned = ordered_scan(u, keys, ["_rc_t", "_rc_kind", "_rc_id"], running={"_rc_c": F.col("_rc_w")})
-    probes = scanned.filter(F.col("_rc_aid").isNotNull())
+    complete = [F.col(k).isNotNull() for k in keys]
+    asked = _where(anchors, [F.col(anchor_ts).isNotNull(), *complete]).select(*keys, F.col(anchor_ts).alias("_rc_ts")).distinct()
+    # One row per distinct time: a burst is summed before it is sorted.
+    times = _where(events, [F.col(event_ts).isNotNull(), *complete]).groupBy(*keys, F.col(event_ts).alias("_rc_t")).agg(F.count(F.lit(1)).alias("_rc_w"))
+
+    def probe(shift: Column, kind: int) -> DataFrame:
+        return asked.select(*keys, (F.col("_rc_ts") + shift).alias("_rc_t"), F.lit(kind).alias("_rc_kind"), F.lit(0).cast("long").alias("_rc_w"), "_rc_ts")
+
+    no_ts = F.lit(None).cast(asked.schema["_rc_ts"].dataType).alias("_rc_ts")
+    both = probe(-_interval(before_s), 0).unionByName(probe(_interval(after_s), 2))
+    u = both.unionByName(times.select(*keys, "_rc_t", F.lit(1).alias("_rc_kind"), "_rc_w", no_ts))
+    # Probes of one kind and time come from one anchor time, so the order is total.
+    scanned = ordered_scan(u, keys, ["_rc_t", "_rc_kind"], running={"_rc_c": F.col("_rc_w")})
     signed = F.when(F.col("_rc_kind") == 2, F.col("_rc_c")).otherwise(-F.col("_rc_c"))
-    per_anchor = probes.groupBy("_rc_aid").agg(F.sum(signed).alias(name), F.max("_rc_a").alias("_rc_a"))
-    return per_anchor.select("_rc_a.*", F.col(name).cast("long").alias(name))
+    counts = scanned.filter(F.col("_rc_ts").isNotNull()).groupBy(*keys, "_rc_ts").agg(F.sum(signed).cast("long").alias("_rc_n"))
+    # From storage, so that AQE can split a time that very many anchors share.
+    counts = pinned(counts).toDF(*[f"_rc_k{i}" for i in range(len(keys))], "_rc_ts", "_rc_n")
+    cond = reduce(lambda a, c: a & c, [anchors[k] == counts[f"_rc_k{i}"] for i, k in enumerate(keys)], anchors[anchor_ts] == counts["_rc_ts"])
+    return anchors.join(counts, cond, "left").select(*[anchors[c] for c in anchors.columns], F.coalesce("_rc_n", F.lit(0)).cast("long").alias(name))
+
+
+def _where(df: DataFrame, conditions: Sequence[Column]) -> DataFrame:
+    return df.filter(reduce(lambda a, c: a & c, conditions))
 
 
 def range_join(
@@ -143,28 +133,42 @@ def cross_source(left: DataFrame, right: DataFrame, key: str, how: str = "inner"
     return left.join(right, key, how)
 
 
-def term_mentions(docs: DataFrame, text: str, group: str, vocabulary: DataFrame, term: str,
-                  min_len: int = 4) -> DataFrame:
-    """JN5: mentions of vocabulary terms in documents, per ``group``.
+def term_mentions(docs: DataFrame, text: str, group: str, vocabulary: DataFrame, term: str) -> DataFrame:
+    """JN5: mentions of vocabulary terms in documents, per ``group`` (a source or an hour).
 
     Whole lower-cased words are matched. Tokens are counted per (group, word)
     first (partial aggregation: a hot word is one row per task), and only the
     counted distinct words meet the vocabulary in the join; AQE picks broadcast
     or shuffle from the measured size.
     """
-    words = docs.select(F.col(group), F.explode(tokens_words(text)).alias("word")).filter(
-        F.length("word") >= min_len
-    )
+    words = docs.select(F.col(group), F.explode(tokens_words(text)).alias("word"))
     counted = words.groupBy(group, "word").agg(F.count(F.lit(1)).alias("n"))
     vocab = vocabulary.select(F.col(term).alias("word")).distinct()
     hits = counted.join(vocab, "word")
     return hits.groupBy(group).agg(F.sum("n").alias("mentions"), F.count(F.lit(1)).alias("distinct_terms"))
 
 
-def vocabulary(df: DataFrame, text: str, min_len: int = 4) -> DataFrame:
+def vocabulary(df: DataFrame, text: str) -> DataFrame:
     """Distinct lower-cased words of a text column."""
-    return (
-        df.select(F.explode(tokens_words(text)).alias("term"))
-        .filter(F.length("term") >= min_len)
-        .distinct()
+    return df.select(F.explode(tokens_words(text)).alias("term")).distinct()
+
+
+def hourly_mentions_vs_measure(mentions: DataFrame, measures: DataFrame, hour: str = "hour") -> DataFrame:
+    """JN5: correlation of hourly mentions with the hourly mean measure; hours lacking a side drop out.
+
+    Both sides are one row per hour. ``mentions`` has ``mentions``, ``measures`` has ``mean_value``.
+    """
+    return mentions.join(measures, hour).agg(
+        F.corr(F.col("mentions").cast("double"), F.col("mean_value")).alias("correlation"), F.count(F.lit(1)).alias("hours")
     )
+
+
+def words_near_in_time(left: DataFrame, right: DataFrame, text: str, ts: str, seconds: int, name: str = "near_count") -> DataFrame:
+    """JN7: per word and time of the left source, occurrences of the same word in the right source within ``seconds``.
+
+    Both sides are reduced to distinct (word, time) with counts before the proximity count.
+    """
+    words = lambda df: df.select(F.explode(tokens_words(text)).alias("word"), F.col(ts).alias("ts"))
+    anchors = words(left).groupBy("word", "ts").agg(F.count(F.lit(1)).alias("left_count"))
+    out = range_count(anchors, words(right), "ts", "ts", seconds, seconds, keys=["word"], name=name)
+    return out.filter(F.col(name) > 0)

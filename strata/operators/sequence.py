@@ -14,7 +14,8 @@ slice boundaries are repaired from two small tables:
   first key (one row per slice).
 
 Both tables hold at most ``P * 4K`` rows for ``P`` range partitions, a bound
-fixed by configuration and independent of the data size, so they are broadcast.
+fixed by configuration and independent of the data size, so they are broadcast
+up to ``BROADCAST_SLICES`` slices.
 The sliced rows are written once with a reliable ``checkpoint()`` (shared
 checkpoint folder), so every branch reads the same slice ids; this is the one
 eager step of the operator.
@@ -28,7 +29,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.session import pinned
+
 PID, POS, CNT, KEY = "_sq_pid", "_sq_pos", "_sq_cnt", "_sq_key"
+#: Boundary tables have at most 4 * K rows a slice (K: largest lag), so up to here 80,000 * K rows are broadcast.
+BROADCAST_SLICES = 20_000
 
 
 def _num_partitions(df: DataFrame, n: int | None) -> int:
@@ -39,8 +44,12 @@ def _num_partitions(df: DataFrame, n: int | None) -> int:
 
 def slice_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
     """Range-partition on ``(keys, order)`` into ``n`` slices, tag the slice id, checkpoint."""
-    sliced = df.repartitionByRange(n, *keys, *order).withColumn(PID, F.spark_partition_id())
-    return sliced.checkpoint(eager=True)
+    return pinned(df.repartitionByRange(n, *keys, *order).withColumn(PID, F.spark_partition_id()))
+
+
+def _small(boundary: DataFrame, n: int) -> DataFrame:
+    """A boundary table as a broadcast while the slices, which bound its rows, are few enough; beyond that AQE decides."""
+    return F.broadcast(boundary) if n <= BROADCAST_SLICES else boundary
 
 
 def ordered_scan(
@@ -129,7 +138,7 @@ def ordered_scan(
 
     out = r
     if lags:
-        b = r.join(F.broadcast(bounds), PID)
+        b = r.join(_small(bounds, n), PID)
         is_first = key_struct.eqNullSafe(F.col("_sq_first"))
         is_last = key_struct.eqNullSafe(F.col("_sq_last"))
         b = b.filter((is_first & (F.col(POS) <= kmax)) | (is_last & (F.col(CNT) - F.col(POS) < kmax)))
@@ -155,7 +164,7 @@ def ordered_scan(
             [F.col(PID) == F.col("_sq_fpid"), F.col(POS) == F.col("_sq_fpos")]
             + [F.col(k).eqNullSafe(F.col(f"_sq_fk_{i}")) for i, k in enumerate(keys)],
         )
-        out = out.join(F.broadcast(fixes), cond, "left")
+        out = out.join(_small(fixes, n), cond, "left")
         for name in lags:
             out = out.withColumn(
                 name,
@@ -183,7 +192,7 @@ def ordered_scan(
             for nm in running
         ]
         t = t.select(F.col(PID).alias("_sq_opid"), F.col("_sq_first").alias("_sq_ofirst"), *offs)
-        out = out.join(F.broadcast(t), F.col(PID) == F.col("_sq_opid"), "left")
+        out = out.join(_small(t, n), F.col(PID) == F.col("_sq_opid"), "left")
         first_key = key_struct.eqNullSafe(F.col("_sq_ofirst"))
         for nm in running:
             out = out.withColumn(
@@ -204,11 +213,3 @@ def _window_scan(df: DataFrame, keys: list[str], order: list[str], lags: dict, r
     for name, c in running.items():
         out = out.withColumn(name, F.coalesce(F.sum(F.col(c) if isinstance(c, str) else c).over(cum), F.lit(0)))
     return out
-
-
-def lag_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, offsets=(1,),
-             prefix: str = "prev", num_partitions: int | None = None) -> DataFrame:
-    """Convenience: ``{prefix}{k}`` = ``value`` k rows earlier within the key."""
-    return ordered_scan(
-        df, keys, order, lags={f"{prefix}{k}": (value, k) for k in offsets}, num_partitions=num_partitions
-    )

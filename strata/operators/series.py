@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.sequence import ordered_scan
+from strata.session import pinned
 
 
 def with_previous(df: DataFrame, key: str, ts: str, tie: str, measure: str, k: int = 1,
@@ -118,13 +119,13 @@ def rolling_mean(df: DataFrame, key: str, ts: str, tie: str, measure: str, n: in
 def zscore_spikes(df: DataFrame, key: str, measure: str, threshold: float = 2.0) -> DataFrame:
     """JN1 + AG13: rows whose |z| against their key's baseline exceeds ``threshold``.
 
-    The baseline is a partial aggregation (one row per key) joined back on the
-    key. The join strategy is left to AQE: it broadcasts the baseline when its
-    measured size is under the broadcast threshold and otherwise sort-merges,
-    splitting a hot key's partition (skew join; the baseline side has exactly one
-    row per key, so its replicas are cheap). A stddev of null or 0 gives null z.
+    The baseline is a partial aggregation (one row per key), written to the
+    checkpoint folder and joined back on the key. AQE broadcasts it when its
+    measured size allows and otherwise sort-merges; because it comes from storage
+    and not from an aggregate above the shuffle, AQE can split the partition of a
+    hot key. A stddev of null or 0 gives null z.
     """
-    base = df.groupBy(key).agg(F.avg(measure).alias("mean_value"), F.stddev_samp(measure).alias("std_value"))
+    base = pinned(df.groupBy(key).agg(F.avg(measure).alias("mean_value"), F.stddev_samp(measure).alias("std_value")))
     z = F.try_divide(F.col(measure) - F.col("mean_value"), F.col("std_value"))
     return df.join(base, key).withColumn("z_score", z).filter(F.abs(F.col("z_score")) > threshold)
 

@@ -1,28 +1,28 @@
-"""Versioned snapshot tables: history, as-of reads, update, delete, restore (VR1-VR6, SRC4/5, SNK5/6).
+"""Versioned snapshot tables: as-of reads, update, delete, restore (VR1-VR6, SRC4/5, SNK5/6).
 
 A user-level convention for single-writer batch jobs, not an ACID log:
 
-* data of commit ``N`` is written to ``<path>/_version=N`` (immutable Parquet);
-* then one history row ``{version, timestamp, operation, parts, rows}`` is
-  written to ``<path>/_history/N``; ``parts`` lists the data directories that
-  make up version ``N``;
-* a version without a history row is invisible (crash between the two writes
-  leaves the table at ``N-1``).
-
-Append adds a directory to the previous parts (no copy); overwrite, update and
-delete write a full new directory; restore writes only a history row pointing
-at an old version's parts. Reading several parts uses ``mergeSchema`` so an
-append with an extra column (schema evolution) reads back with nulls for the
-older rows. All data moves through distributed ``spark.read`` / ``df.write``;
-only the history (one row per commit) is read on the driver to resolve a
-version number.
+* the rows of a commit are written to a folder of their own, ``<path>/_part-<uuid>`` (immutable Parquet);
+* then one history row ``{version, timestamp, operation, parts, schema, batch_id}`` is written to
+  ``<path>/_history``; ``parts`` lists the folders that make up the version, ``schema`` is the table's;
+* a folder that no history row lists is invisible (a crash between the two writes leaves the table as it was), and
+  two writers never write to one folder.
+
+Append adds a folder to the previous ones (no copy), overwrite lists a new one, update and delete
+rewrite the folders that hold a matching row and carry the others over, restore lists an old version's folders.
+Reads use the version's schema, so an append with an extra column (schema evolution) reads back with nulls for the
+older rows and no footers are merged. Rows move through distributed ``spark.read`` / ``df.write``; only the history
+(one row per commit) is read on the driver. Streaming sinks do not commit here, see ``streaming/jobs.py``.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import uuid
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,98 +31,83 @@ HISTORY_SCHEMA = T.StructType([
     T.StructField("version", T.LongType()),
     T.StructField("timestamp", T.TimestampType()),
     T.StructField("operation", T.StringType()),
-    T.StructField("parts", T.ArrayType(T.LongType())),
+    T.StructField("parts", T.ArrayType(T.StringType())),
+    T.StructField("schema", T.StringType()),
     T.StructField("batch_id", T.StringType()),
 ])
 
 
+class NoVersion(ValueError):
+    """The table has no such version."""
+
+
 def _hist_dir(path: str) -> str:
     return f"{path.rstrip('/')}/_history"
 
 
-def _part_dir(path: str, n: int) -> str:
-    return f"{path.rstrip('/')}/_version={n}"
+def _part_dir(path: str, part: str) -> str:
+    return f"{path.rstrip('/')}/_part-{part}"
 
 
 def history(spark: SparkSession, path: str) -> DataFrame:
-    """VR1: one row per commit (version, timestamp, operation, parts, batch_id)."""
+    """VR1: one row per commit (version, timestamp, operation, parts, schema, batch_id)."""
     try:
         return spark.read.schema(HISTORY_SCHEMA).option("recursiveFileLookup", True).json(_hist_dir(path))
-    except Exception as e:
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return spark.createDataFrame([], HISTORY_SCHEMA)
-        raise
-
-
-# Commit lists already read or written by this session (single-writer tables):
-# saves one metadata job per call. Other sessions always read the history.
-_KNOWN: dict[tuple[str, str], list] = {}
-
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], HISTORY_SCHEMA)
 
-def _key(spark: SparkSession, path: str) -> tuple[str, str]:
-    return spark.conf.get("spark.app.id", "app"), path.rstrip("/")
 
-
-def _commits(spark: SparkSession, path: str) -> list:
-    k = _key(spark, path)
-    if k not in _KNOWN:
-        # Bounded metadata: one small row per commit (an empty list is cached too:
-        # this session is the table's single writer and records its own commits).
-        rows = sorted(history(spark, path).collect(), key=lambda r: r["version"])
-        _KNOWN[k] = [r.asDict() for r in rows]
-    return _KNOWN[k]
+def commits(spark: SparkSession, path: str) -> list[dict]:
+    """Commit metadata, oldest first: one small row per commit."""
+    return sorted((r.asDict() for r in history(spark, path).collect()), key=lambda r: r["version"])
 
 
 def latest_version(spark: SparkSession, path: str) -> int | None:
-    c = _commits(spark, path)
+    c = commits(spark, path)
     return c[-1]["version"] if c else None
 
 
-def read_as_of(spark: SparkSession, path: str, version: int) -> DataFrame:
-    """VR3 / SRC5: the table as of ``version``."""
-    rows = [r for r in _commits(spark, path) if r["version"] == version]
-    if not rows:
-        raise ValueError(f"{path}: no version {version}")
-    return read_parts(spark, path, list(rows[0]["parts"]))
-
-
-def commits(spark: SparkSession, path: str) -> list[dict]:
-    """Commit metadata (version, operation, parts, batch_id), oldest first."""
-    return [dict(r) for r in _commits(spark, path)]
+def _read(spark: SparkSession, path: str, commit: dict) -> DataFrame:
+    schema = T.StructType.fromJson(json.loads(commit["schema"]))
+    return spark.read.schema(schema).parquet(*[_part_dir(path, p) for p in commit["parts"]])
 
 
-def read_parts(spark: SparkSession, path: str, parts: list[int]) -> DataFrame:
-    """Only the given data parts of a table (e.g. the parts appended since a run).
-
-    Schemas are merged only across several parts (schema evolution); a single
-    part needs no footer-merging job.
-    """
-    dirs = [_part_dir(path, p) for p in parts]
-    reader = spark.read.option("mergeSchema", True) if len(dirs) > 1 else spark.read
-    return reader.parquet(*dirs)
+def read_as_of(spark: SparkSession, path: str, version: int) -> DataFrame:
+    """VR3 / SRC5: the table as of ``version``."""
+    for c in commits(spark, path):
+        if c["version"] == version:
+            return _read(spark, path, c)
+    raise NoVersion(f"{path}: no version {version}")
 
 
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
     """SRC4: the newest committed version."""
-    v = latest_version(spark, path)
-    if v is None:
-        raise ValueError(f"{path}: empty table")
-    return read_as_of(spark, path, v)
+    c = commits(spark, path)
+    if not c:
+        raise NoVersion(f"{path}: empty table")
+    return _read(spark, path, c[-1])
 
 
-def _write_history(spark: SparkSession, path: str, version: int, operation: str, parts: list[int],
-                   batch_id: str | None) -> None:
-    row = {"version": version, "operation": operation, "parts": parts, "batch_id": batch_id}
-    known = list(_commits(spark, path))  # before the new row exists on storage
-    hist = spark.range(1).select(
+def _write_history(spark: SparkSession, path: str, version: int, operation: str, parts: list[str], schema: str,
+                   batch_id: str | None) -> int:
+    row = spark.range(1).select(
         F.lit(version).cast("long").alias("version"),
         F.current_timestamp().alias("timestamp"),
         F.lit(operation).alias("operation"),
-        F.array(*[F.lit(p).cast("long") for p in parts]).alias("parts"),
+        F.array(*[F.lit(p) for p in parts]).cast("array<string>").alias("parts"),
+        F.lit(schema).alias("schema"),
         F.lit(batch_id).cast("string").alias("batch_id"),
     )
-    hist.coalesce(1).write.mode("errorifexists").json(os.path.join(_hist_dir(path), f"v{version:010d}"))
-    _KNOWN[_key(spark, path)] = known + [row]
+    row.coalesce(1).write.mode("errorifexists").json(os.path.join(_hist_dir(path), f"v{version:010d}"))
+    return version
+
+
+def _write_part(df: DataFrame, path: str) -> str:
+    part = uuid.uuid4().hex
+    df.write.parquet(_part_dir(path, part))
+    return part
 
 
 def commit(df: DataFrame, path: str, mode: str = "overwrite", operation: str | None = None,
@@ -132,54 +117,62 @@ def commit(df: DataFrame, path: str, mode: str = "overwrite", operation: str | N
     ``mode="append"`` keeps the previous parts and adds this one. A ``batch_id``
     already present in the history makes the call a no-op (idempotent append).
     """
-    spark = df.sparkSession
-    commits = _commits(spark, path)
-    if batch_id is not None:
-        for r in commits:
-            if r["batch_id"] == batch_id:
-                return r["version"]
-    n = commits[-1]["version"] + 1 if commits else 0
-    # A folder for version n without a history row is an orphan of a failed
-    # commit (single writer): it is invisible and safe to replace.
-    df.write.mode("overwrite").parquet(_part_dir(path, n))
-    if mode == "append" and commits:
-        parts = list(commits[-1]["parts"]) + [n]
-    elif mode in ("append", "overwrite"):
-        parts = [n]
-    else:
+    if mode not in ("append", "overwrite"):
         raise ValueError(mode)
-    _write_history(spark, path, n, operation or ("APPEND" if mode == "append" else "WRITE"), parts, batch_id)
-    return n
+    spark, done = df.sparkSession, commits(df.sparkSession, path)
+    for c in done:
+        if batch_id is not None and c["batch_id"] == batch_id:
+            return c["version"]
+    parts, schema = [], df.schema
+    if mode == "append" and done:
+        parts = list(done[-1]["parts"])
+        known = T.StructType.fromJson(json.loads(done[-1]["schema"]))
+        names = set(known.fieldNames())
+        schema = T.StructType(known.fields + [f for f in df.schema.fields if f.name not in names])
+    n = done[-1]["version"] + 1 if done else 0
+    parts.append(_write_part(df, path))
+    return _write_history(spark, path, n, operation or ("APPEND" if mode == "append" else "WRITE"), parts, schema.json(), batch_id)
+
+
+def _rewrite(spark: SparkSession, path: str, operation: str, hit: Column, change) -> int:
+    """A new version in which the parts with a row where ``hit`` holds are replaced by ``change`` of them."""
+    done = commits(spark, path)
+    if not done:
+        raise NoVersion(f"{path}: empty table")
+    last = done[-1]
+    found = _read(spark, path, last).withColumn("_file", F.col("_metadata.file_path")).filter(hit)
+    names = found.select(F.regexp_extract("_file", "_part-([0-9a-f]{32})/", 1).alias("part")).distinct()
+    touched = {r["part"] for r in names.collect()}  # at most one row per part
+    parts = [p for p in last["parts"] if p not in touched]
+    if touched:
+        parts.append(_write_part(change(_read(spark, path, last | {"parts": sorted(touched)})), path))
+    return _write_history(spark, path, last["version"] + 1, operation, parts, last["schema"], None)
+
+
+def _true(where: Column | str) -> Column:
+    return F.coalesce(F.expr(where) if isinstance(where, str) else where, F.lit(False))
 
 
 def update(spark: SparkSession, path: str, assignments: Mapping[str, Column | str], where: Column | str) -> int:
     """VR2: ``SET col = expr WHERE cond`` as a new version (null condition = not matched)."""
-    cond = F.expr(where) if isinstance(where, str) else where
-    cur = read_latest(spark, path)
-    hit = F.coalesce(cond, F.lit(False))
-    new = cur
-    for c, v in assignments.items():
-        val = F.expr(v) if isinstance(v, str) else v
-        new = new.withColumn(c, F.when(hit, val).otherwise(F.col(c)))
-    return commit(new, path, "overwrite", "UPDATE")
+    hit = _true(where)
+    new = {c: F.when(hit, F.expr(v) if isinstance(v, str) else v).otherwise(F.col(c)) for c, v in assignments.items()}
+    return _rewrite(spark, path, "UPDATE", hit, lambda df: df.withColumns(new))
 
 
 def delete(spark: SparkSession, path: str, where: Column | str) -> int:
     """VR6: drop rows where the condition is true (null condition keeps the row)."""
-    cond = F.expr(where) if isinstance(where, str) else where
-    cur = read_latest(spark, path)
-    return commit(cur.filter(~F.coalesce(cond, F.lit(False))), path, "overwrite", "DELETE")
+    hit = _true(where)
+    return _rewrite(spark, path, "DELETE", hit, lambda df: df.filter(~hit))
 
 
 def restore(spark: SparkSession, path: str, version: int) -> int:
     """VR4: make ``version`` current again (a history row only, no data copy)."""
-    commits = _commits(spark, path)
-    old = [r for r in commits if r["version"] == version]
-    if not old:
-        raise ValueError(f"{path}: no version {version}")
-    n = commits[-1]["version"] + 1
-    _write_history(spark, path, n, "RESTORE", list(old[0]["parts"]), None)
-    return n
+    done = commits(spark, path)
+    for c in done:
+        if c["version"] == version:
+            return _write_history(spark, path, done[-1]["version"] + 1, "RESTORE", list(c["parts"]), c["schema"], None)
+    raise NoVersion(f"{path}: no version {version}")
 
 
 def compare_counts(before: DataFrame, after: DataFrame, key: str) -> DataFrame:

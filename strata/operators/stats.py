@@ -78,15 +78,14 @@ def dedup_effect(df: DataFrame, key: str, digest: bool = True) -> DataFrame:
     ).withColumn("duplicates_removed", F.col("rows_before") - F.col("rows_after"))
 
 
-def summary_row(df: DataFrame, key: str, category: str, measure: str, articles: DataFrame | None = None,
-                articles_cap: int = 10) -> DataFrame:
+def summary_row(df: DataFrame, key: str, category: str, measure: str, articles: DataFrame | None = None) -> DataFrame:
     """AG6/AG7: total entities, highest measure, top category, categories, article count.
 
     ``df`` is a current-state table (one row per ``key``).
     Two-level aggregation: counts per category first (partial aggregation), then
     one tiny global aggregate. The top category breaks count ties by name.
-    ``articles`` is the latest-article list size, itself capped at ``articles_cap``
-    (the list is limited before it is counted).
+    ``articles`` is the list of latest articles (its reader limits it); its rows are counted.
+    ``last_updated`` is the time at which the row is made.
     """
     per_cat = df.groupBy(category).agg(F.max(measure).alias("_max"), F.count(F.lit(1)).alias("_rows"))
     named = F.col(category).isNotNull()
@@ -98,9 +97,8 @@ def summary_row(df: DataFrame, key: str, category: str, measure: str, articles:
         F.count(F.col(category)).alias("total_categories"),
     )
     if articles is not None:
-        n_art = articles.select(F.least(F.count(F.lit(1)), F.lit(articles_cap))).scalar()
-        out = out.withColumn("total_articles", n_art.cast("long"))
-    return out
+        out = out.withColumn("total_articles", articles.select(F.count(F.lit(1))).scalar().cast("long"))
+    return out.withColumn("last_updated", F.current_timestamp())
 
 
 def hourly_means(df: DataFrame, ts: str, measure: str, change: str | None = None) -> DataFrame:

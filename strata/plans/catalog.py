@@ -13,9 +13,11 @@ differ in the last bits.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +37,12 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def updated_since(df: DataFrame, col: str = "last_updated", out: str = "updated_since_start") -> DataFrame:
+    """``col``, a wall-clock time, as a checkable column: not null and not before this call."""
+    start = dt.datetime.now(dt.timezone.utc)
+    return df.withColumn(out, F.coalesce(F.col(col) >= F.lit(start).cast("timestamp"), F.lit(False))).drop(col)
+
+
 def _load_all() -> None:
     # Import for registration side effects.
     from strata.plans import q_text, q_stats, q_series, q_joins, q_clean, q_versions, q_stream  # noqa: F401

@@ -1,11 +1,11 @@
 """Bronze -> Silver -> Gold in one session, and the generation-1 analysis cycle (PL1-PL3).
 
-* Bronze: each landing directory that exists is scanned (declared schema), tagged
-  with ``_ingested_at`` / ``_source`` and appended as a snapshot version,
-  idempotently per ``batch_id``. A missing source is skipped, not fatal.
-* Silver: the Bronze parts not yet consumed, of every source present, unioned by
-  name, cleaned and appended to ``observations`` (history); ``current`` (latest
-  per entity) is refreshed from its previous version plus the new rows.
+* Bronze: a file stream per landing directory that exists (declared schema, ``availableNow``) appends the files that
+  came since the last run, tagged with ``_ingested_at`` / ``_source``. A missing source is skipped, not fatal.
+* Silver: a stream over each Bronze table cleans the new rows and appends those that the history does not hold yet to
+  ``observations``, partitioned by date: a batch is compared with its own dates only. ``current`` (latest per entity)
+  is then brought up from the version it was built from by the observations of later batches; it records which batches
+  it holds, so a crash between the two leaves nothing out. ``rebuild`` starts a new generation from all of Bronze.
 * Gold: category stats and top-10 on ``current``; velocity on the
   *observations* (it needs several observations per entity); topic frequency
   on ``current`` descriptions per source; recently emerged topics.
@@ -16,78 +16,119 @@ unless ``continue_on_failure``. The run log is itself a snapshot table.
 
 from __future__ import annotations
 
-import datetime as dt
 import json
 import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions.text import short_text
 from strata.operators import clean, series, snapshots, stats, terms
-from strata.sources.landing import API_SCHEMA, RSS_SCHEMA, read_landing
+from strata.sources.landing import API_SCHEMA, CORRUPT, RSS_SCHEMA, landing_schema
+from strata.streaming import batches, jobs
 
 SCHEMAS = {"api": API_SCHEMA, "rss": RSS_SCHEMA}
 GOLD = ("language_dist", "top_repos", "star_velocity", "emerging_topics")
+KEYS = ["full_name", "event_time", "_source"]
+PARTITIONS = ["_source", "event_date"]
 
 
-def _p(root: str, name: str) -> str:
-    return os.path.join(root, name)
+def _p(root: str, *names: str) -> str:
+    return os.path.join(root, *names)
 
 
-def bronze(spark: SparkSession, landing: dict[str, str], root: str, batch_id: str, multiline: bool = True) -> dict:
-    done = {}
-    for source, path in landing.items():
-        raw = read_landing(spark, path, SCHEMAS.get(source, API_SCHEMA), multiline=multiline)
-        tagged = clean.add_ingest_metadata(raw, source)
-        done[source] = snapshots.commit(tagged, _p(root, f"bronze_{source}"), "append", batch_id=batch_id)
-    return done
+def _bronze_schema(source: str) -> T.StructType:
+    tags = [T.StructField("_ingested_at", T.TimestampType()), T.StructField("_source", T.StringType())]
+    return T.StructType(landing_schema(SCHEMAS.get(source, API_SCHEMA)).fields + tags)
 
 
-def silver(spark: SparkSession, root: str, sources=("api", "rss"), incremental: bool = True) -> None:
-    """Clean new Bronze rows into Silver.
+def bronze(spark: SparkSession, landing: dict[str, str], root: str, multiline: bool = True) -> list[str]:
+    """Append the landing files not taken yet; returns the sources that exist."""
+    there = [s for s, path in landing.items() if batches.exists(spark, path)]
+    for source in there:
+        raw = (
+            spark.readStream.schema(landing_schema(SCHEMAS.get(source, API_SCHEMA)))
+            .option("multiLine", multiline).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+            .option("pathGlobFilter", "*.json").option("recursiveFileLookup", True).json(landing[source])
+        )
+        jobs.ingest(raw, source, _p(root, f"bronze_{source}"), _p(root, "_checkpoints", f"bronze_{source}"))
+    return there
 
-    Each Silver commit records, in its ``batch_id``, the Bronze parts it has
-    consumed. With ``incremental`` only parts appended since then are cleaned;
-    rows already in the history (same entity, event time and source) are
-    anti-joined away and the rest appended, and ``current`` is refreshed from the
-    previous ``current`` plus the new rows (entity-sized, not history-sized). A
-    Bronze that was overwritten (consumed parts no longer listed) triggers a full
-    rebuild.
-    """
-    obs_path, cur_path = _p(root, "silver_observations"), _p(root, "silver_current")
-    latest_parts = {}
-    for s in sources:
-        c = snapshots.commits(spark, _p(root, f"bronze_{s}"))
-        if c:
-            latest_parts[f"bronze_{s}"] = list(c[-1]["parts"])
-    if not latest_parts:
-        raise RuntimeError("no Bronze source available")
-    prev = snapshots.commits(spark, obs_path)
-    consumed = json.loads(prev[-1]["batch_id"]) if prev and prev[-1].get("batch_id") else None
-    full = (
-        not incremental
-        or consumed is None
-        or any(not set(consumed.get(t, [])) <= set(p) for t, p in latest_parts.items())
-    )
-    new_parts = {t: (p if full else [x for x in p if x not in set(consumed.get(t, []))]) for t, p in latest_parts.items()}
-    frames = [snapshots.read_parts(spark, _p(root, t), p).drop("_corrupt_record") for t, p in new_parts.items() if p]
-    if not frames and not full:
-        return  # nothing new since the last run
-    batch = json.dumps(latest_parts, sort_keys=True)
-    fresh = clean.dedup_observations(clean.silver_observations(clean.union_sources(frames)))
-    if full:
-        snapshots.commit(fresh, obs_path, "overwrite", batch_id=batch)
-        obs = snapshots.read_latest(spark, obs_path)
-        snapshots.commit(clean.current_state(obs), cur_path)
+
+def read_bronze(spark: SparkSession, root: str, source: str) -> DataFrame | None:
+    path = _p(root, f"bronze_{source}")
+    return spark.read.schema(_bronze_schema(source)).parquet(path) if batches.exists(spark, path) else None
+
+
+def _generation(spark: SparkSession, root: str) -> str:
+    """The folder of the newest Silver generation."""
+    done = snapshots.commits(spark, _p(root, "silver_generations"))
+    return _p(root, f"silver_{done[-1]['version'] if done else 0}")
+
+
+def _observation_schema(spark: SparkSession) -> T.StructType:
+    """Of the union of all sources, also where one of them has no data."""
+    none = [spark.createDataFrame([], _bronze_schema(s)) for s in SCHEMAS]
+    return clean.silver_observations(clean.union_sources(none)).schema
+
+
+def read_observations(spark: SparkSession, root: str) -> DataFrame:
+    return batches.get(spark, _p(_generation(spark, root), "observations"), _observation_schema(spark), PARTITIONS)
+
+
+def _observe(spark: SparkSession, root: str, source: str, schema: T.StructType) -> None:
+    """Clean the Bronze rows that came since the last run and append the new observations."""
+    home = _generation(spark, root)
+    path = _p(home, "observations")
+
+    def step(rows: DataFrame, epoch: int) -> None:
+        other = [rows.sparkSession.createDataFrame([], _bronze_schema(s)) for s in SCHEMAS if s != source]
+        cleaned = clean.silver_observations(clean.union_sources([rows, *other]).drop(CORRUPT))
+        fresh = clean.dedup_observations(cleaned.select(*schema.fieldNames()))
+        dates = [r[0] or "" for r in fresh.select("event_date").distinct().collect()]
+        known = batches.get(rows.sparkSession, path, schema, PARTITIONS).filter(
+            (F.col("_source") == source) & F.coalesce("event_date", F.lit("")).isin(dates) & (F.col(batches.BATCH) < epoch)
+        )
+        batches.put(fresh.join(known.select(*KEYS), KEYS, "left_anti"), path, epoch, PARTITIONS)
+
+    stream = spark.readStream.schema(_bronze_schema(source)).parquet(_p(root, f"bronze_{source}"))
+    jobs.each_batch(stream, step, _p(home, "_checkpoints", source), True)
+
+
+def refresh_current(spark: SparkSession, root: str) -> None:
+    """Bring ``current`` up to the observations: from the version it was built from, by the batches after that."""
+    path = _p(_generation(spark, root), "current")
+    obs = read_observations(spark, root)
+    newest = {r["_source"]: r["b"] for r in obs.groupBy("_source").agg(F.max(batches.BATCH).alias("b")).collect()}
+    done = snapshots.commits(spark, path)
+    held = json.loads(done[-1]["batch_id"]) if done else {}
+    if done and newest == held:
         return
-    keys = ["full_name", "event_time", "_source"]
-    known = snapshots.read_latest(spark, obs_path).select(*keys)
-    added = fresh.join(known, keys, "left_anti")
-    snapshots.commit(added, obs_path, "append", batch_id=batch)
-    new_rows = snapshots.read_parts(spark, obs_path, [snapshots.latest_version(spark, obs_path)])
-    cur = snapshots.read_latest(spark, cur_path).unionByName(new_rows.select(*snapshots.read_latest(spark, cur_path).columns))
-    snapshots.commit(clean.current_state(cur), cur_path)
+    later = F.lit(False)
+    for source, epoch in newest.items():
+        later = later | ((F.col("_source") == source) & (F.col(batches.BATCH) > held.get(source, -1)))
+    rows = obs.filter(later).drop(batches.BATCH)
+    rows = snapshots.read_latest(spark, path).unionByName(rows) if done else rows
+    snapshots.commit(clean.current_state(rows), path, batch_id=json.dumps(newest, sort_keys=True))
+
+
+def silver(spark: SparkSession, root: str, sources=("api", "rss"), rebuild: bool = False) -> None:
+    """Clean new Bronze rows into Silver; with ``rebuild`` all of them, into a new generation."""
+    sources = [s for s in sources if batches.exists(spark, _p(root, f"bronze_{s}"))]
+    if not sources:
+        raise RuntimeError("no Bronze source available")
+    generations = _p(root, "silver_generations")
+    if rebuild or not snapshots.commits(spark, generations):
+        snapshots.commit(spark.range(1), generations, operation="REBUILD")
+    schema = _observation_schema(spark)
+    for source in sources:
+        _observe(spark, root, source, schema)
+    refresh_current(spark, root)
+
+
+def read_current(spark: SparkSession, root: str) -> DataFrame:
+    return snapshots.read_latest(spark, _p(_generation(spark, root), "current"))
 
 
 def gold_tables(obs: DataFrame, cur: DataFrame) -> dict[str, DataFrame]:
@@ -106,20 +147,18 @@ def gold_tables(obs: DataFrame, cur: DataFrame) -> dict[str, DataFrame]:
 
 
 def gold(spark: SparkSession, root: str) -> None:
-    obs = snapshots.read_latest(spark, _p(root, "silver_observations"))
-    cur = snapshots.read_latest(spark, _p(root, "silver_current"))
-    for name, df in gold_tables(obs, cur).items():
+    obs = read_observations(spark, root).drop(batches.BATCH)
+    for name, df in gold_tables(obs, read_current(spark, root)).items():
         snapshots.commit(df, _p(root, f"gold_{name}"))
 
 
-def run(spark: SparkSession, landing: dict[str, str], root: str, batch_id: str | None = None,
-        multiline: bool = True, continue_on_failure: bool = False) -> DataFrame:
+def run(spark: SparkSession, landing: dict[str, str], root: str, multiline: bool = True,
+        continue_on_failure: bool = False, rebuild: bool = False) -> DataFrame:
     """PL1 + PL2: run the three layers; returns (stage, status, error, finished_at) rows,
     also appended to ``<root>/run_log``."""
-    batch_id = batch_id or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
     steps = [
-        ("bronze", lambda: bronze(spark, landing, root, batch_id, multiline)),
-        ("silver", lambda: silver(spark, root, tuple(landing))),
+        ("bronze", lambda: bronze(spark, landing, root, multiline)),
+        ("silver", lambda: silver(spark, root, tuple(landing), rebuild)),
         ("gold", lambda: gold(spark, root)),
     ]
     log, failed = [], False
@@ -132,7 +171,7 @@ def run(spark: SparkSession, landing: dict[str, str], root: str, batch_id: str |
             log.append((stage, "OK", None))
         except Exception as e:  # recorded, then dependents stop
             failed = True
-            log.append((stage, "FAILED", f"{type(e).__name__}: {str(e)[:300]}"))
+            log.append((stage, "FAILED", f"{type(e).__name__}: {e}"))
     result = spark.createDataFrame(log, "stage string, status string, error string").withColumn(
         "finished_at", F.current_timestamp()
     )
@@ -141,11 +180,13 @@ def run(spark: SparkSession, landing: dict[str, str], root: str, batch_id: str |
 
 
 def tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    names = ["bronze_api", "bronze_rss", "silver_observations", "silver_current"] + [f"gold_{g}" for g in GOLD]
-    out = {}
-    for n in names:
-        if snapshots.latest_version(spark, _p(root, n)) is not None:
-            out[n] = snapshots.read_latest(spark, _p(root, n))
+    out = {f"bronze_{s}": df for s in SCHEMAS if (df := read_bronze(spark, root, s)) is not None}
+    if snapshots.commits(spark, _p(root, "silver_generations")):
+        out["silver_observations"] = read_observations(spark, root).drop(batches.BATCH)
+        out["silver_current"] = read_current(spark, root)
+    for g in GOLD:
+        if snapshots.commits(spark, _p(root, f"gold_{g}")):
+            out[f"gold_{g}"] = snapshots.read_latest(spark, _p(root, f"gold_{g}"))
     return out
 
 

@@ -3,12 +3,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from strata.functions.text import TOPIC_STOPWORDS
-from strata.operators import clean, serving, stats
+from strata.operators import clean, serving, snapshots, stats
 from strata.plans import medallion
-from strata.plans.catalog import register
+from strata.plans.catalog import register, updated_since
 from strata.session import scratch_path
 from strata.sinks import writers
 from strata.sources import html, landing
@@ -83,13 +85,13 @@ def _bronze_like_events(spark, sf_dir):
             SELECT full_name, description, _source, coalesce(m, 0) AS stargazers_count,
                    coalesce(language, 'Unknown') AS language, lower(coalesce(language, 'Unknown')) AS language_lower,
                    event_time, CAST(hour(event_time) AS INTEGER) AS event_hour, strftime(event_time, '%Y-%m-%d') AS event_date,
-                   _time_source, _quality_flag
+                   _time_source, _quality_flag, true AS processed_since_start
             FROM t WHERE coalesce(m, 0) >= 0""",
 )
 def silver_clean(spark, sf_dir):
-    """PRJ2-PRJ9, PRJ11: Silver cleaning (flag before imputation, try-casts, time fallback)."""
+    """PRJ2-PRJ11: Silver cleaning (flag before imputation, try-casts, time fallback)."""
     obs = clean.silver_observations(_bronze_like_events(spark, sf_dir))
-    return obs.drop("_ingested_at", "_processed_at", "html_url", "topics", "timestamp")
+    return updated_since(obs, "_processed_at", "processed_since_start").drop("_ingested_at", "html_url", "topics", "timestamp")
 
 
 @register(
@@ -109,10 +111,11 @@ _UNESC = "replace(replace(replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'
 
 @register(
     "html_links",
-    sql="""WITH p AS (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)">', 1) AS h,
-                             regexp_extract_all(html, '<a href="[^"]*">([^<]*)</a>', 1) AS t FROM pages)
-           SELECT page_id, CAST(i AS INTEGER) AS position, h[i] AS href, t[i] AS anchor_text
-           FROM (SELECT *, unnest(range(1, len(h) + 1)) AS i FROM p)""",
+    sql=r"""WITH p AS (SELECT page_id, list_filter(regexp_extract_all(html, '(?is)<a\b[^>]*>.*?</a>'),
+                               lambda x: regexp_matches(x, '(?is)^<a\b[^>]*?\bhref\s*=')) AS a FROM pages)
+           SELECT page_id, CAST(i AS INTEGER) AS position, regexp_extract(a[i], '(?is)^<a\b[^>]*?\bhref\s*=\s*["'']([^"'']*)', 1) AS href,
+                  regexp_replace(a[i], '<[^>]*>', '', 'g') AS anchor_text
+           FROM (SELECT *, unnest(range(1, len(a) + 1)) AS i FROM p)""",
 )
 def html_links(spark, sf_dir):
     """SRC8 (links): every anchor of every page with position and text."""
@@ -207,22 +210,24 @@ def serving_languages(spark, sf_dir):
            SELECT CAST(sum(n) AS BIGINT) AS total_entities,
                   (SELECT max(n_chars) FROM documents) AS highest_measure,
                   (SELECT lang FROM c ORDER BY n DESC, lang LIMIT 1) AS top_category,
-                  count(*) AS total_categories, CAST(0 AS BIGINT) AS total_articles FROM c""",
+                  count(*) AS total_categories, CAST(0 AS BIGINT) AS total_articles,
+                  true AS updated_since_start, 'Gold Layer' AS data_source FROM c""",
 )
 def serving_summary(spark, sf_dir):
     """AG7 (Gold variant) over a category table and a top-10 list."""
     d = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
     dist = stats.distribution(d, "lang", drop_null=False)
     top = d.orderBy(F.desc("n_chars"), F.asc("doc_id")).limit(10)
-    return serving.serve_summary(dist, top, "lang", "count", "n_chars")
+    return updated_since(serving.serve_summary(dist, top, "lang", "count", "n_chars"))
 
 
 def _observation_records(spark, sf_dir):
-    """Stand-in observations: events (entity, time, type) joined with documents
-    (description, category, measure) on id."""
+    """Stand-in observations, one per event (entity, time, type); description, category and measure are those of the
+    document whose id is the event's modulo the number of documents, so every event has one."""
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
     d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars")
-    j = ev.join(d, ev.event_id == d.doc_id)
+    n = d.select(F.count(F.lit(1))).scalar()
+    j = ev.withColumn("_doc", F.pmod("event_id", n)).join(d, F.col("_doc") == d.doc_id, "left")
     iso = F.date_format("ts", ISO)
     return j.select(
         F.concat(F.lit("user/"), F.col("user_id").cast("string")).alias("full_name"),
@@ -240,41 +245,109 @@ def _observation_records(spark, sf_dir):
 _OBS_SQL = """
     j AS (SELECT e.event_id, e.ts, e.user_id, e.event_type, d.text, d.lang, d.n_chars,
                  CASE WHEN e.event_type IN ('click', 'view') THEN 'api' ELSE 'rss' END AS src
-          FROM events e JOIN documents d ON e.event_id = d.doc_id),
+          FROM events e LEFT JOIN documents d ON e.event_id % (SELECT count(*) FROM documents) = d.doc_id),
     cur AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, src DESC) AS rn FROM j)
             WHERE rn = 1)"""
 
 _STOP_SQL = ", ".join(f"'{w}'" for w in TOPIC_STOPWORDS)
+_TOPICS_SQL = f"""
+    w AS (SELECT word, src, count(*) AS n FROM (
+            SELECT src, unnest(string_split(lower(regexp_replace(text, '[^a-zA-Z0-9 ]', '', 'g')), ' ')) AS word FROM cur)
+          WHERE regexp_matches(word, '^[a-z]{{4,}}') AND word NOT IN ({_STOP_SQL}) GROUP BY ALL),
+    g AS (SELECT user_id, src, n_chars, n_chars - lag(n_chars) OVER (PARTITION BY user_id, src ORDER BY ts) AS gain FROM j),
+    vel AS (SELECT user_id, src, max(n_chars) AS current_value, sum(gain) AS total_gain, count(*) AS n FROM g WHERE gain IS NOT NULL GROUP BY ALL),
+    lg AS (SELECT lower(lang) AS lang, count(*) AS n, max(n_chars) AS mx FROM cur GROUP BY ALL),
+    top AS (SELECT * FROM cur ORDER BY n_chars DESC, 'user/' || user_id LIMIT 10)"""
+
+
+def _layer_run(spark, sf_dir):
+    """Two landing rounds, the older half of the events last, each followed by a run; then the layers' tables."""
+    rec = _observation_records(spark, sf_dir).withColumn("_late", F.col("timestamp") < F.lit("2024-01-16")).persist()
+    root = scratch_path(spark, "medallion")
+    places = {s: f"{root}/landing/{s}" for s in ("api", "rss")}
+    try:
+        for late in (False, True):
+            part = rec.filter(F.col("_late") == late).drop("_late")
+            api = part.filter(F.col("_src") == "api").drop("_src", "updated_at")
+            rss = part.filter(F.col("_src") == "rss").drop("_src", "topics").withColumn("source", F.lit("trending"))
+            writers.overwrite_json(api, f"{places['api']}/round-{late}")
+            writers.overwrite_json(rss, f"{places['rss']}/round-{late}")
+            status = medallion.run(spark, places, root, multiline=False)
+            failed = status.filter(F.col("status") != "OK").collect()
+            if failed:
+                raise RuntimeError(f"medallion run failed: {failed}")
+    finally:
+        rec.unpersist()
+    return medallion.tables(spark, root), root
 
 
 @register(
     "medallion_run",
-    sql=f"""WITH {_OBS_SQL},
-            w AS (SELECT DISTINCT word, src FROM (
-                    SELECT src, unnest(string_split(lower(regexp_replace(text, '[^a-zA-Z0-9 ]', '', 'g')), ' ')) AS word FROM cur)
-                  WHERE regexp_matches(word, '^[a-z]{{4,}}') AND word NOT IN ({_STOP_SQL}))
+    sql=f"""WITH {_OBS_SQL}, {_TOPICS_SQL}
             SELECT 'bronze_api' AS "table", count(*) FILTER (WHERE src = 'api') AS rows FROM j
             UNION ALL SELECT 'bronze_rss', count(*) FILTER (WHERE src = 'rss') FROM j
             UNION ALL SELECT 'silver_observations', count(*) FROM j
             UNION ALL SELECT 'silver_current', count(*) FROM cur
-            UNION ALL SELECT 'gold_language_dist', count(DISTINCT lower(lang)) FROM cur
-            UNION ALL SELECT 'gold_top_repos', least(count(*), 10) FROM cur
-            UNION ALL SELECT 'gold_star_velocity', count(*) FROM (SELECT user_id, src FROM j GROUP BY user_id, src HAVING count(*) > 1)
+            UNION ALL SELECT 'gold_language_dist', count(*) FROM lg
+            UNION ALL SELECT 'gold_top_repos', count(*) FROM top
+            UNION ALL SELECT 'gold_star_velocity', count(*) FROM vel
             UNION ALL SELECT 'gold_emerging_topics', count(*) FROM w""",
 )
 def medallion_run(spark, sf_dir):
-    """PL1 + SNK8: land two sources as JSON, run Bronze -> Silver -> Gold, count every layer."""
+    """PL1 + SNK8: land two sources as JSON in two rounds, run Bronze -> Silver -> Gold after each, count every layer."""
+    return writers.layer_counts(_layer_run(spark, sf_dir)[0])
+
+
+@register(
+    "medallion_contents",
+    sql=f"""WITH {_OBS_SQL}, {_TOPICS_SQL}
+            SELECT 'observations' AS "table", 'user/' || user_id AS name, src, strftime(ts, '{ISO_SQL}') AS detail, n_chars AS number FROM j
+            UNION ALL SELECT 'current', 'user/' || user_id, src, strftime(ts, '{ISO_SQL}'), n_chars FROM cur
+            UNION ALL SELECT 'language_dist', lang, NULL, CAST(mx AS VARCHAR), n FROM lg
+            UNION ALL SELECT 'top_repos', 'user/' || user_id, src, lang, n_chars FROM top
+            UNION ALL SELECT 'star_velocity', 'user/' || user_id, src, CAST(total_gain AS VARCHAR) || ' ' || CAST(n AS VARCHAR), current_value FROM vel
+            UNION ALL SELECT 'emerging_topics', word, src, NULL, n FROM w""",
+)
+def medallion_contents(spark, sf_dir):
+    """PL1: what the layers hold after two rounds, not only how much."""
+    t, _ = _layer_run(spark, sf_dir)
+    null = F.lit(None).cast("string")
+    iso = F.date_format("event_time", ISO)
+
+    def rows(name, of, key, source, detail, number):
+        return t[of].select(F.lit(name).alias("table"), F.col(key).alias("name"), source.alias("src"), detail.alias("detail"), F.col(number).cast("long").alias("number"))
+
+    src = F.col("_source")
+    parts = [
+        rows("observations", "silver_observations", "full_name", src, iso, "stargazers_count"),
+        rows("current", "silver_current", "full_name", src, iso, "stargazers_count"),
+        rows("language_dist", "gold_language_dist", "language_lower", null, F.col("max_stars").cast("string"), "total_repos"),
+        rows("top_repos", "gold_top_repos", "full_name", src, F.col("language"), "stargazers_count"),
+        rows("star_velocity", "gold_star_velocity", "full_name", src, F.concat_ws(" ", F.col("total_gain").cast("long").cast("string"), F.col("observation_count").cast("string")), "current_value"),
+        rows("emerging_topics", "gold_emerging_topics", "word", src, null, "frequency"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register(
+    "medallion_log",
+    sql="""SELECT unnest(['bronze', 'silver', 'gold', 'bronze', 'silver', 'gold']) AS stage, 'OK' AS status, true AS finished_since_start
+           FROM (SELECT 1 WHERE EXISTS (SELECT 1 FROM events))""",
+)
+def medallion_log(spark, sf_dir):
+    """PL2: the run log after two rounds."""
+    start = F.lit(dt.datetime.now(dt.timezone.utc)).cast("timestamp")
+    _, root = _layer_run(spark, sf_dir)
+    log = snapshots.read_latest(spark, f"{root}/run_log")
+    return log.select("stage", "status", (F.col("finished_at") >= start).alias("finished_since_start"))
+
+
+def _cycle(spark, sf_dir):
     rec = _observation_records(spark, sf_dir)
-    root = scratch_path(spark, "medallion")
-    api = rec.filter(F.col("_src") == "api").drop("_src", "updated_at")
-    rss = rec.filter(F.col("_src") == "rss").drop("_src", "topics").withColumn("source", F.lit("trending"))
-    writers.overwrite_json(api, f"{root}/landing/api")
-    writers.overwrite_json(rss, f"{root}/landing/rss")
-    status = medallion.run(spark, {"api": f"{root}/landing/api", "rss": f"{root}/landing/rss"}, root, multiline=False)
-    failed = status.filter(F.col("status") != "OK").collect()
-    if failed:
-        raise RuntimeError(f"medallion run failed: {failed}")
-    return writers.layer_counts(medallion.tables(spark, root))
+    return medallion.clean_cycle(rec.drop("_src"), rec.filter(F.col("_src") == "rss"))
 
 
 @register(
@@ -284,23 +357,105 @@ def medallion_run(spark, sf_dir):
             SELECT count(*) AS total_entities, max(n_chars) AS highest_measure,
                    (SELECT lang FROM (SELECT lang, count(*) AS n FROM a WHERE lang IS NOT NULL GROUP BY lang) ORDER BY n DESC, lang LIMIT 1) AS top_category,
                    count(DISTINCT lang) AS total_categories,
-                   least((SELECT count(*) FROM j WHERE src = 'rss'), 10) AS total_articles
+                   least((SELECT count(*) FROM j WHERE src = 'rss'), 10) AS total_articles, true AS updated_since_start
             FROM a""",
 )
 def analysis_cycle_summary(spark, sf_dir):
     """PL3: the one-row summary of a generation-1 analysis cycle (api = all sources
     de-duplicated per entity; articles = newest-10 list of the rss rows)."""
-    rec = _observation_records(spark, sf_dir)
-    rss = rec.filter(F.col("_src") == "rss")
-    out = medallion.clean_cycle(rec.drop("_src"), rss)
-    return out["summary"]
+    return updated_since(_cycle(spark, sf_dir)["summary"])
+
+
+@register(
+    "analysis_cycle_outputs",
+    sql=f"""WITH {_OBS_SQL},
+            words AS (SELECT word, count(*) AS n FROM (SELECT unnest(string_split(lower(text), ' ')) AS word FROM cur) WHERE length(word) > 3 GROUP BY word)
+            SELECT 'language_dist' AS output, lang AS name, count(*) AS number FROM cur WHERE lang IS NOT NULL GROUP BY lang
+            UNION ALL SELECT 'top_repos', 'user/' || user_id, n_chars FROM (SELECT * FROM cur ORDER BY n_chars DESC, 'user/' || user_id LIMIT 10)
+            UNION ALL SELECT 'word_freq', word, n FROM (SELECT * FROM words ORDER BY n DESC, word LIMIT 15)
+            UNION ALL SELECT 'rss_latest', 'user/' || user_id, n_chars FROM (SELECT * FROM j WHERE src = 'rss' ORDER BY ts DESC, 'user/' || user_id LIMIT 10)""",
+)
+def analysis_cycle_outputs(spark, sf_dir):
+    """PL3: the other four outputs of the cycle."""
+    out = _cycle(spark, sf_dir)
+    named = {"language_dist": ("language", "count"), "top_repos": ("full_name", "stargazers_count"), "word_freq": ("word", "count"), "rss_latest": ("full_name", "stargazers_count")}
+    parts = [out[o].select(F.lit(o).alias("output"), F.col(n).alias("name"), F.col(v).cast("long").alias("number")) for o, (n, v) in named.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+@register("json_array_landing", sql="SELECT doc_id, lang, source, n_chars FROM documents")
+def json_array_landing(spark, sf_dir):
+    """SRC1 + SRC2: a directory of multi-line JSON arrays, beside a cut-off file, an empty array and a file of another kind."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    path = scratch_path(spark, "arrays")
+    files = d.groupBy(F.floor(F.col("doc_id") / 100).alias("_file")).agg(F.collect_list(F.struct(*d.columns)).alias("items"))
+    arrays = files.select(F.replace(F.to_json("items"), F.lit("},{"), F.lit("},\n{")).alias("value"), F.col("_file").cast("string").alias("_file"))
+    arrays.write.partitionBy("_file").text(f"{path}/in")
+    spark.range(1).select(F.lit('[{"doc_id":').alias("value")).coalesce(1).write.text(f"{path}/in/_file=cut")
+    spark.range(1).select(F.lit("[]").alias("value")).coalesce(1).write.text(f"{path}/in/_file=empty")
+    d.limit(1).write.json(f"{path}/in/_file=other")
+    raw = landing.read_landing(spark, f"{path}/in", d.schema, multiline=True, glob="*.txt")
+    raw.write.parquet(f"{path}/bronze")
+    bronze = spark.read.schema(raw.schema).parquet(f"{path}/bronze")
+    return bronze.filter(F.col(landing.CORRUPT).isNull()).drop(landing.CORRUPT)
+
+
+@register(
+    "json_fallback_ingest",
+    sql="SELECT doc_id, lang, 'documents' AS _source, true AS ingested_since_start FROM documents",
+)
+def json_fallback_ingest(spark, sf_dir):
+    """SNK7 + PRJ1: tagged rows as JSON, the ingest time as an ISO string, read back."""
+    start = F.lit(dt.datetime.now(dt.timezone.utc)).cast("timestamp")
+    d = clean.add_ingest_metadata(table(spark, sf_dir, "documents").select("doc_id", "lang"), "documents")
+    path = scratch_path(spark, "fallback")
+    writers.overwrite_json(d, path)
+    back = spark.read.schema("doc_id long, lang string, _source string, _ingested_at string").json(path)
+    return back.select("doc_id", "lang", "_source", (F.to_timestamp("_ingested_at") >= F.date_trunc("second", start)).alias("ingested_since_start"))
+
+
+@register("gold_else_clean", sql="SELECT lang, count(*) AS count FROM documents WHERE lang IS NOT NULL GROUP BY lang")
+def gold_else_clean(spark, sf_dir):
+    """PRJ16: Gold tables if any has rows, else the Clean result; here one Gold table is missing and one is empty."""
+    d = table(spark, sf_dir, "documents").select("lang")
+    path = scratch_path(spark, "gold")
+    snapshots.commit(d.limit(0), f"{path}/language_dist")
+    readers = [lambda: snapshots.read_latest(spark, f"{path}/top_repos"), lambda: spark.read.parquet(f"{path}/none"),
+               lambda: snapshots.read_latest(spark, f"{path}/language_dist"), lambda: stats.distribution(d, "lang")]
+    return serving.first_available(readers)
+
+
+@register(
+    "repo_items",
+    sql=f"""SELECT page_id, 'site/' || page_id AS full_name, 'https://host/site/' || page_id AS html_url,
+                   {_UNESC.format(x=r"regexp_replace(regexp_replace(regexp_extract(html, '<title>(.*?)</title>', 1), '<[^>]*>', '', 'g'), '^\s+|\s+$', '', 'g')")} AS description,
+                   CASE WHEN page_id % 3 = 0 THEN 'Unknown' ELSE 'Lang' || page_id % 7 END AS language,
+                   CASE WHEN page_id % 5 = 0 THEN 0 ELSE page_id * 37 END AS stargazers_count
+            FROM pages""",
+)
+def repo_items(spark, sf_dir):
+    """SRC8: repository rows of listing pages; each page is rewrapped in the layout of a listing, with nested elements and decoys."""
+    p = table(spark, sf_dir, "pages").select("page_id", "html")
+    i = F.col("page_id").cast("string")
+    language = F.when(F.col("page_id") % 3 != 0, F.concat(F.lit('<span class="d" itemprop="programmingLanguage">Lang'), (F.col("page_id") % 7).cast("string"), F.lit("</span>"))).otherwise("")
+    stars = F.when(F.col("page_id") % 5 != 0, F.concat(F.lit('<span class="s"><svg a="b"><path/></svg> <span>'), F.format_number(F.col("page_id") * 37, 0), F.lit("</span>\n stars today</span>"))).otherwise("<span>no count</span>")
+    page = F.concat(
+        F.lit('<article class="ad Box-rows"><h2 class="h3"><a href="/ad">x</a></h2></article><article class="x Box-row y"><h2>no class</h2></article>'),
+        F.lit('<article class="Box-row d-flex"><h2 class="lh h3"><a class="Link" data-x="1"\n href="/site/'), i, F.lit('"><b>site</b> / '), i, F.lit("</a></h2>"),
+        F.lit('<p class="col-8">decoy</p><p class="my-1 col-9">\n '), F.regexp_extract("html", "<title>(.*?)</title>", 1), F.lit(" \n</p>"),
+        language, F.lit("<span>1</span>"), stars, F.lit("<span>9 stars in all</span></article>"),
+    )
+    # The last span is a decoy where an earlier one has the word; pages without a count have none after all.
+    page = F.when(F.col("page_id") % 5 == 0, F.replace(page, F.lit("<span>9 stars in all</span>"), F.lit(""))).otherwise(page)
+    return html.repo_items(p.select("page_id", page.alias("html")), base_url="https://host", keep=["page_id"])
 
 
 @register(
     "serving_top",
     sql="""SELECT coalesce(source || '/' || CAST(doc_id AS VARCHAR), '') AS full_name, coalesce(n_chars, 0) AS stargazers_count,
                   coalesce(lang, '') AS language, coalesce('/' || source, '#') AS html_url,
-                  CASE WHEN coalesce(substring(text, 1, 80), '') = '' THEN '—' ELSE substring(text, 1, 80) END AS short_description
+                  CASE WHEN coalesce(substring(text, 1, 80), '') = '' THEN '—' ELSE substring(text, 1, 80) END AS short_description,
+                  source AS _source
            FROM documents ORDER BY n_chars DESC, doc_id LIMIT 10""",
 )
 def serving_top(spark, sf_dir):
@@ -310,6 +465,7 @@ def serving_top(spark, sf_dir):
         F.concat(F.col("source"), F.lit("/"), F.col("doc_id").cast("string")).alias("full_name"),
         F.col("n_chars").alias("stargazers_count"), F.col("lang").alias("language"),
         F.concat(F.lit("/"), F.col("source")).alias("html_url"), F.col("text").alias("description"),
+        F.col("source").alias("_source"),
     )
     return serving.serve_top(top)
 
@@ -319,7 +475,8 @@ def serving_top(spark, sf_dir):
     sql="""WITH p AS (SELECT user_id, value, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev_value FROM events),
                 v AS (SELECT user_id, max(value) AS current_value, round(sum(value - prev_value), 6) AS total_gain
                       FROM p WHERE prev_value IS NOT NULL GROUP BY user_id)
-           SELECT user_id, current_value, total_gain FROM v ORDER BY total_gain DESC, user_id LIMIT 10""",
+           SELECT user_id, current_value, total_gain, CASE user_id % 3 WHEN 0 THEN 'Objective-C' WHEN 1 THEN 'Go' ELSE 'Unknown' END AS language
+           FROM v ORDER BY total_gain DESC, user_id LIMIT 10""",
 )
 def serving_velocity(spark, sf_dir):
     """Served velocity list: the 10 entities with the largest total gain (ties by key)."""
@@ -328,4 +485,6 @@ def serving_velocity(spark, sf_dir):
     ev = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "value")
     vel = series.velocity(ev, "user_id", "ts", "event_id", "value").select(
         "user_id", "current_value", F.round("total_gain", 6).alias("total_gain"))
+    of = F.col("user_id") % 3
+    vel = vel.withColumn("language_lower", F.when(of == 0, "objective-c").when(of == 1, "go"))
     return serving.serve_velocity(vel, "user_id", 10)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strata.functions.text import short_text
 from strata.operators import stats
 from strata.operators.terms import top_n
-from strata.plans.catalog import register
+from strata.plans.catalog import register, updated_since
 from strata.sources.tables import table
 
 
@@ -250,10 +250,10 @@ def dedup_effect(spark, sf_dir):
            SELECT CAST(sum(n) AS BIGINT) AS total_entities, max(mx) AS highest_measure,
                   (SELECT lang FROM c WHERE lang IS NOT NULL ORDER BY n DESC, lang LIMIT 1) AS top_category,
                   count(lang) AS total_categories,
-                  least((SELECT count(*) FROM conversations), 10) AS total_articles
+                  (SELECT count(*) FROM conversations) AS total_articles, true AS updated_since_start
            FROM c""",
 )
 def summary_row(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
     conv = table(spark, sf_dir, "conversations").select("conv_id")
-    return stats.summary_row(docs, "doc_id", "lang", "n_chars", articles=conv)
+    return updated_since(stats.summary_row(docs, "doc_id", "lang", "n_chars", articles=conv))

@@ -1,18 +1,14 @@
 """Catalog entries: Structured Streaming jobs run to completion (SM1-SM7).
 
-Each query streams the ``events`` table through a file source
-(``trigger(availableNow=True)``) into sinks and state under a fresh folder of
-the shared checkpoint dir, then returns a batch read of the final state, which
-is compared with the batch SQL of the same result.
+Each query lands the ``events`` table as several polls, out of order, and streams them one file per micro-batch
+(``trigger(availableNow=True)``) into sinks and state under a fresh folder of the shared checkpoint dir. It returns a
+batch read of the final state, which is compared with the batch SQL of the same result.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import functions as F
 
-from strata.operators import snapshots
 from strata.plans.catalog import register
 from strata.plans.q_joins import _range_sql
 from strata.session import scratch_path
@@ -20,11 +16,22 @@ from strata.streaming import jobs
 from strata.sources.tables import table
 
 
-def _events_stream(spark, sf_dir, max_files=None, path=None):
-    schema = table(spark, sf_dir, "events").schema
-    # A glob keeps the source a directory scan over exactly this table's files.
-    src = path or os.path.join(sf_dir.rstrip("/"), "event[s].parquet")
-    return jobs.file_stream(spark, src, schema, max_files=max_files)
+COLUMNS = ("event_id", "ts", "user_id", "event_type", "value")
+
+
+def _polls(spark, sf_dir, root, columns=COLUMNS, n=4):
+    """All events landed as ``n`` folders, one per micro-batch, the last period first: half of them come late."""
+    ev = table(spark, sf_dir, "events").select(*columns)
+    first, last = (ev.select(f("ts")).scalar() for f in (F.min, F.max))
+    span = F.unix_micros(last.cast("timestamp")) - F.unix_micros(first.cast("timestamp")) + 1
+    at = F.floor(n * (F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(first.cast("timestamp"))) / span)
+    tagged = ev.withColumn("_poll", at.cast("int")).persist()
+    try:
+        for k, poll in enumerate([n - 1, *range(n - 1)]):
+            tagged.filter(F.col("_poll") == poll).drop("_poll").coalesce(1).write.parquet(f"{root}/landing/poll{k}")
+    finally:
+        tagged.unpersist()
+    return jobs.file_stream(spark, f"{root}/landing/*", ev.schema, max_files=1)
 
 
 @register(
@@ -34,7 +41,8 @@ def _events_stream(spark, sf_dir, max_files=None, path=None):
 def stream_ingest(spark, sf_dir):
     """SM1 / SNK2: checkpointed append of every record with ingest metadata."""
     root = scratch_path(spark, "stream-ingest")
-    jobs.ingest(_events_stream(spark, sf_dir), "events", f"{root}/sink", f"{root}/_checkpoint")
+    st = _polls(spark, sf_dir, root, (*COLUMNS, "props"))
+    jobs.ingest(st, "events", f"{root}/sink", f"{root}/_checkpoint")
     return spark.read.parquet(f"{root}/sink").drop("_ingested_at")
 
 
@@ -45,9 +53,9 @@ def stream_ingest(spark, sf_dir):
 def stream_live30(spark, sf_dir):
     """SM2 / SNK3: the newest 30 records, maintained batch by batch."""
     root = scratch_path(spark, "stream-live")
-    st = _events_stream(spark, sf_dir).select("event_id", "ts", "user_id", "event_type", "value")
+    st = _polls(spark, sf_dir, root)
     jobs.live_latest(st, f"{root}/live", f"{root}/_checkpoint", [F.desc("ts"), F.desc("event_id")], n=30)
-    return snapshots.read_latest(spark, f"{root}/live")
+    return jobs.read_live(spark, f"{root}/live", st.schema)
 
 
 @register(
@@ -55,31 +63,28 @@ def stream_live30(spark, sf_dir):
     sql="SELECT event_id, ts, user_id, event_type, value FROM events",
 )
 def stream_dedup(spark, sf_dir):
-    """SM4: the same records polled twice (two landed copies), de-duplicated on
-    the record id within a 1-hour watermark."""
+    """SM4: every record polled twice, the repeats in later micro-batches and some batches late."""
     root = scratch_path(spark, "stream-dedup")
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    for poll in ("poll1", "poll2"):
-        ev.write.parquet(f"{root}/landing/{poll}")
-    st = jobs.file_stream(spark, f"{root}/landing/*", ev.schema)
-    st = st.withColumn("event_ts", F.col("ts").cast("timestamp"))
-    jobs.dedup(st, ["event_id"], "event_ts", "1 hour", f"{root}/sink", f"{root}/_checkpoint")
-    return spark.read.parquet(f"{root}/sink").drop("event_ts")
+    st = _polls(spark, sf_dir, root, n=3)
+    for k in range(3):
+        spark.read.parquet(f"{root}/landing/poll{k}").coalesce(1).write.parquet(f"{root}/landing/poll{k}-again")
+    jobs.dedup(st, ["event_id"], "ts", f"{root}/sink", f"{root}/_checkpoint")
+    return jobs.read_dedup(spark, f"{root}/sink", st.schema)
 
 
 @register(
     "stream_hourly",
-    sql="""SELECT date_trunc('hour', ts) AS period, event_type AS term, count(*) AS count
+    sql="""SELECT date_trunc('hour', ts) AS period, event_type AS term, count(*) AS count, round(avg(value), 6) AS mean_value
            FROM events GROUP BY ALL""",
 )
 def stream_hourly(spark, sf_dir):
-    """SM5 / SM3: hourly counts per type on the stream (watermark, update mode + upsert)."""
+    """SM5 / SM3: hourly counts and means per type on the stream."""
     root = scratch_path(spark, "stream-hourly")
-    st = _events_stream(spark, sf_dir).select(F.col("ts").cast("timestamp").alias("event_ts"), "event_type")
-    jobs.windowed_counts(st, "event_ts", ["event_type"], "1 hour", "2 hours", f"{root}/counts", f"{root}/_checkpoint")
-    out = jobs.read_windowed_counts(spark, f"{root}/counts", ["event_type"])
+    st = jobs.event_time(_polls(spark, sf_dir, root), "ts")
+    jobs.windowed_stats(st, "event_ts", ["event_type"], "1 hour", f"{root}/partials", f"{root}/_checkpoint", measure="value")
+    out = jobs.read_windowed(spark, f"{root}/partials", ["event_type"], st.schema)
     return out.select(
-        F.col("window.start").cast("timestamp_ntz").alias("period"), F.col("event_type").alias("term"), "count"
+        F.col("window.start").cast("timestamp_ntz").alias("period"), F.col("event_type").alias("term"), "count", F.round("mean_value", 6).alias("mean_value")
     )
 
 
@@ -91,13 +96,11 @@ def stream_hourly(spark, sf_dir):
            FROM p WHERE prev_value IS NOT NULL GROUP BY user_id""",
 )
 def stream_velocity(spark, sf_dir):
-    """SM6: velocity over four micro-batches (``foreachBatch`` + carried last rows)."""
+    """SM6: velocity over four micro-batches, three of them older than the first."""
     root = scratch_path(spark, "stream-velocity")
-    ev = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "value")
-    ev.repartitionByRange(4, "ts").write.parquet(f"{root}/landing")
-    st = jobs.file_stream(spark, f"{root}/landing", ev.schema, max_files=1)
-    jobs.velocity_stream(st, "user_id", "ts", "event_id", "value", f"{root}/state", f"{root}/_checkpoint")
-    g = jobs.read_gains(spark, f"{root}/state", "user_id", "ts", "event_id").filter(F.col("prev_value").isNotNull())
+    st = _polls(spark, sf_dir, root, ("user_id", "ts", "event_id", "value"))
+    jobs.velocity_stream(st, "user_id", "ts", "event_id", "value", f"{root}/state", f"{root}/_checkpoint", buckets=8)
+    g = jobs.read_gains(spark, f"{root}/state", "user_id", "ts", "event_id", "value", st.schema).filter(F.col("prev_value").isNotNull())
     return g.groupBy("user_id").agg(
         F.max("value").alias("current_value"),
         F.round(F.sum("gain"), 6).alias("total_gain"),
@@ -111,14 +114,31 @@ def stream_velocity(spark, sf_dir):
     sql=_range_sql("event_type = 'error'", "event_type = 'click'", 3600, 3600, name="near_count"),
 )
 def stream_near(spark, sf_dir):
-    """SM7: stream-stream proximity join (bucket key + exact range), counted per anchor."""
+    """SM7: events around each anchor, counted as both arrive on a stream."""
     root = scratch_path(spark, "stream-near")
-    base = _events_stream(spark, sf_dir).withColumn("event_ts", F.col("ts").cast("timestamp"))
-    anchors = base.filter(F.col("event_type") == "error").select(F.col("event_id").alias("a_id"), F.col("event_ts").alias("a_ts"))
-    events = base.filter(F.col("event_type") == "click").select(F.col("event_id").alias("e_id"), F.col("event_ts").alias("e_ts"))
-    jobs.near_join(anchors, events, "a_ts", "e_ts", 3600, "2 hours", f"{root}/pairs", f"{root}/_checkpoint")
-    pairs = spark.read.parquet(f"{root}/pairs")
-    counts = pairs.groupBy("a_id").agg(F.count(F.lit(1)).alias("near_count"))
+    base = _polls(spark, sf_dir, root)
+    st = base.select("ts", (F.col("event_type") == "error").alias("anchor"), (F.col("event_type") == "click").alias("event"))
+    jobs.near_counts(st, "ts", "anchor", "event", 3600, f"{root}/state", f"{root}/_checkpoint")
+    counts = jobs.read_near(spark, f"{root}/state", "ts", st.schema)
     a = table(spark, sf_dir, "events").filter(F.col("event_type") == "error").select("event_id", "ts")
-    out = a.join(counts, a.event_id == counts.a_id, "left")
-    return out.select("event_id", "ts", F.coalesce(F.col("near_count"), F.lit(0)).cast("long").alias("near_count"))
+    return a.join(counts, "ts", "left").select("event_id", "ts", F.coalesce("near_count", F.lit(0)).cast("long").alias("near_count"))
+
+
+@register(
+    "stream_cycle",
+    sql="""WITH c AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1)
+           SELECT 'by_type' AS output, event_type AS name, count(*)::DOUBLE AS number FROM c GROUP BY event_type
+           UNION ALL SELECT 'top', user_id::VARCHAR, value FROM (SELECT * FROM c ORDER BY value DESC, user_id LIMIT 10)""",
+)
+def stream_cycle(spark, sf_dir):
+    """SM3: the analysis cycle repeated after each micro-batch, on the latest row per entity."""
+    root = scratch_path(spark, "stream-cycle")
+
+    def cycle(current):
+        by_type = current.groupBy(F.col("event_type").alias("name")).agg(F.count(F.lit(1)).cast("double").alias("number"))
+        top = current.orderBy(F.desc("value"), "user_id").limit(10).select(F.col("user_id").cast("string").alias("name"), F.col("value").alias("number"))
+        return {"by_type": by_type, "top": top}
+
+    jobs.cycle_stream(_polls(spark, sf_dir, root), cycle, ["user_id"], ["ts", "event_id"], f"{root}/out", f"{root}/_checkpoint")
+    parts = [spark.read.parquet(f"{root}/out/{n}").select(F.lit(n).alias("output"), "name", "number") for n in ("by_type", "top")]
+    return parts[0].unionByName(parts[1])

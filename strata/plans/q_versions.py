@@ -78,12 +78,3 @@ def schema_evolution(spark, sf_dir):
     snap.commit(docs.filter(F.col("lang").isin("en", "fr")).select("doc_id", "lang"), path)
     snap.commit(docs.filter(~F.col("lang").isin("en", "fr")), path, mode="append")
     return snap.read_latest(spark, path).select("doc_id", "lang", "n_chars")
-
-
-@register("history")
-def history(spark, sf_dir):
-    """VR1: write, update, delete, restore -> four history rows (times are wall clock)."""
-    path = _updated(spark, sf_dir)
-    snap.delete(spark, path, F.col("lang") == "Unknown")
-    snap.restore(spark, path, 1)
-    return snap.history(spark, path).select("version", "timestamp", "operation", "parts")

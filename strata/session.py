@@ -1,17 +1,19 @@
 """Session construction and the shared scratch location.
 
 On a cluster the scratch location is the shared folder named by
-``spark.checkpoint.dir``; it is read from the session and only set here when it
-is unset (local runs and tests), never to a machine-local folder on a cluster.
+``spark.checkpoint.dir``, read from the session. Where it is unset, a temporary
+folder is used with a local master; with any other master that is an error.
+Scratch folders are not removed: results read from them stay valid.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULTS = {
     "spark.ui.enabled": "false",
@@ -54,18 +56,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: no SparkContext; the server owns the setting
         configured = spark.conf.get("spark.checkpoint.dir", None)
-        return configured or tempfile.mkdtemp(prefix="strata-ckpt-")
+        return configured or _local_folder(spark.conf.get("spark.master", ""))
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-    else:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="strata-ckpt-"))
+    sc.setCheckpointDir(configured or _local_folder(sc.master))
     return sc.getCheckpointDir()
 
 
+def _local_folder(master: str) -> str:
+    """A temporary folder, on a single machine only: on a cluster the executors would not see it."""
+    if not re.fullmatch(r"local(\[[^]]*\])?", master or ""):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="strata-ckpt-")
+
+
+def pinned(df: DataFrame) -> DataFrame:
+    """``df`` written to the checkpoint folder: computed once, re-read after a lost executor."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)

@@ -19,7 +19,7 @@ TAG = r"<[^>]*>"
 
 
 def strip_tags(c: Column) -> Column:
-    return F.trim(F.regexp_replace(c, TAG, ""))
+    return F.regexp_replace(F.regexp_replace(c, TAG, ""), r"^\s+|\s+$", "")
 
 
 def unescape_basic(c: Column) -> Column:
@@ -36,12 +36,16 @@ def parse_count(text: Column) -> Column:
 
 
 def page_links(pages: DataFrame, page_id: str = "page_id", html: str = "html") -> DataFrame:
-    """Every ``<a href>`` of a page with its position and anchor text."""
-    hrefs = F.regexp_extract_all(F.col(html), F.lit(r'<a href="([^"]*)">'), 1)
-    texts = F.regexp_extract_all(F.col(html), F.lit(r'<a href="[^"]*">([^<]*)</a>'), 1)
-    return pages.select(page_id, F.posexplode(F.arrays_zip(hrefs.alias("href"), texts.alias("text")))).select(
-        page_id, (F.col("pos") + 1).alias("position"), F.col("col.href").alias("href"),
-        F.col("col.text").alias("anchor_text"),
+    """Every anchor with an ``href``: its position among them, its target and its whole text (nested tags removed).
+
+    One pattern takes each anchor whole, so a target and a text always belong together.
+    """
+    whole = F.regexp_extract_all(F.col(html), F.lit(r"(?is)<a\b[^>]*>.*?</a>"), 0)
+    href = lambda a: F.regexp_extract(a, r"(?is)^<a\b[^>]*?\bhref\s*=\s*[\"']([^\"']*)", 1)
+    linked = F.filter(whole, lambda a: a.rlike(r"(?is)^<a\b[^>]*?\bhref\s*="))
+    return pages.select(page_id, F.posexplode(linked).alias("_pos", "_a")).select(
+        page_id, (F.col("_pos") + 1).alias("position"), href(F.col("_a")).alias("href"),
+        F.regexp_replace(F.col("_a"), TAG, "").alias("anchor_text"),
     )
 
 
@@ -63,25 +67,41 @@ def page_articles(pages: DataFrame, page_id: str = "page_id", html: str = "html"
     )
 
 
-def repo_items(pages: DataFrame, html: str = "html", base_url: str = "") -> DataFrame:
-    """SRC8 proper: a trending-style page -> repository rows.
+def _element(tag: str, attribute: str, token: str) -> str:
+    """Pattern of an element whose attribute holds ``token`` as one of its words; group 1 is the inside."""
+    return rf"(?is)<{tag}\b(?=[^>]*\s{attribute}\s*=\s*[\"'](?:[^\"']*\s)?{token}(?:\s[^\"']*)?[\"'])[^>]*>(.*?)</{tag}>"
+
+
+# A span with its text, also where it holds other elements or one level of spans.
+_SPAN = r"(?is)<span\b[^>]*>((?:[^<]++|<(?!/?span\b)|<span\b[^>]*>(?:[^<]++|<(?!/?span\b))*+</span>)*+)</span>"
+
+# --- fixed values: classes and attributes of the page layout ------------------
+ITEM_CLASS, HEADING_CLASS, TEXT_CLASS, LANGUAGE_ITEMPROP, STARS_WORD = "Box-row", "h3", "col-9", "programmingLanguage", "stars"
+# -------------------------------------------------------------------------------
+
+
+def repo_items(pages: DataFrame, html: str = "html", base_url: str = "", keep=()) -> DataFrame:
+    """SRC8 proper: a trending-style page -> repository rows (with the ``keep`` columns of the page).
 
-    One row per ``<article>``; name and url from the heading link (items
-    without a link are skipped); description from the first ``<p>`` (default
-    ``""``); language from the ``programmingLanguage`` span (default
-    ``Unknown``); stars from the first span whose text contains "stars";
+    One row per item ``article``; name and url from the heading's link (items
+    without one are skipped); description from the text paragraph (default
+    ``""``); language from its span (default ``Unknown``); stars from the first
+    span whose whole text, nested elements included, contains "stars";
     ``html_url`` is ``base_url`` followed by the link.
     """
-    items = pages.select(F.explode(F.regexp_extract_all(F.col(html), F.lit(r"(?s)<article[^>]*>(.*?)</article>"), 1)).alias("it"))
-    href = F.regexp_extract(F.col("it"), r'(?s)<h2[^>]*>.*?<a[^>]*href="([^"]*)"', 1)
-    desc = strip_tags(F.regexp_extract(F.col("it"), r"(?s)<p[^>]*>(.*?)</p>", 1))
-    lang = strip_tags(F.regexp_extract(F.col("it"), r'(?s)<span[^>]*itemprop="programmingLanguage"[^>]*>(.*?)</span>', 1))
-    stars = strip_tags(F.regexp_extract(F.col("it"), r"(?s)<span[^>]*>([^<]*stars[^<]*)</span>", 1))
+    items = pages.select(*keep, F.explode(F.regexp_extract_all(F.col(html), F.lit(_element("article", "class", ITEM_CLASS)), 1)).alias("it"))
+    heading = F.regexp_extract(F.col("it"), _element("h2", "class", HEADING_CLASS), 1)
+    href = F.regexp_extract(heading, r"(?is)<a\b[^>]*?\bhref\s*=\s*[\"']([^\"']*)", 1)
+    desc = strip_tags(F.regexp_extract(F.col("it"), _element("p", "class", TEXT_CLASS), 1))
+    lang = strip_tags(F.regexp_extract(F.col("it"), _element("span", "itemprop", LANGUAGE_ITEMPROP), 1))
+    spans = F.transform(F.regexp_extract_all(F.col("it"), F.lit(_SPAN), 1), strip_tags)
+    stars = F.get(F.filter(spans, lambda s: s.contains(STARS_WORD)), F.lit(0))
     out = items.select(
+        *keep,
         F.regexp_replace(href, "^/+|/+$", "").alias("full_name"),
         F.concat(F.lit(base_url), href).alias("html_url"),
         unescape_basic(desc).alias("description"),
         F.when(lang == "", F.lit(DEFAULT_LANGUAGE)).otherwise(lang).alias("language"),
-        parse_count(stars).alias("stargazers_count"),
+        F.coalesce(parse_count(stars), F.lit(0).cast("bigint")).alias("stargazers_count"),
     )
     return out.filter(F.col("full_name") != "")

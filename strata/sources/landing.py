@@ -50,28 +50,29 @@ SEARCH_ITEM = T.StructType([
 SEARCH_PAGE = T.StructType([T.StructField("items", T.ArrayType(SEARCH_ITEM))])
 
 
-def _with_corrupt(schema: T.StructType) -> T.StructType:
+def landing_schema(schema: T.StructType) -> T.StructType:
+    """``schema`` with the column for unparsable records."""
     if CORRUPT in schema.fieldNames():
         return schema
     return T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
 
 
-def read_landing(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = True) -> DataFrame:
+def read_landing(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = True, glob: str = "*.json") -> DataFrame:
     """SRC1/SRC2: tolerant scan of a landing directory.
 
     ``multiline=True`` reads files that each hold a JSON array (one row per
-    element) or a single object (one row); ``[]`` yields no row; non-``*.json``
-    files are ignored; a truncated file yields one row with ``_corrupt_record``
+    element) or a single object (one row); ``[]`` yields no row; files that do not
+    match ``glob`` are ignored; a truncated file yields one row with ``_corrupt_record``
     set (quarantine it from Bronze with ``split_corrupt``). ``multiline=False``
     reads JSON Lines. A missing directory yields an empty DataFrame.
     """
-    full = _with_corrupt(schema)
+    full = landing_schema(schema)
     reader = (
         spark.read.schema(full)
         .option("multiLine", multiline)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", True)
     )
     try:

@@ -22,22 +22,3 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
     return [table(spark, sf_dir, n) for n in names]
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give CPU-heavy per-row work (tokenising, regex parsing) enough tasks.
-
-    A scan yields one task per file split; a table stored as a few large row
-    groups would run its heavy per-row work on a few cores. When the scan has
-    fewer partitions than the cluster's default parallelism, rows are spread by
-    a hash of ``keys`` (round-robin without keys). At scale the scan already
-    has thousands of splits and this is a no-op: no shuffle is added. Call it on
-    a scan/projection (no exchange below), where counting partitions runs no job.
-    """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= target:
-            return df
-    except Exception:  # Spark Connect exposes no partition count: leave as is
-        return df
-    return df.repartition(target, *keys) if keys else df.repartition(target)

@@ -6,10 +6,11 @@ re-run query resumes exactly where it stopped (a rerun over the same input adds
 nothing). Tests and the catalog drive them with ``trigger(availableNow=True)``;
 production uses ``processingTime``.
 
-Event-time rules: ``withWatermark`` needs a ``timestamp`` column, so
-``timestamp_ntz`` inputs are cast first (session time zone UTC). Operators the
-streaming planner refuses (``lag`` over a non-time window) run inside
-``foreachBatch`` against small state tables kept as snapshot versions.
+Results are kept as partials that can be merged (counts and sums per window, counts
+per anchor) or restated, one set per micro-batch, so rows that arrive late, in
+whatever order, are counted like any others: nothing is dropped at a watermark and
+no operator state grows. A micro-batch reads only the partitions of earlier data
+that its own rows touch (their days or entity buckets).
 """
 
 from __future__ import annotations
@@ -20,8 +21,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.operators import clean, snapshots
+from strata.operators import clean, joins
 from strata.operators.sequence import ordered_scan
+from strata.streaming import batches
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
@@ -69,150 +71,188 @@ def ingest(stream: DataFrame, source: str, sink: str, checkpoint: str, fmt: str
     return _run(w, available_now, processing_time)
 
 
+def each_batch(stream: DataFrame, step, checkpoint: str, available_now: bool):
+    """Run ``step(rows, epoch)`` for each micro-batch; its rows are kept while several actions use them."""
+
+    def run(batch: DataFrame, epoch: int) -> None:
+        rows = batch.persist()  # bounded by maxFilesPerTrigger / maxOffsetsPerTrigger
+        try:
+            step(rows, epoch)
+        finally:
+            rows.unpersist()
+
+    return _run(stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint), available_now)
+
+
 def live_latest(stream: DataFrame, table: str, checkpoint: str, order: Sequence, n: int = 30,
                 available_now: bool = True):
     """SM2 / SNK3: newest ``n`` records across all batches.
 
-    Each batch: previous list union batch, top ``n`` (``TakeOrderedAndProject``),
-    committed as a new snapshot version: the path being read is never
-    overwritten, and a replayed batch id is a no-op.
+    Each batch: previous list union batch, top ``n`` (``TakeOrderedAndProject``), written to the other of two slots:
+    storage stays at two lists, and a replayed batch starts from the same previous list.
     """
-    def step(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        prev = snapshots.read_latest(spark, table) if snapshots.latest_version(spark, table) is not None else None
-        cur = batch if prev is None else prev.unionByName(batch)
-        snapshots.commit(cur.orderBy(*order).limit(n), table, "overwrite", batch_id=f"epoch-{epoch}")
 
-    w = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
-    return _run(w, available_now)
+    def step(rows: DataFrame, epoch: int) -> None:
+        slots = batches.Slots(rows.sparkSession, table, rows.schema)
+        before, slot = slots.before(epoch)
+        slots.write(before.unionByName(rows).orderBy(*order).limit(n), epoch, slot)
+
+    return each_batch(stream, step, checkpoint, available_now)
+
+
+def read_live(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
+    return batches.Slots(spark, table, schema).latest()
 
 
-def dedup(stream: DataFrame, keys: Sequence[str], ts: str, delay: str, sink: str, checkpoint: str,
-          available_now: bool = True):
-    """SM4: drop repeats of the same record across polls, state bounded by the watermark."""
-    d = stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
-    w = d.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint).outputMode("append")
-    return _run(w, available_now)
+def _dates(rows: DataFrame, ts: str) -> DataFrame:
+    return rows.withColumn("_date", F.date_format(ts, "yyyy-MM-dd"))
 
 
-def windowed_counts(stream: DataFrame, ts: str, by: Sequence[str], width: str, delay: str, table: str,
-                    checkpoint: str, available_now: bool = True):
-    """SM5 / SM3: counts per event-time window and key.
+def _values(rows: DataFrame, col: str) -> list:
+    """The distinct values of a partition column in a micro-batch: days or buckets, a few per batch."""
+    return [r[0] for r in rows.select(col).distinct().collect()]
 
-    Update mode: each batch emits the windows it changed (including the still
-    open last window) and the watermark evicts finished windows from the state,
-    so state stays bounded however long the stream runs (complete mode would
-    keep every window forever). Emitted rows are appended with their batch id;
-    ``read_windowed_counts`` keeps the newest count per window and key.
+
+def dedup(stream: DataFrame, keys: Sequence[str], ts: str, sink: str, checkpoint: str, available_now: bool = True):
+    """SM4: drop repeats of the same record across polls, however late they come.
+
+    Repeats of a record carry its time, so a batch is compared with the kept rows of its own dates only.
     """
-    agg = stream.withWatermark(ts, delay).groupBy(F.window(ts, width), *by).agg(F.count(F.lit(1)).alias("count"))
 
-    def step(batch: DataFrame, epoch: int) -> None:
-        snapshots.commit(batch.withColumn("_batch", F.lit(epoch)), table, "append", batch_id=f"epoch-{epoch}")
+    def step(rows: DataFrame, epoch: int) -> None:
+        own = _dates(rows.dropDuplicates(list(keys)), ts)
+        kept = batches.get(rows.sparkSession, sink, own.schema, ["_date"])
+        kept = kept.filter(F.coalesce("_date", F.lit("")).isin([d or "" for d in _values(own, "_date")]) & (F.col(batches.BATCH) < epoch))
+        batches.put(own.join(kept.select(*keys), list(keys), "left_anti"), sink, epoch, ["_date"])
+
+    return each_batch(stream, step, checkpoint, available_now)
+
+
+def read_dedup(spark: SparkSession, sink: str, schema: T.StructType) -> DataFrame:
+    full = T.StructType([*schema.fields, T.StructField("_date", T.StringType())])
+    return batches.get(spark, sink, full, ["_date"]).drop("_date", batches.BATCH)
+
+
+def windowed_stats(stream: DataFrame, ts: str, by: Sequence[str], width: str, table: str, checkpoint: str,
+                   measure: str | None = None, available_now: bool = True):
+    """SM5 / SM3: counts (and sums of ``measure``) per event-time window and key.
+
+    Each batch appends the partials of the windows it touches; ``read_windowed`` merges them.
+    """
+    total = F.sum(measure) if measure else F.lit(None).cast("double")
+    known = F.count(measure) if measure else F.lit(0).cast("long")
+
+    def step(rows: DataFrame, epoch: int) -> None:
+        part = rows.groupBy(F.window(ts, width).alias("window"), *by).agg(F.count(F.lit(1)).alias("count"), total.alias("_sum"), known.alias("_known"))
+        batches.put(part, table, epoch)
 
-    w = agg.writeStream.outputMode("update").foreachBatch(step).option("checkpointLocation", checkpoint)
-    return _run(w, available_now)
+    return each_batch(stream, step, checkpoint, available_now)
 
 
-def read_windowed_counts(spark: SparkSession, table: str, by: Sequence[str]) -> DataFrame:
-    """The newest count of every (window, key) emitted so far."""
-    rows = snapshots.read_latest(spark, table)
-    return clean.latest_per_key(rows, ["window", *by], ["_batch"]).drop("_batch")
+def read_windowed(spark: SparkSession, table: str, by: Sequence[str], schema: T.StructType) -> DataFrame:
+    """(window, by, count, mean_value) of all batches; ``schema`` has the stream's ``by`` columns."""
+    window = T.StructType([T.StructField("start", T.TimestampType()), T.StructField("end", T.TimestampType())])
+    part = T.StructType([T.StructField("window", window), *[schema[c] for c in by], T.StructField("count", T.LongType()), T.StructField("_sum", T.DoubleType()), T.StructField("_known", T.LongType())])
+    merged = batches.get(spark, table, part).groupBy("window", *by).agg(F.sum("count").alias("count"), F.sum("_sum").alias("_sum"), F.sum("_known").alias("_known"))
+    return merged.withColumn("mean_value", F.try_divide("_sum", "_known")).drop("_sum", "_known")
 
 
 def velocity_stream(stream: DataFrame, key: str, ts: str, tie: str, measure: str, root: str, checkpoint: str,
-                    available_now: bool = True):
+                    buckets: int = 64, available_now: bool = True):
     """SM6: per-observation gains on a stream (``lag`` is refused by the streaming planner).
 
-    State tables under ``root``: ``history`` (all observations, appended per
-    batch), ``last`` (latest observation per entity) and ``gains`` (one row per
-    observation, appended per batch; a later batch may restate a row).
-    Each batch: entities whose new rows are all newer than their ``last`` row
-    get their gains from the batch plus that one carried row; entities with a
-    late (out-of-order) row are recomputed from their history, so arrivals in
-    any order give the batch result. Every commit carries the batch id, so a
-    replayed batch changes nothing.
+    Tables under ``root``, all partitioned by a hash bucket of the entity: ``history`` (all observations), ``last``
+    (the latest one per entity) and ``gains`` (one row per observation; a later batch may restate a row).
+    Each batch: entities whose new rows are all newer than their last one get their gains from the batch plus that one
+    carried row; entities with a late row are recomputed from their history, so arrivals in any order give the batch
+    result. Only the buckets of the batch's entities are read and replaced. A replay finds its own rows in ``last``
+    and takes the second way, with the same result.
     """
-    hist, last_t, gains_t = f"{root}/history", f"{root}/last", f"{root}/gains"
-    cols = [key, ts, tie, measure]
+    cols, by = [key, ts, tie, measure], ["_bucket"]
 
     def step(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        bid = f"epoch-{epoch}"
-        # Several actions below reuse the micro-batch: persist it once (bounded by
-        # maxFilesPerTrigger / maxOffsetsPerTrigger) instead of re-reading the source.
-        rows = batch.select(*cols).persist()
+        rows = batch.select(*cols, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("_bucket"))
+        batches.put(rows, f"{root}/history", epoch, by)
+        touched = F.col("_bucket").isin(_values(rows, "_bucket"))
+        last = batches.get(spark, f"{root}/last", rows.schema, by).filter(touched).drop(batches.BATCH)
+        newest = last.select(key, F.struct(ts, tie).alias("_last"))
+        first = rows.groupBy(key).agg(F.min(F.struct(ts, tie)).alias("_first"))
+        late = first.join(newest, key).filter(F.col("_first") <= F.col("_last")).select(key).persist()
         try:
-            _velocity_step(spark, rows, epoch, bid)
-        finally:
-            rows.unpersist()
-
-    def _velocity_step(spark, rows: DataFrame, epoch: int, bid: str) -> None:
-        snapshots.commit(rows, hist, "append", batch_id=bid)
-        has_last = snapshots.latest_version(spark, last_t) is not None
-        if has_last:
-            last = snapshots.read_latest(spark, last_t)
-            newest = last.select(key, F.struct(ts, tie).alias("_last"))
-            oldest_new = rows.groupBy(key).agg(F.min(F.struct(ts, tie)).alias("_first_new"))
-            late = oldest_new.join(newest, key).filter(F.col("_first_new") < F.col("_last")).select(key)
             on_time = rows.join(late, key, "left_anti")
             carried = last.join(on_time.select(key).distinct(), key, "left_semi").withColumn("_carried", F.lit(True))
             u = on_time.withColumn("_carried", F.lit(False)).unionByName(carried)
-            g = ordered_scan(u, [key], [ts, tie], lags={"prev_value": (measure, 1)}).filter(~F.col("_carried"))
-            g = g.drop("_carried")
+            g = ordered_scan(u, [key], [ts, tie], lags={"prev_value": (measure, 1)}).filter(~F.col("_carried")).drop("_carried")
             if not late.isEmpty():
-                full = snapshots.read_latest(spark, hist).join(late, key, "left_semi")
-                g = g.unionByName(ordered_scan(full, [key], [ts, tie], lags={"prev_value": (measure, 1)}))
-            merged = last.unionByName(rows)
-        else:
-            g = ordered_scan(rows, [key], [ts, tie], lags={"prev_value": (measure, 1)})
-            merged = rows
-        g = g.withColumn("gain", F.col(measure) - F.col("prev_value")).withColumn("_batch", F.lit(epoch))
-        snapshots.commit(g, gains_t, "append", batch_id=bid)
-        snapshots.commit(clean.latest_per_key(merged, [key], [ts, tie]), last_t, "overwrite", batch_id=bid)
+                past = batches.get(spark, f"{root}/history", rows.schema, by).filter(touched & (F.col(batches.BATCH) <= epoch))
+                own = past.drop(batches.BATCH).join(late, key, "left_semi")
+                g = g.unionByName(ordered_scan(own, [key], [ts, tie], lags={"prev_value": (measure, 1)}))
+            batches.put(g.withColumn("gain", F.col(measure) - F.col("prev_value")), f"{root}/gains", epoch, by)
+            newest = clean.latest_per_key(last.unionByName(rows), [key], [ts, tie])
+            # One epoch number for all: each write replaces the touched buckets and leaves the others.
+            batches.put(newest, f"{root}/last", 0, by)
+        finally:
+            late.unpersist()
 
-    w = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
-    return _run(w, available_now)
+    return each_batch(stream, step, checkpoint, available_now)
 
 
-def read_gains(spark: SparkSession, root: str, key: str, ts: str, tie: str) -> DataFrame:
+def read_gains(spark: SparkSession, root: str, key: str, ts: str, tie: str, measure: str, schema: T.StructType) -> DataFrame:
     """Gains as of the latest batch: the newest statement of every observation."""
-    g = snapshots.read_latest(spark, f"{root}/gains")
-    return clean.latest_per_key(g, [key, ts, tie], ["_batch"])
-
-
-def near_join(anchors: DataFrame, events: DataFrame, a_ts: str, e_ts: str, seconds: int, delay: str,
-              sink: str, checkpoint: str, a_id: str = "a_id", e_id: str = "e_id", salt: int = 8,
-              available_now: bool = True):
-    """SM7: stream-stream join of anchors and events within +-``seconds``.
-
-    A stream-stream join needs an equality key: time buckets of width
-    ``seconds``; each anchor is replicated to the (at most 3) buckets its range
-    touches, each event sits in its own bucket, and the exact range is the
-    residual, which also lets the watermarks evict state. Buckets are salted:
-    an event goes to sub-bucket ``hash(id) mod salt`` and anchors are copied to
-    every sub-bucket, so a burst that puts a third of all events into one hour
-    is spread over ``salt`` tasks; each pair still meets exactly once. Matching
-    pairs only are written (append).
+    added = [T.StructField("prev_value", schema[measure].dataType), T.StructField("gain", schema[measure].dataType)]
+    full = T.StructType([*[schema[c] for c in (key, ts, tie, measure)], *added, T.StructField("_bucket", T.IntegerType())])
+    g = batches.get(spark, f"{root}/gains", full, ["_bucket"]).drop("_bucket")
+    return clean.latest_per_key(g, [key, ts, tie], [batches.BATCH])
+
+
+def near_counts(stream: DataFrame, ts: str, anchor: str, event: str, seconds: int, root: str, checkpoint: str,
+                available_now: bool = True):
+    """SM7: per anchor the events within +-``seconds``, on a stream of both (boolean columns ``anchor`` and ``event``).
+
+    Rows land in partitions of their day. Each batch adds two partial counts: its events around all anchors so far, and the
+    events of earlier batches around its anchors. Both are ``range_count`` over the days around the batch, so no
+    (anchor, event) pair is formed or kept, whatever a burst holds. ``read_near`` sums the partials.
     """
-    a_sec = F.unix_seconds(F.col(a_ts))
-    a = (
-        anchors.withWatermark(a_ts, delay)
-        .withColumn("_b", F.explode(F.sequence(F.floor((a_sec - seconds) / seconds), F.floor((a_sec + seconds) / seconds))))
-        .withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    )
-    e = (
-        events.withWatermark(e_ts, delay)
-        .withColumn("_eb", F.floor(F.unix_seconds(F.col(e_ts)) / seconds))
-        .withColumn("_es", F.pmod(F.xxhash64(F.col(e_id)), F.lit(salt)).cast("int"))
-    )
-    iv = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(seconds))
-    joined = a.join(
-        e,
-        (F.col("_b") == F.col("_eb"))
-        & (F.col("_s") == F.col("_es"))
-        & (F.col(e_ts) >= F.col(a_ts) - iv)
-        & (F.col(e_ts) <= F.col(a_ts) + iv),
-    ).select(a_id, e_id)
-    w = joined.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint).outputMode("append")
-    return _run(w, available_now)
+    reach = -(-seconds // 86400)
+    day = F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / 86400).cast("long")
+
+    def step(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.filter(F.col(ts).isNotNull()).select(ts, anchor, event, day.alias("_day"))
+        batches.put(rows, f"{root}/rows", epoch, ["_day"])
+        around = sorted({v + d for v in _values(rows, "_day") for d in range(-reach, reach + 1)})
+        past = batches.get(spark, f"{root}/rows", rows.schema, ["_day"]).filter(F.col("_day").isin(around) & (F.col(batches.BATCH) <= epoch))
+        own = F.col(batches.BATCH) == epoch
+        times = lambda df: df.select(ts).distinct()
+        new = joins.range_count(times(past.filter(F.col(anchor))), past.filter(own & F.col(event)), ts, ts, seconds, seconds, name="n")
+        old = joins.range_count(times(past.filter(own & F.col(anchor))), past.filter(~own & F.col(event)), ts, ts, seconds, seconds, name="n")
+        # An anchor time that came before and comes again has had the earlier events counted.
+        known = times(past.filter(~own & F.col(anchor)))
+        old = old.join(known, ts, "left_anti")
+        batches.put(new.unionByName(old).groupBy(ts).agg(F.sum("n").alias("n")).filter("n > 0"), f"{root}/counts", epoch)
+
+    return each_batch(stream, step, checkpoint, available_now)
+
+
+def read_near(spark: SparkSession, root: str, ts: str, schema: T.StructType) -> DataFrame:
+    """(anchor time, near_count); anchors without events have no row."""
+    part = T.StructType([schema[ts], T.StructField("n", T.LongType())])
+    return batches.get(spark, f"{root}/counts", part).groupBy(ts).agg(F.sum("n").alias("near_count"))
+
+
+def cycle_stream(stream: DataFrame, cycle, keys: Sequence[str], order: Sequence[str], root: str, checkpoint: str,
+                 available_now: bool = True):
+    """SM3: a repeated analysis cycle: after each batch ``cycle(current)`` (name -> DataFrame) replaces its outputs under ``root``.
+
+    ``current`` is the latest row per key of all batches so far, kept in two slots: its size is that of the entities.
+    """
+
+    def step(rows: DataFrame, epoch: int) -> None:
+        slots = batches.Slots(rows.sparkSession, f"{root}/current", rows.schema)
+        before, slot = slots.before(epoch)
+        slots.write(clean.latest_per_key(before.unionByName(rows), list(keys), list(order)), epoch, slot)
+        for name, out in cycle(slots.latest()).items():
+            out.write.mode("overwrite").parquet(f"{root}/{name}")
+
+    return each_batch(stream, step, checkpoint, available_now)

@@ -3,12 +3,15 @@
 import json
 import os
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.text import title_case, tokens_compat, tokens_safe
 from strata.operators import clean, joins, series, snapshots, stats
 from strata.plans import medallion
+from strata.streaming import batches
 from strata.session import scratch_path
 from strata.sources import html, landing
 
@@ -123,10 +126,10 @@ def test_medallion_with_one_source(spark, tmp_path):
     assert t["silver_observations"].count() == 3 and t["silver_current"].count() == 2
     vel = t["gold_star_velocity"].collect()
     assert len(vel) == 1 and vel[0]["total_gain"] == 4
-    # Idempotent Bronze per batch id; a failing stage stops its dependents.
-    medallion.bronze(spark, {"api": d}, root, "b1")
-    medallion.bronze(spark, {"api": d}, root, "b1")
-    assert len(snapshots.history(spark, f"{root}/bronze_api").collect()) == 2
+    # Bronze takes each landing file once.
+    for _ in range(2):
+        assert medallion.bronze(spark, {"api": d, "rss": str(tmp_path / "none")}, root) == ["api"]
+        assert medallion.read_bronze(spark, root, "api").count() == 3
 
 
 def test_zero_stddev_and_zero_previous(spark):
@@ -146,7 +149,7 @@ def test_range_count_bounds(spark):
         .withColumn("ts", F.to_timestamp_ntz("ts"))
     n = spark.createDataFrame([(10, "2024-01-01 11:00:00"), (11, "2024-01-01 13:00:00"), (12, "2024-01-01 13:00:01")],
                               "id long, ts string").withColumn("ts", F.to_timestamp_ntz("ts"))
-    got = {r["id"]: r["n"] for r in joins.range_count(a, n, "id", "ts", "id", "ts", 3600, 3600, name="n").collect()}
+    got = {r["id"]: r["n"] for r in joins.range_count(a, n, "ts", "ts", 3600, 3600, name="n").collect()}
     assert got == {1: 2, 2: 0}
     pairs = joins.range_join(a, n.withColumnRenamed("id", "nid").withColumnRenamed("ts", "nts"), "ts", "nts", 3600, 3600)
     assert sorted(r["nid"] for r in pairs.collect()) == [10, 11]
@@ -197,10 +200,18 @@ def test_first_available_falls_back(spark):
     empty = spark.createDataFrame([], "word string")
     clean_ = spark.createDataFrame([("x",)], "word string")
 
+    def no_path():
+        return spark.read.parquet("/tmp/no-such-gold-table")
+
+    def no_version():
+        return snapshots.read_latest(spark, "/tmp/no-such-gold-table")
+
     def broken():
-        raise FileNotFoundError("no gold yet")
+        return empty.select("no_such_column")
 
-    assert first_available([broken, lambda: empty, lambda: clean_]).collect()[0]["word"] == "x"
+    assert first_available([no_path, no_version, lambda: empty, lambda: clean_]).collect()[0]["word"] == "x"
+    with pytest.raises(AnalysisException):
+        first_available([broken, lambda: clean_])
     assert first_available([lambda: empty]) is None
 
 
@@ -215,24 +226,63 @@ def test_failed_stage_stops_dependents(spark, tmp_path):
     assert len(snapshots.history(spark, f"{root}/run_log").collect()) == 2
 
 
-def test_incremental_silver_equals_full(spark, tmp_path):
-    """Two landing rounds (the second repeats a file): incremental Silver equals a full rebuild."""
+def _values(df):
+    return sorted((r["full_name"], r["stargazers_count"]) for r in df.collect())
+
+
+def test_layer_run_takes_new_files_survives_a_crash_and_rebuilds(spark, tmp_path, monkeypatch):
     d = str(tmp_path / "landing" / "api")
     _write(d, "p1.json", [_api("o/a", "5", "2024-01-01T10:00:00"), _api("o/b", "2", "2024-01-01T10:00:00")])
     root = str(tmp_path / "lake")
-    medallion.run(spark, {"api": d}, root, batch_id="r1")
-    _write(d, "p2.json", [_api("o/a", "9", "2024-01-01T11:00:00"), _api("o/c", "1", "2024-01-01T12:00:00")])
-    medallion.run(spark, {"api": d}, root, batch_id="r2")  # re-reads p1 too: duplicates must vanish
+    medallion.run(spark, {"api": d}, root)
+    # The second round repeats a record; its current state is lost in a crash after the observations are written.
+    _write(d, "p2.json", [_api("o/a", "9", "2024-01-01T11:00:00"), _api("o/b", "2", "2024-01-01T10:00:00"), _api("o/c", "1", "2024-01-01T12:00:00")])
+    with monkeypatch.context() as m:
+        m.setattr(medallion, "refresh_current", lambda *a: (_ for _ in ()).throw(RuntimeError("crash " + "x" * 400)))
+        log = {r["stage"]: r for r in medallion.run(spark, {"api": d}, root).collect()}
+    assert log["silver"]["status"] == "FAILED" and log["silver"]["error"].endswith("x" * 400) and log["gold"]["status"] == "SKIPPED"
+    assert _values(medallion.read_current(spark, root)) == [("o/a", 5), ("o/b", 2)]
+    medallion.run(spark, {"api": d}, root)  # no new file: the observations of the crashed run reach the current state
     t = medallion.tables(spark, root)
-    obs = sorted((r["full_name"], r["stargazers_count"]) for r in t["silver_observations"].collect())
-    assert obs == [("o/a", 5), ("o/a", 9), ("o/b", 2), ("o/c", 1)]
-    cur = sorted((r["full_name"], r["stargazers_count"]) for r in t["silver_current"].collect())
-    assert cur == [("o/a", 9), ("o/b", 2), ("o/c", 1)]
-    medallion.silver(spark, root, ("api",))  # nothing new: no new Silver version
-    assert len(snapshots.commits(spark, f"{root}/silver_observations")) == 2
-    medallion.silver(spark, root, ("api",), incremental=False)
-    full = sorted((r["full_name"], r["stargazers_count"]) for r in
-                  snapshots.read_latest(spark, f"{root}/silver_observations").collect())
-    assert full == obs
-    vel = {r["full_name"]: r["total_gain"] for r in t["gold_star_velocity"].collect()}
-    assert vel == {"o/a": 4}
+    assert t["bronze_api"].count() == 5
+    obs, cur = [("o/a", 5), ("o/a", 9), ("o/b", 2), ("o/c", 1)], [("o/a", 9), ("o/b", 2), ("o/c", 1)]
+    assert _values(t["silver_observations"]) == obs and _values(t["silver_current"]) == cur
+    assert {r["full_name"]: r["total_gain"] for r in t["gold_star_velocity"].collect()} == {"o/a": 4}
+    before = len(snapshots.commits(spark, f"{medallion._generation(spark, root)}/current"))
+    medallion.silver(spark, root, ("api",))  # nothing new: no new version
+    assert len(snapshots.commits(spark, f"{medallion._generation(spark, root)}/current")) == before
+    # A rebuild reads Bronze, not the old Silver: a wrong observation there does not survive.
+    wrong = medallion.read_observations(spark, root).limit(1).withColumn("full_name", F.lit("o/wrong")).drop("_batch")
+    batches.put(wrong, f"{medallion._generation(spark, root)}/observations", 99, medallion.PARTITIONS)
+    assert _values(medallion.read_observations(spark, root)) != obs
+    medallion.silver(spark, root, ("api",), rebuild=True)
+    assert _values(medallion.read_observations(spark, root)) == obs and _values(medallion.read_current(spark, root)) == cur
+
+
+def test_update_and_delete_rewrite_only_the_parts_that_match(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for k in range(3):
+        snapshots.commit(spark.range(10 * k, 10 * k + 10).withColumn("v", F.lit(k)), path, "append")
+    snapshots.update(spark, path, {"v": F.lit(9)}, F.col("id") == 15)
+    snapshots.delete(spark, path, F.col("id") == 25)
+    snapshots.delete(spark, path, F.col("id") == 1000)
+    parts = [set(c["parts"]) for c in snapshots.commits(spark, path)]
+    assert [len(parts[2] & p) for p in parts[3:]] == [2, 1, 1] and parts[4] == parts[5] and all(len(p) == 3 for p in parts[2:])
+    assert sorted((r["id"], r["v"]) for r in snapshots.read_latest(spark, path).collect()) == [(i, 9 if i == 15 else i // 10) for i in range(30) if i != 25]
+    # Two writers that know the same commits write to folders of their own.
+    assert len({p for c in snapshots.commits(spark, path) for p in c["parts"]}) == 5
+
+
+def test_anchors_with_nested_tags_and_other_attributes(spark):
+    page = '<a class="c" href="/1">one <b>bold</b></a><a name="x">no target</a><A HREF=\'/2\'>two</A><a href="/3"></a>'
+    rows = html.page_links(spark.createDataFrame([(1, page)], "page_id int, html string")).collect()
+    assert [(r["position"], r["href"], r["anchor_text"]) for r in rows] == [(1, "/1", "one bold"), (2, "/2", "two"), (3, "/3", "")]
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from strata import session
+
+    for master in ("yarn", "spark://host:7077", "k8s://host", "local-cluster[2,1,1024]", ""):
+        with pytest.raises(RuntimeError):
+            session._local_folder(master)
+    assert session._local_folder("local[4]") and session._local_folder("local")

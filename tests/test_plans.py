@@ -69,4 +69,27 @@ def test_series_windows_split_hot_keys(spark, hot):
 
 def test_current_state_uses_aggregation_not_window(spark, q):
     p = _plan(q["current_state"](spark, SF01))
-    assert "Window" not in p and "max_by" in p
+    assert "Window" not in p and "partial_max(struct(" in p
+
+
+def test_hot_key_of_the_baseline_join_is_split(spark):
+    """A key with a third of the rows, no broadcast: the join reads its partition in several parts."""
+    from pyspark.sql import functions as F
+    from strata.operators import series
+
+    old = {}
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.shuffle.partitions": "16"}
+    for k, v in conf.items():
+        old[k] = spark.conf.get(k, None)
+        spark.conf.set(k, v)
+    try:
+        ev = spark.range(0, 200_000, 1, 8).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 997).alias("k"), F.rand(1).alias("v"), F.sha2(F.col("id").cast("string"), 256).alias("pad"))
+        out = series.zscore_spikes(ev, "k", "v", threshold=1.5)
+        out.write.format("noop").mode("overwrite").save()
+        rows = out.collect()
+        plan = _plan(out)
+        assert rows and "SortMergeJoin(skew=true)" in plan, plan
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

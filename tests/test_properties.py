@@ -32,8 +32,7 @@ def test_range_count_matches_brute_force(spark, seed):
     schema = "id long, k long, ts timestamp_ntz"
     a, e = spark.createDataFrame(a_rows, schema), spark.createDataFrame(e_rows, schema)
     for keys in ([], ["k"]):
-        got = {r["id"]: r["n"] for r in joins.range_count(a, e, "id", "ts", "id", "ts", before, after, keys=keys,
-                                                          name="n").collect()}
+        got = {r["id"]: r["n"] for r in joins.range_count(a, e, "ts", "ts", before, after, keys=keys, name="n").collect()}
         exp = {
             ai: sum(1 for _, ek, et in e_rows
                     if (not keys or ek == ak) and at - dt.timedelta(seconds=before) <= et <= at + dt.timedelta(seconds=after))
@@ -42,6 +41,21 @@ def test_range_count_matches_brute_force(spark, seed):
         assert got == exp
 
 
+def test_range_count_with_repeated_and_incomplete_anchors(spark):
+    """Text ids, equal anchors, and nulls in times and keys of both sides."""
+    t = lambda m: None if m is None else T0 + dt.timedelta(minutes=m)
+    a_rows = [("x", "k", t(5)), ("x", "k", t(5)), (None, "k", t(9)), ("y", None, t(5)), ("z", "k", None), ("w", "l", t(5))]
+    e_rows = [("k", t(5)), ("k", t(6)), ("k", None), (None, t(5)), (None, None), ("l", t(90))]
+    a = spark.createDataFrame(a_rows, "id string, k string, ts timestamp_ntz")
+    e = spark.createDataFrame(e_rows, "k string, ets timestamp_ntz")
+    with_key = joins.range_count(a, e, "ts", "ets", 240, 60, keys=["k"], name="n")
+    assert with_key.columns == ["id", "k", "ts", "n"]
+    got = sorted(((r["id"], r["k"], r["ts"], r["n"]) for r in with_key.collect()), key=repr)
+    assert got == sorted([("x", "k", t(5), 2), ("x", "k", t(5), 2), (None, "k", t(9), 2), ("y", None, t(5), 0), ("z", "k", None, 0), ("w", "l", t(5), 0)], key=repr)
+    plain = sorted(((r["id"], r["n"]) for r in joins.range_count(a, e, "ts", "ets", 0, 60, name="n").collect()), key=repr)
+    assert plain == sorted([("x", 3), ("x", 3), (None, 0), ("y", 3), ("z", 0), ("w", 3)], key=repr)
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_range_join_pairs_match_brute_force(spark, seed):
     rnd = random.Random(seed)

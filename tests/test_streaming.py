@@ -28,7 +28,7 @@ def test_velocity_stream_out_of_order_equals_batch(spark):
         parts.filter(F.col("_q") == q).drop("_q").coalesce(1).write.parquet(f"{root}/landing/q{q}")
     src = jobs.file_stream(spark, f"{root}/landing/*", ev.schema, max_files=1)
     jobs.velocity_stream(src, "user_id", "ts", "event_id", "value", f"{root}/state", f"{root}/ck")
-    g = jobs.read_gains(spark, f"{root}/state", "user_id", "ts", "event_id")
+    g = jobs.read_gains(spark, f"{root}/state", "user_id", "ts", "event_id", "value", ev.schema)
     got = {r["user_id"]: (r["n"], round(r["s"], 6)) for r in g.filter(F.col("prev_value").isNotNull())
            .groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.sum("gain").alias("s")).collect()}
     from pyspark.sql import Window
@@ -37,3 +37,18 @@ def test_velocity_stream_out_of_order_equals_batch(spark):
     exp = {r["user_id"]: (r["n"], round(r["s"], 6)) for r in exp_df.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("value") - F.col("p")).alias("s")).collect()}
     assert got == exp
+
+
+def test_a_replayed_epoch_changes_nothing(spark):
+    """Slots and epoch folders after a batch is run twice, as after a crash before its checkpoint."""
+    from strata.streaming import batches
+
+    root = scratch_path(spark, "t-replay")
+    rows = lambda *v: spark.createDataFrame([(x,) for x in v], "v int").coalesce(1)
+    for epoch, batch in ((0, rows(5, 1)), (0, rows(5, 1)), (3, rows(9)), (3, rows(9)), (4, rows(2))):
+        slots = batches.Slots(spark, f"{root}/slots", batch.schema)
+        before, slot = slots.before(epoch)
+        slots.write(before.unionByName(batch), epoch, slot)
+        batches.put(batch, f"{root}/rows", epoch)
+    assert sorted(r["v"] for r in slots.latest().collect()) == [1, 2, 5, 9]
+    assert sorted(r["v"] for r in batches.get(spark, f"{root}/rows", batch.schema).collect()) == [1, 2, 5, 9]
