@@ -73,13 +73,13 @@ def _observation_schema(spark: SparkSession) -> T.StructType:
     return clean.silver_observations(clean.union_sources(none)).schema
 
 
-def read_observations(spark: SparkSession, root: str) -> DataFrame:
-    return batches.get(spark, _p(_generation(spark, root), "observations"), _observation_schema(spark), PARTITIONS)
+def read_observations(spark: SparkSession, root: str, home: str | None = None) -> DataFrame:
+    """The history of the newest generation, or of the one at ``home``."""
+    return batches.get(spark, _p(home or _generation(spark, root), "observations"), _observation_schema(spark), PARTITIONS)
 
 
-def _observe(spark: SparkSession, root: str, source: str, schema: T.StructType) -> None:
+def _observe(spark: SparkSession, root: str, home: str, source: str, schema: T.StructType) -> None:
     """Clean the Bronze rows that came since the last run and append the new observations."""
-    home = _generation(spark, root)
     path = _p(home, "observations")
 
     def step(rows: DataFrame, epoch: int) -> None:
@@ -96,10 +96,10 @@ def _observe(spark: SparkSession, root: str, source: str, schema: T.StructType)
     jobs.each_batch(stream, step, _p(home, "_checkpoints", source), True)
 
 
-def refresh_current(spark: SparkSession, root: str) -> None:
+def refresh_current(spark: SparkSession, root: str, home: str) -> None:
     """Bring ``current`` up to the observations: from the version it was built from, by the batches after that."""
-    path = _p(_generation(spark, root), "current")
-    obs = read_observations(spark, root)
+    path = _p(home, "current")
+    obs = read_observations(spark, root, home)
     newest = {r["_source"]: r["b"] for r in obs.groupBy("_source").agg(F.max(batches.BATCH).alias("b")).collect()}
     done = snapshots.commits(spark, path)
     held = json.loads(done[-1]["batch_id"]) if done else {}
@@ -121,14 +121,14 @@ def silver(spark: SparkSession, root: str, sources=("api", "rss"), rebuild: bool
     generations = _p(root, "silver_generations")
     if rebuild or not snapshots.commits(spark, generations):
         snapshots.commit(spark.range(1), generations, operation="REBUILD")
-    schema = _observation_schema(spark)
+    home, schema = _generation(spark, root), _observation_schema(spark)
     for source in sources:
-        _observe(spark, root, source, schema)
-    refresh_current(spark, root)
+        _observe(spark, root, home, source, schema)
+    refresh_current(spark, root, home)
 
 
-def read_current(spark: SparkSession, root: str) -> DataFrame:
-    return snapshots.read_latest(spark, _p(_generation(spark, root), "current"))
+def read_current(spark: SparkSession, root: str, home: str | None = None) -> DataFrame:
+    return snapshots.read_latest(spark, _p(home or _generation(spark, root), "current"))
 
 
 def gold_tables(obs: DataFrame, cur: DataFrame) -> dict[str, DataFrame]:
@@ -147,8 +147,9 @@ def gold_tables(obs: DataFrame, cur: DataFrame) -> dict[str, DataFrame]:
 
 
 def gold(spark: SparkSession, root: str) -> None:
-    obs = read_observations(spark, root).drop(batches.BATCH)
-    for name, df in gold_tables(obs, read_current(spark, root)).items():
+    home = _generation(spark, root)
+    obs = read_observations(spark, root, home).drop(batches.BATCH)
+    for name, df in gold_tables(obs, read_current(spark, root, home)).items():
         snapshots.commit(df, _p(root, f"gold_{name}"))
 
 
