@@ -139,10 +139,11 @@ def html_articles(spark, sf_dir):
 
 @register(
     "search_page_records",
-    sql="""SELECT source || '/' || CAST(doc_id AS VARCHAR) AS full_name, text AS description, lang AS language,
+    sql=f"""SELECT source || '/' || CAST(doc_id AS VARCHAR) AS full_name, text AS description, lang AS language,
                   CAST(n_chars AS VARCHAR) AS stargazers_count,
                   CASE WHEN lang = 'en' THEN []::VARCHAR[] ELSE [lang] END AS topics,
-                  '/' || source || '/' || CAST(doc_id AS VARCHAR) AS html_url
+                  '/' || source || '/' || CAST(doc_id AS VARCHAR) AS html_url,
+                  strftime(TIMESTAMP '2024-01-01' + INTERVAL (doc_id % 86400) SECOND, '{ISO_SQL}') AS timestamp
            FROM documents""",
 )
 def search_page_records(spark, sf_dir):
@@ -156,9 +157,9 @@ def search_page_records(spark, sf_dir):
         F.when(F.col("lang") != "en", F.array(F.col("lang"))).alias("topics"),
         F.concat(F.lit("/"), name).alias("html_url"),
     )
-    pages = d.select(F.to_json(F.struct(F.array(item).alias("items"))).alias("raw"))
-    recs = landing.search_page_records(pages, "raw")
-    return recs.drop("timestamp")
+    seen = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("doc_id") % 86400)
+    pages = d.select(F.to_json(F.struct(F.array(item).alias("items"))).alias("raw"), seen.alias("observed_at"))
+    return landing.search_page_records(pages, "raw", observed_at="observed_at")
 
 
 @register(
@@ -174,6 +175,17 @@ def message_key_value(spark, sf_dir):
     return writers.keyed_messages(d, name, hash_key=True)
 
 
+@register(
+    "message_plain_key",
+    sql="""SELECT source || '/' || CAST(doc_id AS VARCHAR) AS key,
+                  CAST(to_json({'doc_id': doc_id, 'lang': lang}) AS VARCHAR) AS value FROM documents""",
+)
+def message_plain_key(spark, sf_dir):
+    """SNK1: keyed JSON messages, key = the entity name itself, chosen value columns."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    return writers.keyed_messages(d, F.concat(F.col("source"), F.lit("/"), F.col("doc_id").cast("string")), value_cols=["doc_id", "lang"])
+
+
 @register(
     "json_landing_scan",
     sql="SELECT doc_id, lang, source, n_chars FROM documents",
