@@ -56,7 +56,7 @@ def masks(item: str) -> dict[str, int]:
 def best_match(of: dict[str, int], m: int, text: str, limit: int) -> tuple[int, int] | None:
     """(least distance, its first end) of the item against any part of ``text``; None beyond ``limit``. Myers' algorithm."""
     full, last = (1 << m) - 1, 1 << (m - 1)
-    up, down, score, best, end = full, 0, m, limit + 1, 0
+    up, down, score, best, end = full, 0, m, min(m, limit + 1), 0
     for at, c in enumerate(text, 1):
         eq = of.get(c, 0)
         vertical = eq | down
