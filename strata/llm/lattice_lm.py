@@ -25,6 +25,7 @@ import math
 from collections import Counter
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ from strata.llm.common import shared_table, slices
 
 VOCABULARY = "piece_bpe_32k.model"
 ROUNDS = 2
-HOT_SHARE = 100_000
+HOT_SHARE = 1_000_000
 #: Words that a task counts before it passes the counts on.
 COUNTED_WORDS = 200_000
 PART_BYTES = 512
@@ -41,6 +42,12 @@ PART_BYTES = 512
 PRIOR_TOKENS = 10_000.0
 #: The word that stands for the end of a text; no real word is empty.
 END = b""
+#: Fixed value: the start of a word, as in the vocabulary (there a special character).
+MARK = b" "
+#: Words read at a time, and how many of one length are worth taking together; (place, place, word) cells held at a time.
+COUNTED_TOGETHER = 16_384
+TOGETHER = 32
+CELLS = 1 << 20
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -69,15 +76,31 @@ def prior_weights(path: str) -> dict[bytes, float]:
 
 
 class Lattice:
-    """``logs``: piece -> natural log of its probability, with all single bytes."""
+    """``logs``: piece -> natural log of its probability, with all single bytes.
+
+    Words of one length go through the recursions together, as columns of arrays (place, place, word); the pieces at a
+    place are found by walking a trie. Few words of a length, or very long ones, are taken one by one.
+    """
 
     def __init__(self, logs: dict[bytes, float]):
-        self.get = logs.get
-        self.longest = max(map(len, logs))
+        self.get, self.longest = logs.get, max(map(len, logs))
+        self.pieces = sorted(logs)
+        # Trie: node 0 is dead, node 1 the root.
+        nodes: dict[bytes, int] = {b"": 1}
+        for piece in self.pieces:
+            for k in range(1, len(piece) + 1):
+                nodes.setdefault(piece[:k], len(nodes) + 1)
+        self.next = np.zeros((len(nodes) + 1, 256), dtype=np.int32)
+        for prefix, node in nodes.items():
+            if prefix:
+                self.next[nodes[prefix[:-1]], prefix[-1]] = node
+        self.nodes = np.array([nodes[p] for p in self.pieces])
+        self.logp = np.full(len(nodes) + 1, -np.inf)
+        self.logp[self.nodes] = [logs[p] for p in self.pieces]
 
     def log_probability(self, word: bytes) -> float:
         """Of one marked word, over all its segmentations."""
-        text, get, longest, exp, log = b" " + word, self.get, self.longest, math.exp, math.log
+        text, get, longest, exp, log = word, self.get, self.longest, math.exp, math.log
         alpha = [0.0]
         for end in range(1, len(text) + 1):
             start = end - longest if end > longest else 0
@@ -87,7 +110,7 @@ class Lattice:
         return alpha[-1]
 
     def expect(self, text: bytes, times: float, into: dict[bytes, float]) -> None:
-        """Add the expected piece counts of ``text``, seen so many times."""
+        """Add the expected piece counts of one marked word, seen so many times."""
         get, longest, exp, log = self.get, self.longest, math.exp, math.log
         n = len(text)
         alpha, edges = [0.0], [[]]
@@ -97,7 +120,7 @@ class Lattice:
                 piece = text[start:end]
                 p = get(piece)
                 if p is not None:
-                    found.append((start, piece, alpha[start] + p, p))
+                    found.append((start, piece, alpha[start] + p))
             edges.append(found)
             top = max(f[2] for f in found)
             alpha.append(top + log(sum([exp(f[2] - top) for f in found])))
@@ -105,11 +128,77 @@ class Lattice:
         share = [0.0] * n + [times]
         for end in range(n, 0, -1):
             if here := share[end]:
-                for start, piece, path, _ in edges[end]:
+                for start, piece, path in edges[end]:
                     part = here * exp(path - alpha[end])
                     share[start] += part
                     into[piece] = into.get(piece, 0.0) + part
 
+    @staticmethod
+    def by_length(words: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
+        """(length, places of the words of that length), in parts that fit ``CELLS``."""
+        lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        order = np.argsort(lengths, kind="stable")
+        for part in np.split(order, np.flatnonzero(np.diff(lengths[order])) + 1):
+            if len(part):
+                n = int(lengths[part[0]])
+                step = max(CELLS // (n * n), 1)
+                for at in range(0, len(part), step):
+                    yield n, part[at : at + step]
+
+    def walk(self, words: list[bytes], n: int) -> np.ndarray:
+        """Trie node of the stretch [start, end) of each word, 0 if no piece begins so: (start, end - 1, word)."""
+        text = np.frombuffer(b"".join(words), dtype=np.uint8).reshape(len(words), n).T
+        out = np.zeros((n, n, len(words)), dtype=np.int32)
+        for start in range(n):
+            node = np.ones(len(words), dtype=np.int32)
+            for end in range(start, min(n, start + self.longest)):
+                node = self.next[node, text[end]]
+                if not node.any():
+                    break
+                out[start, end] = node
+        return out
+
+    def forward(self, logp: np.ndarray) -> np.ndarray:
+        """Log probability of reaching each place (place, word), over all segmentations of what is before it."""
+        n = len(logp)
+        alpha = np.zeros((n + 1, logp.shape[2]))
+        for end in range(1, n + 1):
+            alpha[end] = log_sum(alpha[:end] + logp[:end, end - 1])
+        return alpha
+
+    def log_probabilities(self, words: list[bytes]) -> np.ndarray:
+        out = np.empty(len(words))
+        for n, places in self.by_length(words):
+            own = [words[k] for k in places]
+            if len(own) < TOGETHER:
+                out[places] = [self.log_probability(w) for w in own]
+            else:
+                out[places] = self.forward(self.logp[self.walk(own, n)])[-1]
+        return out
+
+    def expectations(self, words: list[bytes], times: np.ndarray, into: np.ndarray, alone: dict[bytes, float]) -> None:
+        """Add the expected piece counts: of words taken together by trie node, of the others by piece."""
+        for n, places in self.by_length(words):
+            own = [words[k] for k in places]
+            if len(own) < TOGETHER:
+                for w, t in zip(own, times[places]):
+                    self.expect(w, float(t), alone)
+                continue
+            nodes = self.walk(own, n)
+            logp = self.logp[nodes]
+            alpha = self.forward(logp)
+            beta = np.zeros((n + 1, len(own)))
+            for start in range(n - 1, -1, -1):
+                beta[start] = log_sum(beta[start + 1 :] + logp[start, start:])
+            share = np.exp(alpha[:-1, None] + logp + beta[None, 1:] - alpha[-1]) * times[places]
+            into += np.bincount(nodes.ravel(), weights=share.ravel(), minlength=len(into))
+
+
+def log_sum(x: np.ndarray) -> np.ndarray:
+    """log of the sum of exp over the first axis; every column has a finite value."""
+    top = x.max(axis=0)
+    return top + np.log(np.exp(x - top).sum(axis=0))
+
 
 def held_out(id_col: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 1
@@ -119,6 +208,10 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
+def marked(words: pa.Array) -> list[bytes]:
+    return [MARK + w for w in words.to_pylist()]
+
+
 def count_words(docs: DataFrame) -> DataFrame:
     """(word, trained, seen): occurrences in training texts and in all; the end token is the empty word."""
 
@@ -157,12 +250,14 @@ def fit(counts: DataFrame, ends: int, path: str | None = None, rounds: int = ROU
         logs = sc.broadcast({k: math.log(v) for k, v in weights.items()})
 
         def run(batches: Iterator[pa.RecordBatch], logs=logs):
-            lattice, found = Lattice(logs.value), {}
-            for part in slices(batches, 4096):
-                for word, times in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    text = b" " + word
-                    for at in range(0, len(text), PART_BYTES):
-                        lattice.expect(text[at : at + PART_BYTES], float(times), found)
+            lattice = Lattice(logs.value)
+            found, sums = {}, np.zeros(len(lattice.next))
+            for part in slices(batches, COUNTED_TOGETHER):
+                cut = [(w[at : at + PART_BYTES], t) for w, t in zip(marked(part.column(0)), part.column(1).to_pylist()) for at in range(0, len(w), PART_BYTES)]
+                lattice.expectations([w for w, _ in cut], np.array([t for _, t in cut], dtype=float), sums, found)
+            for piece, n in zip(lattice.pieces, sums[lattice.nodes].tolist()):
+                if n:
+                    found[piece] = found.get(piece, 0.0) + n
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.float64())], names=["piece", "n"])
 
         # One row a piece: no more than the vocabulary has.
@@ -180,8 +275,9 @@ def score_words(counts: DataFrame, logs: dict[bytes, float], log_end: float) ->
 
     def run(batches: Iterator[pa.RecordBatch]):
         lattice = Lattice(own.value)
-        for part in slices(batches, 4096):
-            logp = [lattice.log_probability(w) if w else log_end for w in part.column(0).to_pylist()]
+        for part in slices(batches, COUNTED_TOGETHER):
+            words = marked(part.column(0))
+            logp = np.where([w == MARK for w in words], log_end, lattice.log_probabilities(words))
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(logp, pa.float64())], names=["word", "trained", "seen", "logp"])
 
     return counts.select("word", "trained", "seen").mapInArrow(run, "word binary, trained long, seen long, logp double")
@@ -207,38 +303,37 @@ def score(docs: DataFrame, path: str | None = None, rounds: int = ROUNDS, hot_sh
 
         context = TaskContext.get()
         row = (context.partitionId() if context else 0) << 33
-        get = hot.value.get
-        names = ["row", "doc", "held", "n_tokens", "n_known", "base", "score", "word", "times"]
-        kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.int64()]
-        for part in slices(batches, 64):
-            out = []
-            for doc, held, text in zip(*[c.to_pylist() for c in part.columns]):
+        table = hot.value
+        place = {w: k for k, w in enumerate(table)}.get
+        numbers = np.array(list(table.values()), dtype=float).reshape(-1, 3)
+        for part in slices(batches, 128):
+            rows, sums, rare, tokens = [], [], [], []
+            for text in part.column(2).to_pylist():
                 found = Counter(words_of(text))
                 found[END] += 1
-                tokens = known = 0
-                base = total = 0.0
-                for word, times in found.items():
-                    tokens += times
-                    if (own := get(word)) is None:
-                        out.append((row, None, None, None, None, None, None, word, times))
-                    else:
-                        known += own[0] * times
-                        base += own[1] * times
-                        total += own[2] * times
-                out.append((row, doc, held, tokens, known, base, total, None, None))
+                words, times = list(found), np.fromiter(found.values(), dtype=np.int64, count=len(found))
+                at = np.fromiter((place(w, -1) for w in words), dtype=np.int64, count=len(words))
+                common = at >= 0
+                sums.append(times[common] @ numbers[at[common]])
+                left = np.flatnonzero(~common)
+                rare.append([{"word": words[k], "times": n} for k, n in zip(left, times[left].tolist())])
+                tokens.append(int(times.sum()))
+                rows.append(row)
                 row += 1
-            columns = list(zip(*out)) or [[]] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+            sums = np.array(sums).reshape(-1, 3)
+            kind = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())]))
+            columns = [pa.array(rows, pa.int64()), *part.columns[:2], pa.array(tokens, pa.int64()), pa.array(sums[:, 0].astype(np.int64)), pa.array(sums[:, 1]), pa.array(sums[:, 2]), pa.array(rare, kind)]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "doc", "held", "n_tokens", "n_known", "base", "score", "rare"])
 
-    schema = "row long, doc long, held boolean, n_tokens long, n_known long, base double, score double, word binary, times long"
+    schema = "row long, doc long, held boolean, n_tokens long, n_known long, base double, score double, rare array<struct<word: binary, times: long>>"
     parts = shared_table(rows.mapInArrow(run, schema), "text-parts")
-    rest = parts.where("word IS NOT NULL").select("row", "word", "times").join(words.select("word", "trained", "logp"), "word")
+    rest = parts.select("row", F.inline("rare")).join(words.select("word", "trained", "logp"), "word")
     rest = rest.groupBy("row").agg(
         F.sum(F.when(F.col("trained") > 0, F.col("times")).otherwise(0)).alias("n_known"),
         F.sum(F.col("times") * F.log10((F.col("trained") + 0.5) / F.lit(smooth))).alias("base"),
         F.sum(F.col("times") * F.col("logp") / math.log(10)).alias("score"),
     )
-    heads = parts.where("word IS NULL").drop("word", "times")
+    heads = parts.drop("rare")
     both = heads.unionByName(rest, allowMissingColumns=True).groupBy("row").agg(
         F.max("doc").alias("doc"), F.max("held").alias("held_out"), F.max("n_tokens").alias("n_tokens"), *[F.sum(c).alias(c) for c in ("n_known", "base", "score")]
     )
