@@ -6,7 +6,6 @@ import os
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from strata.functions.text import title_case, tokens_compat, tokens_safe
 from strata.operators import clean, joins, series, snapshots, stats
