@@ -19,6 +19,8 @@ One conversation is one row, so that it must fit in a task's memory; nothing els
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,16 +53,17 @@ def reply_paths(messages: DataFrame, branches: int | None = None) -> DataFrame:
     known = links.select("tree", F.col("id").alias("parent"), F.lit(True).alias("known")).distinct()
     rooted = links.join(known, ["tree", "parent"], "left").select("tree", "id", F.when(F.col("known"), F.col("parent")).alias("up"), "score", F.lit(1).cast("long").alias("depth"))
     # up: the ancestor 2^k steps above, null beyond the root; score and depth are of the messages below it.
+    # A round takes up only the messages that have not reached their root, so short paths cost nothing in later rounds.
     steps = [shared_table(rooted, "reply-steps")]
+    done, left = [steps[0].where("up IS NULL")], steps[0].where("up IS NOT NULL")
     rounds = (steps[0].count() + 1).bit_length()
-    while len(steps) <= rounds and not steps[-1].where("up IS NOT NULL").isEmpty():
-        low = steps[-1]
-        high = low.select("tree", F.col("id").alias("up"), F.col("up").alias("next"), F.col("score").alias("more"), F.col("depth").alias("deeper"))
-        joined = low.join(high, ["tree", "up"], "left")
-        steps.append(
-            shared_table(joined.select("tree", "id", F.col("next").alias("up"), (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"), (F.col("depth") + F.coalesce("deeper", F.lit(0))).alias("depth")), "reply-steps")
-        )
-    whole = steps[-1].where("up IS NULL")
+    while len(steps) <= rounds and not left.isEmpty():
+        high = reduce(DataFrame.union, [*done, left])
+        high = high.select("tree", F.col("id").alias("up"), F.col("up").alias("next"), F.col("score").alias("more"), F.col("depth").alias("deeper"))
+        joined = left.join(high, ["tree", "up"])
+        steps.append(shared_table(joined.select("tree", "id", F.col("next").alias("up"), (F.col("score") + F.col("more")).alias("score"), (F.col("depth") + F.col("deeper")).alias("depth")), "reply-steps"))
+        done, left = [*done, steps[-1].where("up IS NULL")], steps[-1].where("up IS NOT NULL")
+    whole = reduce(DataFrame.union, done)
     parents = steps[0].where("up IS NOT NULL").select("tree", F.col("up").alias("id")).distinct()
     leaves = whole.join(parents, ["tree", "id"], "left_anti")
     best_first = Window.partitionBy("tree").orderBy(F.desc(F.col("score") / F.col("depth")), F.desc("depth"), "id")
