@@ -71,13 +71,15 @@ def evidence_weights(docs: DataFrame, sample: DataFrame) -> dict[str, np.ndarray
                 for t, y in enumerate(known):
                     if y is not None:
                         seen[t, y, own] += 1
-        t, y, b = np.nonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (t, y, b, seen[t, y, b])], names=["t", "y", "b", "n"])
+        b = np.flatnonzero(seen.any(axis=(0, 1)))
+        yield pa.RecordBatch.from_arrays([pa.array(b), *[pa.array(x[b]) for x in seen.reshape(-1, BUCKETS + 1)]], names=["b", *counts])
 
+    counts = [f"n_{t}_{y}" for t in TARGETS for y in (0, 1)]
     texts = docs.join(F.broadcast(sample.where("fold = 0")), "id").select("text", *TARGETS)
-    rows = texts.mapInArrow(run, "t long, y long, b long, n long").groupBy("t", "y", "b").agg(F.sum("n").alias("n")).toPandas()
+    rows = texts.mapInArrow(run, "b long, " + ", ".join(f"{c} long" for c in counts))
+    rows = rows.groupBy("b").agg(*[F.sum(c).alias(c) for c in counts]).toPandas()  # at most one row a bucket
     seen = np.zeros((len(TARGETS), 2, BUCKETS + 1))
-    seen[rows["t"], rows["y"], rows["b"]] = rows["n"]
+    seen.reshape(-1, BUCKETS + 1)[:, rows["b"]] = rows[counts].to_numpy().T
     out = {}
     for t, target in enumerate(TARGETS):
         n0, n1 = seen[t, 0, BUCKETS], seen[t, 1, BUCKETS]
