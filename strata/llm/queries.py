@@ -131,9 +131,9 @@ def op5_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op6_site_bayes")
 def op6_site_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``source`` is the host and ``lang`` the path below it. A document is kept if it is probably good and not toxic."""
+    """``source`` is the host and ``lang`` the path below it. Losing a good document weighs four times a bad one kept."""
     found = site_bayes.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
-    toxic, good = F.col("toxic_posterior") > 0.5, F.col("quality_posterior") >= 0.5
+    toxic, good = F.col("toxic_posterior") > 0.6, F.col("quality_posterior") >= 0.2
     rates = [F.round(f"{t}_{k}", 6).alias(f"{t}_{k}") for t in site_bayes.TARGETS for k in ("own", "site", "posterior")]
     return found.select(F.col("id").alias("doc_id"), "host", "path", *rates, toxic.alias("toxic"), (good & ~toxic).alias("kept"))
 
