@@ -40,8 +40,6 @@ STATS = T.StructType(
 )
 _SPACE_BYTES = SPACES.encode()
 _SYMBOLS = b"#*$%&|<>"
-#: Words to sort at a time are the words of one text; beyond that many, trigrams are counted by hash parts.
-PART_WORDS = 1 << 20
 
 
 def repeated_words(ids: np.ndarray) -> int:
