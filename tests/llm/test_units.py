@@ -319,6 +319,37 @@ def test_disguised_identifiers_map_back_to_the_source(text, kind, hidden):
     assert any(s["kind"] == kind and text[s["start"] : s["end"]] == hidden for s in found["added"]), found
 
 
+SPOKEN = "four one five five five five zero one two three"
+
+
+@pytest.mark.parametrize(
+    "text, kind, hidden",
+    [
+        ("call four one five five five five 0123 now", "phone", ["four one five five five five 0123"]),
+        (f"call {SPOKEN}, {SPOKEN} now", "phone", [SPOKEN] * 2),
+        (f"{SPOKEN}\n{SPOKEN}\n{SPOKEN}", "phone", [SPOKEN] * 3),
+        ("four-one-five, five five five, zero one two three, four-one-five, five five five, zero one two four", "phone", ["four-one-five, five five five, zero one two three", "four-one-five, five five five, zero one two four"]),
+        (f"4155550123, {SPOKEN}", "phone", [SPOKEN]),
+        (f"order 12345678 {SPOKEN}", "phone", [SPOKEN]),
+        ("2024 four" + " one" * 15, "card", ["four" + " one" * 15]),
+        ("at one nine two [dot] one six eight [dot] one [dot] one now", "ip", ["one nine two [dot] one six eight [dot] one [dot] one"]),
+        ("at one nine two dot one six eight dot one dot one now", "ip", ["one nine two dot one six eight dot one dot one"]),
+        ("at 192 dot 168 dot 1 dot 1 now", "ip", ["192 dot 168 dot 1 dot 1"]),
+        ("at 192.168.one.1 now", "ip", ["192.168.one.1"]),
+        ("four.one.five.five.five.five.zero.one.two.three", "phone", ["four.one.five.five.five.five.zero.one.two.three"]),
+        ("plus one dot two one two dot two zero two dot one two three four", "phone", ["plus one dot two one two dot two zero two dot one two three four"]),
+    ],
+)
+def test_spelled_digits_and_dots_in_all_shapes(text, kind, hidden):
+    found = pii.find(text)
+    assert [text[s["start"] : s["end"]] for s in found["added"] if s["kind"] == kind] == hidden, found
+
+
+@pytest.mark.parametrize("text", ["one. two. three. four.", "1. 2. 3. 4. five. six. seven", "pages 12, 13, 14, 15 and two, three", "version three dot one", "one " * 20000])
+def test_lists_and_endless_runs_are_no_identifiers(text):
+    assert not pii.find(text)["added"]
+
+
 @pytest.mark.parametrize(
     "text",
     ["He was at home. The dot on the map was red.", "one two three go", "Привет всем, мир", "naïve café à la carte, año", "(at) the end (see below)", "a point (.) here", "Look at example dot", "x" * 5000 + " " * 5000 + "at" + " " * 5000],
