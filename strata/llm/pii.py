@@ -24,6 +24,7 @@ handled alone, in linear time apart from the usual cost of the patterns.
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
 
 import numpy as np
@@ -115,8 +116,8 @@ def _fold(c: str) -> str | None:
     return None
 
 
-#: Characters beyond Latin that a fold may concern; accented Latin text has none of them.
-_ODD = re.compile("[­Ͱ-ӿԀ-ԯ٠-٩۰-۹०-९​-‍‐-―․⁠−。﹒﹫﻿！-｡\U0001d400-\U0001d7ff]")
+#: All characters beyond ASCII that ``_fold`` rewrites, and their forms.
+_ODD = {c: f for c in map(chr, range(128, sys.maxunicode + 1)) if (f := _fold(c)) is not None}
 
 
 class Tape:
@@ -154,11 +155,13 @@ class Tape:
         return int(self.start[a]), int(self.end[b - 1])
 
 
+def _is_odd(text: str) -> bool:
+    return not text.isascii() and not _ODD.keys().isdisjoint(text)
+
+
 def homoglyphs(tape: Tape) -> None:
-    if tape.text.isascii():
-        return
-    edits = [(m.start(), m.end(), f) for m in _ODD.finditer(tape.text) if (f := _fold(m[0])) is not None]
-    tape.rewrite(edits)
+    if _is_odd(tape.text):
+        tape.rewrite([(k, k + 1, _ODD[c]) for k, c in enumerate(tape.text) if c in _ODD])
 
 
 _OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
@@ -399,7 +402,7 @@ def hidden_identifiers(text: str, base: list[tuple[str, int, int]]) -> list[tupl
 
 def _suspect(text: str) -> bool:
     """Whether a transducer may change the text; cheap, and never False where one would."""
-    if not text.isascii() and _ODD.search(text):
+    if _is_odd(text):
         return True
     return "dot" in text.lower() or _may_spell(text) or bool(_MAYBE.search(text)) or bool(_QUAD_HINT.search(text))
 

@@ -319,6 +319,17 @@ def test_disguised_identifiers_map_back_to_the_source(text, kind, hidden):
     assert any(s["kind"] == kind and text[s["start"] : s["end"]] == hidden for s in found["added"]), found
 
 
+def test_the_prefilter_and_the_fold_agree_on_all_characters():
+    characters = [chr(c) for c in range(128, 0x110000)]
+    assert [c for c in characters if pii._suspect(c) != (pii._fold(c) is not None)] == []
+
+
+@pytest.mark.parametrize("zero", "০௦๐០၀")  # Bengali, Tamil, Thai, Khmer, Myanmar
+def test_digits_of_any_script(zero):
+    written = CARD.translate({ord(str(d)): chr(ord(zero) + d) for d in range(10)})
+    assert pii.find(f"pay {written} ok")["added"] == [{"kind": "card", "start": 4, "end": 4 + len(written)}]
+
+
 SPOKEN = "four one five five five five zero one two three"
 
 
