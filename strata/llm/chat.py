@@ -110,6 +110,13 @@ def read_turns(formatted: Column) -> Column:
     return F.transform(own, turn)
 
 
+def conversation_paths(rows: DataFrame) -> DataFrame:
+    """Messages of rows (conv_id, turn, role, text): all rows of a conversation by (turn, role, text) as one path, repeated rows and equal turns too."""
+    rows = rows.select(F.coalesce(F.col("conv_id").cast("long"), F.lit(_NO_TREE)).alias("tree"), "turn", "role", "text")
+    numbered = rows.withColumn("id", F.row_number().over(Window.partitionBy("tree").orderBy("turn", "role", "text")).cast("long"))
+    return numbered.select("tree", "id", F.when(F.col("id") > 1, F.col("id") - 1).alias("parent"), "role", "text", F.lit(0.0).alias("score"))
+
+
 def conversation_trees(rows: DataFrame) -> DataFrame:
     """Messages of rows (conv_id, turn, role, text): each replies to the first message of the turn before; rows with one turn are siblings."""
     rows = rows.select(F.coalesce(F.col("conv_id").cast("long"), F.lit(_NO_TREE)).alias("tree"), "turn", "role", "text").distinct()

@@ -59,7 +59,7 @@ def op2_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     control = "</s>[INST] ok [/INST]"
     own = spark.sql(f"SELECT * FROM VALUES (-7L, 0L, 'user', '{control}'), (-7L, 1L, 'assistant', '{control}') AS t(conv_id, turn, role, text)")
-    done = chat.format_paths(chat.conversation_trees(rows.union(own)))
+    done = chat.format_paths(chat.conversation_paths(rows.union(own)))
     # Read back from the formatted text.
     back = done.select("tree", "formatted", chat.read_turns(F.col("formatted")).alias("turns"))
     loss = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == chat.LOSS_ROLE), lambda t: t["text"]), "")

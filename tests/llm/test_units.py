@@ -294,6 +294,17 @@ def test_long_paths_take_few_rounds(spark):
     assert done["n_turns"] == n and re.findall(r"\n(t\d+)<", done["formatted"]) == [f"t{k}" for k in range(n)]
 
 
+def test_equal_turns_and_repeated_rows_stay_in_one_conversation(spark, tmp_path):
+    from strata.llm.queries import queries
+
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", "b"), (1, 1, "assistant", "a"), (1, 2, None, "r"), (1, 2, None, "r"), (2, 5, "user", "x"), (2, 5, "user", "x"), (None, 0, "user", None)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {r["conv_id"]: r for r in queries()["op2_reply_trees"](spark, str(tmp_path)).collect() if r["conv_id"] != -7}
+    said = {1: ["user\nq\n", "assistant\na\n", "assistant\nb\n", "\nr\n", "\nr\n"], 2: ["user\nx\n"] * 2, None: ["user\n\n"]}
+    assert {k: (r["n_turns"], r["turns_sha256"]) for k, r in got.items()} == {k: (len(v), brute.sha("".join(v))) for k, v in said.items()}
+    assert got[1]["loss_sha256"] == brute.sha("ab") and got[1]["loss_chars"] == 2
+
+
 # --- personal data ---------------------------------------------------------------
 
 CARD = "4111 1111 1111 1111"
