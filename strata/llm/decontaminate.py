@@ -12,7 +12,8 @@ as many shards as it needs, each of which passes over the documents without a sh
 
 Defined results: an item or text that is null, empty or has no letter or digit matches nothing. Items with one id and text count
 once; the same text under several ids is reported for each. Repeated documents are reported each. No items: no matches. Matches
-come by item id; of equal distances the first end counts.
+come by item id; of equal distances the first end counts. An item without id cannot be named, so ``leaks`` does not list it; ``drop_leaks``
+removes its documents as those of any other item.
 """
 
 from __future__ import annotations
@@ -73,13 +74,17 @@ def best_match(of: dict[str, int], m: int, text: str, limit: int) -> tuple[int,
     return (best, end) if best <= limit else None
 
 
+def _by_id(item_id: int | None) -> tuple[bool, int]:
+    return item_id is not None, item_id or 0
+
+
 class Matcher:
     """All items of a shard; ``matches(text)`` lists (item_id, distance, item_chars, end in the normalised text)."""
 
     def __init__(self, items: list[tuple[int, str]], error_rate: float):
         import ahocorasick
 
-        self.items: list[tuple[list[int], str, int]] = []
+        self.items: list[tuple[list[int | None], str, int]] = []
         ids: dict[str, set] = {}
         for item_id, text in items:
             ids.setdefault(normalise(text), set()).add(item_id)
@@ -89,7 +94,7 @@ class Matcher:
             edits = int(len(text) * error_rate)
             for offset, piece in pieces(text, edits):
                 places.setdefault(piece, []).append((len(self.items), offset))
-            self.items.append((sorted(i for i in ids[text] if i is not None), text, edits))
+            self.items.append((sorted(ids[text], key=_by_id), text, edits))
         for piece, at in places.items():
             self.find.add_word(piece, (len(piece), at))
         self.find.make_automaton()
@@ -132,12 +137,14 @@ class Matcher:
                             break
                 if best:
                     found += [{"item_id": i, "distance": best[0], "item_chars": len(pattern), "end": best[1]} for i in ids]
-        return {"items": sorted(found, key=lambda x: x["item_id"])}
+        return {"items": sorted(found, key=lambda x: _by_id(x["item_id"]))}
 
 
-def add_matches(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, shard_chars: int = SHARD_CHARS, text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> tuple[DataFrame, str]:
-    """``docs`` and an array column with the items found in each; also its name."""
-    items = benchmark.select(F.col(item_col).cast("long").alias("id"), F.col(item_text).alias("text")).where("id IS NOT NULL AND text IS NOT NULL").distinct()
+def add_matches(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, shard_chars: int = SHARD_CHARS, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", unnamed: bool = False) -> tuple[DataFrame, str]:
+    """``docs`` and an array column with the items found in each; also its name. ``unnamed``: items without id too, under a null item_id."""
+    items = benchmark.select(F.col(item_col).cast("long").alias("id"), F.col(item_text).alias("text")).where("text IS NOT NULL").distinct()
+    if not unnamed:
+        items = items.where("id IS NOT NULL")
     total = items.agg(F.sum(F.char_length("text"))).first()[0] or 0
     shards = int(-(-total // shard_chars)) or 1
     name = free_name(docs, "leaks")
@@ -158,6 +165,6 @@ def leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE,
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, text_col: str = "text") -> DataFrame:
-    """The documents in which no item is found, with their columns."""
-    found, name = add_matches(docs, benchmark, error_rate, text_col=text_col)
+    """The documents in which no item is found, with or without id, with their columns."""
+    found, name = add_matches(docs, benchmark, error_rate, text_col=text_col, unnamed=True)
     return found.where(F.size(name) == 0).select(*[F.col(c) for c in docs.columns])

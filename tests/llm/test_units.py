@@ -294,6 +294,15 @@ def test_long_paths_take_few_rounds(spark):
     assert done["n_turns"] == n and re.findall(r"\n(t\d+)<", done["formatted"]) == [f"t{k}" for k in range(n)]
 
 
+def test_items_without_id_remove_their_documents(spark):
+    docs = spark.createDataFrame([(1, "here is the secret question of the test"), (2, "nothing of that kind"), (3, "named item one in it")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "the secret question"), (7, "named item one"), (None, "named item one")], "item_id long, text string")
+    assert [r["doc_id"] for r in decontaminate.drop_leaks(docs, items).collect()] == [2]
+    assert [(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, items).collect()] == [(3, 7)]
+    found, name = decontaminate.add_matches(docs, items, unnamed=True)
+    assert {r["doc_id"]: [x["item_id"] for x in r[name]] for r in found.collect()} == {1: [None], 2: [], 3: [None, 7]}
+
+
 def test_equal_turns_and_repeated_rows_stay_in_one_conversation(spark, tmp_path):
     from strata.llm.queries import queries
 
