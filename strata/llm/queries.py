@@ -12,7 +12,7 @@ import corpus_pipeline
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, decontaminate, lattice_lm, line_dedup, near_dup, packing, pii, quality_rules, site_bayes, url_filter
+from strata.llm import chat, decontaminate, lattice_lm, line_dedup, near_dup, packing, pii, quality_rules, repair, site_bayes, url_filter
 from strata.llm.common import read
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -192,4 +192,64 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[f"{name}.{c}" for c in (*numbers, "base_failed", "kept", "rule")])
 
 
+_OP11_SQL = r"""
+WITH RECURSIVE o AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations),
+h AS (SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(name, ''), lambda c: ascii(c)::BIGINT)), lambda crc, b:
+  list_reduce(list_prepend(xor(crc, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295::BIGINT) % 20 AS d FROM o),
+g AS (SELECT conv_id, turn, CASE d WHEN 4 THEN 'user' ELSE role END AS role,
+  CASE d WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM h, (VALUES (1), (2)) AS c(copy) WHERE d <> 0 AND (copy = 1 OR d = 3)),
+p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM g),
+f AS (SELECT *, substr(role, 1, 1) AS first, lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS before,
+  CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b'
+    WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'd'
+    WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 't' ELSE '' END AS fault FROM p),
+ins(q, j, p) AS (VALUES (0, 0, 0), (0, 1, 2), (0, 2, 3), (1, 0, 1), (1, 1, 2), (1, 2, 3), (2, 0, 2), (2, 1, 3), (2, 2, 2), (3, 0, 3), (3, 1, 2), (3, 2, 3)),
+edit(letter, price, p, first, nq) AS (VALUES ('K', 0, 0, 's', 1), ('K', 0, 0, 'u', 2), ('K', 0, 1, 'u', 2), ('K', 0, 3, 'u', 2), ('K', 0, 2, 'a', 3),
+  ('R', 1, 0, NULL, 2), ('R', 1, 1, NULL, 2), ('R', 1, 2, NULL, 3), ('R', 1, 3, NULL, 2), ('D', 2, 0, NULL, 0), ('D', 2, 1, NULL, 1), ('D', 2, 2, NULL, 2), ('D', 2, 3, NULL, 3)),
+said AS (SELECT q, j, p, list_transform(range(j), lambda i: CASE WHEN (q = 2) = (i % 2 = 0) THEN 'assistant:' ELSE 'user:' END) AS parts FROM ins),
+dp AS (SELECT DISTINCT conv_id, 0::BIGINT AS pos, 0 AS q, 0::BIGINT AS cost, '' AS audit, []::VARCHAR[] AS parts FROM f
+  UNION ALL SELECT conv_id, pos, nq, min(cost), arg_min(audit, (cost, audit)), arg_min(parts, (cost, audit)) FROM (
+    SELECT f.conv_id, f.pos, e.nq, dp.cost + 5 * s.j + e.price + CASE WHEN f.fault = 't' AND e.letter <> 'D' THEN 5 ELSE 0 END AS cost,
+      dp.audit || repeat('I', s.j::INT) || e.letter AS audit, dp.parts || s.parts || CASE e.letter WHEN 'D' THEN []::VARCHAR[]
+        WHEN 'K' THEN [f.role || ':' || f.text] ELSE [CASE e.nq WHEN 2 THEN 'user:' ELSE 'assistant:' END || f.text] END AS parts
+    FROM dp JOIN f ON f.conv_id IS NOT DISTINCT FROM dp.conv_id AND f.pos = dp.pos + 1 JOIN said s ON s.q = dp.q
+      JOIN edit e ON e.p = s.p AND (e.letter <> 'K' OR e.first = f.first) AND (e.letter = 'D' OR f.fault NOT IN ('b', 'd'))) GROUP BY ALL),
+n AS (SELECT conv_id, max(pos) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+  count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+  count(*) FILTER (pos > 1 AND before || first NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id),
+z AS (SELECT dp.conv_id, arg_min((cost + 5 * j, audit || repeat('I', j::INT), dp.parts || s.parts), (cost + 5 * j, audit || repeat('I', j::INT))) AS r
+  FROM dp JOIN n ON n.conv_id IS NOT DISTINCT FROM dp.conv_id AND n.n = dp.pos JOIN said s ON s.q = dp.q AND s.p IN (0, 3) GROUP BY dp.conv_id)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(r[1], 0)::BIGINT AS cost, coalesce(r[2], '') AS audit, sha256(coalesce(array_to_string(r[3], chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN z ON z.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
+def damage(rows: DataFrame) -> DataFrame:
+    """The contract's damage, decided by a checksum of each row's conversation and turn."""
+    space, name = F.lit(" "), lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(name("conv_id"), F.lit(":"), name("turn"))) % 20
+    text, role = F.coalesce("text", space), F.coalesce("role", space)
+    text = F.when(kind == 1, "").when(kind == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text)
+    copies = F.when(kind == 0, F.array().cast("array<int>")).when(kind == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return rows.select("conv_id", "turn", F.when(kind == 4, "user").otherwise(role).alias("role"), text.alias("text"), F.explode(copies).alias("copy")).drop("copy")
+
+
+@register("op11_structure_repair", _OP11_SQL)
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    repaired, by_conv = repair.repair(damage(rows))
+    fault = lambda kind: F.count_if(F.col("fault") == kind).alias(kind)
+    gap = F.coalesce(F.max("turn") - F.min("turn") + 1 - F.count_distinct("turn"), F.lit(0)).cast("long")
+    faults = repaired.groupBy("conv").agg(gap.alias("gaps"), *map(fault, ("blank", "duplicate", "truncated")), F.count_if("illegal").alias("illegal"))
+    done = repair.digests(repaired, by_conv)
+    all_ids = rows.select("conv_id").distinct()
+    found = all_ids.join(faults, all_ids["conv_id"].eqNullSafe(faults["conv"]), "left").drop("conv")
+    found = found.join(done, found["conv_id"].eqNullSafe(done["conv"]), "left")
+    numbers = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return found.select("conv_id", *numbers, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

@@ -23,7 +23,7 @@ def run(spark, name, sf_dir=SF001):
 
 def test_every_operator_and_the_pipeline_are_registered():
     names = sorted(queries())
-    assert sorted(n.split("_")[0] for n in names) == sorted([*[f"op{k}" for k in range(1, 11)], "pipeline"])
+    assert sorted(n.split("_")[0] for n in names) == sorted([*[f"op{k}" for k in range(1, 14)], "pipeline"])
 
 
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
