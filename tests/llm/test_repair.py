@@ -17,7 +17,7 @@ def legal(initials):
 
 
 def enumerated(rows):
-    """(cost, audit) of the least edits by trying all, with up to two insertions at each place."""
+    """(cost, audit) of the least edits by trying all, with up to two insertions at each place (one in longer conversations)."""
     best = None
     places = []
     for initial, fault in rows:
@@ -26,7 +26,7 @@ def enumerated(rows):
         if fault != "delete":
             own += [("K", more, initial), ("R", 1 + more, "u"), ("R", 1 + more, "a")]
         places.append(own)
-    inserts = [x for n in range(3) for x in itertools.product("ua", repeat=n)]
+    inserts = [x for n in range(3 if len(rows) < 3 else 2) for x in itertools.product("ua", repeat=n)]
     for chosen in itertools.product(*places):
         for added in itertools.product(inserts, repeat=len(rows) + 1):
             cost = sum(c for _, c, _ in chosen) + 5 * sum(map(len, added))
@@ -54,7 +54,7 @@ def solved(rows, block):
 def test_least_edits_equal_enumeration():
     draw = random.Random(5)
     for n in (0, 1, 2, 3):
-        for _ in range(40 if n < 3 else 25):
+        for _ in range(40 if n < 3 else 6):
             rows = [(draw.choice("suax"), draw.choice(repair.FAULTS)) for _ in range(n)]
             assert solved(rows, 100) == (enumerated(rows) if rows else (0, "")), rows
 
@@ -106,7 +106,7 @@ def test_damage_is_decided_by_conversation_and_turn(spark):
             assert got.get((c, t)) == expected
 
 
-@pytest.mark.parametrize("conv, texts, audit", [(1, ["u", "a", "u", "a"], "KKKK"), (2, ["u", "u", "a"], "DKK"), (3, ["a", "u"], "DD"), (4, ["u"], "D"), (5, ["s", "u", "a"], "KKK"), (6, ["a", "a", "u", "a"], "DDKK")])
-def test_ties_take_the_ascii_least_audit(conv, texts, audit):
-    assert solved([(x, "") for x in texts], 8)[1] == min(audit, solved([(x, "") for x in texts], 8)[1])
-    assert solved([(x, "") for x in texts], 8) == enumerated([(x, "") for x in texts])
+@pytest.mark.parametrize("initials, cost, audit", [("uaua", 0, "KKKK"), ("uua", 2, "DKK"), ("au", 2, "RR"), ("u", 2, "D"), ("sua", 0, "KKK"), ("aaua", 1, "RKKK"), ("uau", 2, "KKD"), ("usa", 2, "KDK")])
+def test_ties_take_the_ascii_least_audit(initials, cost, audit):
+    rows = [(x, "") for x in initials]
+    assert solved(rows, 8) == enumerated(rows) == (cost, audit)
