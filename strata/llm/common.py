@@ -28,6 +28,16 @@ def shared_table(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of ASCII letters and digits and of characters beyond ASCII, A-Z lower-cased; all others become a space.
+_PLAIN = bytes(c if chr(c).isalnum() else 0x20 for c in range(0x80)) + bytes(range(0x80, 0x100))
+_FOLD = _PLAIN.translate(bytes.maketrans(ASCII_UPPER.encode(), ASCII_LOWER.encode()))
+
+
+def plain_words(text: str | None) -> list[bytes]:
+    """Maximal runs of ASCII letters, digits and characters beyond ASCII as UTF-8, A-Z lower-cased."""
+    return (text or "").encode("utf-8", "surrogatepass").translate(_FOLD).split()
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

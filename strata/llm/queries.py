@@ -12,7 +12,7 @@ import corpus_pipeline
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, decontaminate, lattice_lm, line_dedup, near_dup, packing, pii, quality_rules, repair, site_bayes, url_filter
+from strata.llm import chat, decontaminate, lattice_lm, license_scan, line_dedup, near_dup, packing, pii, quality_rules, ranked_search, repair, site_bayes, url_filter
 from strata.llm.common import read
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -252,4 +252,60 @@ def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("conv_id", *numbers, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
 
 
+_OP12_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+s AS (SELECT count(*)::BIGINT AS docs, sum(len(ts))::BIGINT AS total FROM d WHERE len(ts) > 0),
+p AS (SELECT doc_id, n, term, count(*)::BIGINT AS tf FROM (SELECT doc_id, len(ts) AS n, unnest(ts) AS term FROM d) GROUP BY ALL),
+v AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM p, s GROUP BY term, docs),
+q AS (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+r AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // total))))::BIGINT AS score
+  FROM q JOIN p USING (term) JOIN v USING (term), s GROUP BY item_id, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM r WHERE score > 0
+QUALIFY rank <= 20
+"""
+
+
+@register("op12_ranked_search", _OP12_SQL)
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index, documents, _ = ranked_search.build(read(spark, sf_dir, "documents"))
+    return ranked_search.search(index, documents, read(spark, sf_dir, "benchmark"))
+
+
+_OP13_TEMPLATES = ", ".join(f"({k}, '{t.label}', {t.scale}, {t.need}, {len(t.words)}, '{w.decode()}')" for k, t in enumerate(license_scan.prepare(license_scan.TEMPLATES, license_scan.PERCENT)) for w in t.words)
+_OP13_SQL = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+w AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS pos FROM d),
+p AS (SELECT doc_id, word, pos, lead(word, 1) OVER o AS next, lead(word, 2) OVER o AS third FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY pos)),
+b AS (SELECT doc_id, pos, CASE WHEN word = 'cc' AND next = 'by' THEN 'cc-by' WHEN word = 'general' AND next = 'public' AND third = 'license' THEN 'gpl'
+  WHEN word = 'all' AND next = 'rights' AND third = 'reserved' THEN 'reserved' END AS label FROM p),
+t(template, label, scale, need, size, word) AS (VALUES {_OP13_TEMPLATES}),
+h AS (SELECT doc_id, template, label, need, size, word, unnest([pos // scale - 1, pos // scale]) AS block FROM w JOIN t USING (word)),
+m AS (SELECT doc_id, label, count(DISTINCT word) / size AS containment FROM h WHERE block >= 0 GROUP BY doc_id, template, label, need, size, block HAVING count(DISTINCT word) >= need),
+ls AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label FROM b WHERE label IS NOT NULL UNION SELECT doc_id, label FROM m) GROUP BY doc_id),
+bs AS (SELECT doc_id, count(*) AS n, min(pos) AS lo, max(pos) AS hi, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM b WHERE label IS NOT NULL GROUP BY doc_id),
+ms AS (SELECT doc_id, max(containment) AS best FROM m GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, coalesce(bs.n, 0) AS n_base, lo AS first_word, hi AS last_word, coalesce(bs.labels, '') AS base_labels, coalesce(ls.labels, '') AS labels,
+  greatest(coalesce(best, 0.0), CASE WHEN bs.n > 0 THEN 1.0 ELSE 0.0 END)::DOUBLE AS score
+FROM d LEFT JOIN bs USING (doc_id) LEFT JOIN ls USING (doc_id) LEFT JOIN ms USING (doc_id)
+"""
+
+
+@register("op13_license_scan", _OP13_SQL)
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, name = license_scan.scan(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    places, matches = F.col(name)["places"], F.col(name)["matches"]
+    sorted_labels = lambda c: F.array_join(F.array_sort(F.array_distinct(c)), ",")
+    best = F.coalesce(F.array_max(matches["containment"]), F.lit(0.0))
+    return found.select(
+        "doc_id",
+        F.col(name)["n_words"].alias("n_words"),
+        F.size(places).cast("long").alias("n_base"),
+        F.array_min(places["start"]).alias("first_word"),
+        F.array_max(places["start"]).alias("last_word"),
+        sorted_labels(places["label"]).alias("base_labels"),
+        sorted_labels(F.concat(places["label"], matches["label"])).alias("labels"),
+        F.when(F.size(places) > 0, 1.0).otherwise(best).alias("score"),
+    )
+
+
 register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
