@@ -34,7 +34,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import plain_words, shared_table, slices
@@ -45,13 +45,19 @@ SHARD_DOCUMENTS = 1 << 13
 ITEM_CHARS = 1_000_000
 #: Ranges that a step of the descent opens at a time.
 WIDTH = 128
-_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _ONES = np.array([bin(k).count("1") for k in range(16)], dtype=np.int64)
 
 
-def n_terms(text: Column) -> Column:
-    """The number of terms with repeats, on the JVM."""
-    return F.coalesce(F.regexp_count(text, F.lit(_TERM)), F.lit(0)).cast("long")
+def totals(docs: DataFrame, text_col: str = "text") -> tuple[int, int]:
+    """The number of documents with a term, and of all terms with repeats."""
+
+    def run(batches):
+        for part in slices(batches):
+            found = [n for text in part.column(0).to_pylist() if (n := len(plain_words(text)))]
+            yield pa.RecordBatch.from_arrays([pa.array([len(found)], pa.int64()), pa.array([sum(found)], pa.int64())], names=["documents", "terms"])
+
+    counted = docs.select(text_col).mapInArrow(run, "documents long, terms long")
+    return tuple(counted.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in counted.columns]).first())
 
 
 def impacts(tf: np.ndarray, n: np.ndarray, documents: int, total: int) -> np.ndarray:
@@ -218,8 +224,7 @@ INDEX = "ids array<long>, names binary, df binary, cells binary"
 def build(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, int, int]:
     """The index, one row per shard, and N and L. A document without terms is in no shard: it can have no score."""
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    n = n_terms(F.col("text"))
-    documents, total = own.select(n.alias("n")).where("n > 0").agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    documents, total = totals(own)
 
     def run(batches):
         kind = pa.schema([("ids", pa.list_(pa.int64())), ("names", pa.binary()), ("df", pa.binary()), ("cells", pa.binary())])
