@@ -22,7 +22,7 @@ need the matching pairs themselves; only matches are returned.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -47,33 +47,53 @@ def range_count(
     keys: Sequence[str] = (),
     name: str = "match_count",
 ) -> DataFrame:
-    """Anchors (all columns kept) with the count of events in ``[ts-before, ts+after]``.
+    """Anchors (all columns kept) with the count of events in ``[ts-before, ts+after]``."""
+    return range_sums(anchors, events, anchor_ts, event_ts, before_s, after_s, {name: F.lit(1).cast("long")}, keys)
+
+
+def range_sums(
+    anchors: DataFrame,
+    events: DataFrame,
+    anchor_ts: str,
+    event_ts: str,
+    before_s: int,
+    after_s: int,
+    sums: Mapping[str, Column],
+    keys: Sequence[str] = (),
+) -> DataFrame:
+    """Anchors (all columns kept) with sums of whole-number columns over the events in ``[ts-before, ts+after]``.
 
     Bounds are inclusive; anchors without events get 0 (left-join semantics), as do
     anchors without a time or, with ``keys`` (equi + range condition), without a key.
-    Rows without time or key count nowhere. Anchors may repeat: the counts are
+    Rows without time or key count nowhere. Anchors may repeat: the sums are
     computed per distinct (key, time) and joined back, so no id is needed.
     """
-    keys = list(keys)
+    keys, names = list(keys), list(sums)
+    held = {n: f"_rc_w{i}" for i, n in enumerate(names)}
     complete = [F.col(k).isNotNull() for k in keys]
     asked = _where(anchors, [F.col(anchor_ts).isNotNull(), *complete]).select(*keys, F.col(anchor_ts).alias("_rc_ts")).distinct()
     # One row per distinct time: a burst is summed before it is sorted.
-    times = _where(events, [F.col(event_ts).isNotNull(), *complete]).groupBy(*keys, F.col(event_ts).alias("_rc_t")).agg(F.count(F.lit(1)).alias("_rc_w"))
+    times = _where(events, [F.col(event_ts).isNotNull(), *complete]).groupBy(*keys, F.col(event_ts).alias("_rc_t"))
+    times = times.agg(*[F.sum(sums[n]).cast("long").alias(held[n]) for n in names])
 
     def probe(shift: Column, kind: int) -> DataFrame:
-        return asked.select(*keys, (F.col("_rc_ts") + shift).alias("_rc_t"), F.lit(kind).alias("_rc_kind"), F.lit(0).cast("long").alias("_rc_w"), "_rc_ts")
+        nothing = [F.lit(0).cast("long").alias(w) for w in held.values()]
+        return asked.select(*keys, (F.col("_rc_ts") + shift).alias("_rc_t"), F.lit(kind).alias("_rc_kind"), *nothing, "_rc_ts")
 
     no_ts = F.lit(None).cast(asked.schema["_rc_ts"].dataType).alias("_rc_ts")
     both = probe(-_interval(before_s), 0).unionByName(probe(_interval(after_s), 2))
-    u = both.unionByName(times.select(*keys, "_rc_t", F.lit(1).alias("_rc_kind"), "_rc_w", no_ts))
+    u = both.unionByName(times.select(*keys, "_rc_t", F.lit(1).alias("_rc_kind"), *held.values(), no_ts))
     # Probes of one kind and time come from one anchor time, so the order is total.
-    scanned = ordered_scan(u, keys, ["_rc_t", "_rc_kind"], running={"_rc_c": F.col("_rc_w")})
-    signed = F.when(F.col("_rc_kind") == 2, F.col("_rc_c")).otherwise(-F.col("_rc_c"))
-    counts = scanned.filter(F.col("_rc_ts").isNotNull()).groupBy(*keys, "_rc_ts").agg(F.sum(signed).cast("long").alias("_rc_n"))
+    scanned = ordered_scan(u, keys, ["_rc_t", "_rc_kind"], running={f"_rc_c{w}": F.col(w) for w in held.values()})
+    signed = lambda c: F.when(F.col("_rc_kind") == 2, F.col(c)).otherwise(-F.col(c))
+    found = scanned.filter(F.col("_rc_ts").isNotNull()).groupBy(*keys, "_rc_ts")
+    found = found.agg(*[F.sum(signed(f"_rc_c{w}")).cast("long").alias(f"_rc_n{w}") for w in held.values()])
     # From storage, so that AQE can split a time that very many anchors share.
-    counts = pinned(counts).toDF(*[f"_rc_k{i}" for i in range(len(keys))], "_rc_ts", "_rc_n")
-    cond = reduce(lambda a, c: a & c, [anchors[k] == counts[f"_rc_k{i}"] for i, k in enumerate(keys)], anchors[anchor_ts] == counts["_rc_ts"])
-    return anchors.join(counts, cond, "left").select(*[anchors[c] for c in anchors.columns], F.coalesce("_rc_n", F.lit(0)).cast("long").alias(name))
+    found = pinned(found)
+    found = found.withColumnsRenamed({k: f"_rc_k{i}" for i, k in enumerate(keys)})
+    cond = reduce(lambda a, c: a & c, [anchors[k] == found[f"_rc_k{i}"] for i, k in enumerate(keys)], anchors[anchor_ts] == found["_rc_ts"])
+    out = [F.coalesce(f"_rc_n{held[n]}", F.lit(0)).cast("long").alias(n) for n in names]
+    return anchors.join(found, cond, "left").select(*[anchors[c] for c in anchors.columns], *out)
 
 
 def _where(df: DataFrame, conditions: Sequence[Column]) -> DataFrame:

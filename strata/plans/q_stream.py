@@ -12,15 +12,19 @@ from pyspark.sql import functions as F
 from strata.plans.catalog import register
 from strata.plans.q_joins import _range_sql
 from strata.session import scratch_path
-from strata.streaming import jobs
+from strata.streaming import jobs, stateful
 from strata.sources.tables import table
 
 
 COLUMNS = ("event_id", "ts", "user_id", "event_type", "value")
 
 
+#: Files of a poll, which a micro-batch takes together.
+FILES = 4
+
+
 def _polls(spark, sf_dir, root, columns=COLUMNS, n=4):
-    """All events landed as ``n`` folders, one per micro-batch, the last period first: half of them come late."""
+    """All events landed as ``n`` folders of ``FILES`` files, one per micro-batch, the last period first: half of them come late."""
     ev = table(spark, sf_dir, "events").select(*columns)
     first, last = (ev.select(f("ts")).scalar() for f in (F.min, F.max))
     span = F.unix_micros(last.cast("timestamp")) - F.unix_micros(first.cast("timestamp")) + 1
@@ -28,10 +32,45 @@ def _polls(spark, sf_dir, root, columns=COLUMNS, n=4):
     tagged = ev.withColumn("_poll", at.cast("int")).persist()
     try:
         for k, poll in enumerate([n - 1, *range(n - 1)]):
-            tagged.filter(F.col("_poll") == poll).drop("_poll").coalesce(1).write.parquet(f"{root}/landing/poll{k}")
+            tagged.filter(F.col("_poll") == poll).drop("_poll").repartition(FILES).write.parquet(f"{root}/landing/poll{k}")
     finally:
         tagged.unpersist()
-    return jobs.file_stream(spark, f"{root}/landing/*", ev.schema, max_files=1)
+    return jobs.file_stream(spark, f"{root}/landing/*", ev.schema, max_files=FILES)
+
+
+#: A delay longer than the whole table: its polls come in any order and no row is late.
+ALL_S = 400 * 86400
+
+
+def _heartbeat(spark, sf_dir, root, schema, poll, ahead_s):
+    """A last poll of one row without an entity, far enough ahead for the watermark to pass every record."""
+    last = table(spark, sf_dir, "events").agg((F.max("ts").cast("timestamp") + F.make_dt_interval(secs=F.lit(ahead_s))).alias("t"))
+    value = lambda f: (F.col("t") if f.name == "ts" else F.lit(None)).cast(f.dataType).alias(f.name)
+    last.select(*map(value, schema.fields)).write.parquet(f"{root}/landing/poll{poll}")
+
+
+PERIODS = 5
+#: Watermark delay and heartbeat of the streams below: rows come at most one period (about six days) late.
+DELAY_S = 8 * 86400
+
+
+def _disordered_polls(spark, sf_dir, root, columns=COLUMNS):
+    """All events as ``PERIODS`` + 1 polls: each holds its period, but every third record comes with the next one, beside newer rows.
+
+    A last poll is a heartbeat without an entity, far enough ahead for the watermark to pass every record.
+    """
+    ev = table(spark, sf_dir, "events").select(*columns)
+    first, last = (ev.select(f("ts")).scalar() for f in (F.min, F.max))
+    micros = lambda c: F.unix_micros(c.cast("timestamp"))
+    period = F.floor(PERIODS * (micros(F.col("ts")) - micros(first)) / (micros(last) - micros(first) + 1)).cast("int")
+    tagged = ev.withColumn("_poll", period + (F.pmod(F.xxhash64("event_id"), F.lit(3)) == 0).cast("int")).persist()
+    try:
+        for k in range(PERIODS + 1):
+            tagged.filter(F.col("_poll") == k).drop("_poll").repartition(FILES).write.parquet(f"{root}/landing/poll{k}")
+    finally:
+        tagged.unpersist()
+    _heartbeat(spark, sf_dir, root, ev.schema, PERIODS + 1, 2 * DELAY_S)
+    return jobs.file_stream(spark, f"{root}/landing/*", ev.schema, max_files=FILES)
 
 
 @register(
@@ -67,25 +106,34 @@ def stream_dedup(spark, sf_dir):
     root = scratch_path(spark, "stream-dedup")
     st = _polls(spark, sf_dir, root, n=3)
     for k in range(3):
-        spark.read.parquet(f"{root}/landing/poll{k}").coalesce(1).write.parquet(f"{root}/landing/poll{k}-again")
-    jobs.dedup(st, ["event_id"], "ts", f"{root}/sink", f"{root}/_checkpoint")
-    return jobs.read_dedup(spark, f"{root}/sink", st.schema)
+        spark.read.parquet(f"{root}/landing/poll{k}").repartition(FILES).write.parquet(f"{root}/landing/poll{k}-again")
+    st = jobs.event_time(st, "ts").drop("ts")
+    kept = stateful.deduplicate(st, ["event_id"], "event_ts", ALL_S)
+    stateful.append_to(kept, f"{root}/sink", f"{root}/_checkpoint")
+    done = spark.read.schema(kept.schema).parquet(f"{root}/sink")
+    return done.select("event_id", F.col("event_ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type", "value")
+
+
+_HOURLY_COLUMNS = "date_trunc('hour', ts) AS period, event_type AS term, count(*) AS count, round(avg(value), 6) AS mean_value"
+
+
+def _hourly_out(df):
+    return df.filter("event_type IS NOT NULL").select(
+        F.col("window.start").cast("timestamp_ntz").alias("period"), F.col("event_type").alias("term"), "count", F.round("mean_value", 6).alias("mean_value")
+    )
 
 
 @register(
     "stream_hourly",
-    sql="""SELECT date_trunc('hour', ts) AS period, event_type AS term, count(*) AS count, round(avg(value), 6) AS mean_value
-           FROM events GROUP BY ALL""",
+    sql=f"SELECT {_HOURLY_COLUMNS} FROM events GROUP BY ALL",
 )
 def stream_hourly(spark, sf_dir):
-    """SM5 / SM3: hourly counts and means per type on the stream."""
+    """SM5 / SM3: hourly counts and means per type, restated as a whole after each micro-batch (complete mode on the state store)."""
     root = scratch_path(spark, "stream-hourly")
     st = jobs.event_time(_polls(spark, sf_dir, root), "ts")
-    jobs.windowed_stats(st, "event_ts", ["event_type"], "1 hour", f"{root}/partials", f"{root}/_checkpoint", measure="value")
-    out = jobs.read_windowed(spark, f"{root}/partials", ["event_type"], st.schema)
-    return out.select(
-        F.col("window.start").cast("timestamp_ntz").alias("period"), F.col("event_type").alias("term"), "count", F.round("mean_value", 6).alias("mean_value")
-    )
+    counts = stateful.windowed(st, "event_ts", ["event_type"], "1 hour", ALL_S, "value")
+    stateful.complete_to(counts, f"{root}/table", f"{root}/_checkpoint")
+    return _hourly_out(stateful.read_complete(spark, f"{root}/table", counts.schema))
 
 
 @register(
@@ -99,8 +147,10 @@ def stream_velocity(spark, sf_dir):
     """SM6: velocity over four micro-batches, three of them older than the first."""
     root = scratch_path(spark, "stream-velocity")
     st = _polls(spark, sf_dir, root, ("user_id", "ts", "event_id", "value"))
-    jobs.velocity_stream(st, "user_id", "ts", "event_id", "value", f"{root}/state", f"{root}/_checkpoint", buckets=8)
-    g = jobs.read_gains(spark, f"{root}/state", "user_id", "ts", "event_id", "value", st.schema).filter(F.col("prev_value").isNotNull())
+    _heartbeat(spark, sf_dir, root, st.schema, "zz", 2 * ALL_S)
+    out = stateful.gains(jobs.event_time(st, "ts").drop("ts"), "user_id", "event_ts", "event_id", "value", ALL_S)
+    stateful.append_to(out, f"{root}/sink", f"{root}/_checkpoint")
+    g = spark.read.schema(out.schema).parquet(f"{root}/sink").filter(F.col("prev_value").isNotNull())
     return g.groupBy("user_id").agg(
         F.max("value").alias("current_value"),
         F.round(F.sum("gain"), 6).alias("total_gain"),
@@ -142,3 +192,75 @@ def stream_cycle(spark, sf_dir):
     jobs.cycle_stream(_polls(spark, sf_dir, root), cycle, ["user_id"], ["ts", "event_id"], f"{root}/out", f"{root}/_checkpoint")
     parts = [spark.read.parquet(f"{root}/out/{n}").select(F.lit(n).alias("output"), "name", "number") for n in ("by_type", "top")]
     return parts[0].unionByName(parts[1])
+
+
+def _follow_sql(anchor, event, after):
+    return f"""SELECT a.event_id AS alert_id, a.ts AS alert_ts, b.event_id AS article_id, b.ts AS article_ts, b.value AS article_value
+        FROM events a JOIN events b ON b.ts BETWEEN a.ts AND a.ts + INTERVAL {after} SECOND WHERE a.{anchor} AND b.{event}"""
+
+
+@register("stream_pairs", sql=_follow_sql("event_type = 'error'", "event_type = 'click'", 900))
+def stream_pairs(spark, sf_dir):
+    """SM7: alerts and the articles that follow within a quarter of an hour, joined as two watermarked streams over six disordered polls."""
+    root = scratch_path(spark, "stream-pairs")
+    st = jobs.event_time(_disordered_polls(spark, sf_dir, root), "ts").drop("ts")
+    side = lambda kind, name: st.filter(F.col("event_type").isNull() | (F.col("event_type") == kind)).select(
+        F.col("event_id").alias(f"{name}_id"), F.col("event_ts").alias(f"{name}_ts"), F.col("value").alias(f"{name}_value")
+    )
+    pairs = stateful.interval_join(side("error", "alert"), side("click", "article"), "alert_ts", "article_ts", 0, 900, DELAY_S, salt=2)
+    stateful.append_to(pairs, f"{root}/sink", f"{root}/_checkpoint")
+    out = spark.read.schema(pairs.schema).parquet(f"{root}/sink").filter("alert_id IS NOT NULL AND article_id IS NOT NULL")
+    times = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("alert_ts", "article_ts")]
+    return out.select("alert_id", times[0], "article_id", times[1], "article_value")
+
+
+@register(
+    "stream_gains",
+    sql="""SELECT user_id, ts, event_id, value, lag(value) OVER w AS prev_value, round(value - lag(value) OVER w, 6) AS gain
+           FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
+)
+def stream_gains(spark, sf_dir):
+    """SM6: the gain of every observation over its entity's one before, from keyed state, over six disordered polls and a heartbeat."""
+    root = scratch_path(spark, "stream-gains")
+    st = jobs.event_time(_disordered_polls(spark, sf_dir, root), "ts").drop("ts")
+    out = stateful.gains(st, "user_id", "event_ts", "event_id", "value", DELAY_S)
+    stateful.append_to(out, f"{root}/sink", f"{root}/_checkpoint")
+    done = spark.read.schema(out.schema).parquet(f"{root}/sink")
+    return done.select("user_id", F.col("event_ts").cast("timestamp_ntz").alias("ts"), "event_id", "value", "prev_value", F.round("gain", 6).alias("gain"))
+
+
+@register("stream_repeats", sql="SELECT event_id, user_id, event_type, value FROM events")
+def stream_repeats(spark, sf_dir):
+    """SM4: records observed again on other dates, in the same and in later micro-batches: one row each from the state store."""
+    root = scratch_path(spark, "stream-repeats")
+    ev = table(spark, sf_dir, "events").select(*COLUMNS)
+    first = ev.select(F.min("ts")).scalar().cast("timestamp")
+    seen = lambda poll, day: (first + F.make_dt_interval(days=F.lit(poll) + day)).alias("seen")
+    part = F.pmod(F.xxhash64("event_id"), F.lit(3)).cast("int")
+    copies = F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("copy")
+    # Three copies: in its poll, in the same poll under another date, and in a later poll.
+    for k in range(4):
+        all_copies = ev.select(*COLUMNS, part.alias("part"), copies).withColumn("poll", F.col("part") + (F.col("copy") == 2).cast("int"))
+        rows = all_copies.filter(F.col("poll") == k).select(*COLUMNS, seen(k, F.col("copy")))
+        rows.repartition(FILES).write.parquet(f"{root}/landing/poll{k}")
+    st = jobs.file_stream(spark, f"{root}/landing/*", rows.schema, max_files=FILES)
+    kept = stateful.deduplicate(st, ["event_id"], "seen", 10 * 86400).select("event_id", "user_id", "event_type", "value")
+    stateful.append_to(kept, f"{root}/sink", f"{root}/_checkpoint")
+    return spark.read.schema(kept.schema).parquet(f"{root}/sink")
+
+
+_OPEN_S = 9 * 86400
+
+
+@register(
+    "stream_hourly_closed",
+    sql=f"""SELECT {_HOURLY_COLUMNS} FROM events
+            WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL {_OPEN_S} SECOND FROM events) GROUP BY ALL""",
+)
+def stream_hourly_closed(spark, sf_dir):
+    """SM5: hourly results in append mode, each once, as the watermark closes its hour; the hours still open are not emitted."""
+    root = scratch_path(spark, "stream-closed")
+    st = jobs.event_time(_disordered_polls(spark, sf_dir, root), "ts").filter("event_id IS NOT NULL")
+    counts = stateful.windowed(st, "event_ts", ["event_type"], "1 hour", _OPEN_S, "value")
+    stateful.append_to(counts, f"{root}/sink", f"{root}/_checkpoint")
+    return _hourly_out(spark.read.schema(counts.schema).parquet(f"{root}/sink"))

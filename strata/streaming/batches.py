@@ -8,6 +8,7 @@ says which epochs are done. Small running state goes to one of two slots in turn
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -24,11 +25,27 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+@contextmanager
+def adaptive(spark: SparkSession):
+    """Adaptive execution on, also for the session of a stream, which has it off."""
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def put(rows: DataFrame, path: str, epoch: int, by: Sequence[str] = ()) -> None:
-    """Write the rows of an epoch, partitioned by ``by`` and the epoch; a replay replaces the partitions it writes."""
+    """Write the rows of an epoch, partitioned by ``by`` and the epoch; a replay replaces the partitions it writes.
+
+    Rows are gathered by partition value, so that each has few files, and a value with very many rows is split over several tasks.
+    """
     tagged = rows.withColumn(BATCH, F.lit(epoch).cast("long"))
-    tagged = tagged.repartition(*by) if by else tagged
-    tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by, BATCH).parquet(path)
+    tagged = tagged.hint("rebalance", *by) if by else tagged
+    with adaptive(rows.sparkSession):
+        tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by, BATCH).parquet(path)
 
 
 def get(spark: SparkSession, path: str, schema: T.StructType, by: Sequence[str] = ()) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Structured Streaming jobs (SM1-SM7, SRC3, SNK2, SNK3).
+"""Structured Streaming jobs without a state store: ingestion, the live list, proximity counts, repeated cycles (SM1-SM3, SM7, SRC3, SNK2, SNK3).
 
 Every job is a ``readStream`` -> transformations -> ``writeStream`` with a
 ``checkpointLocation`` in the shared checkpoint folder, so a restarted or
@@ -6,15 +6,15 @@ re-run query resumes exactly where it stopped (a rerun over the same input adds
 nothing). Tests and the catalog drive them with ``trigger(availableNow=True)``;
 production uses ``processingTime``.
 
-Results are kept as partials that can be merged (counts and sums per window, counts
-per anchor) or restated, one set per micro-batch, so rows that arrive late, in
-whatever order, are counted like any others: nothing is dropped at a watermark and
-no operator state grows. A micro-batch reads only the partitions of earlier data
-that its own rows touch (their days or entity buckets).
+Results are partials that can be merged, or restated, one set per micro-batch, so rows that arrive late, in
+whatever order, are counted like any others. A micro-batch reads only the partitions of earlier data that its own rows touch. Operators
+that keep state between micro-batches (joins, velocity, deduplication, windows) are in ``stateful``, on Spark's state store.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators import clean, joins
-from strata.operators.sequence import ordered_scan
 from strata.streaming import batches
 
 
@@ -77,7 +76,8 @@ def each_batch(stream: DataFrame, step, checkpoint: str, available_now: bool):
     def run(batch: DataFrame, epoch: int) -> None:
         rows = batch.persist()  # bounded by maxFilesPerTrigger / maxOffsetsPerTrigger
         try:
-            step(rows, epoch)
+            with batches.adaptive(batch.sparkSession):
+                step(rows, epoch)
         finally:
             rows.unpersist()
 
@@ -104,133 +104,40 @@ def read_live(spark: SparkSession, table: str, schema: T.StructType) -> DataFram
     return batches.Slots(spark, table, schema).latest()
 
 
-def _dates(rows: DataFrame, ts: str) -> DataFrame:
-    return rows.withColumn("_date", F.date_format(ts, "yyyy-MM-dd"))
-
-
 def _values(rows: DataFrame, col: str) -> list:
     """The distinct values of a partition column in a micro-batch: days or buckets, a few per batch."""
     return [r[0] for r in rows.select(col).distinct().collect()]
 
 
-def dedup(stream: DataFrame, keys: Sequence[str], ts: str, sink: str, checkpoint: str, available_now: bool = True):
-    """SM4: drop repeats of the same record across polls, however late they come.
-
-    Repeats of a record carry its time, so a batch is compared with the kept rows of its own dates only.
-    """
-
-    def step(rows: DataFrame, epoch: int) -> None:
-        own = _dates(rows.dropDuplicates(list(keys)), ts)
-        kept = batches.get(rows.sparkSession, sink, own.schema, ["_date"])
-        kept = kept.filter(F.coalesce("_date", F.lit("")).isin([d or "" for d in _values(own, "_date")]) & (F.col(batches.BATCH) < epoch))
-        batches.put(own.join(kept.select(*keys), list(keys), "left_anti"), sink, epoch, ["_date"])
-
-    return each_batch(stream, step, checkpoint, available_now)
-
-
-def read_dedup(spark: SparkSession, sink: str, schema: T.StructType) -> DataFrame:
-    full = T.StructType([*schema.fields, T.StructField("_date", T.StringType())])
-    return batches.get(spark, sink, full, ["_date"]).drop("_date", batches.BATCH)
-
-
-def windowed_stats(stream: DataFrame, ts: str, by: Sequence[str], width: str, table: str, checkpoint: str,
-                   measure: str | None = None, available_now: bool = True):
-    """SM5 / SM3: counts (and sums of ``measure``) per event-time window and key.
-
-    Each batch appends the partials of the windows it touches; ``read_windowed`` merges them.
-    """
-    total = F.sum(measure) if measure else F.lit(None).cast("double")
-    known = F.count(measure) if measure else F.lit(0).cast("long")
-
-    def step(rows: DataFrame, epoch: int) -> None:
-        part = rows.groupBy(F.window(ts, width).alias("window"), *by).agg(F.count(F.lit(1)).alias("count"), total.alias("_sum"), known.alias("_known"))
-        batches.put(part, table, epoch)
-
-    return each_batch(stream, step, checkpoint, available_now)
-
-
-def read_windowed(spark: SparkSession, table: str, by: Sequence[str], schema: T.StructType) -> DataFrame:
-    """(window, by, count, mean_value) of all batches; ``schema`` has the stream's ``by`` columns."""
-    window = T.StructType([T.StructField("start", T.TimestampType()), T.StructField("end", T.TimestampType())])
-    part = T.StructType([T.StructField("window", window), *[schema[c] for c in by], T.StructField("count", T.LongType()), T.StructField("_sum", T.DoubleType()), T.StructField("_known", T.LongType())])
-    merged = batches.get(spark, table, part).groupBy("window", *by).agg(F.sum("count").alias("count"), F.sum("_sum").alias("_sum"), F.sum("_known").alias("_known"))
-    return merged.withColumn("mean_value", F.try_divide("_sum", "_known")).drop("_sum", "_known")
-
-
-def velocity_stream(stream: DataFrame, key: str, ts: str, tie: str, measure: str, root: str, checkpoint: str,
-                    buckets: int = 64, available_now: bool = True):
-    """SM6: per-observation gains on a stream (``lag`` is refused by the streaming planner).
-
-    Tables under ``root``, all partitioned by a hash bucket of the entity: ``history`` (all observations), ``last``
-    (the latest one per entity) and ``gains`` (one row per observation; a later batch may restate a row).
-    Each batch: entities whose new rows are all newer than their last one get their gains from the batch plus that one
-    carried row; entities with a late row are recomputed from their history, so arrivals in any order give the batch
-    result. Only the buckets of the batch's entities are read and replaced. A replay finds its own rows in ``last``
-    and takes the second way, with the same result.
-    """
-    cols, by = [key, ts, tie, measure], ["_bucket"]
-
-    def step(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        rows = batch.select(*cols, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("_bucket"))
-        batches.put(rows, f"{root}/history", epoch, by)
-        touched = F.col("_bucket").isin(_values(rows, "_bucket"))
-        last = batches.get(spark, f"{root}/last", rows.schema, by).filter(touched).drop(batches.BATCH)
-        newest = last.select(key, F.struct(ts, tie).alias("_last"))
-        first = rows.groupBy(key).agg(F.min(F.struct(ts, tie)).alias("_first"))
-        late = first.join(newest, key).filter(F.col("_first") <= F.col("_last")).select(key).persist()
-        try:
-            on_time = rows.join(late, key, "left_anti")
-            carried = last.join(on_time.select(key).distinct(), key, "left_semi").withColumn("_carried", F.lit(True))
-            u = on_time.withColumn("_carried", F.lit(False)).unionByName(carried)
-            g = ordered_scan(u, [key], [ts, tie], lags={"prev_value": (measure, 1)}).filter(~F.col("_carried")).drop("_carried")
-            if not late.isEmpty():
-                past = batches.get(spark, f"{root}/history", rows.schema, by).filter(touched & (F.col(batches.BATCH) <= epoch))
-                own = past.drop(batches.BATCH).join(late, key, "left_semi")
-                g = g.unionByName(ordered_scan(own, [key], [ts, tie], lags={"prev_value": (measure, 1)}))
-            batches.put(g.withColumn("gain", F.col(measure) - F.col("prev_value")), f"{root}/gains", epoch, by)
-            newest = clean.latest_per_key(last.unionByName(rows), [key], [ts, tie])
-            # One epoch number for all: each write replaces the touched buckets and leaves the others.
-            batches.put(newest, f"{root}/last", 0, by)
-        finally:
-            late.unpersist()
-
-    return each_batch(stream, step, checkpoint, available_now)
-
-
-def read_gains(spark: SparkSession, root: str, key: str, ts: str, tie: str, measure: str, schema: T.StructType) -> DataFrame:
-    """Gains as of the latest batch: the newest statement of every observation."""
-    added = [T.StructField("prev_value", schema[measure].dataType), T.StructField("gain", schema[measure].dataType)]
-    full = T.StructType([*[schema[c] for c in (key, ts, tie, measure)], *added, T.StructField("_bucket", T.IntegerType())])
-    g = batches.get(spark, f"{root}/gains", full, ["_bucket"]).drop("_bucket")
-    return clean.latest_per_key(g, [key, ts, tie], [batches.BATCH])
-
-
 def near_counts(stream: DataFrame, ts: str, anchor: str, event: str, seconds: int, root: str, checkpoint: str,
                 available_now: bool = True):
     """SM7: per anchor the events within +-``seconds``, on a stream of both (boolean columns ``anchor`` and ``event``).
 
     Rows land in partitions of their day. Each batch adds two partial counts: its events around all anchors so far, and the
-    events of earlier batches around its anchors. Both are ``range_count`` over the days around the batch, so no
-    (anchor, event) pair is formed or kept, whatever a burst holds. ``read_near`` sums the partials.
+    events of earlier batches around its anchors. Both come from one ordered scan over the rows within reach of the batch's
+    time span, so no (anchor, event) pair is formed or kept, whatever a burst holds. ``read_near`` sums the partials.
     """
-    reach = -(-seconds // 86400)
     day = F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / 86400).cast("long")
 
     def step(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         rows = batch.filter(F.col(ts).isNotNull()).select(ts, anchor, event, day.alias("_day"))
+        first, last = rows.agg(F.min(ts), F.max(ts)).first()
+        if first is None:
+            return
         batches.put(rows, f"{root}/rows", epoch, ["_day"])
-        around = sorted({v + d for v in _values(rows, "_day") for d in range(-reach, reach + 1)})
-        past = batches.get(spark, f"{root}/rows", rows.schema, ["_day"]).filter(F.col("_day").isin(around) & (F.col(batches.BATCH) <= epoch))
+        reach = dt.timedelta(seconds=seconds)
+        days = [math.floor(t.replace(tzinfo=dt.timezone.utc).timestamp() / 86400) for t in (first - reach, last + reach)]
+        past = batches.get(spark, f"{root}/rows", rows.schema, ["_day"])
+        # One day more on both sides: the session's time zone may shift the bounds; the exact cut is by time.
+        past = past.filter(F.col("_day").between(days[0] - 1, days[1] + 1) & F.col(ts).between(first - reach, last + reach) & (F.col(batches.BATCH) <= epoch))
         own = F.col(batches.BATCH) == epoch
-        times = lambda df: df.select(ts).distinct()
-        new = joins.range_count(times(past.filter(F.col(anchor))), past.filter(own & F.col(event)), ts, ts, seconds, seconds, name="n")
-        old = joins.range_count(times(past.filter(own & F.col(anchor))), past.filter(~own & F.col(event)), ts, ts, seconds, seconds, name="n")
         # An anchor time that came before and comes again has had the earlier events counted.
-        known = times(past.filter(~own & F.col(anchor)))
-        old = old.join(known, ts, "left_anti")
-        batches.put(new.unionByName(old).groupBy(ts).agg(F.sum("n").alias("n")).filter("n > 0"), f"{root}/counts", epoch)
+        times = past.filter(F.col(anchor)).groupBy(ts).agg(F.min(own.cast("int")).alias("_fresh"))
+        sums = {"_new": own.cast("long"), "_old": (~own).cast("long")}
+        found = joins.range_sums(times, past.filter(F.col(event)), ts, ts, seconds, seconds, sums)
+        counted = found.select(ts, (F.col("_new") + F.col("_fresh") * F.col("_old")).alias("n"))
+        batches.put(counted.filter("n > 0"), f"{root}/counts", epoch)
 
     return each_batch(stream, step, checkpoint, available_now)
 

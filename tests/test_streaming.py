@@ -4,8 +4,12 @@ from pyspark.sql import functions as F
 
 from conftest import SF01
 from strata.session import scratch_path
-from strata.streaming import jobs
+from strata.streaming import jobs, stateful
 
+def heartbeat(ev, days):
+    """One row without an entity, ``days`` after the last."""
+    last = ev.agg((F.max("ts") + F.make_dt_interval(days=F.lit(days))).alias("t"))
+    return last.select(*[(F.col("t") if f.name == "ts" else F.lit(None)).cast(f.dataType).alias(f.name) for f in ev.schema.fields])
 
 
 def test_rerun_with_same_checkpoint_adds_nothing(spark):
@@ -19,16 +23,18 @@ def test_rerun_with_same_checkpoint_adds_nothing(spark):
 
 def test_velocity_stream_out_of_order_equals_batch(spark):
     """Files arrive newest first (every batch is late for every entity after the
-    first): the restated gains still equal the batch result."""
+    first): the gains still equal the batch result."""
     ev = spark.read.parquet(f"{SF01}/events.parquet").select("user_id", "ts", "event_id", "value")
     root = scratch_path(spark, "t-vel")
     # Three landing folders written newest-first, read one folder per batch.
     parts = ev.withColumn("_q", F.when(F.col("ts") >= "2024-01-20", 0).when(F.col("ts") >= "2024-01-10", 1).otherwise(2))
     for q in (0, 1, 2):
         parts.filter(F.col("_q") == q).drop("_q").coalesce(1).write.parquet(f"{root}/landing/q{q}")
-    src = jobs.file_stream(spark, f"{root}/landing/*", ev.schema, max_files=1)
-    jobs.velocity_stream(src, "user_id", "ts", "event_id", "value", f"{root}/state", f"{root}/ck")
-    g = jobs.read_gains(spark, f"{root}/state", "user_id", "ts", "event_id", "value", ev.schema)
+    heartbeat(ev, 800).write.parquet(f"{root}/landing/q3")
+    src = jobs.event_time(jobs.file_stream(spark, f"{root}/landing/*", ev.schema, max_files=1), "ts")
+    out = stateful.gains(src, "user_id", "event_ts", "event_id", "value", 400 * 86400)
+    stateful.append_to(out, f"{root}/sink", f"{root}/ck")
+    g = spark.read.parquet(f"{root}/sink")
     got = {r["user_id"]: (r["n"], round(r["s"], 6)) for r in g.filter(F.col("prev_value").isNotNull())
            .groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.sum("gain").alias("s")).collect()}
     from pyspark.sql import Window
