@@ -16,8 +16,8 @@ a sort of the distinct event times and twice the distinct anchor times instead o
 grows with the square of the density. Nested-loop and cartesian plans never
 appear.
 
-``range_join`` (bucketed equi-join plus exact residual) is kept for callers that
-need the matching pairs themselves; only matches are returned.
+``range_join`` (bucketed equi-join plus exact residual, hot buckets split by measured counts)
+gives the matching rows themselves.
 """
 
 from __future__ import annotations
@@ -100,6 +100,17 @@ def _where(df: DataFrame, conditions: Sequence[Column]) -> DataFrame:
     return df.filter(reduce(lambda a, c: a & c, conditions))
 
 
+def _bucket_splits(buckets: DataFrame, by: Sequence[str], name: str, tasks: int) -> DataFrame:
+    """(by, name) of the buckets with more than a task's fair share of rows: into how many parts each is split.
+
+    The parts beyond the first add up to at most ``tasks`` over all buckets, so there are fewer rows than that.
+    """
+    counts = pinned(buckets.groupBy(*by).agg(F.count(F.lit(1)).alias("_rj_n")))
+    total = counts.agg(F.coalesce(F.sum("_rj_n"), F.lit(0))).first()[0]
+    share = max(1, -(-total // tasks))
+    return counts.filter(F.col("_rj_n") > share).select(*by, F.ceil(F.col("_rj_n") / share).cast("int").alias(name))
+
+
 def range_join(
     left: DataFrame,
     right: DataFrame,
@@ -108,7 +119,7 @@ def range_join(
     before_s: int,
     after_s: int,
     keys: Sequence[str] = (),
-    salt: int = 1,
+    salt: int | None = None,
 ) -> DataFrame:
     """Matching pairs with ``right.ts`` in ``[left.ts - before, left.ts + after]``.
 
@@ -116,25 +127,37 @@ def range_join(
     buckets its range touches (at most 2) and equi-joined with the right rows of
     that bucket (plus ``keys``), with the exact range as residual. Every pair meets
     in exactly one bucket (the right row's own), so there are no duplicates.
-    Skewed buckets are split by AQE's skew-join handling; with ``salt > 1`` the
-    right rows also go to sub-bucket ``hash(row) mod salt`` and left rows are
-    copied to every sub-bucket, which spreads a hot bucket explicitly.
+
+    A hot bucket is split by measured counts. The rows of both sides are counted per bucket (a partial
+    aggregation); a bucket with more than its fair share of a side's rows gets that many parts of this side, its rows
+    go to one part by a hash and the other side's rows to all of them. The list of split buckets has fewer rows than there are
+    shuffle partitions and is broadcast. ``salt`` instead splits every bucket of the right side into so many parts.
     """
     w = max(before_s + after_s, 1)
-    lsec = F.unix_micros(F.col(left_ts).cast("timestamp")) / 1_000_000
-    lo = F.floor((lsec - before_s) / w)
-    hi = F.floor((lsec + after_s) / w)
-    lb = left.withColumn("_rj_b", F.explode(F.sequence(lo, hi))).withColumn(
-        "_rj_s", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    rb = right.withColumn("_rj_b", F.floor(F.unix_micros(F.col(right_ts).cast("timestamp")) / 1_000_000 / w)).withColumn(
-        "_rj_s", F.pmod(F.xxhash64(*[F.col(c) for c in right.columns]), F.lit(salt)).cast("int"))
+    by = ["_rj_b", *[f"_rj_k{i}" for i in range(len(keys))]]
+    sec = lambda c: F.unix_micros(F.col(c).cast("timestamp")) / 1_000_000
+    own = lambda df: df.withColumns({f"_rj_k{i}": F.col(k) for i, k in enumerate(keys)})
+    touched = F.sequence(F.floor((sec(left_ts) - before_s) / w), F.floor((sec(left_ts) + after_s) / w))
+    lb = own(left.withColumn("_rj_b", F.explode(touched)))
+    rb = own(right.filter(F.col(right_ts).isNotNull()).withColumn("_rj_b", F.floor(sec(right_ts) / w)))
+    if salt is None:
+        tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        splits = {n: _bucket_splits(df.select(*by), by, n, tasks) for n, df in (("_rj_l", lb), ("_rj_r", rb))}
+        for name, few in splits.items():
+            few = F.broadcast(few)
+            lb, rb = (df.join(few, by, "left").withColumn(name, F.coalesce(name, F.lit(1))) for df in (lb, rb))
+    else:
+        lb, rb = (df.withColumns({"_rj_l": F.lit(1), "_rj_r": F.lit(salt)}) for df in (lb, rb))
+    part = lambda df, name: F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col(name)).cast("int")
+    each = lambda name: F.explode(F.sequence(F.lit(0), F.col(name) - 1))
+    lb = lb.withColumn("_rj_i", part(left, "_rj_l")).withColumn("_rj_j", each("_rj_r"))
+    rb = rb.withColumn("_rj_j", part(right, "_rj_r")).withColumn("_rj_i", each("_rj_l"))
     l_alias, r_alias = lb.alias("l"), rb.alias("r")
-    cond = [F.col("l._rj_b") == F.col("r._rj_b"), F.col("l._rj_s") == F.col("r._rj_s")]
-    cond += [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]
+    cond = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in (*by, "_rj_i", "_rj_j")]
     cond.append(F.col(f"r.{right_ts}") >= F.col(f"l.{left_ts}") - _interval(before_s))
     cond.append(F.col(f"r.{right_ts}") <= F.col(f"l.{left_ts}") + _interval(after_s))
     joined = l_alias.join(r_alias, cond)
-    return joined.drop("_rj_b", "_rj_s")
+    return joined.drop(*by, "_rj_i", "_rj_j", "_rj_l", "_rj_r")
 
 
 def entity_counts(df: DataFrame, key: str, name: str) -> DataFrame:
@@ -168,6 +191,40 @@ def term_mentions(docs: DataFrame, text: str, group: str, vocabulary: DataFrame,
     return hits.groupBy(group).agg(F.sum("n").alias("mentions"), F.count(F.lit(1)).alias("distinct_terms"))
 
 
+def phrase_mentions(docs: DataFrame, text: str, names: DataFrame, name: str, keep: Sequence[str] = ()) -> DataFrame:
+    """JN5: places where names of one or more words stand in the texts, each name as a whole.
+
+    Rows (keep, word position from 0, words, name). Words are lower-cased runs of letters and digits, in texts and names
+    alike; names that differ in other characters only are one, under the least of them. The number of words of the longest name is read first. Of the names that start at one place the longest counts, and a
+    name inside a longer name's place does not.
+
+    A name's first word is its key: a place is looked up only if its word starts a name (one row per first word, with the lengths of its
+    names), then once per such length by the equality of the whole slice of words, one row per name. So no pairs of places
+    and names with a common first word are formed, however many there are. A text carries only its matches to the last step, which is linear in them.
+    """
+    known = names.select(tokens_words(name).alias("_pm_words"), F.col(name).alias("_pm_name")).filter(F.size("_pm_words") > 0)
+    known = known.groupBy("_pm_words").agg(F.min("_pm_name").alias("_pm_name"))
+    known = known.select(F.array_join("_pm_words", " ").alias("_pm_phrase"), F.size("_pm_words").alias("_pm_n"), F.col("_pm_words")[0].alias("_pm_first"), "_pm_name")
+    firsts = known.groupBy("_pm_first").agg(F.collect_set("_pm_n").alias("_pm_lengths"))  # at most as many as the longest name has words
+    longest = known.agg(F.coalesce(F.max("_pm_n"), F.lit(1))).first()[0]
+    words = docs.select(*keep, F.monotonically_increasing_id().alias("_pm_doc"), tokens_words(text).alias("_pm_words")).filter(F.size("_pm_words") > 0)
+    # Each place with the words that follow, as many as the longest name has.
+    ahead = F.transform(F.sequence(F.lit(1), F.size("_pm_words")), lambda k: F.slice("_pm_words", k, longest))
+    places = words.select(*keep, "_pm_doc", F.posexplode(ahead).alias("_pm_at", "_pm_next"))
+    places = places.join(firsts, F.col("_pm_next")[0] == F.col("_pm_first")).withColumn("_pm_n", F.explode("_pm_lengths"))
+    places = places.filter(F.size("_pm_next") >= F.col("_pm_n"))
+    places = places.select(*keep, "_pm_doc", "_pm_at", F.array_join(F.slice("_pm_next", 1, F.col("_pm_n")), " ").alias("_pm_phrase"))
+    hits = places.join(known.select("_pm_phrase", "_pm_n", "_pm_name"), "_pm_phrase")
+    found = F.array_sort(F.collect_list(F.struct(F.col("_pm_at").alias("at"), (-F.col("_pm_n")).alias("n"), F.col("_pm_name").alias("name"))))
+    texts = hits.groupBy("_pm_doc", *keep).agg(found.alias("_pm_found"))  # the matches of one text
+    # In order of start, longest first: a match counts if it ends beyond all before it.
+    ends = lambda m: m["at"] - m["n"]
+    none = F.struct(F.lit(0).alias("end"), F.expr("CAST(array() AS array<struct<at:int,n:int,name:string>>)").alias("kept"))
+    step = lambda acc, m: F.when(ends(m) > acc["end"], F.struct(ends(m).alias("end"), F.concat(acc["kept"], F.array(m)).alias("kept"))).otherwise(acc)
+    kept = texts.select(*keep, F.explode(F.aggregate("_pm_found", none, step)["kept"]).alias("m"))
+    return kept.select(*keep, F.col("m.at").alias("position"), (-F.col("m.n")).alias("words"), F.col("m.name").alias("name"))
+
+
 def vocabulary(df: DataFrame, text: str) -> DataFrame:
     """Distinct lower-cased words of a text column."""
     return df.select(F.explode(tokens_words(text)).alias("term")).distinct()

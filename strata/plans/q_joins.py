@@ -248,3 +248,41 @@ def words_per_hour(spark, sf_dir):
     """AG21 from text: words per hour."""
     words = _timed_documents(spark, sf_dir).select("ts", F.explode(tokens_words("text")).alias("word"))
     return terms.terms_per_period(words, "ts", "word")
+
+
+@register(
+    "following_rows_2h",
+    sql="""SELECT a.event_id AS alert_id, a.ts AS alert_ts, b.event_id AS article_id, b.ts AS article_ts, b.value AS article_value
+           FROM events a JOIN events b ON b.ts >= a.ts AND b.ts <= a.ts + INTERVAL 7200 SECOND
+           WHERE a.event_type = 'error' AND b.event_type = 'purchase'""",
+)
+def following_rows_2h(spark, sf_dir):
+    """JN4: the rows themselves that follow each alert within two hours."""
+    side = lambda kind, name: _events(spark, sf_dir).filter(F.col("event_type") == kind).select(
+        F.col("event_id").alias(f"{name}_id"), F.col("ts").alias(f"{name}_ts"), F.col("value").alias(f"{name}_value")
+    )
+    alerts = side("error", "alert").drop("alert_value")
+    return joins.range_join(alerts, side("purchase", "article"), "alert_ts", "article_ts", 0, 7200)
+
+
+# Names of two and three words: the openings of all documents, so that many overlap and share first words.
+_PHRASES_SQL = r"""
+    WITH d AS (SELECT doc_id, source, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS ws FROM documents),
+         n AS (SELECT DISTINCT array_to_string(ws[1:k], ' ') AS name, k AS n FROM d, (VALUES (2), (3)) AS v(k) WHERE len(ws) >= k),
+         w AS (SELECT doc_id, source, ws, unnest(range(len(ws))) AS pos FROM d),
+         h AS (SELECT doc_id, source, pos, v.k AS n, array_to_string(ws[pos + 1:pos + v.k], ' ') AS name FROM w, (VALUES (2), (3)) AS v(k) WHERE pos + v.k <= len(ws)),
+         m AS (SELECT h.* FROM h JOIN n USING (name, n)),
+         k AS (SELECT *, max(pos + n) OVER (PARTITION BY doc_id ORDER BY pos, n DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM m)
+    SELECT source, name, count(*) AS mentions, count(DISTINCT doc_id) AS documents FROM k WHERE before IS NULL OR pos + n > before GROUP BY source, name
+"""
+
+
+@register("phrase_mentions", sql=_PHRASES_SQL)
+def phrase_mentions(spark, sf_dir):
+    """JN5: names of several words mentioned per source, the longest name at each place."""
+    raw = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    words = F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{N}]+)"), 1)
+    first = raw.select(words.alias("ws"))
+    names = first.select(F.explode(F.array(*[F.when(F.size("ws") >= k, F.array_join(F.slice("ws", 1, k), " ")) for k in (2, 3)])).alias("name"))
+    found = joins.phrase_mentions(raw, "text", names.filter("name IS NOT NULL").distinct(), "name", ["doc_id", "source"])
+    return found.groupBy("source", "name").agg(F.count(F.lit(1)).alias("mentions"), F.count_distinct("doc_id").alias("documents"))

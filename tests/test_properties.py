@@ -65,7 +65,7 @@ def test_range_join_pairs_match_brute_force(spark, seed):
     e = spark.createDataFrame(e_rows, "eid long, ets timestamp_ntz")
     exp = sorted((ai, ei) for ai, at in a_rows for ei, et in e_rows
                  if at - dt.timedelta(seconds=1800) <= et <= at + dt.timedelta(seconds=3600))
-    for salt in (1, 4):
+    for salt in (None, 1, 4):
         got = sorted((r["id"], r["eid"]) for r in joins.range_join(a, e, "ts", "ets", 1800, 3600, salt=salt).collect())
         assert got == exp
 
@@ -119,3 +119,50 @@ def test_as_of_is_stable_after_later_commits(spark):
     snapshots.commit(v0.limit(5), path, "append")
     assert sorted(map(tuple, snapshots.read_as_of(spark, path, 0).collect())) == before
     assert snapshots.read_latest(spark, path).count() == 41 + 5
+
+
+def test_range_join_splits_a_hot_bucket(spark):
+    """A third of the rows in one bucket: measured splits spread it over several tasks, on either side."""
+    from strata.operators.joins import _bucket_splits
+
+    hot = [(i, T0 + dt.timedelta(seconds=i % 600)) for i in range(400)]
+    rest = [(1000 + i, T0 + dt.timedelta(hours=3 * i)) for i in range(800)]
+    a = spark.createDataFrame(hot + rest, "id long, ts timestamp_ntz")
+    few = [(i, T0 + dt.timedelta(minutes=7 * i)) for i in range(60)]
+    e = spark.createDataFrame(few, "eid long, ets timestamp_ntz")
+    buckets = a.select(F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000 / 3600).alias("_rj_b"))
+    split = _bucket_splits(buckets, ["_rj_b"], "n", 8).collect()
+    assert len(split) == 1 and split[0]["n"] == 3 and len(split) < 8
+    near = lambda at, et: at - dt.timedelta(seconds=900) <= et <= at + dt.timedelta(seconds=2700)
+    exp = sorted((ai, ei) for ai, at in hot + rest for ei, et in few if near(at, et))
+    joined = joins.range_join(a, e, "ts", "ets", 900, 2700)
+    assert sorted((r["id"], r["eid"]) for r in joined.collect()) == exp
+    back = joins.range_join(e, a, "ets", "ts", 2700, 900)
+    assert sorted((r["id"], r["eid"]) for r in back.collect()) == exp
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+    keyed = joins.range_join(a.withColumn("k", F.lit(1)), e.withColumn("k", F.lit(1)), "ts", "ets", 900, 2700, keys=["k"])
+    assert keyed.count() == len(exp)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_phrase_mentions_match_brute_force(spark, seed):
+    rnd = random.Random(seed)
+    words = ["gold", "Crude", "oil", "É", "x1"]
+    names = sorted({" ".join(rnd.choices(words, k=rnd.randint(1, 4))) for _ in range(12)})
+    texts = [(k, rnd.choice([", ", " ", "-"]).join(rnd.choices([*words, "the"], k=rnd.randint(0, 25)))) for k in range(30)] + [(99, None), (98, ""), (5, "gold")]
+    exp = []
+    for i, t in texts:
+        own, end = [w.lower() for w in (t or "").replace(",", " ").replace("-", " ").split()], 0
+        for at in range(len(own)):
+            for n in (4, 3, 2, 1):
+                hit = [m for m in names if len(m.split()) == n and m.lower().split() == own[at : at + n]]
+                if hit and at + n > end:
+                    exp.append((i, at, n, min(hit)))
+                    end = at + n
+                    break
+    docs = spark.createDataFrame(texts, "id long, text string")
+    got = joins.phrase_mentions(docs, "text", spark.createDataFrame([(n,) for n in names] + [("--",), (None,), (names[0].upper(),)], "name string"), "name", ["id"])
+    low = lambda rows: sorted((i, at, n, m.lower()) for i, at, n, m in rows)
+    assert low(tuple(r) for r in got.collect()) == low(exp)
+    assert joins.phrase_mentions(docs, "text", spark.createDataFrame([], "name string"), "name", ["id"]).count() == 0
