@@ -1,67 +1,48 @@
-"""Versioned snapshot tables: as-of reads, update, delete, restore (VR1-VR6, SRC4/5, SNK5/6).
+"""Versioned tables as plain Parquet partitions (VR1-VR6, SRC4/5, SNK5/6).
 
-A user-level convention for single-writer batch jobs, not an ACID log:
+A version is a pair of partition folders, ``<path>/_version=<n>/_operation=<what>``, written by one Spark job; Spark's own ``_SUCCESS`` mark says that it is
+whole, so a write that broke off is never read and its number is used again. An append holds the new rows only, every other
+operation the whole table: the table as of a version is the newest whole one up to there and the appends since. There is no log, part list or schema beside the
+folders. Update, delete and restore are DataFrame jobs over the newest version whose result is written as the next one.
 
-* the rows of a commit are written to a folder of their own, ``<path>/_part-<uuid>`` (immutable Parquet);
-* then one history row ``{version, timestamp, operation, parts, schema, batch_id}`` is written to
-  ``<path>/_history``; ``parts`` lists the folders that make up the version, ``schema`` is the table's;
-* a folder that no history row lists is invisible (a crash between the two writes leaves the table as it was), and
-  two writers never write to one folder.
-
-Append adds a folder to the previous ones (no copy), overwrite lists a new one, update and delete
-rewrite the folders that hold a matching row and carry the others over, restore lists an old version's folders.
-Reads use the version's schema, so an append with an extra column (schema evolution) reads back with nulls for the
-older rows and no footers are merged. Rows move through distributed ``spark.read`` / ``df.write``; only the history
-(one row per commit) is read on the driver. Streaming sinks do not commit here, see ``streaming/jobs.py``.
+Rows of older appends without a later column read back with nulls (schemas are merged where a version has several folders). A single
+writer is assumed; streaming sinks do not commit here, see ``streaming/jobs.py``.
 """
 
 from __future__ import annotations
 
-import json
-import os
-import uuid
+import re
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-HISTORY_SCHEMA = T.StructType([
-    T.StructField("version", T.LongType()),
-    T.StructField("timestamp", T.TimestampType()),
-    T.StructField("operation", T.StringType()),
-    T.StructField("parts", T.ArrayType(T.StringType())),
-    T.StructField("schema", T.StringType()),
-    T.StructField("batch_id", T.StringType()),
-])
+VERSION, OPERATION = "_version", "_operation"
+APPEND = "APPEND"
+_FOLDER = re.compile(rf"{VERSION}=(\d+)/{OPERATION}=(\w+)/_SUCCESS$")
 
 
 class NoVersion(ValueError):
     """The table has no such version."""
 
 
-def _hist_dir(path: str) -> str:
-    return f"{path.rstrip('/')}/_history"
+def _folder(path: str, version: int, operation: str) -> str:
+    return f"{path.rstrip('/')}/{VERSION}={version}/{OPERATION}={operation}"
 
 
-def _part_dir(path: str, part: str) -> str:
-    return f"{path.rstrip('/')}/_part-{part}"
+def commits(spark: SparkSession, path: str) -> list[dict]:
+    """(version, operation, timestamp in ms) of the whole versions, oldest first: one file status per version."""
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{VERSION}=*/{OPERATION}=*/_SUCCESS")
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place) or []
+    named = [(_FOLDER.search(s.getPath().toString()), s.getModificationTime()) for s in found]
+    return sorted(({"version": int(m[1]), "operation": m[2], "timestamp": t} for m, t in named if m), key=lambda c: c["version"])
 
 
 def history(spark: SparkSession, path: str) -> DataFrame:
-    """VR1: one row per commit (version, timestamp, operation, parts, schema, batch_id)."""
-    try:
-        return spark.read.schema(HISTORY_SCHEMA).option("recursiveFileLookup", True).json(_hist_dir(path))
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], HISTORY_SCHEMA)
-
-
-def commits(spark: SparkSession, path: str) -> list[dict]:
-    """Commit metadata, oldest first: one small row per commit."""
-    return sorted((r.asDict() for r in history(spark, path).collect()), key=lambda r: r["version"])
+    """VR1: one row per version (version, operation, timestamp)."""
+    rows = [(c["version"], c["operation"], c["timestamp"]) for c in commits(spark, path)]
+    return spark.createDataFrame(rows, "version long, operation string, ms long").select("version", "operation", F.timestamp_millis("ms").alias("timestamp"))
 
 
 def latest_version(spark: SparkSession, path: str) -> int | None:
@@ -69,84 +50,36 @@ def latest_version(spark: SparkSession, path: str) -> int | None:
     return c[-1]["version"] if c else None
 
 
-def _read(spark: SparkSession, path: str, commit: dict) -> DataFrame:
-    schema = T.StructType.fromJson(json.loads(commit["schema"]))
-    return spark.read.schema(schema).parquet(*[_part_dir(path, p) for p in commit["parts"]])
-
-
 def read_as_of(spark: SparkSession, path: str, version: int) -> DataFrame:
     """VR3 / SRC5: the table as of ``version``."""
-    for c in commits(spark, path):
-        if c["version"] == version:
-            return _read(spark, path, c)
-    raise NoVersion(f"{path}: no version {version}")
+    done = [c for c in commits(spark, path) if c["version"] <= version]
+    if not done or done[-1]["version"] != version:
+        raise NoVersion(f"{path}: no version {version}")
+    whole = max((k for k, c in enumerate(done) if c["operation"] != APPEND), default=0)
+    folders = [_folder(path, c["version"], c["operation"]) for c in done[whole:]]
+    return spark.read.option("mergeSchema", len(folders) > 1).parquet(*folders)
 
 
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    """SRC4: the newest committed version."""
-    c = commits(spark, path)
-    if not c:
+    """SRC4: the newest version."""
+    version = latest_version(spark, path)
+    if version is None:
         raise NoVersion(f"{path}: empty table")
-    return _read(spark, path, c[-1])
-
-
-def _write_history(spark: SparkSession, path: str, version: int, operation: str, parts: list[str], schema: str,
-                   batch_id: str | None) -> int:
-    row = spark.range(1).select(
-        F.lit(version).cast("long").alias("version"),
-        F.current_timestamp().alias("timestamp"),
-        F.lit(operation).alias("operation"),
-        F.array(*[F.lit(p) for p in parts]).cast("array<string>").alias("parts"),
-        F.lit(schema).alias("schema"),
-        F.lit(batch_id).cast("string").alias("batch_id"),
-    )
-    row.coalesce(1).write.mode("errorifexists").json(os.path.join(_hist_dir(path), f"v{version:010d}"))
-    return version
-
-
-def _write_part(df: DataFrame, path: str) -> str:
-    part = uuid.uuid4().hex
-    df.write.parquet(_part_dir(path, part))
-    return part
+    return read_as_of(spark, path, version)
 
 
-def commit(df: DataFrame, path: str, mode: str = "overwrite", operation: str | None = None,
-           batch_id: str | None = None) -> int:
-    """SNK5 / SNK6: write ``df`` as the next version; returns the version number.
+def commit(df: DataFrame, path: str, mode: str = "overwrite", operation: str | None = None, rows: Observation | None = None) -> int:
+    """SNK5 / SNK6: write ``df`` as the next version, or its rows beside the newest one (``append``); returns the version number.
 
-    ``mode="append"`` keeps the previous parts and adds this one. A ``batch_id``
-    already present in the history makes the call a no-op (idempotent append).
+    ``rows`` receives the number of rows as ``n``, counted by the write itself.
     """
     if mode not in ("append", "overwrite"):
         raise ValueError(mode)
-    spark, done = df.sparkSession, commits(df.sparkSession, path)
-    for c in done:
-        if batch_id is not None and c["batch_id"] == batch_id:
-            return c["version"]
-    parts, schema = [], df.schema
-    if mode == "append" and done:
-        parts = list(done[-1]["parts"])
-        known = T.StructType.fromJson(json.loads(done[-1]["schema"]))
-        names = set(known.fieldNames())
-        schema = T.StructType(known.fields + [f for f in df.schema.fields if f.name not in names])
-    n = done[-1]["version"] + 1 if done else 0
-    parts.append(_write_part(df, path))
-    return _write_history(spark, path, n, operation or ("APPEND" if mode == "append" else "WRITE"), parts, schema.json(), batch_id)
-
-
-def _rewrite(spark: SparkSession, path: str, operation: str, hit: Column, change) -> int:
-    """A new version in which the parts with a row where ``hit`` holds are replaced by ``change`` of them."""
-    done = commits(spark, path)
-    if not done:
-        raise NoVersion(f"{path}: empty table")
-    last = done[-1]
-    found = _read(spark, path, last).withColumn("_file", F.col("_metadata.file_path")).filter(hit)
-    names = found.select(F.regexp_extract("_file", "_part-([0-9a-f]{32})/", 1).alias("part")).distinct()
-    touched = {r["part"] for r in names.collect()}  # at most one row per part
-    parts = [p for p in last["parts"] if p not in touched]
-    if touched:
-        parts.append(_write_part(change(_read(spark, path, last | {"parts": sorted(touched)})), path))
-    return _write_history(spark, path, last["version"] + 1, operation, parts, last["schema"], None)
+    last = latest_version(df.sparkSession, path)
+    version = 0 if last is None else last + 1
+    out = df.observe(rows, F.count(F.lit(1)).alias("n")) if rows else df
+    out.write.mode("overwrite").parquet(_folder(path, version, APPEND if mode == "append" else operation or "WRITE"))
+    return version
 
 
 def _true(where: Column | str) -> Column:
@@ -157,22 +90,17 @@ def update(spark: SparkSession, path: str, assignments: Mapping[str, Column | st
     """VR2: ``SET col = expr WHERE cond`` as a new version (null condition = not matched)."""
     hit = _true(where)
     new = {c: F.when(hit, F.expr(v) if isinstance(v, str) else v).otherwise(F.col(c)) for c, v in assignments.items()}
-    return _rewrite(spark, path, "UPDATE", hit, lambda df: df.withColumns(new))
+    return commit(read_latest(spark, path).withColumns(new), path, operation="UPDATE")
 
 
 def delete(spark: SparkSession, path: str, where: Column | str) -> int:
     """VR6: drop rows where the condition is true (null condition keeps the row)."""
-    hit = _true(where)
-    return _rewrite(spark, path, "DELETE", hit, lambda df: df.filter(~hit))
+    return commit(read_latest(spark, path).filter(~_true(where)), path, operation="DELETE")
 
 
 def restore(spark: SparkSession, path: str, version: int) -> int:
-    """VR4: make ``version`` current again (a history row only, no data copy)."""
-    done = commits(spark, path)
-    for c in done:
-        if c["version"] == version:
-            return _write_history(spark, path, done[-1]["version"] + 1, "RESTORE", list(c["parts"]), c["schema"], None)
-    raise NoVersion(f"{path}: no version {version}")
+    """VR4: the rows of ``version`` as the newest version."""
+    return commit(read_as_of(spark, path, version), path, operation="RESTORE")
 
 
 def compare_counts(before: DataFrame, after: DataFrame, key: str) -> DataFrame:

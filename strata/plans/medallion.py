@@ -4,8 +4,8 @@
   came since the last run, tagged with ``_ingested_at`` / ``_source``. A missing source is skipped, not fatal.
 * Silver: a stream over each Bronze table cleans the new rows and appends those that the history does not hold yet to
   ``observations``, partitioned by date: a batch is compared with its own dates only. ``current`` (latest per entity)
-  is then brought up from the version it was built from by the observations of later batches; it records which batches
-  it holds, so a crash between the two leaves nothing out. ``rebuild`` starts a new generation from all of Bronze.
+  is then brought up by the observations of batches that it does not hold yet; which it holds is written after it,
+  so a crash between the two leaves nothing out. ``rebuild`` starts a new generation from all of Bronze.
 * Gold: category stats and top-10 on ``current``; velocity on the
   *observations* (it needs several observations per entity); topic frequency
   on ``current`` descriptions per source; recently emerged topics.
@@ -16,10 +16,10 @@ unless ``continue_on_failure``. The run log is itself a snapshot table.
 
 from __future__ import annotations
 
-import json
 import os
+import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,8 +43,19 @@ def _bronze_schema(source: str) -> T.StructType:
     return T.StructType(landing_schema(SCHEMAS.get(source, API_SCHEMA)).fields + tags)
 
 
+def _count(df: DataFrame, seen: Observation) -> DataFrame:
+    """``df``, whose rows the job that reads it counts on the way."""
+    return df.observe(seen, F.count(F.lit(1)).alias("n"))
+
+
 def bronze(spark: SparkSession, landing: dict[str, str], root: str, multiline: bool = True) -> list[str]:
     """Append the landing files not taken yet; returns the sources that exist."""
+    return list(take_landing(spark, landing, root, multiline))
+
+
+def take_landing(spark: SparkSession, landing: dict[str, str], root: str, multiline: bool = True) -> dict[str, int]:
+    """As ``bronze``; returns the rows taken per source that exists."""
+    taken = {}
     there = [s for s, path in landing.items() if batches.exists(spark, path)]
     for source in there:
         raw = (
@@ -52,8 +63,9 @@ def bronze(spark: SparkSession, landing: dict[str, str], root: str, multiline: b
             .option("multiLine", multiline).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
             .option("pathGlobFilter", "*.json").option("recursiveFileLookup", True).json(landing[source])
         )
-        jobs.ingest(raw, source, _p(root, f"bronze_{source}"), _p(root, "_checkpoints", f"bronze_{source}"))
-    return there
+        q = jobs.ingest(raw, source, _p(root, f"bronze_{source}"), _p(root, "_checkpoints", f"bronze_{source}"))
+        taken[source] = sum(p["numInputRows"] for p in q.recentProgress)  # one batch per run
+    return taken
 
 
 def read_bronze(spark: SparkSession, root: str, source: str) -> DataFrame | None:
@@ -78,11 +90,13 @@ def read_observations(spark: SparkSession, root: str, home: str | None = None) -
     return batches.get(spark, _p(home or _generation(spark, root), "observations"), _observation_schema(spark), PARTITIONS)
 
 
-def _observe(spark: SparkSession, root: str, home: str, source: str, schema: T.StructType) -> None:
-    """Clean the Bronze rows that came since the last run and append the new observations."""
-    path = _p(home, "observations")
+def _observe(spark: SparkSession, root: str, home: str, source: str, schema: T.StructType) -> tuple[int, int]:
+    """Clean the Bronze rows that came since the last run and append the new observations; returns the rows read and appended."""
+    path, counts = _p(home, "observations"), []
 
     def step(rows: DataFrame, epoch: int) -> None:
+        read, written = Observation(), Observation()
+        rows = _count(rows, read)
         other = [rows.sparkSession.createDataFrame([], _bronze_schema(s)) for s in SCHEMAS if s != source]
         cleaned = clean.silver_observations(clean.union_sources([rows, *other]).drop(CORRUPT))
         fresh = clean.dedup_observations(cleaned.select(*schema.fieldNames()))
@@ -90,31 +104,38 @@ def _observe(spark: SparkSession, root: str, home: str, source: str, schema: T.S
         known = batches.get(rows.sparkSession, path, schema, PARTITIONS).filter(
             (F.col("_source") == source) & F.coalesce("event_date", F.lit("")).isin(dates) & (F.col(batches.BATCH) < epoch)
         )
-        batches.put(fresh.join(known.select(*KEYS), KEYS, "left_anti"), path, epoch, PARTITIONS)
+        batches.put(_count(fresh.join(known.select(*KEYS), KEYS, "left_anti"), written), path, epoch, PARTITIONS)
+        counts.append((read.get["n"], written.get["n"]))
 
     stream = spark.readStream.schema(_bronze_schema(source)).parquet(_p(root, f"bronze_{source}"))
     jobs.each_batch(stream, step, _p(home, "_checkpoints", source), True)
+    return sum(r for r, _ in counts), sum(w for _, w in counts)
 
 
 def refresh_current(spark: SparkSession, root: str, home: str) -> None:
-    """Bring ``current`` up to the observations: from the version it was built from, by the batches after that."""
-    path = _p(home, "current")
+    """Bring ``current`` up to the observations: from the batches that it holds (``held``, written after it) by those after that.
+
+    After a crash between the two writes some batches are merged again, which changes nothing: the latest row per entity is the same.
+    """
+    path, marks = _p(home, "current"), _p(home, "held")
     obs = read_observations(spark, root, home)
-    newest = {r["_source"]: r["b"] for r in obs.groupBy("_source").agg(F.max(batches.BATCH).alias("b")).collect()}
-    done = snapshots.commits(spark, path)
-    held = json.loads(done[-1]["batch_id"]) if done else {}
-    if done and newest == held:
+    newest = obs.groupBy("_source").agg(F.max(batches.BATCH).alias("epoch"))
+    epochs = {r["_source"]: r["epoch"] for r in newest.collect()}  # one row per source
+    done = snapshots.latest_version(spark, path) is not None
+    held = {r["_source"]: r["epoch"] for r in snapshots.read_latest(spark, marks).collect()} if snapshots.commits(spark, marks) else {}
+    if done and epochs == held:
         return
     later = F.lit(False)
-    for source, epoch in newest.items():
+    for source, epoch in epochs.items():
         later = later | ((F.col("_source") == source) & (F.col(batches.BATCH) > held.get(source, -1)))
     rows = obs.filter(later).drop(batches.BATCH)
     rows = snapshots.read_latest(spark, path).unionByName(rows) if done else rows
-    snapshots.commit(clean.current_state(rows), path, batch_id=json.dumps(newest, sort_keys=True))
+    snapshots.commit(clean.current_state(rows), path)
+    snapshots.commit(spark.createDataFrame(list(epochs.items()), "_source string, epoch long"), marks)
 
 
-def silver(spark: SparkSession, root: str, sources=("api", "rss"), rebuild: bool = False) -> None:
-    """Clean new Bronze rows into Silver; with ``rebuild`` all of them, into a new generation."""
+def silver(spark: SparkSession, root: str, sources=("api", "rss"), rebuild: bool = False) -> tuple[int, int]:
+    """Clean new Bronze rows into Silver; with ``rebuild`` all of them, into a new generation. Returns the rows read and appended."""
     sources = [s for s in sources if batches.exists(spark, _p(root, f"bronze_{s}"))]
     if not sources:
         raise RuntimeError("no Bronze source available")
@@ -122,9 +143,9 @@ def silver(spark: SparkSession, root: str, sources=("api", "rss"), rebuild: bool
     if rebuild or not snapshots.commits(spark, generations):
         snapshots.commit(spark.range(1), generations, operation="REBUILD")
     home, schema = _generation(spark, root), _observation_schema(spark)
-    for source in sources:
-        _observe(spark, root, home, source, schema)
+    counts = [_observe(spark, root, home, source, schema) for source in sources]
     refresh_current(spark, root, home)
+    return sum(r for r, _ in counts), sum(w for _, w in counts)
 
 
 def read_current(spark: SparkSession, root: str, home: str | None = None) -> DataFrame:
@@ -146,34 +167,39 @@ def gold_tables(obs: DataFrame, cur: DataFrame) -> dict[str, DataFrame]:
     return {"language_dist": lang, "top_repos": top, "star_velocity": vel, "emerging_topics": topics}
 
 
-def gold(spark: SparkSession, root: str) -> None:
+def gold(spark: SparkSession, root: str) -> tuple[int, int]:
+    """Write the Gold tables; returns the observations read and the rows written, as the writes count them."""
     home = _generation(spark, root)
-    obs = read_observations(spark, root, home).drop(batches.BATCH)
+    read = Observation()
+    obs = _count(read_observations(spark, root, home).drop(batches.BATCH), read)
+    written = []
     for name, df in gold_tables(obs, read_current(spark, root, home)).items():
-        snapshots.commit(df, _p(root, f"gold_{name}"))
+        written.append(Observation())
+        snapshots.commit(df, _p(root, f"gold_{name}"), rows=written[-1])
+    return read.get["n"], sum(w.get["n"] for w in written)
 
 
 def run(spark: SparkSession, landing: dict[str, str], root: str, multiline: bool = True,
         continue_on_failure: bool = False, rebuild: bool = False) -> DataFrame:
-    """PL1 + PL2: run the three layers; returns (stage, status, error, finished_at) rows,
-    also appended to ``<root>/run_log``."""
+    """PL1 + PL2: run the three layers; returns (stage, status, error, rows_in, rows_out, seconds, finished_at) rows,
+    also appended to ``<root>/run_log``. Rows are counted by the jobs that move them (``DataFrame.observe``), not by second scans."""
     steps = [
-        ("bronze", lambda: bronze(spark, landing, root, multiline)),
+        ("bronze", lambda: (sum(take_landing(spark, landing, root, multiline).values()),) * 2),
         ("silver", lambda: silver(spark, root, tuple(landing), rebuild)),
         ("gold", lambda: gold(spark, root)),
     ]
     log, failed = [], False
     for stage, fn in steps:
         if failed and not continue_on_failure:
-            log.append((stage, "SKIPPED", None))
+            log.append((stage, "SKIPPED", None, None, None, None))
             continue
+        start = time.perf_counter()
         try:
-            fn()
-            log.append((stage, "OK", None))
+            log.append((stage, "OK", None, *fn(), time.perf_counter() - start))
         except Exception as e:  # recorded, then dependents stop
             failed = True
-            log.append((stage, "FAILED", f"{type(e).__name__}: {e}"))
-    result = spark.createDataFrame(log, "stage string, status string, error string").withColumn(
+            log.append((stage, "FAILED", f"{type(e).__name__}: {e}", None, None, time.perf_counter() - start))
+    result = spark.createDataFrame(log, "stage string, status string, error string, rows_in long, rows_out long, seconds double").withColumn(
         "finished_at", F.current_timestamp()
     )
     snapshots.commit(result, _p(root, "run_log"), "append")

@@ -357,6 +357,22 @@ def medallion_log(spark, sf_dir):
     return log.select("stage", "status", (F.col("finished_at") >= start).alias("finished_since_start"))
 
 
+@register(
+    "medallion_metrics",
+    sql=f"""WITH {_OBS_SQL}, {_TOPICS_SQL},
+            n AS (SELECT (SELECT count(*) FROM j) AS obs, (SELECT count(*) FROM lg) + (SELECT count(*) FROM top) + (SELECT count(*) FROM vel) + (SELECT count(*) FROM w) AS gold)
+            SELECT 'bronze' AS stage, obs AS rows_in, obs AS rows_out, true AS timed FROM n
+            UNION ALL SELECT 'silver', obs, obs, true FROM n UNION ALL SELECT 'gold', obs, gold, true FROM n""",
+)
+def medallion_metrics(spark, sf_dir):
+    """PL1 / SNK8: rows in and out per stage, counted by the stages' own jobs: both rounds of the incremental layers, the last of Gold."""
+    _, root = _layer_run(spark, sf_dir)
+    log = snapshots.read_latest(spark, f"{root}/run_log").withColumn("last", F.struct("finished_at", "rows_in", "rows_out"))
+    total = log.groupBy("stage").agg(F.sum("rows_in").alias("a"), F.sum("rows_out").alias("b"), F.max("last").alias("last"), (F.min("seconds") > 0).alias("timed"))
+    gold = F.col("stage") == "gold"
+    return total.select("stage", F.when(gold, F.col("last.rows_in")).otherwise(F.col("a")).alias("rows_in"), F.when(gold, F.col("last.rows_out")).otherwise(F.col("b")).alias("rows_out"), "timed")
+
+
 def _cycle(spark, sf_dir):
     rec = _observation_records(spark, sf_dir)
     return medallion.clean_cycle(rec.drop("_src"), rec.filter(F.col("_src") == "rss"))
