@@ -478,6 +478,28 @@ def repo_items(spark, sf_dir):
     return html.repo_items(p.select("page_id", page.alias("html")), base_url="https://host", keep=["page_id"])
 
 
+@register(
+    "repo_items_nested",
+    sql="""SELECT page_id, 'outer/' || page_id AS full_name, 'https://host/outer/' || page_id AS html_url, 'a b ' || page_id || ' c' AS description, 'Rust ' || page_id AS language, page_id + 1000 AS stargazers_count FROM pages
+           UNION ALL SELECT page_id, 'inner/' || page_id, 'https://host/inner/' || page_id, '', 'Unknown', page_id + 7 FROM pages""",
+)
+def repo_items_nested(spark, sf_dir):
+    """SRC8: an item inside an item, spans three deep, comments and scripts with markup in them, a stray closing tag."""
+    p = table(spark, sf_dir, "pages").select("page_id", "html")
+    n = F.col("page_id").cast("string")
+    count = lambda more: F.format_string("%,d", F.col("page_id") + more)
+    inner = F.concat(
+        F.lit('<ARTICLE class="Box-row x"><h2 class="h3"><a href="/inner/'), n, F.lit('">i</a></h2><span><span>'), count(7), F.lit(" <b>stars</b></span></span></ARTICLE>")
+    )
+    page = F.concat(
+        F.lit('</article></span><!-- <article class="Box-row"><h2 class="h3"><a href="/no">x</a></h2></article> -->'),
+        F.lit('<script>var t = "<article class=\\"Box-row\\">";</script><article class="Box-row"><h2 class="h3"><a href="/outer/'), n,
+        F.lit('">o</a></h2><p class="col-9">a <b>b <i>'), n, F.lit('</i></b> <!-- hidden <p> -->c</p><span itemprop="programmingLanguage"><span><span>Rust</span> '), n,
+        F.lit('</span></span><span><span title="a > b"><span>'), count(1000), F.lit("</span> stars</span> today</span>"), inner, F.lit("</article>"), F.col("html"),
+    )
+    return html.repo_items(p.select("page_id", page.alias("html")), base_url="https://host", keep=["page_id"])
+
+
 @register(
     "serving_top",
     sql="""SELECT coalesce(source || '/' || CAST(doc_id AS VARCHAR), '') AS full_name, coalesce(n_chars, 0) AS stargazers_count,

@@ -1,13 +1,12 @@
 """HTML pages -> item rows (SRC8), with JVM regex functions only.
 
-A general HTML parser is a per-row library; the reference only needs a handful
-of fields from a regular page layout, which ``regexp_extract_all`` + ``explode``
-+ ``regexp_extract`` express as a distributed job over a table of pages.
+``page_links`` and ``page_articles`` take flat elements by patterns. ``repo_items`` scans balanced tags
+(``balanced_pieces``): elements nested in their like, comments and scripts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # --- fixed values: defaults of a scraped item --------------------------------
@@ -67,13 +66,58 @@ def page_articles(pages: DataFrame, page_id: str = "page_id", html: str = "html"
     )
 
 
-def _element(tag: str, attribute: str, token: str) -> str:
-    """Pattern of an element whose attribute holds ``token`` as one of its words; group 1 is the inside."""
-    return rf"(?is)<{tag}\b(?=[^>]*\s{attribute}\s*=\s*[\"'](?:[^\"']*\s)?{token}(?:\s[^\"']*)?[\"'])[^>]*>(.*?)</{tag}>"
+# A comment, a script or a style sheet as a whole, a tag, or a run of text.
+_PIECE = r"""(?is)<!--.*?(?:-->|$)|<(?:script|style)\b[^>]*>.*?(?:</(?:script|style)\s*>|$)|</?[a-z](?:[^>"']|"[^"]*"|'[^']*')*>|[^<]+|<"""
+_MARKUP = r"(?s)^<(?:!--|/?[a-zA-Z])"
 
 
-# A span with its text, also where it holds other elements or one level of spans.
-_SPAN = r"(?is)<span\b[^>]*>((?:[^<]++|<(?!/?span\b)|<span\b[^>]*>(?:[^<]++|<(?!/?span\b))*+</span>)*+)</span>"
+def balanced_pieces(pages: DataFrame, html: str, keep=()) -> DataFrame:
+    """One row per page: the ``keep`` columns and ``pieces``, its tags, texts and comments in order, of any nesting.
+
+    A piece is (pos, piece, tag, end): ``tag`` is the name of a tag that opens an element, ``end`` the position of the tag that closes it (of the page's end,
+    if none does). The depth of a tag is a running sum over the page's tags of that name, at least 0, so that a closing tag without an opening one is
+    passed over; the opening and closing tags of one depth alternate, so that an element ends at the next tag of its depth. A page's
+    pieces meet in one task, sorted; no other page's do.
+    """
+    numbered = pages.select(*keep, F.col(html).alias("_html"), F.monotonically_increasing_id().alias("_id"))
+    cut = numbered.select("_id", *keep, F.posexplode(F.regexp_extract_all("_html", F.lit(_PIECE), 0)).alias("pos", "piece")).repartition("_id")
+    name = F.regexp_extract("piece", r"^</?([a-zA-Z][a-zA-Z0-9]*)", 1)
+    whole = F.col("piece").rlike(r"(?is)^<(?:!--|script\b|style\b)") | F.endswith(F.col("piece"), F.lit("/>"))
+    step = F.when(whole | (name == ""), 0).when(F.startswith(F.col("piece"), F.lit("</")), -1).otherwise(1)
+    cut = cut.withColumns({"tag": F.lower(name), "step": step})
+    order = Window.partitionBy("_id", "tag").orderBy("pos")
+    sums = cut.withColumn("sum", F.sum("step").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    least = sums.withColumns({
+        "low": F.least(F.lit(0), F.min("sum").over(order.rowsBetween(Window.unboundedPreceding, 0))),
+        "low_before": F.least(F.lit(0), F.min("sum").over(order.rowsBetween(Window.unboundedPreceding, -1))),
+    })
+    matched = (F.col("step") == 1) | ((F.col("step") == -1) & (F.col("low") == F.coalesce("low_before", F.lit(0))))
+    depth = F.col("sum") - F.col("low") + F.when(F.col("step") == -1, 1).otherwise(0)
+    level = F.when(matched, depth)
+    closed = F.lead("pos").over(Window.partitionBy("_id", "tag", "level").orderBy("pos"))
+    found = least.withColumn("level", level).withColumn("end", F.when((F.col("step") == 1), closed))
+    piece = F.struct("pos", "piece", F.when(F.col("step") == 1, F.col("tag")).alias("tag"), "end")
+    by_page = found.groupBy("_id").agg(*[F.first(c).alias(c) for c in keep], F.array_sort(F.collect_list(piece)).alias("pieces"))
+    at_end = F.transform("pieces", lambda p: p.withField("end", F.when(p["tag"].isNotNull(), F.coalesce(p["end"], F.size("pieces")))))
+    return by_page.select(*keep, at_end.alias("pieces"))
+
+
+def inside(pieces: Column, element: Column) -> Column:
+    """The pieces inside an element; ``pieces`` hold consecutive positions."""
+    return F.slice(pieces, element["pos"] - pieces[0]["pos"] + 2, element["end"] - element["pos"] - 1)
+
+
+def elements(pieces: Column, tag: str, attribute: str = "", token: str = "") -> Column:
+    """The elements of a name, also nested ones, in order; with ``token`` those whose attribute holds it as one of its words."""
+    own = rf"(?is)\s{attribute}\s*=\s*[\"'](?:[^\"']*\s)?{token}(?:\s[^\"']*)?[\"']"
+    return F.filter(pieces, lambda p: (p["tag"] == tag) & (p["piece"].rlike(own) if token else F.lit(True)))
+
+
+def text_of(pieces: Column) -> Column:
+    """The text of the pieces, tags and comments left out, without white space around it."""
+    texts = F.filter(pieces, lambda p: ~p["piece"].rlike(_MARKUP))
+    return F.regexp_replace(F.array_join(F.transform(texts, lambda p: p["piece"]), ""), r"^\s+|\s+$", "")
+
 
 # --- fixed values: classes and attributes of the page layout ------------------
 ITEM_CLASS, HEADING_CLASS, TEXT_CLASS, LANGUAGE_ITEMPROP, STARS_WORD = "Box-row", "h3", "col-9", "programmingLanguage", "stars"
@@ -89,13 +133,17 @@ def repo_items(pages: DataFrame, html: str = "html", base_url: str = "", keep=()
     span whose whole text, nested elements included, contains "stars";
     ``html_url`` is ``base_url`` followed by the link.
     """
-    items = pages.select(*keep, F.explode(F.regexp_extract_all(F.col(html), F.lit(_element("article", "class", ITEM_CLASS)), 1)).alias("it"))
-    heading = F.regexp_extract(F.col("it"), _element("h2", "class", HEADING_CLASS), 1)
-    href = F.regexp_extract(heading, r"(?is)<a\b[^>]*?\bhref\s*=\s*[\"']([^\"']*)", 1)
-    desc = strip_tags(F.regexp_extract(F.col("it"), _element("p", "class", TEXT_CLASS), 1))
-    lang = strip_tags(F.regexp_extract(F.col("it"), _element("span", "itemprop", LANGUAGE_ITEMPROP), 1))
-    spans = F.transform(F.regexp_extract_all(F.col("it"), F.lit(_SPAN), 1), strip_tags)
-    stars = F.get(F.filter(spans, lambda s: s.contains(STARS_WORD)), F.lit(0))
+    page, first = balanced_pieces(pages, html, keep), lambda found: F.get(found, F.lit(0))
+    item = page.select(*keep, "pieces", F.explode(elements(F.col("pieces"), "article", "class", ITEM_CLASS)).alias("_item"))
+    items = item.select(*keep, inside(F.col("pieces"), F.col("_item")).alias("it"))
+    it, none = F.col("it"), F.lit("")
+    of = lambda e: F.coalesce(text_of(inside(it, e)), none)
+    heading = first(elements(it, "h2", "class", HEADING_CLASS))
+    link = first(elements(inside(it, heading), "a"))
+    href = F.regexp_extract(link["piece"], r"(?is)^<a\b[^>]*?\bhref\s*=\s*[\"']([^\"']*)", 1)
+    desc = of(first(elements(it, "p", "class", TEXT_CLASS)))
+    lang = of(first(elements(it, "span", "itemprop", LANGUAGE_ITEMPROP)))
+    stars = first(F.filter(F.transform(elements(it, "span"), of), lambda s: s.contains(STARS_WORD)))
     out = items.select(
         *keep,
         F.regexp_replace(href, "^/+|/+$", "").alias("full_name"),
