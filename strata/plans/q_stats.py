@@ -9,6 +9,8 @@ from strata.functions.text import short_text
 from strata.operators import stats
 from strata.operators.terms import top_n
 from strata.plans.catalog import register, updated_since
+from strata.session import scratch_path
+from strata.sinks import ordered
 from strata.sources.tables import table
 
 
@@ -257,3 +259,23 @@ def summary_row(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
     conv = table(spark, sf_dir, "conversations").select("conv_id")
     return updated_since(stats.summary_row(docs, "doc_id", "lang", "n_chars", articles=conv))
+
+
+def _sorted_events(spark, sf_dir, order):
+    path = scratch_path(spark, "sorted")
+    ordered.write_sorted(table(spark, sf_dir, "events").select("event_id", "event_type", "value"), path, order)
+    return path
+
+
+@register("sorted_table", sql="SELECT event_id, event_type, value, row_number() OVER (ORDER BY event_type, value DESC, event_id) - 1 AS place FROM events")
+def sorted_table(spark, sf_dir):
+    """TK5: a table written in order (few distinct first values, each over many files); every row's place read back from file and row number."""
+    path = _sorted_events(spark, sf_dir, [F.col("event_type"), F.desc("value"), F.col("event_id")])
+    return ordered.places(spark, path)
+
+
+@register("sorted_top", sql="SELECT event_id, event_type, value FROM events ORDER BY value DESC, event_id LIMIT 100")
+def sorted_top(spark, sf_dir):
+    """TK5: the first 100 rows of a table in order of its measure, from the files that hold them."""
+    order = [F.desc("value"), F.col("event_id")]
+    return ordered.read_first(spark, _sorted_events(spark, sf_dir, order), 100, order)
