@@ -16,12 +16,13 @@ Beside the model's score there is the add-1/2 unigram score of the words, ``base
 
 Defined results: a null or empty text has the end token only. A null id counts as the empty text for the fold. Rows are
 scored one by one; repeated rows count repeatedly. No training rows: counts are zero and the prior weights are used.
-Words over ``PART_BYTES`` bytes are cut into parts of that size for the expected counts alone; scores use them whole.
+Words of any length count whole, in time and memory linear in their length.
 """
 
 from __future__ import annotations
 
 import math
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -37,7 +38,8 @@ ROUNDS = 2
 HOT_SHARE = 1_000_000
 #: Words that a task counts before it passes the counts on.
 COUNTED_WORDS = 200_000
-PART_BYTES = 512
+#: From so many bytes on, a word's lattice is walked twice instead of being held.
+LONG_BYTES = 4096
 #: Pseudo-tokens that the vocabulary's scores are worth.
 PRIOR_TOKENS = 10_000.0
 #: The word that stands for the end of a text; no real word is empty.
@@ -113,6 +115,9 @@ class Lattice:
         """Add the expected piece counts of one marked word, seen so many times."""
         get, longest, exp, log = self.get, self.longest, math.exp, math.log
         n = len(text)
+        if n >= LONG_BYTES:
+            self.expect_long(text, times, into)
+            return
         alpha, edges = [0.0], [[]]
         for end in range(1, n + 1):
             found = []
@@ -133,6 +138,27 @@ class Lattice:
                     share[start] += part
                     into[piece] = into.get(piece, 0.0) + part
 
+    def expect_long(self, text: bytes, times: float, into: dict[bytes, float]) -> None:
+        """As ``expect``, with one number held per place of the word."""
+        get, longest, exp, log = self.get, self.longest, math.exp, math.log
+
+        def ending(end: int) -> list[tuple[int, bytes, float]]:
+            pieces = [(start, text[start:end]) for start in range(max(0, end - longest), end)]
+            return [(start, piece, alpha[start] + p) for start, piece in pieces if (p := get(piece)) is not None]
+
+        alpha = array("d", [0.0])
+        for end in range(1, len(text) + 1):
+            found = ending(end)
+            top = max(f[2] for f in found)
+            alpha.append(top + log(sum([exp(f[2] - top) for f in found])))
+        share = array("d", bytes(8 * len(text))) + array("d", [times])
+        for end in range(len(text), 0, -1):
+            if here := share[end]:
+                for start, piece, path in ending(end):
+                    part = here * exp(path - alpha[end])
+                    share[start] += part
+                    into[piece] = into.get(piece, 0.0) + part
+
     @staticmethod
     def by_length(words: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
         """(length, places of the words of that length), in parts that fit ``CELLS``."""
@@ -253,8 +279,7 @@ def fit(counts: DataFrame, ends: int, path: str | None = None, rounds: int = ROU
             lattice = Lattice(logs.value)
             found, sums = {}, np.zeros(len(lattice.next))
             for part in slices(batches, COUNTED_TOGETHER):
-                cut = [(w[at : at + PART_BYTES], t) for w, t in zip(marked(part.column(0)), part.column(1).to_pylist()) for at in range(0, len(w), PART_BYTES)]
-                lattice.expectations([w for w, _ in cut], np.array([t for _, t in cut], dtype=float), sums, found)
+                lattice.expectations(marked(part.column(0)), part.column(1).to_numpy().astype(float), sums, found)
             for piece, n in zip(lattice.pieces, sums[lattice.nodes].tolist()):
                 if n:
                     found[piece] = found.get(piece, 0.0) + n

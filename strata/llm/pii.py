@@ -18,7 +18,8 @@ transducer changed is added under its source characters. Base spans always stay.
 span of its kind is left out. Offsets are code points, ends are exclusive.
 
 Defined results: a null or empty text has no spans. Repeated rows and extra columns pass through. Each text is
-handled alone, in linear time apart from the usual cost of the patterns.
+handled alone, in time linear in its length: patterns start at their rare part (an at sign, the first digit of a run) and go left and right
+from there. Any run of blanks may surround a disguise; a bare top-level domain has 2 to 63 letters.
 """
 
 from __future__ import annotations
@@ -73,13 +74,33 @@ def _is_phone(s: str) -> bool:
 _HAS_DIGIT = re.compile("[0-9]").search
 
 
+#: A dotted quad begins at the first digit of a run: from inside it, it could only match if it did from there.
+_QUADS = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+_DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
+
+
+def emails(text: str) -> list[tuple[int, int]]:
+    """The spans of ``EMAIL.finditer``, in linear time: from each at sign to the left and to the right."""
+    out, free, at = [], 0, text.find("@")
+    while at >= 0:
+        if at > free and text[at - 1] in _LOCAL and (m := _DOMAIN.match(text, at)):
+            start = at - 1
+            while start > free and text[start - 1] in _LOCAL:
+                start -= 1
+            out.append((start, m.end()))
+            free = m.end()
+        at = text.find("@", at + 1)
+    return out
+
+
 def identifiers(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) by start, then kind; per kind leftmost and without overlap, failing matches dropped."""
     found = []
     if "@" in text:
-        found += [("email", *m.span()) for m in EMAIL.finditer(text)]
+        found += [("email", a, b) for a, b in emails(text)]
     if _HAS_DIGIT(text):
-        found += [("ip", *m.span()) for m in IP.finditer(text) if _is_ip(m[0])]
+        found += [("ip", *m.span()) for m in _QUADS.finditer(text) if _is_ip(m[0])]
         found += [("card", *m.span()) for m in CARD.finditer(text) if _is_card(m[0])]
         if "+" in text:
             found += [("phone", *m.span()) for m in PHONE.finditer(text) if _is_phone(m[0])]
@@ -165,27 +186,49 @@ def homoglyphs(tape: Tape) -> None:
 
 
 _OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
-_GAP = r"\s{0,3}"  # bounded, so that long runs of blanks cost no more than linear time
-_BRACKET_AT = re.compile(rf"{_GAP}{_OPEN}{_GAP}(?:at|@){_GAP}{_CLOSE}{_GAP}", re.I)
-_BRACKET_DOT = re.compile(rf"{_GAP}{_OPEN}{_GAP}(?:dot|punkt|punto|point|\.){_GAP}{_CLOSE}{_GAP}", re.I)
-#: name at host dot domain: both words bare, the last part looks like a top-level domain.
-_SPELLED = re.compile(r"[A-Za-z0-9._%+-]+(\s{1,3}at\s{1,3}|\s{0,3}@\s{0,3})[A-Za-z0-9-]+((?:(?:\s{1,3}dot\s{1,3}|\.)[A-Za-z0-9-]+)*)(\s{1,3}dot\s{1,3})[A-Za-z]{2,12}\b", re.I)
-_DOT_WORD = re.compile(r"\s{1,3}dot\s{1,3}", re.I)
+_BRACKET_AT = re.compile(rf"{_OPEN}\s*(?:at|@)\s*{_CLOSE}", re.I)
+_BRACKET_DOT = re.compile(rf"{_OPEN}\s*(?:dot|punkt|punto|point|\.)\s*{_CLOSE}", re.I)
+#: name at host dot domain: the sign in the middle, which a run of blanks may surround (a run is looked at from its first blank only) ...
+_AT_WORD = re.compile(r"(?<=[A-Za-z0-9._%+-])(?:\s+at(?=\s)|\s*@)", re.I)
+#: ... and what follows: a host, and a last part that looks like a top-level domain (2 to 63 letters, as names on the net allow).
+_DOT_DOMAIN = re.compile(r"\s*[A-Za-z0-9-]++((?:(?:\s+dot\s+|\.)[A-Za-z0-9-]++)*)(\s+dot\s+)[A-Za-z]{2,63}\b", re.I)
+_DOT_WORD = re.compile(r"\s+dot\s+", re.I)
+_BLANKS = re.compile(r"\s*")
+
+
+def _with_blanks(text: str, pattern: re.Pattern, sign: str) -> list[tuple[int, int, str]]:
+    """The places of a pattern with all blanks around them."""
+    out, free = [], 0
+    for m in pattern.finditer(text):
+        start = m.start()
+        while start > free and text[start - 1].isspace():
+            start -= 1
+        free = _BLANKS.match(text, m.end()).end()
+        out.append((start, free, sign))
+    return out
+
+
+def _spelled(text: str) -> list[tuple[int, int, str]]:
+    """The edits that turn ``name at host dot domain`` into an address, in linear time."""
+    edits, free = [], 0
+    for m in _AT_WORD.finditer(text):
+        if m.start() > free and (rest := _DOT_DOMAIN.match(text, m.end())):
+            host = _BLANKS.match(text, m.end()).end()
+            if text[m.start() : host] != "@":
+                edits.append((m.start(), host, "@"))
+            edits += [(rest.start(1) + d.start(), rest.start(1) + d.end(), ".") for d in _DOT_WORD.finditer(rest[1])]
+            edits.append((*rest.span(2), "."))
+            free = rest.end()
+    return edits
 
 
 def at_and_dot(tape: Tape) -> None:
     low = tape.text.lower()
     if "at" in low or "@" in low:
-        tape.rewrite([(m.start(), m.end(), "@") for m in _BRACKET_AT.finditer(tape.text)])
-    tape.rewrite([(m.start(), m.end(), ".") for m in _BRACKET_DOT.finditer(tape.text)])
+        tape.rewrite(_with_blanks(tape.text, _BRACKET_AT, "@"))
+    tape.rewrite(_with_blanks(tape.text, _BRACKET_DOT, "."))
     if "dot" in low:
-        edits = []
-        for m in _SPELLED.finditer(tape.text):
-            if m[1] != "@":
-                edits.append((*m.span(1), "@"))
-            edits += [(m.start(2) + d.start(), m.start(2) + d.end(), ".") for d in _DOT_WORD.finditer(m[2])]
-            edits.append((*m.span(3), "."))
-        tape.rewrite(edits)
+        tape.rewrite(_spelled(tape.text))
         tape.rewrite([(*m.span(1), ".") for m in _DIGIT_DOT.finditer(tape.text)])
 
 
@@ -196,7 +239,7 @@ _TOKEN = re.compile(rf"\b(?:{_NAMED}|[0-9]+)\b", re.I)
 _SEPARATOR = re.compile(r"[\s,.-]{1,4}")
 _PLUS = re.compile(r"(?:\bplus[\s-]{1,3}|\+\s{0,3})\Z", re.I)
 #: A bare dot between digit groups: group 1 is the word with its blanks.
-_DIGIT_DOT = re.compile(rf"\b(?:{_NAMED}|[0-9]+)([\s-]{{1,3}}dot[\s-]{{1,3}})(?=(?:{_NAMED}|[0-9]+)\b)", re.I)
+_DIGIT_DOT = re.compile(rf"\b(?:{_NAMED}|[0-9]+)([\s-]+dot[\s-]+)(?=(?:{_NAMED}|[0-9]+)\b)", re.I)
 _OCTET = rf"((?:{_NAMED}|[0-9]{{1,3}})\b(?:[ \t-]{{1,3}}(?:{_NAMED}|[0-9]{{1,3}})\b){{0,2}})"
 _QUAD = re.compile(rf"\b{_OCTET}" + rf"(\.){_OCTET}" * 3, re.I)
 _INNER = re.compile(rf"[ \t-]{{1,3}}(?:{_NAMED}|[0-9]{{1,3}})\b", re.I)
@@ -371,7 +414,7 @@ def _may_spell(text: str) -> bool:
     return sum(map(low.count, DIGIT_WORDS)) >= MIN_SPELLED
 
 
-_MAYBE = re.compile(rf"{_OPEN}{_GAP}(?:at|@|dot|punkt|punto|point|\.){_GAP}{_CLOSE}", re.I)
+_MAYBE = re.compile(rf"{_OPEN}\s*(?:at|@|dot|punkt|punto|point|\.)\s*{_CLOSE}", re.I)
 
 
 def hidden_identifiers(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:

@@ -16,6 +16,7 @@ Repeated rows count repeatedly. Empty table: no rows. Columns of the documents o
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -133,14 +134,22 @@ def sigmoid(x: Column) -> Column:
 
 
 def strength(groups: DataFrame, total: str, n: str, towards: Column) -> float:
-    """Pseudo-documents that the rate ``towards`` is worth for a group: the method of moments on the spread of group rates."""
+    """Pseudo-documents that the rate ``towards`` is worth for a group: the method of moments on the spread of group rates.
+
+    Infinite where the groups spread no more than documents drawn at that rate would, or there are none: then the groups tell nothing and the rate itself
+    stands (``shrunk``). At least one: a group's prior is worth a document.
+    """
     p = F.least(F.greatest(towards, F.lit(1e-6)), F.lit(1 - 1e-6))
     own = F.col(total) / F.col(n)
     row = groups.agg(F.sum(n).alias("n"), F.sum(F.col(n) * F.pow(own - p, 2)).alias("spread"), F.sum(p * (1 - p)).alias("noise"), F.sum(F.col(n) * p * (1 - p)).alias("room")).first()
-    if not row["n"]:
-        return 1.0
-    between = max((row["spread"] - row["noise"]) / row["n"], 1e-9)
-    return float(min(max(row["room"] / row["n"] / between - 1, 1.0), 1e6))
+    if not row["n"] or row["spread"] <= row["noise"]:
+        return math.inf
+    return max(row["room"] / (row["spread"] - row["noise"]) - 1, 1.0)
+
+
+def shrunk(total: Column, n: Column, towards: Column, strength: float) -> Column:
+    """The rate total / n, shrunk ``towards`` a prior of the given strength."""
+    return towards if math.isinf(strength) else (total + strength * towards) / (n + strength)
 
 
 def classify(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", path_col: str = "lang") -> DataFrame:
@@ -162,12 +171,12 @@ def classify(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_RO
     whole = hosts.agg(F.sum("host_n").alias("n"), *[F.sum(f"{t}_host_sum").alias(t) for t in TARGETS]).first()
     rate = {t: (whole[t] + 0.5) / (whole["n"] + 1) if whole["n"] else 0.5 for t in TARGETS}
     shrink = {t: strength(hosts, f"{t}_host_sum", "host_n", F.lit(rate[t])) for t in TARGETS}
-    hosts = hosts.withColumns({f"{t}_host_rate": (F.col(f"{t}_host_sum") + shrink[t] * rate[t]) / (F.col("host_n") + shrink[t]) for t in TARGETS})
+    hosts = hosts.withColumns({f"{t}_host_rate": shrunk(F.col(f"{t}_host_sum"), F.col("host_n"), F.lit(rate[t]), shrink[t]) for t in TARGETS})
     paths = shared_table(paths.join(hosts.select("host", *[f"{t}_host_rate" for t in TARGETS]), "host"), "path-rates")
     inner = {t: strength(paths, f"{t}_sum", "n", F.col(f"{t}_host_rate")) for t in TARGETS}
     out = scored.join(paths, ["host", "path"])
     for t in TARGETS:
         # The document itself is taken out of its path's sum.
-        others = (F.greatest(F.col(f"{t}_sum") - F.col(f"{t}_counted"), F.lit(0.0)) + inner[t] * F.col(f"{t}_host_rate")) / (F.col("n") - 1 + inner[t])
+        others = shrunk(F.greatest(F.col(f"{t}_sum") - F.col(f"{t}_counted"), F.lit(0.0)), F.col("n") - 1, F.col(f"{t}_host_rate"), inner[t])
         out = out.withColumn(f"{t}_site", others).withColumn(f"{t}_posterior", sigmoid(logit(F.col(f"{t}_own")) + logit(others) - logit(F.lit(rate[t]))))
     return out.select("id", "host", "path", *[f"{t}_{k}" for t in TARGETS for k in ("own", "site", "posterior")])
