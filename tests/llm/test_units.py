@@ -47,6 +47,33 @@ def test_pieces_cover_the_item():
         assert "".join(p for _, p in decontaminate.pieces(item, k)) == item
 
 
+def test_items_without_an_edit_budget_match_whole_words():
+    find = lambda item, text: [(x["distance"], x["end"]) for x in decontaminate.Matcher([(1, item)], 0.08).matches(text)["items"]]
+    assert find("an", "a banana and an ant") == [(0, 15)] and find("an", "banana and") == [] and find("an", "An") == [(0, 2)]
+    assert find("a a", "ba a ab a a") == [(0, 11)]
+    # From 13 characters on one edit is allowed, so that words may be cut.
+    assert find("thirteen char", "xthirteen charx") == [(0, 14)]
+
+
+def test_shards_give_the_same_matches_one_after_another(spark, monkeypatch):
+    r = random.Random(12)
+    items = [(k if k % 4 else None, " ".join(r.choices("abcdefgh", k=12))) for k in range(40)]
+    texts = [" ".join([items[r.randrange(40)][1], *r.choices("abcdefgh", k=5), items[r.randrange(40)][1]]) for _ in range(30)] + [None, "", "x"]
+    docs = spark.createDataFrame([(k % 29, t) for k, t in enumerate([*texts, *texts[:9]])], "doc_id long, text string").repartition(4)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    steps = []
+    own = decontaminate._find
+    monkeypatch.setattr(decontaminate, "_find", lambda d, *a: steps.append(d._jdf.queryExecution().toString().count("MapInArrow")) or own(d, *a))
+    key = lambda rows: sorted(map(repr, rows))
+    whole = [key(f(docs, benchmark).collect()) for f in (decontaminate.leaks, decontaminate.drop_leaks)]
+    assert whole[0] and len(whole[1]) == 3 and len(steps) == 2
+    got = [key(f(docs, benchmark, shard_chars=300).collect()) for f in (decontaminate.leaks, decontaminate.drop_leaks)]
+    assert got == whole
+    plain, parts = (decontaminate.add_matches(docs, benchmark, shard_chars=c, unnamed=True)[0] for c in (10**6, 300))
+    assert key(plain.collect()) == key(parts.collect())
+    assert len(steps) > 12 and not any(steps)  # however many shards, each is one Python step over the documents
+
+
 # --- near-dedup ------------------------------------------------------------------
 
 
