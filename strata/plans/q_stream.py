@@ -191,7 +191,8 @@ def stream_cycle(spark, sf_dir):
         return {"by_type": by_type, "top": top}
 
     jobs.cycle_stream(_polls(spark, sf_dir, root), cycle, ["user_id"], ["ts", "event_id"], f"{root}/out", f"{root}/_checkpoint")
-    parts = [spark.read.parquet(f"{root}/out/{n}").select(F.lit(n).alias("output"), "name", "number") for n in ("by_type", "top")]
+    schema = spark.createDataFrame([], "name string, number double").schema
+    parts = [jobs.read_cycle(spark, f"{root}/out", n, schema).select(F.lit(n).alias("output"), "name", "number") for n in ("by_type", "top")]
     return parts[0].unionByName(parts[1])
 
 

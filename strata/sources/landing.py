@@ -10,6 +10,7 @@ turn a whole file into a corrupt record; they are converted in Silver with
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,10 +78,10 @@ def read_landing(spark: SparkSession, path: str, schema: T.StructType, multiline
     )
     try:
         return reader.json(path)
-    except Exception as e:  # path does not exist yet: no data, not an error
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return spark.createDataFrame([], full)
-        raise
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":  # no folder yet: no data, not an error
+            raise
+        return spark.createDataFrame([], full)
 
 
 def split_corrupt(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:

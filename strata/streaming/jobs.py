@@ -109,13 +109,18 @@ def _values(rows: DataFrame, col: str) -> list:
     return [r[0] for r in rows.select(col).distinct().collect()]
 
 
+def _sum_near(counts: DataFrame, ts: str) -> DataFrame:
+    return counts.groupBy(ts).agg(F.sum("n").alias("n"))
+
+
 def near_counts(stream: DataFrame, ts: str, anchor: str, event: str, seconds: int, root: str, checkpoint: str,
-                available_now: bool = True):
+                available_now: bool = True, compact_every: int = 16):
     """SM7: per anchor the events within +-``seconds``, on a stream of both (boolean columns ``anchor`` and ``event``).
 
     Rows land in partitions of their day. Each batch adds two partial counts: its events around all anchors so far, and the
     events of earlier batches around its anchors. Both come from one ordered scan over the rows within reach of the batch's
-    time span, so no (anchor, event) pair is formed or kept, whatever a burst holds. ``read_near`` sums the partials.
+    time span, so no (anchor, event) pair is formed or kept, whatever a burst holds. ``read_near`` sums the partials; every
+    ``compact_every`` batches those before are merged into one per anchor time, so there are never more folders of them than that.
     """
     day = F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / 86400).cast("long")
 
@@ -137,29 +142,41 @@ def near_counts(stream: DataFrame, ts: str, anchor: str, event: str, seconds: in
         sums = {"_new": own.cast("long"), "_old": (~own).cast("long")}
         found = joins.range_sums(times, past.filter(F.col(event)), ts, ts, seconds, seconds, sums)
         counted = found.select(ts, (F.col("_new") + F.col("_fresh") * F.col("_old")).alias("n"))
+        if epoch and epoch % compact_every == 0:
+            batches.compact(spark, f"{root}/counts", _near_schema(ts, rows.schema), epoch - 1, lambda counts: _sum_near(counts, ts))
         batches.put(counted.filter("n > 0"), f"{root}/counts", epoch)
 
     return each_batch(stream, step, checkpoint, available_now)
 
 
+def _near_schema(ts: str, schema: T.StructType) -> T.StructType:
+    return T.StructType([schema[ts], T.StructField("n", T.LongType())])
+
+
 def read_near(spark: SparkSession, root: str, ts: str, schema: T.StructType) -> DataFrame:
     """(anchor time, near_count); anchors without events have no row."""
-    part = T.StructType([schema[ts], T.StructField("n", T.LongType())])
-    return batches.get(spark, f"{root}/counts", part).groupBy(ts).agg(F.sum("n").alias("near_count"))
+    return _sum_near(batches.merged(spark, f"{root}/counts", _near_schema(ts, schema)), ts).withColumnRenamed("n", "near_count")
 
 
 def cycle_stream(stream: DataFrame, cycle, keys: Sequence[str], order: Sequence[str], root: str, checkpoint: str,
-                 available_now: bool = True):
+                 available_now: bool = True, buckets: int = 8):
     """SM3: a repeated analysis cycle: after each batch ``cycle(current)`` (name -> DataFrame) replaces its outputs under ``root``.
 
-    ``current`` is the latest row per key of all batches so far, kept in two slots: its size is that of the entities.
+    ``current`` is the latest row per key of all batches so far, in ``buckets`` by key: a batch rewrites the buckets of its own
+    keys. Each output has two slots, so a reader always finds one (``read_cycle``).
     """
 
     def step(rows: DataFrame, epoch: int) -> None:
-        slots = batches.Slots(rows.sparkSession, f"{root}/current", rows.schema)
-        before, slot = slots.before(epoch)
-        slots.write(clean.latest_per_key(before.unionByName(rows), list(keys), list(order)), epoch, slot)
-        for name, out in cycle(slots.latest()).items():
-            out.write.mode("overwrite").parquet(f"{root}/{name}")
+        spark = rows.sparkSession
+        current = batches.Buckets(spark, f"{root}/current", rows.schema, keys, buckets)
+        current.merge(rows, epoch, lambda both: clean.latest_per_key(both, list(keys), list(order)))
+        for name, out in cycle(current.latest()).items():
+            slots = batches.Slots(spark, f"{root}/{name}", out.schema)
+            slots.write(out, epoch, slots.before(epoch)[1])
 
     return each_batch(stream, step, checkpoint, available_now)
+
+
+def read_cycle(spark: SparkSession, root: str, name: str, schema: T.StructType) -> DataFrame:
+    """The newest output ``name`` of a repeated cycle."""
+    return batches.Slots(spark, f"{root}/{name}", schema).latest()
