@@ -202,6 +202,34 @@ def json_landing_scan(spark, sf_dir):
     return landing.read_landing(spark, path, schema, multiline=False).drop(landing.CORRUPT)
 
 
+_RECORD_SQL = """CAST(to_json({'full_name': source || '/' || CAST(doc_id AS VARCHAR), 'description': text, 'language': lang,
+    'stargazers_count': CAST(n_chars AS VARCHAR)}) AS VARCHAR)"""
+
+
+@register(
+    "json_quarantine",
+    sql=f"""WITH r AS (SELECT *, {_RECORD_SQL} AS raw FROM documents)
+            SELECT 'good' AS part, source || '/' || CAST(doc_id AS VARCHAR) AS full_name, lang AS language, CAST(n_chars AS VARCHAR) AS stargazers_count, NULL AS raw_chars
+            FROM r WHERE doc_id % 7 <> 3
+            UNION ALL SELECT 'quarantined', NULL, NULL, NULL, length(raw) - 2 FROM r WHERE doc_id % 7 = 3""",
+)
+def json_quarantine(spark, sf_dir):
+    """SRC2: every seventh record lands cut off at its end; the tolerant scan goes to Bronze, its broken lines to quarantine as they came."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    name = F.concat(F.col("source"), F.lit("/"), F.col("doc_id").cast("string"))
+    record = F.struct(name.alias("full_name"), F.col("text").alias("description"), F.col("lang").alias("language"), F.col("n_chars").cast("string").alias("stargazers_count"))
+    raw = d.select("doc_id", F.to_json(record).alias("value"))
+    cut = F.when(F.col("doc_id") % 7 == 3, F.substring("value", F.lit(1), F.char_length("value") - 2)).otherwise(F.col("value"))
+    root = scratch_path(spark, "quarantine")
+    raw.select(cut.alias("value")).write.option("compression", "none").text(f"{root}/landing")
+    landing.read_landing(spark, f"{root}/landing", landing.API_SCHEMA, multiline=False, glob="*.txt").write.parquet(f"{root}/bronze")
+    bronze = spark.read.schema(landing.landing_schema(landing.API_SCHEMA)).parquet(f"{root}/bronze")
+    good, bad = landing.split_corrupt(bronze)
+    good = good.select(F.lit("good").alias("part"), "full_name", "language", "stargazers_count", F.lit(None).cast("long").alias("raw_chars"))
+    none = [F.lit(None).cast("string").alias(c) for c in ("full_name", "language", "stargazers_count")]
+    return good.union(bad.select(F.lit("quarantined"), *none, F.char_length(landing.CORRUPT).cast("long")))
+
+
 @register(
     "serving_languages",
     sql="""SELECT array_to_string(list_transform(regexp_extract_all(lower(lang), '(\\p{L}+|\\P{L}+)', 1),
