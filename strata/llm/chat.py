@@ -117,18 +117,5 @@ def conversation_paths(rows: DataFrame) -> DataFrame:
     return numbered.select("tree", "id", F.when(F.col("id") > 1, F.col("id") - 1).alias("parent"), "role", "text", F.lit(0.0).alias("score"))
 
 
-def conversation_trees(rows: DataFrame) -> DataFrame:
-    """Messages of rows (conv_id, turn, role, text): each replies to the first message of the turn before; rows with one turn are siblings."""
-    rows = rows.select(F.coalesce(F.col("conv_id").cast("long"), F.lit(_NO_TREE)).alias("tree"), "turn", "role", "text").distinct()
-    in_order = Window.partitionBy("tree").orderBy("turn", "role", "text")
-    numbered = rows.withColumn("id", F.row_number().over(in_order).cast("long"))
-    same_turn = Window.partitionBy("tree", "turn")
-    first = F.min("id").over(same_turn)
-    turn_number = F.dense_rank().over(Window.partitionBy("tree").orderBy("turn"))
-    numbered = numbered.withColumns({"first": first, "step": turn_number})
-    parents = numbered.where("id = first").select("tree", (F.col("step") + 1).alias("step"), F.col("id").alias("parent"))
-    return numbered.join(parents, ["tree", "step"], "left").select("tree", "id", "parent", "role", "text", F.lit(0.0).alias("score"))
-
-
 def conv_id(tree: Column) -> Column:
     return F.when(tree != _NO_TREE, tree)

@@ -4,7 +4,8 @@ Method: the pieces of an existing vocabulary, each word marked at its start, for
 A text is a sequence of words and one end; its probability is the product over words of the sum over all
 segmentations of the product of piece probabilities, found by a forward recursion in log space, so the model needs no
 single best segmentation. The vocabulary stays as it is; its scores give the prior weights (the weight of a piece falls with the rank
-of its score), and expected piece counts over all training words (expectation-maximisation) update them.
+of its score), and expected piece counts over all training words (expectation-maximisation) update them, round after round, until the log likelihood of
+the training words gains less than ``TOLERANCE`` of itself.
 Each of the 256 bytes is a piece, so every text has a positive probability.
 
 Scale: words are counted in each task before they are shuffled. Expected counts and lattice scores are computed once per
@@ -34,7 +35,9 @@ from pyspark.sql import functions as F
 from strata.llm.common import shared_table, slices
 
 VOCABULARY = "piece_bpe_32k.model"
-ROUNDS = 2
+#: Rounds go on until one gains less than this share of the log likelihood, and end at ROUNDS in any case.
+TOLERANCE = 0.005
+ROUNDS = 20
 HOT_SHARE = 1_000_000
 #: Words that a task counts before it passes the counts on.
 COUNTED_WORDS = 200_000
@@ -111,13 +114,12 @@ class Lattice:
             alpha.append(top + log(sum([exp(x - top) for x in paths])) if len(paths) > 1 else top)
         return alpha[-1]
 
-    def expect(self, text: bytes, times: float, into: dict[bytes, float]) -> None:
-        """Add the expected piece counts of one marked word, seen so many times."""
+    def expect(self, text: bytes, times: float, into: dict[bytes, float]) -> float:
+        """Add the expected piece counts of one marked word, seen so many times; returns its log likelihood."""
         get, longest, exp, log = self.get, self.longest, math.exp, math.log
         n = len(text)
         if n >= LONG_BYTES:
-            self.expect_long(text, times, into)
-            return
+            return self.expect_long(text, times, into)
         alpha, edges = [0.0], [[]]
         for end in range(1, n + 1):
             found = []
@@ -137,8 +139,9 @@ class Lattice:
                     part = here * exp(path - alpha[end])
                     share[start] += part
                     into[piece] = into.get(piece, 0.0) + part
+        return times * alpha[n]
 
-    def expect_long(self, text: bytes, times: float, into: dict[bytes, float]) -> None:
+    def expect_long(self, text: bytes, times: float, into: dict[bytes, float]) -> float:
         """As ``expect``, with one number held per place of the word."""
         get, longest, exp, log = self.get, self.longest, math.exp, math.log
 
@@ -158,6 +161,7 @@ class Lattice:
                     part = here * exp(path - alpha[end])
                     share[start] += part
                     into[piece] = into.get(piece, 0.0) + part
+        return times * alpha[len(text)]
 
     @staticmethod
     def by_length(words: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
@@ -202,13 +206,13 @@ class Lattice:
                 out[places] = self.forward(self.logp[self.walk(own, n)])[-1]
         return out
 
-    def expectations(self, words: list[bytes], times: np.ndarray, into: np.ndarray, alone: dict[bytes, float]) -> None:
-        """Add the expected piece counts: of words taken together by trie node, of the others by piece."""
+    def expectations(self, words: list[bytes], times: np.ndarray, into: np.ndarray, alone: dict[bytes, float]) -> float:
+        """Add the expected piece counts: of words taken together by trie node, of the others by piece; returns the log likelihood."""
+        likelihood = 0.0
         for n, places in self.by_length(words):
             own = [words[k] for k in places]
             if len(own) < TOGETHER:
-                for w, t in zip(own, times[places]):
-                    self.expect(w, float(t), alone)
+                likelihood += sum(self.expect(w, float(t), alone) for w, t in zip(own, times[places]))
                 continue
             nodes = self.walk(own, n)
             logp = self.logp[nodes]
@@ -218,6 +222,8 @@ class Lattice:
                 beta[start] = log_sum(beta[start + 1 :] + logp[start, start:])
             share = np.exp(alpha[:-1, None] + logp + beta[None, 1:] - alpha[-1]) * times[places]
             into += np.bincount(nodes.ravel(), weights=share.ravel(), minlength=len(into))
+            likelihood += float(alpha[-1] @ times[places])
+        return likelihood
 
 
 def log_sum(x: np.ndarray) -> np.ndarray:
@@ -267,30 +273,34 @@ def count_words(docs: DataFrame) -> DataFrame:
     return counts.groupBy("word").agg(F.sum("trained").alias("trained"), F.sum("seen").alias("seen"))
 
 
-def fit(counts: DataFrame, ends: int, path: str | None = None, rounds: int = ROUNDS) -> tuple[dict[bytes, float], float]:
-    """Natural logs of the piece probabilities and of the end's, after ``rounds`` rounds over all training words."""
+def fit(counts: DataFrame, ends: int, path: str | None = None, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> tuple[dict[bytes, float], float]:
+    """Natural logs of the piece probabilities and of the end's, after at most ``rounds`` rounds over all training words."""
     prior = prior_weights(path or vocabulary_path())
     sc, weights, end = counts.sparkSession.sparkContext, prior, 1 / PRIOR_TOKENS
-    trained = counts.where(F.col("trained") > 0).where(F.col("word") != F.lit(END)).select("word", "trained")
+    trained, likelihood = counts.where(F.col("trained") > 0).where(F.col("word") != F.lit(END)).select("word", "trained"), None
     for _ in range(rounds):
         logs = sc.broadcast({k: math.log(v) for k, v in weights.items()})
 
         def run(batches: Iterator[pa.RecordBatch], logs=logs):
             lattice = Lattice(logs.value)
-            found, sums = {}, np.zeros(len(lattice.next))
+            found, sums, own = {}, np.zeros(len(lattice.next)), 0.0
             for part in slices(batches, COUNTED_TOGETHER):
-                lattice.expectations(marked(part.column(0)), part.column(1).to_numpy().astype(float), sums, found)
+                own += lattice.expectations(marked(part.column(0)), part.column(1).to_numpy().astype(float), sums, found)
             for piece, n in zip(lattice.pieces, sums[lattice.nodes].tolist()):
                 if n:
                     found[piece] = found.get(piece, 0.0) + n
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.float64())], names=["piece", "n"])
+            # The row without a piece holds the log likelihood.
+            yield pa.RecordBatch.from_arrays([pa.array([None, *found], pa.binary()), pa.array([own, *found.values()], pa.float64())], names=["piece", "n"])
 
-        # One row a piece: no more than the vocabulary has.
+        # One row a piece and one more: no more than the vocabulary has.
         rows = trained.mapInArrow(run, "piece binary, n double").groupBy("piece").agg(F.sum("n").alias("n")).collect()
-        expected = {bytes(r["piece"]): r["n"] for r in rows}
+        expected = {bytes(r["piece"]): r["n"] for r in rows if r["piece"] is not None}
+        before, likelihood = likelihood, sum(r["n"] for r in rows if r["piece"] is None)
         total = sum(expected.values()) + ends + PRIOR_TOKENS
         end = (ends + 1) / (total + 1)
         weights = {k: (1 - end) * (expected.get(k, 0.0) + PRIOR_TOKENS * p) / (total - ends) for k, p in prior.items()}
+        if before is not None and likelihood - before < tolerance * -before or not likelihood:
+            break
     return {k: math.log(v) for k, v in weights.items()}, math.log(end)
 
 

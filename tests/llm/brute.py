@@ -59,6 +59,39 @@ def base_scores(texts):
     return {i: (held[i], len(ws), sum(count[w] > 0 for w in ws), n, score(ws)) for i, ws in tokens.items()}
 
 
+def lattice_scores(texts, prior, rounds, prior_tokens):
+    """id -> log10 probability with piece weights after so many rounds, in plain probabilities scaled by SCALE per byte."""
+    scale = 2000.0
+    held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i in texts}
+    tokens = {i: [b" " + w.encode() for w in words(t)] for i, t in texts.items()}
+    count = collections.Counter(w for i, ws in tokens.items() if not held[i] for w in ws)
+    ends, weights, end = sum(not h for h in held.values()), prior, 1 / prior_tokens
+
+    def edges(word, w):
+        return [(a, b, w[word[a:b]] * scale ** (b - a)) for b in range(1, len(word) + 1) for a in range(b) if word[a:b] in w]
+
+    def before(word, found):
+        mass = [1.0] + [0.0] * len(word)
+        for a, b, p in found:
+            mass[b] += mass[a] * p
+        return mass
+
+    for _ in range(rounds):
+        expected = collections.Counter()
+        for word, n in count.items():
+            found = edges(word, weights)
+            mass, after = before(word, found), [0.0] * len(word) + [1.0]
+            for a, b, p in reversed(found):
+                after[a] += p * after[b]
+            for a, b, p in found:
+                expected[word[a:b]] += n * mass[a] * p * after[b] / mass[-1]
+        total = sum(expected.values()) + ends + prior_tokens
+        end = (ends + 1) / (total + 1)
+        weights = {k: (1 - end) * (expected[k] + prior_tokens * p) / (total - ends) for k, p in prior.items()}
+    log10 = {w: math.log10(before(w, edges(w, weights))[-1]) - len(w) * math.log10(scale) for ws in tokens.values() for w in ws}
+    return {i: sum(log10[w] for w in ws) + math.log10(end) for i, ws in tokens.items()}
+
+
 def statistics(text):
     text = text or ""
     w = [x for x in re.split(f"{SPACE}+", text) if x]

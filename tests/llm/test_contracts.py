@@ -4,6 +4,7 @@ import collections
 
 import brute
 import pytest
+from pyspark.sql import functions as F
 from odd_rows import SF001, SF01
 from oracle import compare, duck
 
@@ -58,6 +59,24 @@ def test_op4_base_and_counts(spark, texts):
         assert r["base_score"] == pytest.approx(base, rel=1e-9) and r["score"] < 0
 
 
+def test_op4_scores_equal_sums_over_segmentations(spark, texts):
+    from strata.llm import lattice_lm
+
+    own = {i: " ".join((t or "").split()[:60]) for i, t in texts.items()}
+    assert all(len(w) < 60 for t in own.values() for w in t.split())
+    docs = spark.createDataFrame(list(own.items()), "doc_id long, text string").repartition(3)
+    prior = lattice_lm.prior_weights(lattice_lm.vocabulary_path())
+    for rounds in (0, 3):
+        expected = brute.lattice_scores(own, prior, rounds, lattice_lm.PRIOR_TOKENS)
+        got = {r["doc"]: r["score"] for r in lattice_lm.score(docs, rounds=rounds).collect()}
+        assert got == pytest.approx(expected, rel=1e-9)
+    counts = lattice_lm.count_words(docs.select(lattice_lm.held_out(F.col("doc_id")).alias("held"), "text")).cache()
+    gains = [sum(brute.lattice_scores(own, prior, r, lattice_lm.PRIOR_TOKENS).values()) for r in (3, 8)]
+    # The rounds end by themselves, when little is left to gain.
+    few, many = (lattice_lm.fit(counts, 100, rounds=r)[0] for r in (12, 50))
+    assert few == pytest.approx(many, rel=1e-9) and 0 <= gains[1] - gains[0] < 0.02 * -gains[0]
+
+
 def test_op5_components(spark, texts):
     expected = brute.components(texts, 3, 85, 100)
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in run(spark, "op5_superminhash")}
@@ -76,7 +95,6 @@ def test_op6_leaves_labelled_good_documents_alone(spark):
 
 def test_op6_on_a_third_of_the_labels_that_it_never_saw(spark):
     """At the query's thresholds, on sf0.1: neither weights, calibration nor site sums hold these labels."""
-    from pyspark.sql import functions as F
 
     from strata.llm import site_bayes
 

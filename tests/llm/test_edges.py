@@ -125,7 +125,7 @@ def test_chat(spark):
         (None, None, "user", "x"), (None, 5, "assistant", ""), (2, 7, "a\nb<|turn|>", "<<SYS>> é\U0001f600"),
     ]
     table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumns({"tree": F.lit("t"), "n_turns": F.lit(9)})
-    done = chat.format_paths(chat.conversation_trees(table))
+    done = chat.format_paths(chat.conversation_paths(table))
     got = sorted((tuple(r) for r in done.select(chat.conv_id(F.col("tree")), "n_turns", chat.read_turns(F.col("formatted")), "formatted", "loss_spans").collect()), key=repr)
     turns = {r[0]: [] for r in got}
     for conv, n, read, text, spans in got:
@@ -134,9 +134,9 @@ def test_chat(spark):
         masked = [text[s["start"] : s["end"]] for s in spans]
         assert [spark.range(1).select(chat.unescape(F.lit(m))).first()[0] for m in masked] == [t for r, t in read if r == "assistant"]
     assert turns[2] == [[("a\nb<|turn|>", "<<SYS>> é\U0001f600")]] and turns[None] == [[("user", "x"), ("assistant", "")]]
-    # Replies go to the first of the rows that share a turn; the other one is a branch of its own.
-    assert sorted(turns[1], key=len) == [[("user", ""), ("assistant", "other branch")], [("user", ""), ("assistant", rows[1][3]), ("", "reply")]]
-    assert chat.format_paths(chat.conversation_trees(table.limit(0))).count() == 0
+    # Equal turns go by role and text; repeated rows stay.
+    assert turns[1] == [[("user", ""), ("assistant", rows[1][3]), ("assistant", "other branch"), ("", "reply"), ("", "reply")]]
+    assert chat.format_paths(chat.conversation_paths(table.limit(0))).count() == 0
 
 
 def test_url_filter(spark):
