@@ -3,9 +3,10 @@
 * Bronze: a file stream per landing directory that exists (declared schema, ``availableNow``) appends the files that
   came since the last run, tagged with ``_ingested_at`` / ``_source``. A missing source is skipped, not fatal.
 * Silver: a stream over each Bronze table cleans the new rows and appends those that the history does not hold yet to
-  ``observations``, partitioned by date: a batch is compared with its own dates only. ``current`` (latest per entity)
-  is then brought up by the observations of batches that it does not hold yet; which it holds is written after it,
-  so a crash between the two leaves nothing out. ``rebuild`` starts a new generation from all of Bronze.
+  ``observations``, partitioned by date: a batch is compared with its own dates only. ``current`` (latest per entity, in
+  buckets by entity) is then brought up by the observations of batches that it does not hold yet, in the buckets of their
+  entities only; which it holds is written after it, so a crash between the two leaves nothing out and readers see the
+  state before. ``rebuild`` starts a new generation from all of Bronze, with its own number of buckets.
 * Gold: category stats and top-10 on ``current``; velocity on the
   *observations* (it needs several observations per entity); topic frequency
   on ``current`` descriptions per source; recently emerged topics.
@@ -112,44 +113,53 @@ def _observe(spark: SparkSession, root: str, home: str, source: str, schema: T.S
     return sum(r for r, _ in counts), sum(w for _, w in counts)
 
 
-def refresh_current(spark: SparkSession, root: str, home: str) -> None:
+def _current(spark: SparkSession, home: str, buckets: int = 1) -> batches.Buckets:
+    return batches.Buckets(spark, _p(home, "current"), _observation_schema(spark), ["full_name"], buckets)
+
+
+def refresh_current(spark: SparkSession, root: str, home: str, buckets: int) -> None:
     """Bring ``current`` up to the observations: from the batches that it holds (``held``, written after it) by those after that.
 
-    After a crash between the two writes some batches are merged again, which changes nothing: the latest row per entity is the same.
+    Only the buckets of the new observations' entities are rewritten. After a crash between the two writes the same batches, and any
+    since, are merged into the same state as before under the same number, so every bucket that the broken attempt wrote is written again.
     """
-    path, marks = _p(home, "current"), _p(home, "held")
+    marks = _p(home, "held")
     obs = read_observations(spark, root, home)
     newest = obs.groupBy("_source").agg(F.max(batches.BATCH).alias("epoch"))
     epochs = {r["_source"]: r["epoch"] for r in newest.collect()}  # one row per source
-    done = snapshots.latest_version(spark, path) is not None
-    held = {r["_source"]: r["epoch"] for r in snapshots.read_latest(spark, marks).collect()} if snapshots.commits(spark, marks) else {}
-    if done and epochs == held:
+    last = snapshots.latest_version(spark, marks)
+    held = {} if last is None else {r["_source"]: r["epoch"] for r in snapshots.read_as_of(spark, marks, last).collect()}
+    if epochs == held:
         return
     later = F.lit(False)
     for source, epoch in epochs.items():
         later = later | ((F.col("_source") == source) & (F.col(batches.BATCH) > held.get(source, -1)))
-    rows = obs.filter(later).drop(batches.BATCH)
-    rows = snapshots.read_latest(spark, path).unionByName(rows) if done else rows
-    snapshots.commit(clean.current_state(rows), path)
+    _current(spark, home, buckets).merge(obs.filter(later).drop(batches.BATCH), 0 if last is None else last + 1, clean.current_state)
     snapshots.commit(spark.createDataFrame(list(epochs.items()), "_source string, epoch long"), marks)
 
 
-def silver(spark: SparkSession, root: str, sources=("api", "rss"), rebuild: bool = False) -> tuple[int, int]:
-    """Clean new Bronze rows into Silver; with ``rebuild`` all of them, into a new generation. Returns the rows read and appended."""
+def silver(spark: SparkSession, root: str, sources=("api", "rss"), rebuild: bool = False, buckets: int = 8) -> tuple[int, int]:
+    """Clean new Bronze rows into Silver; with ``rebuild`` all of them, into a new generation. Returns the rows read and appended.
+
+    A generation keeps the number of ``buckets`` of ``current`` that it started with; choose it so that one is a few files.
+    """
     sources = [s for s in sources if batches.exists(spark, _p(root, f"bronze_{s}"))]
     if not sources:
         raise RuntimeError("no Bronze source available")
     generations = _p(root, "silver_generations")
     if rebuild or not snapshots.commits(spark, generations):
-        snapshots.commit(spark.range(1), generations, operation="REBUILD")
+        snapshots.commit(spark.createDataFrame([(buckets,)], "buckets int"), generations, operation="REBUILD")
     home, schema = _generation(spark, root), _observation_schema(spark)
     counts = [_observe(spark, root, home, source, schema) for source in sources]
-    refresh_current(spark, root, home)
+    refresh_current(spark, root, home, snapshots.read_latest(spark, generations).first()["buckets"])
     return sum(r for r, _ in counts), sum(w for _, w in counts)
 
 
 def read_current(spark: SparkSession, root: str, home: str | None = None) -> DataFrame:
-    return snapshots.read_latest(spark, _p(home or _generation(spark, root), "current"))
+    """The latest row per entity after the last whole refresh; valid until the second refresh after that."""
+    home = home or _generation(spark, root)
+    last = snapshots.latest_version(spark, _p(home, "held"))
+    return _current(spark, home).latest(-1 if last is None else last)
 
 
 def gold_tables(obs: DataFrame, cur: DataFrame) -> dict[str, DataFrame]:
@@ -180,12 +190,12 @@ def gold(spark: SparkSession, root: str) -> tuple[int, int]:
 
 
 def run(spark: SparkSession, landing: dict[str, str], root: str, multiline: bool = True,
-        continue_on_failure: bool = False, rebuild: bool = False) -> DataFrame:
+        continue_on_failure: bool = False, rebuild: bool = False, buckets: int = 8) -> DataFrame:
     """PL1 + PL2: run the three layers; returns (stage, status, error, rows_in, rows_out, seconds, finished_at) rows,
     also appended to ``<root>/run_log``. Rows are counted by the jobs that move them (``DataFrame.observe``), not by second scans."""
     steps = [
         ("bronze", lambda: (sum(take_landing(spark, landing, root, multiline).values()),) * 2),
-        ("silver", lambda: silver(spark, root, tuple(landing), rebuild)),
+        ("silver", lambda: silver(spark, root, tuple(landing), rebuild, buckets)),
         ("gold", lambda: gold(spark, root)),
     ]
     log, failed = [], False

@@ -148,8 +148,9 @@ class Buckets:
             tagged.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET, SLOT).parquet(self.path)
         return touched
 
-    def latest(self) -> DataFrame:
-        return self._read(self._newest())
+    def latest(self, upto: int | None = None) -> DataFrame:
+        """The newest state, or that after epoch ``upto``, which stays readable while the epoch after it is written."""
+        return self._read(self._newest(None if upto is None else upto + 1))
 
 
 def merged(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

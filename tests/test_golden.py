@@ -1,5 +1,6 @@
 """Golden micro-fixtures: hand-written records for each edge case (FIXTURES.md section 4)."""
 
+import glob
 import json
 import os
 
@@ -247,9 +248,9 @@ def test_layer_run_takes_new_files_survives_a_crash_and_rebuilds(spark, tmp_path
     obs, cur = [("o/a", 5), ("o/a", 9), ("o/b", 2), ("o/c", 1)], [("o/a", 9), ("o/b", 2), ("o/c", 1)]
     assert _values(t["silver_observations"]) == obs and _values(t["silver_current"]) == cur
     assert {r["full_name"]: r["total_gain"] for r in t["gold_star_velocity"].collect()} == {"o/a": 4}
-    before = len(snapshots.commits(spark, f"{medallion._generation(spark, root)}/current"))
-    medallion.silver(spark, root, ("api",))  # nothing new: no new version
-    assert len(snapshots.commits(spark, f"{medallion._generation(spark, root)}/current")) == before
+    before = _files(f"{medallion._generation(spark, root)}/current")
+    medallion.silver(spark, root, ("api",))  # nothing new: nothing written
+    assert before and _files(f"{medallion._generation(spark, root)}/current") == before
     # A rebuild reads Bronze, not the old Silver: a wrong observation there does not survive.
     wrong = medallion.read_observations(spark, root).limit(1).withColumn("full_name", F.lit("o/wrong")).drop("_batch")
     batches.put(wrong, f"{medallion._generation(spark, root)}/observations", 99, medallion.PARTITIONS)
@@ -258,6 +259,34 @@ def test_layer_run_takes_new_files_survives_a_crash_and_rebuilds(spark, tmp_path
     assert _values(medallion.read_observations(spark, root)) == obs and _values(medallion.read_current(spark, root)) == cur
 
 
+def _files(path):
+    return set(glob.glob(f"{path}/**/*.parquet", recursive=True))
+
+
+def test_current_rewrites_the_buckets_of_new_observations_only(spark, tmp_path, monkeypatch):
+    d, root = str(tmp_path / "landing" / "api"), str(tmp_path / "lake")
+    _write(d, "p1.json", [_api(f"o/{k}", str(k), "2024-01-01T10:00:00") for k in range(40)])
+    medallion.run(spark, {"api": d}, root, buckets=16)
+    home = medallion._generation(spark, root)
+    files, was = _files(f"{home}/current"), _values(medallion.read_current(spark, root))
+    assert len(was) == 40 and len({f.split("_bucket=")[1].split("/")[0] for f in files}) > 8
+    # The refresh breaks off after its buckets are written: readers see the state before.
+    _write(d, "p2.json", [_api("o/7", "70", "2024-01-02T10:00:00")])
+    with monkeypatch.context() as m:
+        commit = snapshots.commit
+        m.setattr(snapshots, "commit", lambda df, path, *a, **kw: 1 / 0 if path.endswith("/held") else commit(df, path, *a, **kw))
+        assert {r["stage"]: r["status"] for r in medallion.run(spark, {"api": d}, root).collect()}["silver"] == "FAILED"
+    assert len(_files(f"{home}/current") - files) == 1 and _values(medallion.read_current(spark, root)) == was
+    # The next run merges the lost batch and its own; buckets without new rows keep their files, an older row changes nothing.
+    _write(d, "p3.json", [_api("o/7", "5", "2023-01-01T10:00:00"), _api("o/new", "1", "2024-01-03T10:00:00")])
+    medallion.run(spark, {"api": d}, root, buckets=2)  # a generation keeps its number of buckets
+    assert files < _files(f"{home}/current") and len(_files(f"{home}/current") - files) <= 2
+    expected = sorted([(n, 70 if n == "o/7" else s) for n, s in was] + [("o/new", 1)])
+    assert _values(medallion.read_current(spark, root)) == expected
+    medallion.silver(spark, root, ("api",), rebuild=True, buckets=1)
+    assert _values(medallion.read_current(spark, root)) == expected
+
+
 def test_versions_are_partitions_and_a_broken_write_is_not_read(spark, tmp_path):
     path = str(tmp_path / "t")
     for k in range(3):
