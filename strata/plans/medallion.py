@@ -33,6 +33,13 @@ SCHEMAS = {"api": API_SCHEMA, "rss": RSS_SCHEMA}
 GOLD = ("language_dist", "top_repos", "star_velocity", "emerging_topics")
 KEYS = ["full_name", "event_time", "_source"]
 PARTITIONS = ["_source", "event_date"]
+_S, _T = T.StringType(), T.TimestampType()
+#: What ``clean.silver_observations`` makes of the union of all sources, also where one of them has no data.
+OBSERVATION_SCHEMA = T.StructType([T.StructField(name, kind) for name, kind in (
+    ("full_name", _S), ("description", _S), ("html_url", _S), ("topics", T.ArrayType(_S)), ("_source", _S), ("timestamp", _S), ("source", _S),
+    ("stargazers_count", T.LongType()), ("language", _S), ("language_lower", _S), ("event_time", T.TimestampNTZType()), ("event_hour", T.IntegerType()),
+    ("event_date", _S), ("_time_source", _S), ("_quality_flag", _S), ("_ingested_at", _T), ("_processed_at", _T),
+)])
 
 
 def _p(root: str, *names: str) -> str:
@@ -80,18 +87,12 @@ def _generation(spark: SparkSession, root: str) -> str:
     return _p(root, f"silver_{done[-1]['version'] if done else 0}")
 
 
-def _observation_schema(spark: SparkSession) -> T.StructType:
-    """Of the union of all sources, also where one of them has no data."""
-    none = [spark.createDataFrame([], _bronze_schema(s)) for s in SCHEMAS]
-    return clean.silver_observations(clean.union_sources(none)).schema
-
-
 def read_observations(spark: SparkSession, root: str, home: str | None = None) -> DataFrame:
     """The history of the newest generation, or of the one at ``home``."""
-    return batches.get(spark, _p(home or _generation(spark, root), "observations"), _observation_schema(spark), PARTITIONS)
+    return batches.get(spark, _p(home or _generation(spark, root), "observations"), OBSERVATION_SCHEMA, PARTITIONS)
 
 
-def _observe(spark: SparkSession, root: str, home: str, source: str, schema: T.StructType) -> tuple[int, int]:
+def _observe(spark: SparkSession, root: str, home: str, source: str) -> tuple[int, int]:
     """Clean the Bronze rows that came since the last run and append the new observations; returns the rows read and appended."""
     path, counts = _p(home, "observations"), []
 
@@ -100,9 +101,9 @@ def _observe(spark: SparkSession, root: str, home: str, source: str, schema: T.S
         rows = _count(rows, read)
         other = [rows.sparkSession.createDataFrame([], _bronze_schema(s)) for s in SCHEMAS if s != source]
         cleaned = clean.silver_observations(clean.union_sources([rows, *other]).drop(CORRUPT))
-        fresh = clean.dedup_observations(cleaned.select(*schema.fieldNames()))
+        fresh = clean.dedup_observations(cleaned.select(*OBSERVATION_SCHEMA.fieldNames()))
         dates = [r[0] or "" for r in fresh.select("event_date").distinct().collect()]
-        known = batches.get(rows.sparkSession, path, schema, PARTITIONS).filter(
+        known = batches.get(rows.sparkSession, path, OBSERVATION_SCHEMA, PARTITIONS).filter(
             (F.col("_source") == source) & F.coalesce("event_date", F.lit("")).isin(dates) & (F.col(batches.BATCH) < epoch)
         )
         batches.put(_count(fresh.join(known.select(*KEYS), KEYS, "left_anti"), written), path, epoch, PARTITIONS)
@@ -114,7 +115,7 @@ def _observe(spark: SparkSession, root: str, home: str, source: str, schema: T.S
 
 
 def _current(spark: SparkSession, home: str, buckets: int = 1) -> batches.Buckets:
-    return batches.Buckets(spark, _p(home, "current"), _observation_schema(spark), ["full_name"], buckets)
+    return batches.Buckets(spark, _p(home, "current"), OBSERVATION_SCHEMA, ["full_name"], buckets)
 
 
 def refresh_current(spark: SparkSession, root: str, home: str, buckets: int) -> None:
@@ -149,8 +150,8 @@ def silver(spark: SparkSession, root: str, sources=("api", "rss"), rebuild: bool
     generations = _p(root, "silver_generations")
     if rebuild or not snapshots.commits(spark, generations):
         snapshots.commit(spark.createDataFrame([(buckets,)], "buckets int"), generations, operation="REBUILD")
-    home, schema = _generation(spark, root), _observation_schema(spark)
-    counts = [_observe(spark, root, home, source, schema) for source in sources]
+    home = _generation(spark, root)
+    counts = [_observe(spark, root, home, source) for source in sources]
     refresh_current(spark, root, home, snapshots.read_latest(spark, generations).first()["buckets"])
     return sum(r for r, _ in counts), sum(w for _, w in counts)
 

@@ -259,6 +259,12 @@ def test_layer_run_takes_new_files_survives_a_crash_and_rebuilds(spark, tmp_path
     assert _values(medallion.read_observations(spark, root)) == obs and _values(medallion.read_current(spark, root)) == cur
 
 
+def test_declared_schema_of_observations(spark):
+    none = [spark.createDataFrame([], medallion._bronze_schema(source)) for source in medallion.SCHEMAS]
+    made = clean.silver_observations(clean.union_sources(none)).schema
+    assert [(f.name, f.dataType) for f in made] == [(f.name, f.dataType) for f in medallion.OBSERVATION_SCHEMA]
+
+
 def _files(path):
     return set(glob.glob(f"{path}/**/*.parquet", recursive=True))
 
