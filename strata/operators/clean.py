@@ -20,6 +20,7 @@ results:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,6 +61,20 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return df.groupBy(*keys).agg(best.alias("_row")).select(*keys, "_row.*").select(*df.columns)
 
 
+def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """As ``latest_per_key`` for wide rows that are read from storage: (the rows, a small table kept for them; unpersist it after use).
+
+    The greatest ``order`` of each key is found from these columns alone, and only the rows that have it are compared as a whole. The
+    table of greatest orders is kept and counted first, so that the planner knows whether it can be broadcast; then no other wide row moves.
+    """
+    cols = [*keys, *[c for c in order if c not in keys]]
+    best = df.groupBy(*keys).agg(F.max(F.struct(*cols[len(keys) :])).alias("_best"))
+    best = best.select(*[F.col(c).alias(f"_n_{c}") for c in keys], *[F.col(f"_best.{c}").alias(f"_n_{c}") for c in cols[len(keys) :]]).persist()
+    best.count()
+    same = reduce(lambda a, b: a & b, [df[c].eqNullSafe(best[f"_n_{c}"]) for c in cols])
+    return latest_per_key(df.join(best, same, "left_semi"), keys, order), best
+
+
 def silver_observations(
     bronze: DataFrame,
     key: str = "full_name",
@@ -117,7 +132,15 @@ def dedup_observations(obs: DataFrame, key: str = "full_name", source: str = "_s
     return latest_per_key(obs, keys, ["_ingested_at"])
 
 
+def _state_order(obs: DataFrame, source: str) -> list[str]:
+    return ["event_time"] + ([source] if source in obs.columns else []) + ["_ingested_at"]
+
+
 def current_state(obs: DataFrame, key: str = "full_name", source: str = "_source") -> DataFrame:
     """Latest observation per entity; ties on time go to the greatest source name."""
-    order = ["event_time"] + ([source] if source in obs.columns else []) + ["_ingested_at"]
-    return latest_per_key(obs, [key], order)
+    return latest_per_key(obs, [key], _state_order(obs, source))
+
+
+def current_of_stored(obs: DataFrame, key: str = "full_name", source: str = "_source") -> tuple[DataFrame, DataFrame]:
+    """As ``current_state`` of a stored history, by ``newest_per_key``."""
+    return newest_per_key(obs, [key], _state_order(obs, source))

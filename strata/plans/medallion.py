@@ -69,9 +69,9 @@ def take_landing(spark: SparkSession, landing: dict[str, str], root: str, multil
         raw = (
             spark.readStream.schema(landing_schema(SCHEMAS.get(source, API_SCHEMA)))
             .option("multiLine", multiline).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-            .option("pathGlobFilter", "*.json").option("recursiveFileLookup", True).json(landing[source])
+            .option("pathGlobFilter", "*.{json,json.gz}").option("recursiveFileLookup", True).json(landing[source])
         )
-        q = jobs.ingest(raw, source, _p(root, f"bronze_{source}"), _p(root, "_checkpoints", f"bronze_{source}"))
+        q = jobs.ingest(raw, source, _p(root, f"bronze_{source}"), _p(root, "_checkpoints", f"bronze_{source}"), compression=batches.CODEC)
         taken[source] = sum(p["numInputRows"] for p in q.recentProgress)  # one batch per run
     return taken
 
@@ -93,24 +93,39 @@ def read_observations(spark: SparkSession, root: str, home: str | None = None) -
 
 
 def _observe(spark: SparkSession, root: str, home: str, source: str) -> tuple[int, int]:
-    """Clean the Bronze rows that came since the last run and append the new observations; returns the rows read and appended."""
+    """Clean the Bronze rows that came since the last run and append the new observations; returns the rows read and appended.
+
+    Keys alone decide what is new: those of the batch are counted and compared with the history. The whole rows then move once, to
+    their date; only those whose key comes more than once in the batch are compared with each other before.
+    """
     path, counts = _p(home, "observations"), []
 
     def step(rows: DataFrame, epoch: int) -> None:
         read, written = Observation(), Observation()
-        rows = _count(rows, read)
         other = [rows.sparkSession.createDataFrame([], _bronze_schema(s)) for s in SCHEMAS if s != source]
-        cleaned = clean.silver_observations(clean.union_sources([rows, *other]).drop(CORRUPT))
-        fresh = clean.dedup_observations(cleaned.select(*OBSERVATION_SCHEMA.fieldNames()))
-        dates = [r[0] or "" for r in fresh.select("event_date").distinct().collect()]
+        observations = lambda rows: clean.silver_observations(clean.union_sources([rows, *other]).drop(CORRUPT))
+        cleaned = observations(rows).select(*OBSERVATION_SCHEMA.fieldNames())
+        # Counted rows keep all their columns, so this scan goes without the long ones.
+        counted = observations(_count(rows.drop("description", "html_url", "topics"), read))
+        dates = [r[0] or "" for r in counted.select("event_date").distinct().collect()]
         known = batches.get(rows.sparkSession, path, OBSERVATION_SCHEMA, PARTITIONS).filter(
             (F.col("_source") == source) & F.coalesce("event_date", F.lit("")).isin(dates) & (F.col(batches.BATCH) < epoch)
         )
-        batches.put(_count(fresh.join(known.select(*KEYS), KEYS, "left_anti"), written), path, epoch, PARTITIONS)
-        counts.append((read.get["n"], written.get["n"]))
+        found = cleaned.groupBy(*KEYS).agg((F.count(F.lit(1)) > 1).alias("repeated"))
+        found = found.join(known.select(*KEYS).distinct().withColumn("known", F.lit(True)), KEYS, "left").filter("repeated OR known")
+        found = found.persist()  # keys only; counted first, so the planner knows whether they can be broadcast
+        try:
+            fresh = cleaned
+            if found.count():
+                repeated = cleaned.join(found.filter("known IS NULL").select(*KEYS), KEYS, "left_semi")
+                fresh = cleaned.join(found.select(*KEYS), KEYS, "left_anti").unionByName(clean.dedup_observations(repeated).select(*cleaned.columns))
+            batches.put(_count(fresh, written), path, epoch, PARTITIONS)
+            counts.append((read.get["n"], written.get["n"]))
+        finally:
+            found.unpersist()
 
     stream = spark.readStream.schema(_bronze_schema(source)).parquet(_p(root, f"bronze_{source}"))
-    jobs.each_batch(stream, step, _p(home, "_checkpoints", source), True)
+    jobs.each_batch(stream, step, _p(home, "_checkpoints", source), True, keep=False)
     return sum(r for r, _ in counts), sum(w for _, w in counts)
 
 
@@ -135,7 +150,19 @@ def refresh_current(spark: SparkSession, root: str, home: str, buckets: int) ->
     later = F.lit(False)
     for source, epoch in epochs.items():
         later = later | ((F.col("_source") == source) & (F.col(batches.BATCH) > held.get(source, -1)))
-    _current(spark, home, buckets).merge(obs.filter(later).drop(batches.BATCH), 0 if last is None else last + 1, clean.current_state)
+    kept = []
+
+    def newest_rows(rows: DataFrame) -> DataFrame:
+        state, best = clean.current_of_stored(rows)
+        kept.append(best)
+        return state
+
+    with batches.adaptive(spark):
+        try:
+            _current(spark, home, buckets).merge(obs.filter(later).drop(batches.BATCH), 0 if last is None else last + 1, newest_rows)
+        finally:
+            for best in kept:
+                best.unpersist()
     snapshots.commit(spark.createDataFrame(list(epochs.items()), "_source string, epoch long"), marks)
 
 
@@ -182,11 +209,13 @@ def gold(spark: SparkSession, root: str) -> tuple[int, int]:
     """Write the Gold tables; returns the observations read and the rows written, as the writes count them."""
     home = _generation(spark, root)
     read = Observation()
-    obs = _count(read_observations(spark, root, home).drop(batches.BATCH), read)
+    # Without the texts: counted rows keep all their columns, also those that no one reads later.
+    obs = _count(read_observations(spark, root, home).select("full_name", "event_time", "_source", "stargazers_count"), read)
     written = []
-    for name, df in gold_tables(obs, read_current(spark, root, home)).items():
-        written.append(Observation())
-        snapshots.commit(df, _p(root, f"gold_{name}"), rows=written[-1])
+    with batches.adaptive(spark):
+        for name, df in gold_tables(obs, read_current(spark, root, home)).items():
+            written.append(Observation())
+            snapshots.commit(df, _p(root, f"gold_{name}"), rows=written[-1])
     return read.get["n"], sum(w.get["n"] for w in written)
 
 

@@ -15,6 +15,7 @@ from strata.session import scratch_path
 from strata.sinks import writers
 from strata.sources import html, landing
 from strata.sources.tables import table
+from strata.streaming import batches
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 ISO_SQL = "%Y-%m-%dT%H:%M:%S.%f"
@@ -300,24 +301,27 @@ _TOPICS_SQL = f"""
     top AS (SELECT * FROM cur ORDER BY n_chars DESC, 'user/' || user_id LIMIT 10)"""
 
 
+#: Records of a landed file.
+LANDED_ROWS = 50_000
+
+
 def _layer_run(spark, sf_dir):
     """Two landing rounds, the older half of the events last, each followed by a run; then the layers' tables."""
-    rec = _observation_records(spark, sf_dir).withColumn("_late", F.col("timestamp") < F.lit("2024-01-16")).persist()
+    # Not kept: the records with their texts are many times the tables, and each part joins its own events only.
+    rec = _observation_records(spark, sf_dir).withColumn("_late", F.col("timestamp") < F.lit("2024-01-16"))
     root = scratch_path(spark, "medallion")
     places = {s: f"{root}/landing/{s}" for s in ("api", "rss")}
-    try:
-        for late in (False, True):
-            part = rec.filter(F.col("_late") == late).drop("_late")
-            api = part.filter(F.col("_src") == "api").drop("_src", "updated_at")
-            rss = part.filter(F.col("_src") == "rss").drop("_src", "topics").withColumn("source", F.lit("trending"))
-            writers.overwrite_json(api, f"{places['api']}/round-{late}")
-            writers.overwrite_json(rss, f"{places['rss']}/round-{late}")
-            status = medallion.run(spark, places, root, multiline=False)
-            failed = status.filter(F.col("status") != "OK").collect()
-            if failed:
-                raise RuntimeError(f"medallion run failed: {failed}")
-    finally:
-        rec.unpersist()
+    for late in (False, True):
+        part = rec.filter(F.col("_late") == late).drop("_late")
+        api = part.filter(F.col("_src") == "api").drop("_src", "updated_at")
+        rss = part.filter(F.col("_src") == "rss").drop("_src", "topics").withColumn("source", F.lit("trending"))
+        with batches.adaptive(spark):
+            writers.overwrite_json(api, f"{places['api']}/round-{late}", "gzip", LANDED_ROWS)
+            writers.overwrite_json(rss, f"{places['rss']}/round-{late}", "gzip", LANDED_ROWS)
+        status = medallion.run(spark, places, root, multiline=False)
+        failed = status.filter(F.col("status") != "OK").collect()
+        if failed:
+            raise RuntimeError(f"medallion run failed: {failed}")
     return medallion.tables(spark, root), root
 
 

@@ -28,9 +28,13 @@ def write_kafka(messages: DataFrame, servers: str, topic: str) -> None:
     messages.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
 
 
-def overwrite_json(df: DataFrame, path: str) -> None:
-    """SNK4/SNK7: overwrite a result as JSON (times as ISO strings, no driver collect)."""
-    df.write.mode("overwrite").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(path)
+def overwrite_json(df: DataFrame, path: str, compression: str = "none", rows_per_file: int = 0) -> None:
+    """SNK4/SNK7: overwrite a result as JSON (times as ISO strings, no driver collect).
+
+    A compressed file is read by one task, so bound its rows (``rows_per_file``, 0: no bound) where there may be many.
+    """
+    w = df.write.mode("overwrite").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    w.option("maxRecordsPerFile", rows_per_file).json(path, compression=compression)
 
 
 def layer_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

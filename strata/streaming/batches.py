@@ -19,6 +19,8 @@ from pyspark.sql import types as T
 
 BATCH = "_batch"
 BUCKET, SLOT, MARK = "_bucket", "_slot", "_mark"
+#: Histories of long texts take about half the space that they take by the default codec.
+CODEC = "zstd"
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -28,16 +30,21 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+#: Adaptive execution, also in the session of a stream, which has it off; shuffle files go when the query that made them ends.
+_CONF = {"spark.sql.adaptive.enabled": "true", "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
 @contextmanager
 def adaptive(spark: SparkSession):
-    """Adaptive execution on, also for the session of a stream, which has it off."""
-    key = "spark.sql.adaptive.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "true")
+    """Adaptive execution on, and the shuffle files of each query inside removed at its end, not when the driver next collects garbage."""
+    before = {k: spark.conf.get(k, None) for k in _CONF}
+    for k, v in _CONF.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def put(rows: DataFrame, path: str, epoch: int, by: Sequence[str] = ()) -> None:
@@ -48,7 +55,7 @@ def put(rows: DataFrame, path: str, epoch: int, by: Sequence[str] = ()) -> None:
     tagged = rows.withColumn(BATCH, F.lit(epoch).cast("long"))
     tagged = tagged.hint("rebalance", *by) if by else tagged
     with adaptive(rows.sparkSession):
-        tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by, BATCH).parquet(path)
+        tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by, BATCH).parquet(path, compression=CODEC)
 
 
 def get(spark: SparkSession, path: str, schema: T.StructType, by: Sequence[str] = ()) -> DataFrame:
@@ -145,7 +152,7 @@ class Buckets:
         slot = F.when(F.col(BUCKET).isin([b for b, s in was.items() if s == 0]), 1).otherwise(0)
         tagged = out.withColumn(BUCKET, self.bucket).withColumns({SLOT: slot, BATCH: F.lit(epoch).cast("long")})
         with adaptive(rows.sparkSession):
-            tagged.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET, SLOT).parquet(self.path)
+            tagged.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET, SLOT).parquet(self.path, compression=CODEC)
         return touched
 
     def latest(self, upto: int | None = None) -> DataFrame:

@@ -63,23 +63,29 @@ def _run(writer, available_now: bool = True, processing_time: str | None = None)
 
 
 def ingest(stream: DataFrame, source: str, sink: str, checkpoint: str, fmt: str = "parquet",
-           available_now: bool = True, processing_time: str = "60 seconds"):
+           available_now: bool = True, processing_time: str = "60 seconds", compression: str | None = None):
     """SM1 / SNK2: append every record with ingest metadata to a file sink."""
     tagged = clean.add_ingest_metadata(stream, source)
     w = tagged.writeStream.format(fmt).option("path", sink).option("checkpointLocation", checkpoint).outputMode("append")
+    if compression:
+        w = w.option("compression", compression)
     return _run(w, available_now, processing_time)
 
 
-def each_batch(stream: DataFrame, step, checkpoint: str, available_now: bool):
-    """Run ``step(rows, epoch)`` for each micro-batch; its rows are kept while several actions use them."""
+def each_batch(stream: DataFrame, step, checkpoint: str, available_now: bool, keep: bool = True):
+    """Run ``step(rows, epoch)`` for each micro-batch; its rows are kept while several actions use them.
+
+    Without ``keep`` each action reads from the source the columns that it needs: for batches of any size, and wide rows.
+    """
 
     def run(batch: DataFrame, epoch: int) -> None:
-        rows = batch.persist()  # bounded by maxFilesPerTrigger / maxOffsetsPerTrigger
+        rows = batch.persist() if keep else batch  # bounded by maxFilesPerTrigger / maxOffsetsPerTrigger
         try:
             with batches.adaptive(batch.sparkSession):
                 step(rows, epoch)
         finally:
-            rows.unpersist()
+            if keep:
+                rows.unpersist()
 
     return _run(stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint), available_now)
 
