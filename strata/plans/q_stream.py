@@ -273,13 +273,13 @@ FLUSH_RECORDS = 4000
 
 @register("stream_flush", sql="SELECT event_id, ts, user_id, event_type, value, true AS within_limit FROM events")
 def stream_flush(spark, sf_dir):
-    """SNK2 / SRC3: landed polls taken up ``FLUSH_RECORDS`` records at a time, each flush one file; the rest by time."""
+    """SNK2 / SRC3: landed polls in flushes of ``FLUSH_RECORDS`` records, each flush one file, many in a micro-batch; the rest by time."""
     root = scratch_path(spark, "stream-flush")
     ev = table(spark, sf_dir, "events").select(*COLUMNS)
     for k in range(2):
         ev.filter(F.pmod(F.xxhash64("event_id"), F.lit(2)) == k).write.parquet(f"{root}/landing/poll{k}")
-    st = polls.poll_stream(spark, f"{root}/landing", ev.schema, f"{root}/offsets", FLUSH_RECORDS, max_seconds=0)
-    polls.flush_to(st, f"{root}/sink", f"{root}/_checkpoint")
+    st = polls.poll_stream(spark, f"{root}/landing", ev.schema, f"{root}/offsets", FLUSH_RECORDS, max_seconds=0, flushes=512)
+    polls.flush_to(st, f"{root}/sink", f"{root}/_checkpoint", max_records=FLUSH_RECORDS)
     landed = spark.read.schema(ev.schema).parquet(f"{root}/sink").withColumn("file", F.input_file_name())
     sizes = landed.groupBy("file").agg((F.count(F.lit(1)) <= FLUSH_RECORDS).alias("within_limit"))
     return landed.join(sizes, "file").drop("file")

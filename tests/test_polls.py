@@ -61,3 +61,28 @@ def test_a_killed_flush_goes_on(spark):
         assert "killed" in str(e) and "not killed" not in str(e)
     ids, sizes = drain(spark, root)
     assert ids == list(range(25)) and sizes == [5, 10, 10]
+
+
+def test_a_backlog_is_many_flushes_of_one_micro_batch(spark):
+    """Whole flushes first, across files; what remains is a flush by time. One file each, each record once, few micro-batches."""
+    root = scratch_path(spark, "t-backlog")
+    schema = spark.range(0).withColumn("text", F.lit("")).schema
+    land(spark, root, 0, 0, 233, files=3)
+    land(spark, root, 1, 233, 0)
+    land(spark, root, 2, 233, 64)
+
+    def drain(seconds):
+        st = polls.poll_stream(spark, f"{root}/landing", schema, f"{root}/state", 10, seconds, flushes=20, task_flushes=3)
+        q = polls.flush_to(st, f"{root}/sink", f"{root}/ck", max_records=10)
+        got = spark.read.schema(schema).parquet(f"{root}/sink").withColumn("file", F.input_file_name())
+        return sorted(r["id"] for r in got.collect()), sorted(r["count"] for r in got.groupBy("file").count().collect()), [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]]
+
+    ids, sizes, batches = drain(3600)
+    assert len(ids) == len(set(ids)) == 290 and sizes == [10] * 29 and batches == [200, 90]
+    ids, sizes, batches = drain(0)
+    assert ids == list(range(297)) and sizes == [7] + [10] * 29 and batches == [7]
+
+
+def test_runs_cut_slices_into_whole_flushes():
+    cut = polls.runs([polls.Slice("a", 5, 12), polls.Slice("b", 0, 3), polls.Slice("c", 0, 9)], 4)
+    assert [[(s.path, s.first, s.last) for s in r.slices] for r in cut] == [[("a", 5, 9)], [("a", 9, 12), ("b", 0, 1)], [("b", 1, 3), ("c", 0, 2)], [("c", 2, 6)], [("c", 6, 9)]]
