@@ -191,6 +191,32 @@ def term_mentions(docs: DataFrame, text: str, group: str, vocabulary: DataFrame,
     return hits.groupBy(group).agg(F.sum("n").alias("mentions"), F.count(F.lit(1)).alias("distinct_terms"))
 
 
+#: Bits of the names' filter: 2 ** BITS, 8 MB as a whole, in rows of 2 ** ROW_BITS.
+BITS, ROW_BITS = 26, 12
+
+
+def _bit_row(hashed: Column) -> Column:
+    return F.shiftright(hashed, ROW_BITS).bitwiseAND(F.lit((1 << (BITS - ROW_BITS)) - 1)).cast("int")
+
+
+def _phrase_bits(known: DataFrame) -> DataFrame:
+    """(_pm_row, _pm_longs): one bit per hash of a ``_pm_phrase``, as rows of longs; at most 2 ** (BITS - ROW_BITS) rows, however many names."""
+    hashed = known.select(F.xxhash64("_pm_phrase").alias("h"))
+    at = F.shiftright("h", 6).bitwiseAND(F.lit((1 << (ROW_BITS - 6)) - 1)).cast("int")
+    bit = F.expr("shiftleft(1L, CAST(h & 63 AS INT))")
+    longs = hashed.groupBy(_bit_row(F.col("h")).alias("_pm_row"), at.alias("at")).agg(F.bit_or(bit).alias("bits"))
+    rows = longs.groupBy("_pm_row").agg(F.map_from_entries(F.collect_list(F.struct("at", "bits"))).alias("m"))
+    dense = F.transform(F.sequence(F.lit(0), F.lit((1 << (ROW_BITS - 6)) - 1)), lambda k: F.coalesce(F.col("m")[k], F.lit(0).cast("long")))
+    return rows.select("_pm_row", dense.alias("_pm_longs"))
+
+
+def _has_bit() -> Column:
+    """Whether the bit of ``_pm_hash`` is set: true for every name, by chance for few others."""
+    h = F.col("_pm_hash")
+    at = F.shiftright(h, 6).bitwiseAND(F.lit((1 << (ROW_BITS - 6)) - 1)).cast("int")
+    return (_bit_row(h) == F.col("_pm_row")) & (F.getbit(F.get("_pm_longs", at), h.bitwiseAND(F.lit(63)).cast("int")) == 1)
+
+
 def phrase_mentions(docs: DataFrame, text: str, names: DataFrame, name: str, keep: Sequence[str] = ()) -> DataFrame:
     """JN5: places where names of one or more words stand in the texts, each name as a whole.
 
@@ -198,22 +224,22 @@ def phrase_mentions(docs: DataFrame, text: str, names: DataFrame, name: str, kee
     alike; names that differ in other characters only are one, under the least of them. The number of words of the longest name is read first. Of the names that start at one place the longest counts, and a
     name inside a longer name's place does not.
 
-    A name's first word is its key: a place is looked up only if its word starts a name (one row per first word, with the lengths of its
-    names), then once per such length by the equality of the whole slice of words, one row per name. So no pairs of places
-    and names with a common first word are formed, however many there are. A text carries only its matches to the last step, which is linear in them.
+    A place is looked up once per length that a name has, by the equality of the whole slice of words, one row per name. So no pairs of places
+    and names with a common first word are formed, however many there are. Before that the hash of the slice is looked up in the names'
+    bits (``_phrase_bits``), which have a fixed size and are broadcast: of the places without a name few move. A text carries only its matches to the last step, which is linear in them.
     """
     known = names.select(tokens_words(name).alias("_pm_words"), F.col(name).alias("_pm_name")).filter(F.size("_pm_words") > 0)
     known = known.groupBy("_pm_words").agg(F.min("_pm_name").alias("_pm_name"))
-    known = known.select(F.array_join("_pm_words", " ").alias("_pm_phrase"), F.size("_pm_words").alias("_pm_n"), F.col("_pm_words")[0].alias("_pm_first"), "_pm_name")
-    firsts = known.groupBy("_pm_first").agg(F.collect_set("_pm_n").alias("_pm_lengths"))  # at most as many as the longest name has words
-    longest = known.agg(F.coalesce(F.max("_pm_n"), F.lit(1))).first()[0]
+    known = known.select(F.array_join("_pm_words", " ").alias("_pm_phrase"), F.size("_pm_words").alias("_pm_n"), "_pm_name")
+    lengths = [r[0] for r in known.select("_pm_n").distinct().sort("_pm_n").collect()]  # at most as many as the longest name has words
+    longest = max(lengths, default=1)
     words = docs.select(*keep, F.monotonically_increasing_id().alias("_pm_doc"), tokens_words(text).alias("_pm_words")).filter(F.size("_pm_words") > 0)
-    # Each place with the words that follow, as many as the longest name has.
+    # Each place with the words that follow, as many as the longest name has, and of these as many as each length says.
     ahead = F.transform(F.sequence(F.lit(1), F.size("_pm_words")), lambda k: F.slice("_pm_words", k, longest))
     places = words.select(*keep, "_pm_doc", F.posexplode(ahead).alias("_pm_at", "_pm_next"))
-    places = places.join(firsts, F.col("_pm_next")[0] == F.col("_pm_first")).withColumn("_pm_n", F.explode("_pm_lengths"))
-    places = places.filter(F.size("_pm_next") >= F.col("_pm_n"))
+    places = places.withColumn("_pm_n", F.explode(F.array(*map(F.lit, lengths)).cast("array<int>"))).filter(F.size("_pm_next") >= F.col("_pm_n"))
     places = places.select(*keep, "_pm_doc", "_pm_at", F.array_join(F.slice("_pm_next", 1, F.col("_pm_n")), " ").alias("_pm_phrase"))
+    places = places.withColumn("_pm_hash", F.xxhash64("_pm_phrase")).join(F.broadcast(_phrase_bits(known)), _has_bit(), "left_semi").drop("_pm_hash")
     hits = places.join(known.select("_pm_phrase", "_pm_n", "_pm_name"), "_pm_phrase")
     found = F.array_sort(F.collect_list(F.struct(F.col("_pm_at").alias("at"), (-F.col("_pm_n")).alias("n"), F.col("_pm_name").alias("name"))))
     texts = hits.groupBy("_pm_doc", *keep).agg(found.alias("_pm_found"))  # the matches of one text
