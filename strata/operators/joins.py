@@ -269,9 +269,20 @@ def hourly_mentions_vs_measure(mentions: DataFrame, measures: DataFrame, hour: s
 def words_near_in_time(left: DataFrame, right: DataFrame, text: str, ts: str, seconds: int, name: str = "near_count") -> DataFrame:
     """JN7: per word and time of the left source, occurrences of the same word in the right source within ``seconds``.
 
-    Both sides are reduced to distinct (word, time) with counts before the proximity count.
+    Both sides are reduced to distinct (word, time) with counts first, once (from storage then). As in ``range_sums`` a left row asks
+    before and after its time for the running count of the right side; here it takes its own count along, so that it need not be joined back.
     """
-    words = lambda df: df.select(F.explode(tokens_words(text)).alias("word"), F.col(ts).alias("ts"))
-    anchors = words(left).groupBy("word", "ts").agg(F.count(F.lit(1)).alias("left_count"))
-    out = range_count(anchors, words(right), "ts", "ts", seconds, seconds, keys=["word"], name=name)
-    return out.filter(F.col(name) > 0)
+    words = lambda df, own: df.select(F.explode(tokens_words(text)).alias("word"), F.col(ts).alias("ts"), F.lit(own).alias("own"))
+    every = words(left, True).unionByName(words(right, False)).filter(F.col("ts").isNotNull())
+    counted = pinned(every.groupBy("word", "ts").agg(F.count_if("own").alias("l"), F.count_if(~F.col("own")).alias("r")))
+    # (word, t, kind, n): n is the right count of an event (kind 1), the left count of a question (0 before equal times, 2 after them).
+    kinds = [(0, F.col("ts") - _interval(seconds), "l"), (1, F.col("ts"), "r"), (2, F.col("ts") + _interval(seconds), "l")]
+    rows = F.filter(F.array(*[F.struct(t.alias("t"), F.lit(k).alias("kind"), F.col(n).alias("n")) for k, t, n in kinds]), lambda s: s["n"] > 0)
+    u = counted.select("word", F.explode(rows).alias("s")).select("word", "s.t", "s.kind", "s.n")
+    right_n = F.when(F.col("kind") == 1, F.col("n")).otherwise(F.lit(0).cast("long"))
+    scanned = ordered_scan(u, ["word"], ["t", "kind"], running={"c": right_n}).filter(F.col("kind") != 1)
+    after = F.col("kind") == 2
+    asked = F.when(after, F.col("t") - _interval(seconds)).otherwise(F.col("t") + _interval(seconds))
+    signed = F.when(after, F.col("c")).otherwise(-F.col("c"))
+    found = scanned.groupBy("word", asked.cast(counted.schema["ts"].dataType).alias("ts")).agg(F.max("n").alias("left_count"), F.sum(signed).cast("long").alias(name))
+    return found.filter(F.col(name) > 0)

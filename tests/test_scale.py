@@ -1,5 +1,6 @@
 """Bounds on what jobs keep on disk and move, and results that do not change for it."""
 
+import datetime as dt
 import gzip
 import json
 import os
@@ -78,3 +79,21 @@ def test_places_without_a_name_do_not_move(spark):
 
 def _nodes(plan):
     return plan.toString().splitlines()
+
+
+def test_words_near_in_time_moves_each_word_and_time_few_times(spark):
+    """Words of both sides are counted once: the plan after that reads storage, and no join brings the left rows back."""
+    at = F.timestamp_seconds(F.col("id") * 600).cast("timestamp_ntz")
+    left = spark.range(50).select(F.concat_ws(" ", F.lit("Hot"), F.lit("hot"), F.concat(F.lit("w"), (F.col("id") % 7).cast("string"))).alias("text"), F.when(F.col("id") != 3, at).alias("at"))
+    right = spark.range(60).select(F.concat_ws(" ", F.lit("hot"), F.concat(F.lit("w"), (F.col("id") % 5).cast("string"))).alias("text"), F.when(F.col("id") != 4, at).alias("at"))
+    found = joins.words_near_in_time(left, right, "text", "at", 1800)
+    expected = {}
+    for i in range(50):
+        for word, n in (("hot", 2), (f"w{i % 7}", 1)):
+            near = sum(1 for j in range(60) if j != 4 and abs(i - j) <= 3 and word in ("hot", f"w{j % 5}"))
+            if i != 3 and near:
+                expected[word, i * 600] = (n, near)
+    got = {(r["word"], int((r["ts"] - dt.datetime(1970, 1, 1)).total_seconds())): (r["left_count"], r["near_count"]) for r in found.collect()}
+    assert got == expected and found.columns == ["word", "ts", "left_count", "near_count"]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan and "LeftOuter, ((word" not in plan and "Scan ExistingRDD" in found._jdf.queryExecution().executedPlan().toString()
