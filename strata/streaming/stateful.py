@@ -13,6 +13,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from itertools import islice
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -117,71 +118,105 @@ def interval_join(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str
     return a.join(b, on).drop("_lb", "_ls", "_rb", "_rs", *[f"_r_{k}" for k in keys])
 
 
+#: Groups of entities whose observations share the state of ``gains``, and observations in an element of its lists.
+GROUPS, BLOCK = 1024, 1000
+
+
 class Gains(StatefulProcessor):
-    """Per entity: the last observation as value state, and the observations that wait for the watermark as list state.
+    """Per group of entities: each entity's last value, and the observations that wait for the watermark, both as list state.
 
     A timer at the oldest waiting observation fires once the watermark has passed it. Then all observations up to the
-    watermark are taken in order of (time, tie), each with the gain over the one before it, and the last of them is kept. The
+    watermark are taken per entity in order of (time, tie), each with the gain over the one before it, and the last of them is kept. The
     order of arrival has no influence, and an observation is emitted once.
+
+    Every call of the state is a message to the JVM, so an element of a list is a block of observations, and a group's calls do not grow with its
+    entities. Last values are appended; the list is written anew once it has more than twice as many entries as entities.
     """
 
-    def __init__(self, key: str, ts: str, tie: str, measure: str, kept: T.StructType):
-        self.names, self.kept = (key, ts, tie, measure), kept
+    def __init__(self, names: Sequence[str], waiting: T.StructType, last: T.StructType):
+        self.out, self.schemas = Row(*names), (waiting, last)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last = handle.getValueState("last", self.kept)
-        self.waiting = handle.getListState("waiting", self.kept)
+        waiting, last = (T.StructType([T.StructField("rows", T.ArrayType(s))]) for s in self.schemas)
+        self.waiting = handle.getListState("waiting", waiting)
+        self.last = handle.getListState("last", last)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        _, ts, tie, measure = self.names
-        if key[0] is None:  # no entity: such rows only move the watermark
-            return iter(())
-        new = [(r[ts], r[tie], r[measure]) for r in rows if r[ts] is not None]
-        if new:
-            self.waiting.appendList(new)
-            self.handle.registerTimer(_millis(min(r[0] for r in new)))
+        # Rows without an entity only move the watermark.
+        given = ((entity, micros, tie, measure) for _, _, entity, micros, tie, measure in rows if entity is not None and micros is not None)
+        while new := list(islice(given, 64 * BLOCK)):
+            self.waiting.appendList(_blocks(new))
+            self.handle.registerTimer(_millis(min(r[1] for r in new)))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        names, passed = self.names, timerValues.getCurrentWatermarkInMs()
-        due, later = [], []
-        for r in self.waiting.get():
-            (due if _millis(r[0]) <= passed else later).append(tuple(r))
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        due, later = {}, []
+        for (block,) in self.waiting.get():
+            for r in block:
+                if r[1] <= passed:
+                    due.setdefault(_same(r[0]), []).append(r)
+                else:
+                    later.append(tuple(r))
         if not due:  # an earlier timer took them
             return
-        last = self.last.get()
-        for r in sorted(due, key=lambda r: (r[0], r[1])):
-            before = last[2] if last else None
-            gain = r[2] - before if before is not None and r[2] is not None else None
-            yield Row(**dict(zip((*names, "prev_value", "gain"), (key[0], *r, before, gain), strict=True)))
-            last = r
-        self.last.update(last)
+        last, entries = {}, 0
+        for (block,) in self.last.get():
+            last.update((_same(r[0]), tuple(r)) for r in block)
+            entries += len(block)
+        for same, observed in due.items():
+            before = last[same][1] if same in last else None
+            for entity, micros, tie, measure in sorted(observed, key=lambda r: (r[1], r[2] is None, r[2])):
+                gain = measure - before if before is not None and measure is not None else None
+                yield self.out(entity, micros, tie, measure, before, gain)
+                before = measure
+            last[same] = (entity, before)
+        if entries + len(due) > 2 * len(last):
+            self.last.put(_blocks(list(last.values())))
+        else:
+            self.last.appendList(_blocks([last[same] for same in due]))
         self.waiting.clear()
         if later:
-            self.waiting.put(later)
-            self.handle.registerTimer(_millis(min(r[0] for r in later)))
+            self.waiting.put(_blocks(later))
+            self.handle.registerTimer(_millis(min(r[1] for r in later)))
 
     def close(self) -> None:
         pass
 
 
-def _millis(t) -> int:
+def _blocks(rows: list[tuple]) -> list[tuple]:
+    return [(rows[k : k + BLOCK],) for k in range(0, len(rows), BLOCK)]
+
+
+def _same(entity):
+    """An entity as a key of a dict: equal where grouping finds it equal."""
+    if isinstance(entity, bytearray):
+        return bytes(entity)
+    return entity if entity == entity else "NaN"
+
+
+def _millis(micros: int) -> int:
     """A time as the store compares it: rounded up, so that a timer is not due before its row."""
-    return -int(-(t.timestamp() * 1000) // 1)
+    return -(-micros // 1000)
 
 
 def gains(stream: DataFrame, key: str, ts: str, tie: str, measure: str, delay_s: int, processor: type[Gains] = Gains) -> DataFrame:
     """SM6: (key, ts, tie, measure, prev_value, gain) per observation once the watermark has passed it.
 
-    A row without a key moves the watermark only (a heartbeat, which closes a stream that ended).
+    A row without a key moves the watermark only (a heartbeat, which closes a stream that ended). Entities share the state in ``GROUPS`` groups
+    by a hash; a task holds the waiting observations of one group at a time.
     """
-    cols = stream.select(key, F.col(ts).cast("timestamp").alias(ts), tie, measure)
-    fields = {f.name: f.dataType for f in cols.schema.fields}
-    kept = T.StructType([T.StructField(c, fields[c]) for c in (ts, tie, measure)])
-    out = T.StructType([T.StructField(c, fields[c]) for c in (key, ts, tie, measure)] + [T.StructField(c, fields[measure]) for c in ("prev_value", "gain")])
-    made = processor(key, ts, tie, measure, kept)
-    return cols.withWatermark(ts, f"{delay_s} seconds").groupBy(key).transformWithState(made, out, outputMode="append", timeMode="eventTime")
+    group = F.pmod(F.xxhash64(key), F.lit(GROUPS)).cast("int").alias("_g_group")
+    at = F.col(ts).cast("timestamp")
+    cols = stream.select(group, at.alias("_g_ts"), F.col(key).alias("_g_key"), F.unix_micros(at).alias("_g_micros"), F.col(tie).alias("_g_tie"), F.col(measure).alias("_g_measure"))
+    fields = [T.StructField(f.name, f.dataType) for f in cols.schema.fields[2:]]
+    change = [T.StructField(c, fields[3].dataType) for c in ("prev_value", "gain")]
+    out = T.StructType(fields + change)
+    made = processor(out.names, T.StructType(fields), T.StructType([fields[0], fields[3]]))
+    found = cols.withWatermark("_g_ts", f"{delay_s} seconds").groupBy("_g_group").transformWithState(made, out, outputMode="append", timeMode="eventTime")
+    names = [F.col("_g_key").alias(key), F.timestamp_micros("_g_micros").alias(ts), F.col("_g_tie").alias(tie), F.col("_g_measure").alias(measure)]
+    return found.select(*names, "prev_value", "gain")
 
 
 def deduplicate(stream: DataFrame, keys: Sequence[str], seen: str, delay_s: int) -> DataFrame:

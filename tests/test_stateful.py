@@ -137,6 +137,25 @@ def test_gains_of_a_row_behind_the_watermark_are_left_out(spark):
     assert read_gains(spark, root) == [(1, None, None), (2, 1.0, 3.0), (3, 4.0, 5.0), (4, 9.0, -7.0), (5, 2.0, None)]
 
 
+def test_gains_keep_the_state_of_many_entities_in_few_groups(spark, monkeypatch):
+    monkeypatch.setattr(stateful, "GROUPS", 8, raising=False)
+    monkeypatch.setattr(stateful, "BLOCK", 70, raising=False)
+    root = scratch_path(spark, "t-groups")
+    rows = [(k * 1000 + e, e, at(20 * k + e % 7), None if (k + e) % 11 == 0 else float((k * e) % 13)) for k in range(8) for e in range(400)]
+    rows += [(None, 5, at(500), 1.0), (None, 6, at(500), None), (9001, 6, at(500), 3.0)]  # a missing id comes last, as in the SQL
+    for k in range(4):
+        land(spark, root, k, [r for r in rows if (r[2] - START).total_seconds() // 2400 == min(k, 3) or (k == 3 and r[2] >= at(160))])
+    land(spark, root, 4, beat(10_000))
+    q = run_gains(spark, root)
+    order = lambda found: sorted(found, key=str)
+    got = order((r["id"], r["key"], r["prev_value"], r["gain"]) for r in spark.read.parquet(f"{root}/sink").collect())
+    w = Window.partitionBy("key").orderBy("ts", F.col("id").asc_nulls_last())
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("prev", F.lag("value").over(w))
+    assert got == order(map(tuple, df.select("id", "key", "prev", F.col("value") - F.col("prev")).collect()))
+    # Not a state row per entity and observation, but blocks, timers and last values of 8 groups.
+    assert max(r["state_rows"] for r in stateful.progress(q)) < 200
+
+
 @pytest.mark.parametrize("files", [1, 2, 100])
 def test_repeats_give_one_row_however_the_input_is_cut(spark, files):
     draw = random.Random(4)
