@@ -13,8 +13,11 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
-from itertools import islice
+from functools import reduce
+from itertools import islice, pairwise
 
+import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -95,27 +98,82 @@ def _seconds(n: int) -> Column:
     return F.make_dt_interval(secs=F.lit(n))
 
 
+#: Rows that ``interval_join`` sorts into blocks at a time, and rows of a block.
+PACK, PACK_BLOCK = 100_000, 1000
+
+
+def _pack(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(_b, _s, _h, _micros, _row) to blocks (_b, _s, _h, _micros, _rows): rows of equal (_b, _s, _h) as an array, with their latest time."""
+
+    def packed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        t = pa.Table.from_batches(held).combine_chunks()
+        of = {c: t[c].to_numpy() for c in ("_b", "_s", "_h", "_micros")}
+        order = np.lexsort((of["_micros"], of["_h"], of["_s"], of["_b"]))
+        of = {c: v[order] for c, v in of.items()}
+        changes = np.flatnonzero(np.any([v[1:] != v[:-1] for c, v in of.items() if c != "_micros"], axis=0)) + 1
+        edges = np.concatenate([[0], changes, [len(order)]])
+        starts = np.concatenate([np.arange(i, j, PACK_BLOCK) for i, j in pairwise(edges)])
+        ends = np.append(starts[1:], len(order))
+        rows = t["_row"].combine_chunks().take(pa.array(order))
+        rows = rows.combine_chunks() if isinstance(rows, pa.ChunkedArray) else rows
+        arrays = [*(pa.array(of[c][starts]) for c in ("_b", "_s", "_h")), pa.array(of["_micros"][ends - 1])]
+        arrays.append(pa.ListArray.from_arrays(pa.array(np.append(starts, len(order)).astype("int32")), rows))
+        return pa.RecordBatch.from_arrays(arrays, names=["_b", "_s", "_h", "_micros", "_rows"])
+
+    held, n = [], 0
+    for batch in batches_:
+        if batch.num_rows:
+            held, n = [*held, batch], n + batch.num_rows
+        if n >= PACK:
+            yield packed(held)
+            held, n = [], 0
+    if held:
+        yield packed(held)
+
+
+def _blocks_of(rows: DataFrame, name: str, delay: str) -> DataFrame:
+    """The rows (_b, _s, _h, _micros, _row) in blocks: columns ``_b``, ``_s``, ``_h``, ``_at`` (watermarked) and ``_rows``, each with ``name`` before it."""
+    of = {f.name: f.dataType for f in rows.schema.fields}
+    schema = T.StructType([T.StructField(c, of[c]) for c in ("_b", "_s", "_h", "_micros")] + [T.StructField("_rows", T.ArrayType(of["_row"]))])
+    blocks = rows.mapInArrow(_pack, schema).withColumn("_at", F.timestamp_micros("_micros")).drop("_micros")
+    return blocks.withColumnsRenamed({c: name + c for c in blocks.columns}).withWatermark(f"{name}_at", delay)
+
+
 def interval_join(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str, before_s: int, after_s: int, delay_s: int, keys: Sequence[str] = (), salt: int = 1) -> DataFrame:
     """SM7: pairs with ``right_ts`` in [left_ts - before, left_ts + after], both sides streams (or both batch).
 
     Spark's symmetric stateful join: each side's rows wait in state for partners of the other side. The equality it needs is a time
     bucket as wide as the interval: a left row goes to the at most two buckets that its interval touches, a right row to its own, so each pair meets
-    once. With ``salt`` a bucket is spread over that many sub-buckets: right rows go to one by a hash, left rows to all. The range condition on
-    the watermarked times lets Spark evict rows that can find no more partners. Columns but ``keys`` must have distinct names; the keys come from the left.
+    once. With ``salt`` a bucket is spread over that many sub-buckets: right rows go to one by a hash, left rows to all.
+
+    What waits and meets are blocks of up to ``PACK_BLOCK`` rows of one bucket (and hash of the keys) that came together, so that the store is asked per block
+    and not per pair; the rows of two blocks are compared outside the store. A block's time is its latest row's. The range condition on these watermarked times, wider by
+    the time that a block's rows lie apart, lets Spark evict blocks that can find no more partners. A block is late when all its rows are.
+    Columns but ``keys`` must have distinct names; the keys come from the left.
     """
     width = max(before_s + after_s, 1)
     delay = f"{delay_s} seconds"
     at = lambda c: F.unix_micros(c) / 1_000_000
     bucket = F.sequence(F.floor((at(F.col(left_ts)) - before_s) / width), F.floor((at(F.col(left_ts)) + after_s) / width))
-    a = left.withWatermark(left_ts, delay).withColumn("_lb", F.explode(bucket)).withColumn("_ls", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
     spread = F.pmod(F.xxhash64(*[c for c in right.columns]), F.lit(salt)).cast("int")
-    b = right.withWatermark(right_ts, delay).withColumn("_rb", F.floor(at(F.col(right_ts)) / width)).withColumn("_rs", spread)
-    b = b.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    on = (F.col("_lb") == F.col("_rb")) & (F.col("_ls") == F.col("_rs"))
+    hashed = F.xxhash64(*keys) if keys else F.lit(0).cast("long")
+
+    def side(df: DataFrame, ts: str, b: Column, s: Column, name: str) -> DataFrame:
+        complete = df.filter(reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in (ts, *keys)]))
+        rows = complete.select(F.struct(*[c for c in df.columns if c != "_bucket"]).alias("_row"), b.alias("_b"), hashed.alias("_h"), F.unix_micros(ts).alias("_micros"), s.alias("_each"))
+        return _blocks_of(rows.select("_b", F.explode("_each").alias("_s"), "_h", "_micros", "_row"), name, delay)
+
+    a = side(left.withColumn("_bucket", F.explode(bucket)), left_ts, F.col("_bucket"), F.sequence(F.lit(0), F.lit(salt - 1)), "l")
+    b = side(right, right_ts, F.floor(at(F.col(right_ts)) / width), F.array(spread), "r")
+    on = (F.col("l_b") == F.col("r_b")) & (F.col("l_s") == F.col("r_s")) & (F.col("l_h") == F.col("r_h"))
+    # The left rows of a bucket lie at most two widths apart, the right rows one.
+    on &= (F.col("r_at") >= F.col("l_at") - _seconds(before_s + 2 * width)) & (F.col("r_at") <= F.col("l_at") + _seconds(after_s + width))
+    pairs = a.join(b, on).select(F.explode("l_rows").alias("l"), "r_rows").select("l", F.explode("r_rows").alias("r"))
+    of = lambda n, c: F.col(n).getField(c)
+    near = (of("r", right_ts) >= of("l", left_ts) - _seconds(before_s)) & (of("r", right_ts) <= of("l", left_ts) + _seconds(after_s))
     for k in keys:
-        on &= F.col(k) == F.col(f"_r_{k}")
-    on &= (F.col(right_ts) >= F.col(left_ts) - _seconds(before_s)) & (F.col(right_ts) <= F.col(left_ts) + _seconds(after_s))
-    return a.join(b, on).drop("_lb", "_ls", "_rb", "_rs", *[f"_r_{k}" for k in keys])
+        near &= of("l", k) == of("r", k)
+    return pairs.filter(near).select(*[of("l", c).alias(c) for c in left.columns], *[of("r", c).alias(c) for c in right.columns if c not in keys])
 
 
 #: Groups of entities whose observations share the state of ``gains``, and observations in an element of its lists.

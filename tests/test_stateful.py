@@ -73,6 +73,25 @@ def test_interval_join_evicts_its_state_and_late_rows_are_kept_aside(spark):
     assert spark.read.parquet(f"{root}/sink").count() == len(got) and stateful.read_late(spark, f"{root}/aside", st.schema).count() == len(late)
 
 
+def test_interval_join_keeps_blocks_of_a_dense_bucket(spark, monkeypatch):
+    monkeypatch.setattr(stateful, "PACK_BLOCK", 64, raising=False)
+    draw, root = random.Random(6), scratch_path(spark, "t-dense")
+    rows = [(k, draw.choice([1, 2, None]), at(draw.randint(0, 450) / 10), 1.0) for k in range(900)] + [(5000, 1, None, 1.0), (5001, 1, None, 1.0)]
+    for k in range(3):
+        land(spark, root, k, rows[k::3])
+    st = stream(spark, root, spark.createDataFrame([], SCHEMA).schema)
+    side = lambda odd, n: st.filter(F.col("id") % 2 == odd).select(F.col("id").alias(n), F.col("key"), F.col("ts").alias(f"{n}_ts"))
+    pairs = stateful.interval_join(side(1, "a"), side(0, "b"), "a_ts", "b_ts", 0, 900, 3600, keys=["key"])
+    assert pairs.columns == ["a", "key", "a_ts", "b", "b_ts"]
+    q = stateful.append_to(pairs, f"{root}/sink", f"{root}/ck")
+    known = [r for r in rows if r[1] and r[2]]
+    near = lambda a, b: a[1] == b[1] and 0 <= (b[2] - a[2]).total_seconds() <= 900
+    expected = sorted((a[0], b[0]) for a in known if a[0] % 2 for b in known if b[0] % 2 == 0 and near(a, b))
+    assert sorted((r["a"], r["b"]) for r in spark.read.parquet(f"{root}/sink").collect()) == expected
+    # A block a bucket, key and poll, not a state row per row and bucket.
+    assert max(r["state_rows"] for r in stateful.progress(q)) < 100
+
+
 def test_interval_join_of_tables_meets_each_pair_once(spark):
     rows, _ = polls(2)
     t = spark.createDataFrame(rows + [(None, 1, None, 0.0)], SCHEMA)
