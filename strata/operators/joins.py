@@ -25,7 +25,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.text import tokens_words
@@ -111,6 +111,17 @@ def _bucket_splits(buckets: DataFrame, by: Sequence[str], name: str, tasks: int)
     return counts.filter(F.col("_rj_n") > share).select(*by, F.ceil(F.col("_rj_n") / share).cast("int").alias(name))
 
 
+#: Rows of a block of ``range_join``.
+BLOCK = 512
+
+
+def _time_blocks(rows: DataFrame, columns: Sequence[str], by: Sequence[str], ts: str, name: str) -> DataFrame:
+    """(by, name, name_from, name_to): the rows of equal ``by`` in order of time, up to ``BLOCK`` in an array, with its first and last time."""
+    at = F.row_number().over(Window.partitionBy(*by).orderBy(ts)) - 1
+    cut = rows.withColumn("_rj_c", F.floor(at / BLOCK)).groupBy(*by, "_rj_c")
+    return cut.agg(F.collect_list(F.struct(*columns)).alias(name), F.min(ts).alias(f"{name}_from"), F.max(ts).alias(f"{name}_to"))
+
+
 def range_join(
     left: DataFrame,
     right: DataFrame,
@@ -132,14 +143,18 @@ def range_join(
     aggregation); a bucket with more than its fair share of a side's rows gets that many parts of this side, its rows
     go to one part by a hash and the other side's rows to all of them. The list of split buckets has fewer rows than there are
     shuffle partitions and is broadcast. ``salt`` instead splits every bucket of the right side into so many parts.
+
+    Within a part the rows go in blocks of ``BLOCK`` in order of time. Blocks meet, and their rows are compared then: pairs leave block by
+    block, so that neighbouring pairs share their rows and a columnar file of them compresses well.
     """
     w = max(before_s + after_s, 1)
     by = ["_rj_b", *[f"_rj_k{i}" for i in range(len(keys))]]
+    left, right = (_where(df, [F.col(c).isNotNull() for c in (ts, *keys)]) for df, ts in ((left, left_ts), (right, right_ts)))
     sec = lambda c: F.unix_micros(F.col(c).cast("timestamp")) / 1_000_000
     own = lambda df: df.withColumns({f"_rj_k{i}": F.col(k) for i, k in enumerate(keys)})
     touched = F.sequence(F.floor((sec(left_ts) - before_s) / w), F.floor((sec(left_ts) + after_s) / w))
     lb = own(left.withColumn("_rj_b", F.explode(touched)))
-    rb = own(right.filter(F.col(right_ts).isNotNull()).withColumn("_rj_b", F.floor(sec(right_ts) / w)))
+    rb = own(right.withColumn("_rj_b", F.floor(sec(right_ts) / w)))
     if salt is None:
         tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         splits = {n: _bucket_splits(df.select(*by), by, n, tasks) for n, df in (("_rj_l", lb), ("_rj_r", rb))}
@@ -152,12 +167,15 @@ def range_join(
     each = lambda name: F.explode(F.sequence(F.lit(0), F.col(name) - 1))
     lb = lb.withColumn("_rj_i", part(left, "_rj_l")).withColumn("_rj_j", each("_rj_r"))
     rb = rb.withColumn("_rj_j", part(right, "_rj_r")).withColumn("_rj_i", each("_rj_l"))
-    l_alias, r_alias = lb.alias("l"), rb.alias("r")
-    cond = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in (*by, "_rj_i", "_rj_j")]
-    cond.append(F.col(f"r.{right_ts}") >= F.col(f"l.{left_ts}") - _interval(before_s))
-    cond.append(F.col(f"r.{right_ts}") <= F.col(f"l.{left_ts}") + _interval(after_s))
-    joined = l_alias.join(r_alias, cond)
-    return joined.drop(*by, "_rj_i", "_rj_j", "_rj_l", "_rj_r")
+    meet = [*by, "_rj_i", "_rj_j"]
+    lb, rb = _time_blocks(lb, left.columns, meet, left_ts, "_rj_left"), _time_blocks(rb, right.columns, meet, right_ts, "_rj_right")
+    overlap = (rb["_rj_right_to"] >= lb["_rj_left_from"] - _interval(before_s)) & (rb["_rj_right_from"] <= lb["_rj_left_to"] + _interval(after_s))
+    blocks = rb.join(lb, reduce(lambda x, y: x & y, [rb[c] == lb[c] for c in meet], overlap)).select("_rj_left", "_rj_right")
+    # The right row outside: its columns stay the same over a run of pairs, and those of the left row repeat from run to run.
+    pairs = blocks.select(F.explode("_rj_right").alias("r"), "_rj_left").select(F.explode("_rj_left").alias("l"), "r")
+    of = lambda side, c: F.col(side).getField(c)
+    near = (of("r", right_ts) >= of("l", left_ts) - _interval(before_s)) & (of("r", right_ts) <= of("l", left_ts) + _interval(after_s))
+    return pairs.filter(near).select(*[of("l", c).alias(c) for c in left.columns], *[of("r", c).alias(c) for c in right.columns])
 
 
 def entity_counts(df: DataFrame, key: str, name: str) -> DataFrame:

@@ -145,6 +145,16 @@ def test_range_join_splits_a_hot_bucket(spark):
     assert keyed.count() == len(exp)
 
 
+def test_range_join_pairs_leave_in_runs(spark):
+    """Neighbouring pairs share their right row, so that a file of all pairs of a dense bucket stays small; null times and keys meet nothing."""
+    a = spark.createDataFrame([(i, 1, T0 + dt.timedelta(seconds=i * 7 % 1201)) for i in range(1100)] + [(-1, None, T0), (-2, 1, None)], "id long, k long, ts timestamp_ntz")
+    e = spark.createDataFrame([(i, 1, T0 + dt.timedelta(seconds=1200 + i * 11 % 601)) for i in range(40)] + [(-1, None, T0), (-2, 1, None)], "eid long, k long, ets timestamp_ntz")
+    rows = joins.range_join(a, e, "ts", "ets", 0, 3600, keys=["k"]).select("id", "eid").collect()
+    assert sorted(map(tuple, rows)) == [(i, j) for i in range(1100) for j in range(40)]
+    runs = 1 + sum(x["eid"] != y["eid"] for x, y in zip(rows, rows[1:]))
+    assert runs <= 40 * 12  # at most two buckets, with few blocks and parts each
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_phrase_mentions_match_brute_force(spark, seed):
     rnd = random.Random(seed)
