@@ -19,6 +19,10 @@ ASCII_LOWER = ASCII_UPPER.lower()
 SPACES = " \t\n\x0b\x0c\r"
 #: Rows that a task holds as Python objects at a time.
 SLICE_ROWS = 256
+#: About the bytes that a task sends to Python at a time. Spark's own bound is 64 MB, of which the executor holds
+#: several copies in each task and its worker, and gives back little of them afterwards.
+BATCH_BYTES = 2 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def shared_table(df: DataFrame, label: str) -> DataFrame:
@@ -73,6 +77,16 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
             yield batch.slice(at, rows)
 
 
+def map_in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
+    """``df.mapInArrow`` in batches of about ``BATCH_BYTES``.
+
+    Spark reads the bound from the session when the result is computed, so it is set there; a session that has its own keeps it.
+    """
+    conf = df.sparkSession.conf
+    conf.set(BATCH_SETTING, conf.get(BATCH_SETTING, str(BATCH_BYTES)))
+    return df.mapInArrow(run, schema)
+
+
 def add_struct(df: DataFrame, text_col: str, name: str, fields: T.StructType, make: Callable[[], Callable[[str | None], dict]]) -> DataFrame:
     """All columns of ``df`` and a struct column ``name`` that ``make()`` computes from the text.
 
@@ -90,7 +104,7 @@ def add_struct(df: DataFrame, text_col: str, name: str, fields: T.StructType, ma
             made = pa.array([of(x) for x in part.column(at).to_pylist()], type=kind)
             yield pa.RecordBatch.from_arrays([*part.columns, made], names=[*[f.name for f in kept], name])
 
-    return df.mapInArrow(run, schema)
+    return map_in_arrow(df, run, schema)
 
 
 def bounded_sample(df: DataFrame, key: str, max_rows: int) -> DataFrame:

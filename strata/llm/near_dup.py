@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import free_name, shared_table, slices
+from strata.llm.common import free_name, map_in_arrow, shared_table, slices
 from strata.llm.shingles import Shingler, mix
 
 SLOTS = 120
@@ -96,7 +96,7 @@ def sketch(docs: DataFrame, width: int, slots: int = SLOTS, id_col: str = "doc_i
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *made], names=["doc", "version", "n", "node", "sig"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("version"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc long, version long, n long, node binary, sig binary")
+    return map_in_arrow(rows, run, "doc long, version long, n long, node binary, sig binary")
 
 
 def star_of_components(n: int, linked: Callable[[int], np.ndarray]) -> list[tuple[int, int]]:
@@ -184,7 +184,7 @@ def links_in_groups(members: DataFrame, keys: list[str], value: str, find: Calla
         done(out)
         yield batch_of(out)
 
-    return members.mapInArrow(run, "u binary, v binary")
+    return map_in_arrow(members, run, "u binary, v binary")
 
 
 def components(links: DataFrame, label: str) -> DataFrame:

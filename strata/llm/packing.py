@@ -36,7 +36,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from strata.llm.common import kept
+from strata.llm.common import kept, map_in_arrow
 
 CAPACITY = 2048
 END_ID = 1
@@ -45,7 +45,11 @@ VOCABULARY = "word_bpe_49k.json"
 CLASSES = 16
 #: Part of the capacity that a bin of whole documents may lack before small pieces fill it.
 SLACK = 128
-CACHED_WORDS = 400_000
+#: A worker keeps its words from task to task: about 15 MB.
+CACHED_WORDS = 50_000
+#: Rows, or bytes of ids, that a task returns at a time.
+OUT_ROWS = 2000
+OUT_BYTES = 1 << 20
 
 SCHEMA = "doc_id long, start long, length long, token_ids binary, doc_tokens long, sequence_id long, offset long"
 _WORD_END = b"\xff"  # no byte of UTF-8
@@ -192,18 +196,25 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end
         encode, bins = kept(("encoder", place_of), lambda: Encoder(place_of)), HarmonicBins(capacity, classes, slack)
         end = int(end_id).to_bytes(4, "little")
         rows: list = []
+        held = 0
 
         def place(sequence):
-            nonlocal number
+            nonlocal number, held
             at = 0
             for doc, start, n, total, ids in sequence:
                 rows.append((doc, start, n, ids, total, number, at))
                 at += n
+                held += len(ids)
             number += 1
 
+        def full():
+            return len(rows) >= OUT_ROWS or held >= OUT_BYTES
+
         def out():
+            nonlocal held
             columns = list(zip(*rows)) or [[]] * 7
             rows.clear()
+            held = 0
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
             return pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(columns, kinds)], names=[x.split()[0] for x in SCHEMA.split(", ")])
 
@@ -212,10 +223,12 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end
                 ids = encode(text.as_py() or "") + end
                 for sequence in bins.add([doc.as_py(), 0, len(ids) // 4, len(ids) // 4, ids]):
                     place(sequence)
-                if len(rows) >= 2000:
-                    yield out()
+                    if full():
+                        yield out()
         for sequence in bins.close():
             place(sequence)
+            if full():
+                yield out()
         yield out()
 
-    return docs.select(docs[id_col].cast("long"), docs[text_col]).mapInArrow(run, SCHEMA)
+    return map_in_arrow(docs.select(docs[id_col].cast("long"), docs[text_col]), run, SCHEMA)

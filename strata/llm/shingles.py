@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-CACHED_WORDS = 200_000
+CACHED_WORDS = 50_000
 _MIX = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 

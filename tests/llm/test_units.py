@@ -6,6 +6,7 @@ import math
 import random
 import re
 from fractions import Fraction
+from types import SimpleNamespace
 
 import brute
 import numpy as np
@@ -14,7 +15,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from strata.llm import chat, decontaminate, lattice_lm, near_dup, packing, pii, quality_rules, site_bayes
+from strata.llm import chat, common, decontaminate, lattice_lm, near_dup, packing, pii, quality_rules, site_bayes
 from strata.llm.shingles import Shingler
 
 # --- decontamination -------------------------------------------------------------
@@ -448,3 +449,64 @@ def test_calibration_is_a_probability():
     a, b = site_bayes.calibrate(score, y)
     assert a == pytest.approx(1, abs=0.15) and b == pytest.approx(0, abs=0.2)
     assert site_bayes.calibrate(np.zeros(0), np.zeros(0)) == (0.0, 0.0)
+
+
+def _recorder(path, to):
+    def record(batch):
+        import os
+
+        with open(f"{path}/{to}-{os.getpid()}", "a") as f:
+            f.write(f"{batch.nbytes}\n")
+        return batch
+
+    return record
+
+
+def _recorded(path, to):
+    return [int(n) for f in path.glob(f"{to}-*") for n in f.read_text().split()]
+
+
+def test_texts_travel_in_small_batches(spark, monkeypatch, tmp_path):
+    import pyarrow as pa
+
+    docs = spark.range(0, 900, 1, 1).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), F.col("id").cast("string"), F.repeat(F.lit(" some words"), 1800)).alias("text"))
+
+    def recording(record, rows):
+        return lambda batches, rows=rows: (record(b).slice(at, rows) for b in batches for at in range(0, b.num_rows, rows))
+
+    spark.conf.unset(common.BATCH_SETTING)
+    try:
+        for module, to, run in ((common, "rules", lambda: quality_rules.add_statistics(docs, "stats")), (near_dup, "near", lambda: near_dup.sketch(docs, 5))):
+            monkeypatch.setattr(module, "slices", recording(_recorder(tmp_path, to), common.SLICE_ROWS))
+            assert len(run().collect()) == 900
+            sent = _recorded(tmp_path, to)
+            assert sum(sent) > 16 * 2**20 and max(sent) < 2 * common.BATCH_BYTES
+            spark.conf.unset(common.BATCH_SETTING)
+
+        record = _recorder(tmp_path, "pieces")
+        made = lambda arrays, names: record(pa.RecordBatch.from_arrays(arrays, names=names))
+        monkeypatch.setattr(packing, "pa", SimpleNamespace(array=pa.array, int64=pa.int64, binary=pa.binary, RecordBatch=SimpleNamespace(from_arrays=made)))
+        long = docs.select("doc_id", F.repeat("text", 20).alias("text")).limit(30)
+        assert {r.doc_id: r.n for r in packing.pack(long).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()} == {r.doc_id: r.n for r in packing.pack(long).select("doc_id", F.col("doc_tokens").alias("n")).distinct().collect()}
+        sent = _recorded(tmp_path, "pieces")
+        assert sum(sent) > 4 * 2**20 and max(sent) < 2 * packing.OUT_BYTES
+    finally:
+        spark.conf.unset(common.BATCH_SETTING)
+
+
+def test_a_session_keeps_its_own_bound_of_batches(spark):
+    spark.conf.set(common.BATCH_SETTING, "5m")
+    try:
+        near_dup.sketch(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), 5).collect()
+        assert spark.conf.get(common.BATCH_SETTING) == "5m"
+    finally:
+        spark.conf.unset(common.BATCH_SETTING)
+
+
+def test_words_kept_by_a_worker_are_few():
+    encode, shingler = packing.Encoder(packing.vocabulary_path()), Shingler(5)
+    for at in range(0, 120_000, 1000):
+        words = [f"w{k}" for k in range(at, at + 1000)]
+        encode(" ".join(words))
+        shingler.sorted_set(shingler.words(" ".join(words)))
+        assert max(len(encode.cache), len(shingler.cache)) <= 50_000
