@@ -111,15 +111,17 @@ def _bucket_splits(buckets: DataFrame, by: Sequence[str], name: str, tasks: int)
     return counts.filter(F.col("_rj_n") > share).select(*by, F.ceil(F.col("_rj_n") / share).cast("int").alias(name))
 
 
-#: Rows of a block of ``range_join``.
-BLOCK = 512
+#: Rows of a block of ``range_join`` on the left and on the right. A task holds the pairs of two blocks at a time, so their product stays small.
+BLOCK, RIGHT_BLOCK = 512, 16
 
 
-def _time_blocks(rows: DataFrame, columns: Sequence[str], by: Sequence[str], ts: str, name: str) -> DataFrame:
-    """(by, name, name_from, name_to): the rows of equal ``by`` in order of time, up to ``BLOCK`` in an array, with its first and last time."""
+def _time_blocks(rows: DataFrame, columns: Sequence[str], by: Sequence[str], ts: str, ends: tuple[str, str], size: int, name: str) -> DataFrame:
+    """(by, name_from, name_to, name_0, name_1, ...): the rows of equal ``by`` in order of time, up to ``size`` as one array per column, with the
+    smallest of the first and the greatest of the second of ``ends``. Pairs are read from arrays of plain values without an object per row."""
     at = F.row_number().over(Window.partitionBy(*by).orderBy(ts)) - 1
-    cut = rows.withColumn("_rj_c", F.floor(at / BLOCK)).groupBy(*by, "_rj_c")
-    return cut.agg(F.collect_list(F.struct(*columns)).alias(name), F.min(ts).alias(f"{name}_from"), F.max(ts).alias(f"{name}_to"))
+    cut = rows.withColumn("_rj_c", F.floor(at / size)).groupBy(*by, "_rj_c")
+    held = cut.agg(F.collect_list(F.struct(*columns)).alias("_rj_rows"), F.min(ends[0]).alias(f"{name}_from"), F.max(ends[1]).alias(f"{name}_to"))
+    return held.select(*by, f"{name}_from", f"{name}_to", *[F.col("_rj_rows").getField(c).alias(f"{name}_{i}") for i, c in enumerate(columns)])
 
 
 def range_join(
@@ -144,7 +146,7 @@ def range_join(
     go to one part by a hash and the other side's rows to all of them. The list of split buckets has fewer rows than there are
     shuffle partitions and is broadcast. ``salt`` instead splits every bucket of the right side into so many parts.
 
-    Within a part the rows go in blocks of ``BLOCK`` in order of time. Blocks meet, and their rows are compared then: pairs leave block by
+    Within a part the rows go in blocks of ``BLOCK`` (right: ``RIGHT_BLOCK``) in order of time. Blocks meet, and their rows are compared then: pairs leave block by
     block, so that neighbouring pairs share their rows and a columnar file of them compresses well.
     """
     w = max(before_s + after_s, 1)
@@ -155,8 +157,8 @@ def range_join(
     touched = F.sequence(F.floor((sec(left_ts) - before_s) / w), F.floor((sec(left_ts) + after_s) / w))
     lb = own(left.withColumn("_rj_b", F.explode(touched)))
     rb = own(right.withColumn("_rj_b", F.floor(sec(right_ts) / w)))
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if salt is None:
-        tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         splits = {n: _bucket_splits(df.select(*by), by, n, tasks) for n, df in (("_rj_l", lb), ("_rj_r", rb))}
         for name, few in splits.items():
             few = F.broadcast(few)
@@ -168,14 +170,23 @@ def range_join(
     lb = lb.withColumn("_rj_i", part(left, "_rj_l")).withColumn("_rj_j", each("_rj_r"))
     rb = rb.withColumn("_rj_j", part(right, "_rj_r")).withColumn("_rj_i", each("_rj_l"))
     meet = [*by, "_rj_i", "_rj_j"]
-    lb, rb = _time_blocks(lb, left.columns, meet, left_ts, "_rj_left"), _time_blocks(rb, right.columns, meet, right_ts, "_rj_right")
-    overlap = (rb["_rj_right_to"] >= lb["_rj_left_from"] - _interval(before_s)) & (rb["_rj_right_from"] <= lb["_rj_left_to"] + _interval(after_s))
-    blocks = rb.join(lb, reduce(lambda x, y: x & y, [rb[c] == lb[c] for c in meet], overlap)).select("_rj_left", "_rj_right")
+    # A given number of tasks, not one found from the size of the rows: what a task makes of them grows with their square.
+    lb, rb = (df.repartition(4 * tasks, *meet) for df in (lb, rb))
+    # The bounds are found once a left row: arithmetic on times costs more than all else that a pair does.
+    bounds = {"_rj_least": F.col(left_ts) - _interval(before_s), "_rj_most": F.col(left_ts) + _interval(after_s)}
+    lb = _time_blocks(lb.withColumns(bounds), [*left.columns, *bounds], meet, left_ts, tuple(bounds), BLOCK, "_rj_l")
+    rb = _time_blocks(rb.withColumn("_rj_at", F.col(right_ts)), [*right.columns, "_rj_at"], meet, right_ts, ("_rj_at", "_rj_at"), RIGHT_BLOCK, "_rj_r")
+    overlap = (rb["_rj_r_to"] >= lb["_rj_l_from"]) & (rb["_rj_r_from"] <= lb["_rj_l_to"])
+    blocks = rb.join(lb, reduce(lambda x, y: x & y, [rb[c] == lb[c] for c in meet], overlap))
+    *own_l, least, most = [f"_rj_l_{i}" for i in range(len(left.columns) + 2)]
+    *own_r, at = [f"_rj_r_{i}" for i in range(len(right.columns) + 1)]
+    nth = lambda c: F.get(c, F.col("_rj_n")).alias(c)
     # The right row outside: its columns stay the same over a run of pairs, and those of the left row repeat from run to run.
-    pairs = blocks.select(F.explode("_rj_right").alias("r"), "_rj_left").select(F.explode("_rj_left").alias("l"), "r")
-    of = lambda side, c: F.col(side).getField(c)
-    near = (of("r", right_ts) >= of("l", left_ts) - _interval(before_s)) & (of("r", right_ts) <= of("l", left_ts) + _interval(after_s))
-    return pairs.filter(near).select(*[of("l", c).alias(c) for c in left.columns], *[of("r", c).alias(c) for c in right.columns])
+    outer = blocks.select(*own_l, least, most, *own_r, F.posexplode(at).alias("_rj_n", "_rj_at"))
+    outer = outer.select(*own_l, least, most, "_rj_at", *map(nth, own_r))
+    pairs = outer.select(*own_l, most, "_rj_at", *own_r, F.posexplode(least).alias("_rj_n", "_rj_least"))
+    near = pairs.filter((F.col("_rj_at") >= F.col("_rj_least")) & (F.col("_rj_at") <= nth(most)))
+    return near.select(*map(nth, own_l), *own_r).toDF(*left.columns, *right.columns)
 
 
 def entity_counts(df: DataFrame, key: str, name: str) -> DataFrame:

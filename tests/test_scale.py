@@ -97,3 +97,21 @@ def test_words_near_in_time_moves_each_word_and_time_few_times(spark):
     assert got == expected and found.columns == ["word", "ts", "left_count", "near_count"]
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "regexp_extract_all" not in plan and "LeftOuter, ((word" not in plan and "Scan ExistingRDD" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_range_join_pairs_cost_no_time_arithmetic_and_leave_from_many_tasks(spark):
+    """Pairs are compared with bounds found once a left row, two small blocks at a time, in a number of tasks that does not shrink with the
+    size of the input; nulls in other columns, repeated rows and names that both sides have stay."""
+    at = lambda c: F.timestamp_seconds(F.lit(1_700_000_000) + c).cast("timestamp_ntz")
+    a = spark.range(1300).select(F.when(F.col("id") % 3 != 0, F.col("id")).alias("id"), at(F.col("id") * 5 % 3001).alias("at"))
+    e = spark.range(70).select(F.when(F.col("id") % 2 != 0, F.col("id")).alias("id"), at(F.col("id") * 37).alias("at"), F.lit(None).cast("string").alias("text"))
+    found = joins.range_join(a.unionByName(a), e, "AT", "at", 60, 600)
+    assert found.columns == ["id", "at", "id", "at", "text"]
+    left, right = [(i if i % 3 else None, i * 5 % 3001) for i in range(1300)], [(i if i % 2 else None, i * 37) for i in range(70)]
+    expected = sorted(((i, j, s, t) for i, s in left for j, t in right if s - 60 <= t <= s + 600 for _ in range(2)), key=repr)
+    seconds = lambda t: int((t - dt.datetime(1970, 1, 1)).total_seconds()) - 1_700_000_000
+    assert sorted(((r[0], r[2], seconds(r[1]), seconds(r[3])) for r in found.collect()), key=repr) == expected
+    assert found.rdd.getNumPartitions() >= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plan = _nodes(found._jdf.queryExecution().optimizedPlan())
+    above = plan[: next(k for k, n in enumerate(plan) if "Join" in n)]  # what runs per pair
+    assert not any("INTERVAL" in n for n in above) and joins.BLOCK * joins.RIGHT_BLOCK <= 10_000
