@@ -25,6 +25,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.joins import hash_bits, where_hashed
+
 UNKNOWN = "Unknown"
 
 
@@ -65,14 +67,16 @@ def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     """As ``latest_per_key`` for wide rows that are read from storage: (the rows, a small table kept for them; unpersist it after use).
 
     The greatest ``order`` of each key is found from these columns alone, and only the rows that have it are compared as a whole. The
-    table of greatest orders is kept and counted first, so that the planner knows whether it can be broadcast; then no other wide row moves.
+    table of greatest orders is kept and counted first, so that the planner knows whether it can be broadcast. Where there are too many keys
+    for that, hardly another wide row moves either: before the join all rows are looked up in the hashes of that table (``joins.hash_bits``).
     """
     cols = [*keys, *[c for c in order if c not in keys]]
     best = df.groupBy(*keys).agg(F.max(F.struct(*cols[len(keys) :])).alias("_best"))
     best = best.select(*[F.col(c).alias(f"_n_{c}") for c in keys], *[F.col(f"_best.{c}").alias(f"_n_{c}") for c in cols[len(keys) :]]).persist()
     best.count()
-    same = reduce(lambda a, b: a & b, [df[c].eqNullSafe(best[f"_n_{c}"]) for c in cols])
-    return latest_per_key(df.join(best, same, "left_semi"), keys, order), best
+    maybe = where_hashed(df, F.xxhash64(*cols), hash_bits(best.select(F.xxhash64(*[f"_n_{c}" for c in cols]).alias("h"))))
+    same = reduce(lambda a, b: a & b, [maybe[c].eqNullSafe(best[f"_n_{c}"]) for c in cols])
+    return latest_per_key(maybe.join(best, same, "left_semi"), keys, order), best
 
 
 def silver_observations(

@@ -220,7 +220,7 @@ def term_mentions(docs: DataFrame, text: str, group: str, vocabulary: DataFrame,
     return hits.groupBy(group).agg(F.sum("n").alias("mentions"), F.count(F.lit(1)).alias("distinct_terms"))
 
 
-#: Bits of the names' filter: 2 ** BITS, 8 MB as a whole, in rows of 2 ** ROW_BITS.
+#: Bits of a filter of hashes: 2 ** BITS, 8 MB as a whole, in rows of 2 ** ROW_BITS.
 BITS, ROW_BITS = 26, 12
 
 
@@ -228,9 +228,8 @@ def _bit_row(hashed: Column) -> Column:
     return F.shiftright(hashed, ROW_BITS).bitwiseAND(F.lit((1 << (BITS - ROW_BITS)) - 1)).cast("int")
 
 
-def _phrase_bits(known: DataFrame) -> DataFrame:
-    """(_pm_row, _pm_longs): one bit per hash of a ``_pm_phrase``, as rows of longs; at most 2 ** (BITS - ROW_BITS) rows, however many names."""
-    hashed = known.select(F.xxhash64("_pm_phrase").alias("h"))
+def hash_bits(hashed: DataFrame) -> DataFrame:
+    """(_pm_row, _pm_longs): one bit per hash in column ``h``, as rows of longs; at most 2 ** (BITS - ROW_BITS) rows, however many hashes."""
     at = F.shiftright("h", 6).bitwiseAND(F.lit((1 << (ROW_BITS - 6)) - 1)).cast("int")
     bit = F.expr("shiftleft(1L, CAST(h & 63 AS INT))")
     longs = hashed.groupBy(_bit_row(F.col("h")).alias("_pm_row"), at.alias("at")).agg(F.bit_or(bit).alias("bits"))
@@ -239,13 +238,23 @@ def _phrase_bits(known: DataFrame) -> DataFrame:
     return rows.select("_pm_row", dense.alias("_pm_longs"))
 
 
+def _phrase_bits(known: DataFrame) -> DataFrame:
+    """``hash_bits`` of each ``_pm_phrase``."""
+    return hash_bits(known.select(F.xxhash64("_pm_phrase").alias("h")))
+
+
 def _has_bit() -> Column:
-    """Whether the bit of ``_pm_hash`` is set: true for every name, by chance for few others."""
+    """Whether the bit of ``_pm_hash`` is set: true for every hash of the filter, by chance for few others."""
     h = F.col("_pm_hash")
     at = F.shiftright(h, 6).bitwiseAND(F.lit((1 << (ROW_BITS - 6)) - 1)).cast("int")
     return (_bit_row(h) == F.col("_pm_row")) & (F.getbit(F.get("_pm_longs", at), h.bitwiseAND(F.lit(63)).cast("int")) == 1)
 
 
+def where_hashed(df: DataFrame, hashed: Column, bits: DataFrame) -> DataFrame:
+    """The rows whose hash is in the filter ``bits`` (``hash_bits``), and few others; the filter is broadcast, no row moves."""
+    return df.withColumn("_pm_hash", hashed).join(F.broadcast(bits), _has_bit(), "left_semi").drop("_pm_hash")
+
+
 def phrase_mentions(docs: DataFrame, text: str, names: DataFrame, name: str, keep: Sequence[str] = ()) -> DataFrame:
     """JN5: places where names of one or more words stand in the texts, each name as a whole.
 
@@ -268,7 +277,7 @@ def phrase_mentions(docs: DataFrame, text: str, names: DataFrame, name: str, kee
     places = words.select(*keep, "_pm_doc", F.posexplode(ahead).alias("_pm_at", "_pm_next"))
     places = places.withColumn("_pm_n", F.explode(F.array(*map(F.lit, lengths)).cast("array<int>"))).filter(F.size("_pm_next") >= F.col("_pm_n"))
     places = places.select(*keep, "_pm_doc", "_pm_at", F.array_join(F.slice("_pm_next", 1, F.col("_pm_n")), " ").alias("_pm_phrase"))
-    places = places.withColumn("_pm_hash", F.xxhash64("_pm_phrase")).join(F.broadcast(_phrase_bits(known)), _has_bit(), "left_semi").drop("_pm_hash")
+    places = where_hashed(places, F.xxhash64("_pm_phrase"), _phrase_bits(known))
     hits = places.join(known.select("_pm_phrase", "_pm_n", "_pm_name"), "_pm_phrase")
     found = F.array_sort(F.collect_list(F.struct(F.col("_pm_at").alias("at"), (-F.col("_pm_n")).alias("n"), F.col("_pm_name").alias("name"))))
     texts = hits.groupBy("_pm_doc", *keep).agg(found.alias("_pm_found"))  # the matches of one text

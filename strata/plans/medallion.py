@@ -61,18 +61,26 @@ def bronze(spark: SparkSession, landing: dict[str, str], root: str, multiline: b
     return list(take_landing(spark, landing, root, multiline))
 
 
-def take_landing(spark: SparkSession, landing: dict[str, str], root: str, multiline: bool = True) -> dict[str, int]:
-    """As ``bronze``; returns the rows taken per source that exists."""
+def take_landing(spark: SparkSession, landing: dict[str, str], root: str, multiline: bool = True, keep_landing: bool = True) -> dict[str, int]:
+    """As ``bronze``; returns the rows taken per source that exists.
+
+    Without ``keep_landing`` the files that lay there when it began, which Bronze holds at its end, are removed then.
+    """
     taken = {}
     there = [s for s, path in landing.items() if batches.exists(spark, path)]
     for source in there:
-        raw = (
-            spark.readStream.schema(landing_schema(SCHEMAS.get(source, API_SCHEMA)))
-            .option("multiLine", multiline).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-            .option("pathGlobFilter", "*.{json,json.gz}").option("recursiveFileLookup", True).json(landing[source])
-        )
-        q = jobs.ingest(raw, source, _p(root, f"bronze_{source}"), _p(root, "_checkpoints", f"bronze_{source}"), compression=batches.CODEC)
+        def landed(reader):
+            return (
+                reader.schema(landing_schema(SCHEMAS.get(source, API_SCHEMA)))
+                .option("multiLine", multiline).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+                .option("pathGlobFilter", "*.{json,json.gz}").option("recursiveFileLookup", True).json(landing[source])
+            )
+
+        before = [] if keep_landing else landed(spark.read).inputFiles()
+        with batches.adaptive(spark):
+            q = jobs.ingest(landed(spark.readStream), source, _p(root, f"bronze_{source}"), _p(root, "_checkpoints", f"bronze_{source}"), compression=batches.CODEC)
         taken[source] = sum(p["numInputRows"] for p in q.recentProgress)  # one batch per run
+        batches.remove(spark, before)
     return taken
 
 
@@ -95,8 +103,8 @@ def read_observations(spark: SparkSession, root: str, home: str | None = None) -
 def _observe(spark: SparkSession, root: str, home: str, source: str) -> tuple[int, int]:
     """Clean the Bronze rows that came since the last run and append the new observations; returns the rows read and appended.
 
-    Keys alone decide what is new: those of the batch are counted and compared with the history. The whole rows then move once, to
-    their date; only those whose key comes more than once in the batch are compared with each other before.
+    Keys alone decide what is new: those of the batch are counted and compared with the history. The whole rows do not move, but are written
+    where they are read; only those whose key comes more than once in the batch are compared with each other before.
     """
     path, counts = _p(home, "observations"), []
 
@@ -119,7 +127,7 @@ def _observe(spark: SparkSession, root: str, home: str, source: str) -> tuple[in
             if found.count():
                 repeated = cleaned.join(found.filter("known IS NULL").select(*KEYS), KEYS, "left_semi")
                 fresh = cleaned.join(found.select(*KEYS), KEYS, "left_anti").unionByName(clean.dedup_observations(repeated).select(*cleaned.columns))
-            batches.put(_count(fresh, written), path, epoch, PARTITIONS)
+            batches.put(_count(fresh, written), path, epoch, PARTITIONS, within=["language_lower"])
             counts.append((read.get["n"], written.get["n"]))
         finally:
             found.unpersist()
@@ -220,11 +228,12 @@ def gold(spark: SparkSession, root: str) -> tuple[int, int]:
 
 
 def run(spark: SparkSession, landing: dict[str, str], root: str, multiline: bool = True,
-        continue_on_failure: bool = False, rebuild: bool = False, buckets: int = 8) -> DataFrame:
+        continue_on_failure: bool = False, rebuild: bool = False, buckets: int = 8, keep_landing: bool = True) -> DataFrame:
     """PL1 + PL2: run the three layers; returns (stage, status, error, rows_in, rows_out, seconds, finished_at) rows,
-    also appended to ``<root>/run_log``. Rows are counted by the jobs that move them (``DataFrame.observe``), not by second scans."""
+    also appended to ``<root>/run_log``. Rows are counted by the jobs that move them (``DataFrame.observe``), not by second scans.
+    Without ``keep_landing`` the landed files are removed once Bronze holds them."""
     steps = [
-        ("bronze", lambda: (sum(take_landing(spark, landing, root, multiline).values()),) * 2),
+        ("bronze", lambda: (sum(take_landing(spark, landing, root, multiline, keep_landing).values()),) * 2),
         ("silver", lambda: silver(spark, root, tuple(landing), rebuild, buckets)),
         ("gold", lambda: gold(spark, root)),
     ]

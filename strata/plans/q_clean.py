@@ -306,7 +306,7 @@ LANDED_ROWS = 50_000
 
 
 def _layer_run(spark, sf_dir):
-    """Two landing rounds, the older half of the events last, each followed by a run; then the layers' tables."""
+    """Two landing rounds, the older half of the events last, each followed by a run, which removes the files that Bronze has taken; then the layers' tables."""
     # Not kept: the records with their texts are many times the tables, and each part joins its own events only.
     rec = _observation_records(spark, sf_dir).withColumn("_late", F.col("timestamp") < F.lit("2024-01-16"))
     root = scratch_path(spark, "medallion")
@@ -318,7 +318,7 @@ def _layer_run(spark, sf_dir):
         with batches.adaptive(spark):
             writers.overwrite_json(api, f"{places['api']}/round-{late}", "gzip", LANDED_ROWS)
             writers.overwrite_json(rss, f"{places['rss']}/round-{late}", "gzip", LANDED_ROWS)
-        status = medallion.run(spark, places, root, multiline=False)
+        status = medallion.run(spark, places, root, multiline=False, keep_landing=False)
         failed = status.filter(F.col("status") != "OK").collect()
         if failed:
             raise RuntimeError(f"medallion run failed: {failed}")

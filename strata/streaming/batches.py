@@ -19,8 +19,8 @@ from pyspark.sql import types as T
 
 BATCH = "_batch"
 BUCKET, SLOT, MARK = "_bucket", "_slot", "_mark"
-#: Histories of long texts take about half the space that they take by the default codec.
-CODEC = "zstd"
+#: Histories of long texts take about half the space that they take by the default codec, at this level a twelfth less than at its default.
+CODEC, LEVEL = "zstd", "6"
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -30,8 +30,15 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def remove(spark: SparkSession, files: Sequence[str]) -> None:
+    """Delete files, as ``DataFrame.inputFiles`` names them."""
+    for name in files:
+        p = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(name))
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, False)
+
+
 #: Adaptive execution, also in the session of a stream, which has it off; shuffle files go when the query that made them ends.
-_CONF = {"spark.sql.adaptive.enabled": "true", "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+_CONF = {"spark.sql.adaptive.enabled": "true", "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "parquet.compression.codec.zstd.level": LEVEL}
 
 
 @contextmanager
@@ -47,13 +54,18 @@ def adaptive(spark: SparkSession):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def put(rows: DataFrame, path: str, epoch: int, by: Sequence[str] = ()) -> None:
+def put(rows: DataFrame, path: str, epoch: int, by: Sequence[str] = (), within: Sequence[str] = ()) -> None:
     """Write the rows of an epoch, partitioned by ``by`` and the epoch; a replay replaces the partitions it writes.
 
     Rows are gathered by partition value, so that each has few files, and a value with very many rows is split over several tasks.
+    With ``within`` they are not: wide rows do not move, each task writes its own rows in the order of these columns, and a value has at
+    most as many files as the input has splits. Rows alike side by side compress better.
     """
     tagged = rows.withColumn(BATCH, F.lit(epoch).cast("long"))
-    tagged = tagged.hint("rebalance", *by) if by else tagged
+    if within:
+        tagged = tagged.sortWithinPartitions(*by, BATCH, *within)
+    elif by:
+        tagged = tagged.hint("rebalance", *by)
     with adaptive(rows.sparkSession):
         tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by, BATCH).parquet(path, compression=CODEC)
 

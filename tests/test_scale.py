@@ -52,6 +52,55 @@ def test_layer_run_on_compressed_landing_with_repeats(spark, tmp_path):
     assert files and all(".zstd." in f for f in files if "current" in f or "observations" in f)
 
 
+def test_layer_run_removes_what_bronze_has_taken(spark, tmp_path):
+    """Without ``keep_landing`` landed files go once Bronze holds them, other files and those that no run has taken stay; by default all stay."""
+    d, root = str(tmp_path / "landing" / "api"), str(tmp_path / "lake")
+    there = lambda: sorted(f for _, _, names in os.walk(d) for f in names)
+    run = lambda **how: [r["status"] for r in medallion.run(spark, {"api": d}, root, multiline=False, **how).collect()]
+    _land(d, "p 1.json.gz", [_record("o/a", "5", "2024-01-01T10:00:00")])
+    _land(d, "notes.txt", [])
+    assert run() == ["OK"] * 3 and there() == ["notes.txt", "p 1.json.gz"]
+    _land(os.path.join(d, "round-2"), "p2.json.gz", [_record("o/b", "6", "2024-01-01T11:00:00")])
+    assert run(keep_landing=False) == ["OK"] * 3 and there() == ["notes.txt"]
+    _land(d, "p3.json.gz", [_record("o/b", "7", "2024-01-02T11:00:00")])
+    assert there() == ["notes.txt", "p3.json.gz"] and run(keep_landing=False) == ["OK"] * 3 and there() == ["notes.txt"]
+    counts = {name: df.count() for name, df in medallion.tables(spark, root).items()}
+    assert (counts["bronze_api"], counts["silver_observations"], counts["silver_current"]) == (3, 3, 2)
+
+
+def test_rows_put_within_an_order_do_not_move(spark):
+    """Each task writes its own rows, in order, so the files of a value are as many as the input's parts that hold it; a replay replaces them."""
+    path = scratch_path(spark, "t-put")
+    rows = spark.range(0, 400, 1, 4).select((F.col("id") % 2).alias("day"), F.concat(F.lit("w"), (F.col("id") * 7 % 5).cast("string")).alias("kind"), "id")
+    for _ in range(2):
+        batches.put(rows, path, 3, ["day"], within=["kind"])
+    found = spark.read.parquet(path)
+    assert sorted((r["day"], r["kind"], r["id"]) for r in found.collect()) == sorted(map(tuple, rows.collect()))
+    files = [f for f in found.inputFiles()]
+    assert len(files) == 4 * 2
+    for f in files:
+        kinds = [r["kind"] for r in spark.read.parquet(f).coalesce(1).collect()]
+        assert len(kinds) == 50 and kinds == sorted(kinds)
+
+
+def test_newest_rows_of_many_keys_move_alone(spark):
+    """Where the newest orders are too many to be broadcast, rows that cannot be the newest are dropped before the join."""
+    df = spark.range(5000).select(F.concat(F.lit("k"), (F.col("id") % 100).cast("string")).alias("k"), "id", F.repeat(F.lit("x"), 50).alias("text"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found, kept = clean.newest_per_key(df, ["k"], ["id"])
+        assert sorted(r["id"] for r in found.collect()) == list(range(4900, 5000))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        moved = [n for n in plan.splitlines() if "Exchange hashpartitioning" in n and "_n_" not in n]
+        assert "SortMergeJoin" in plan and moved
+        below = plan[plan.index(moved[-1]) :]
+        assert "BroadcastHashJoin" in below and "getbit" in below
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        kept.unpersist()
+
+
 def test_newest_of_stored_rows_is_the_newest_of_whole_rows(spark):
     rows = [("a", 1, None, "t1"), ("a", 1, None, "t2"), ("a", None, 9, "t9"), (None, 2, 1, "u"), (None, 2, 2, None), ("b", None, None, None), ("b", None, None, "w")]
     df = spark.createDataFrame(rows, "k string, at int, m int, text string")
