@@ -264,29 +264,26 @@ def phrase_mentions(docs: DataFrame, text: str, names: DataFrame, name: str, kee
 
     A place is looked up once per length that a name has, by the equality of the whole slice of words, one row per name. So no pairs of places
     and names with a common first word are formed, however many there are. Before that the hash of the slice is looked up in the names'
-    bits (``_phrase_bits``), which have a fixed size and are broadcast: of the places without a name few move. A text carries only its matches to the last step, which is linear in them.
+    bits (``_phrase_bits``), which have a fixed size and are broadcast: of the places without a name few move. A text carries only its matches to the last step, a running maximum over them.
     """
     known = names.select(tokens_words(name).alias("_pm_words"), F.col(name).alias("_pm_name")).filter(F.size("_pm_words") > 0)
-    known = known.groupBy("_pm_words").agg(F.min("_pm_name").alias("_pm_name"))
+    # Written once: the lengths, the bits and the join read the names again, which may be made of all the texts.
+    known = pinned(known.groupBy("_pm_words").agg(F.min("_pm_name").alias("_pm_name")))
+    lengths = [r[0] for r in known.select(F.size("_pm_words").alias("n")).distinct().sort("n").collect()]  # at most as many as the longest name has words
+    bits = _phrase_bits(known.select(F.col("_pm_words").alias("_pm_phrase")))
     known = known.select(F.array_join("_pm_words", " ").alias("_pm_phrase"), F.size("_pm_words").alias("_pm_n"), "_pm_name")
-    lengths = [r[0] for r in known.select("_pm_n").distinct().sort("_pm_n").collect()]  # at most as many as the longest name has words
-    longest = max(lengths, default=1)
     words = docs.select(*keep, F.monotonically_increasing_id().alias("_pm_doc"), tokens_words(text).alias("_pm_words")).filter(F.size("_pm_words") > 0)
-    # Each place with the words that follow, as many as the longest name has, and of these as many as each length says.
-    ahead = F.transform(F.sequence(F.lit(1), F.size("_pm_words")), lambda k: F.slice("_pm_words", k, longest))
-    places = words.select(*keep, "_pm_doc", F.posexplode(ahead).alias("_pm_at", "_pm_next"))
-    places = places.withColumn("_pm_n", F.explode(F.array(*map(F.lit, lengths)).cast("array<int>"))).filter(F.size("_pm_next") >= F.col("_pm_n"))
-    places = places.select(*keep, "_pm_doc", "_pm_at", F.array_join(F.slice("_pm_next", 1, F.col("_pm_n")), " ").alias("_pm_phrase"))
-    places = where_hashed(places, F.xxhash64("_pm_phrase"), _phrase_bits(known))
+    # Each place once per length; its words are cut out of the text's for the look-up, and joined only where that finds a bit.
+    places = words.select(*keep, "_pm_doc", "_pm_words", F.posexplode("_pm_words").alias("_pm_at", "_pm_word"))
+    places = places.withColumn("_pm_n", F.explode(F.array(*map(F.lit, lengths)).cast("array<int>"))).filter(F.col("_pm_at") + F.col("_pm_n") <= F.size("_pm_words"))
+    places = places.select(*keep, "_pm_doc", "_pm_at", F.slice("_pm_words", F.col("_pm_at") + 1, F.col("_pm_n")).alias("_pm_phrase"))
+    places = where_hashed(places, F.xxhash64("_pm_phrase"), bits).withColumn("_pm_phrase", F.array_join("_pm_phrase", " "))
     hits = places.join(known.select("_pm_phrase", "_pm_n", "_pm_name"), "_pm_phrase")
-    found = F.array_sort(F.collect_list(F.struct(F.col("_pm_at").alias("at"), (-F.col("_pm_n")).alias("n"), F.col("_pm_name").alias("name"))))
-    texts = hits.groupBy("_pm_doc", *keep).agg(found.alias("_pm_found"))  # the matches of one text
     # In order of start, longest first: a match counts if it ends beyond all before it.
-    ends = lambda m: m["at"] - m["n"]
-    none = F.struct(F.lit(0).alias("end"), F.expr("CAST(array() AS array<struct<at:int,n:int,name:string>>)").alias("kept"))
-    step = lambda acc, m: F.when(ends(m) > acc["end"], F.struct(ends(m).alias("end"), F.concat(acc["kept"], F.array(m)).alias("kept"))).otherwise(acc)
-    kept = texts.select(*keep, F.explode(F.aggregate("_pm_found", none, step)["kept"]).alias("m"))
-    return kept.select(*keep, F.col("m.at").alias("position"), (-F.col("m.n")).alias("words"), F.col("m.name").alias("name"))
+    ends = F.col("_pm_at") + F.col("_pm_n")
+    before = Window.partitionBy("_pm_doc").orderBy("_pm_at", F.desc("_pm_n")).rowsBetween(Window.unboundedPreceding, -1)
+    kept = hits.withColumn("_pm_before", F.max(ends).over(before)).filter(F.col("_pm_before").isNull() | (ends > F.col("_pm_before")))
+    return kept.select(*keep, F.col("_pm_at").alias("position"), F.col("_pm_n").alias("words"), F.col("_pm_name").alias("name"))
 
 
 def vocabulary(df: DataFrame, text: str) -> DataFrame:

@@ -281,8 +281,9 @@ _PHRASES_SQL = r"""
 def phrase_mentions(spark, sf_dir):
     """JN5: names of several words mentioned per source, the longest name at each place."""
     raw = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    words = F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{N}]+)"), 1)
-    first = raw.select(words.alias("ws"))
+    # Only the first three words are looked for, from the text's beginning, and by a generator, which finds them once a text and not once a use.
+    opening = F.regexp_extract(F.lower("text"), r"^(?:[^\p{L}\p{N}]*+[\p{L}\p{N}]++){1,3}", 0)
+    first = raw.select(F.explode(F.array(F.regexp_extract_all(opening, F.lit(r"([\p{L}\p{N}]+)"), 1))).alias("ws"))
     names = first.select(F.explode(F.array(*[F.when(F.size("ws") >= k, F.array_join(F.slice("ws", 1, k), " ")) for k in (2, 3)])).alias("name"))
     found = joins.phrase_mentions(raw, "text", names.filter("name IS NOT NULL").distinct(), "name", ["doc_id", "source"])
     return found.groupBy("source", "name").agg(F.count(F.lit(1)).alias("mentions"), F.count_distinct("doc_id").alias("documents"))

@@ -164,3 +164,16 @@ def test_range_join_pairs_cost_no_time_arithmetic_and_leave_from_many_tasks(spar
     plan = _nodes(found._jdf.queryExecution().optimizedPlan())
     above = plan[: next(k for k, n in enumerate(plan) if "Join" in n)]  # what runs per pair
     assert not any("INTERVAL" in n for n in above) and joins.BLOCK * joins.RIGHT_BLOCK <= 10_000
+
+
+def test_phrase_mentions_read_their_names_once_and_fold_no_arrays(spark):
+    """Names that are made of the texts are not made again for the bits and the join, and a text's matches are not gathered in one array;
+    of overlapping matches those count that end beyond all before them."""
+    docs = spark.createDataFrame([(1, "b c d, a B c"), (2, "a b; c d"), (3, None), (4, "--"), (5, "c"), (1, "a b")], "id long, text string")
+    names = docs.filter("id = 2").select(F.explode(F.array(F.lit("A b"), F.lit("b c d"), F.lit("c"), F.lit("a b c d e"))).alias("name"))
+    found = joins.phrase_mentions(docs, "text", names, "name", ["id"])
+    assert found.columns == ["id", "position", "words", "name"]
+    expected = [(1, 0, 3, "b c d"), (1, 3, 2, "A b"), (1, 5, 1, "c"), (2, 0, 2, "A b"), (2, 1, 3, "b c d"), (5, 0, 1, "c"), (1, 0, 2, "A b")]
+    assert sorted(map(tuple, found.collect())) == sorted(expected)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1 and "aggregate(" not in plan and "transform(sequence(1, size" not in plan
